@@ -169,6 +169,92 @@ RACING = {
 }
 
 
+EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+def _events_log(o: str) -> str:
+    """The change log derived from events; ``o`` is the ordering column."""
+    best = f"({o} IS NOT NULL) DESC, {o} DESC, event_id DESC"
+    return f"""
+ev AS (SELECT {EVENT_COLS} FROM events),
+o_rows AS (
+    SELECT {EVENT_COLS}, 'O' AS _op FROM (
+        SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY {best}) AS rn
+        FROM ev WHERE day(ts) IN (1, 21)
+    ) WHERE rn = 1
+),
+other_rows AS (
+    SELECT {EVENT_COLS},
+           CASE WHEN event_type IN ('signup', 'purchase') THEN 'I'
+                WHEN event_type IN ('click', 'view') THEN 'U' ELSE 'D' END AS _op
+    FROM ev WHERE day(ts) NOT IN (1, 21)
+),
+lg AS (
+    SELECT *, strftime(ts, '%Y%m%d')
+              || CASE _op WHEN 'O' THEN '01' WHEN 'I' THEN '02' WHEN 'U' THEN '03' ELSE '04' END
+              || '0000000' AS _commit_time,
+           CAST(year(ts) AS INTEGER) AS year
+    FROM (SELECT * FROM o_rows UNION ALL SELECT * FROM other_rows)
+)"""
+
+
+def keyed_snapshot_sql(o: str = "value", mode: str = "event", as_of: str | None = None,
+                       begin: str | None = None) -> str:
+    """Row-level window formulation of the snapshot rules (independent of the
+    per-(key, commit) summary the Spark side uses)."""
+    best = f"({o} IS NOT NULL) DESC, {o} DESC, event_id DESC"
+    upto = f"WHERE _commit_time <= '{as_of}'" if as_of else ""
+    fire = "" if mode == "commit" else f"AND (p.prev IS NULL OR r.{o} >= p.prev)"
+    after = f"WHERE _commit_time > '{begin}'" if begin else ""
+    return f"""WITH {_events_log(o).strip()},
+lg2 AS (SELECT * FROM lg {upto}),
+live AS (
+    SELECT * FROM lg2
+    WHERE _commit_time >= (SELECT coalesce(max(_commit_time), '') FROM lg2 WHERE _op = 'O')
+),
+kept AS (
+    SELECT * EXCLUDE (cd) FROM (
+        SELECT *, max(CASE WHEN _op = 'D' THEN _commit_time END) OVER (PARTITION BY user_id) AS cd FROM live
+    ) WHERE _op <> 'D' AND (cd IS NULL OR _commit_time > cd)
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY user_id, _commit_time ORDER BY {best}) AS rn FROM kept
+),
+cmax AS (SELECT user_id, _commit_time, max({o}) AS mv FROM kept GROUP BY user_id, _commit_time),
+prior AS (
+    SELECT user_id, _commit_time,
+           max(mv) OVER (PARTITION BY user_id ORDER BY _commit_time
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+    FROM cmax
+),
+fired AS (
+    SELECT r.* EXCLUDE (rn) FROM ranked r
+    JOIN prior p ON r.user_id = p.user_id AND r._commit_time = p._commit_time
+    WHERE r._op = 'U' AND r.rn = 1 {fire}
+),
+last_u AS (SELECT user_id, max(_commit_time) AS cu FROM fired GROUP BY user_id),
+snap AS (
+    SELECT f.* FROM fired f JOIN last_u l ON f.user_id = l.user_id AND f._commit_time = l.cu
+    UNION ALL
+    SELECT k.* FROM kept k LEFT JOIN last_u l ON k.user_id = l.user_id
+    WHERE k._op IN ('I', 'O') AND (l.cu IS NULL OR k._commit_time > l.cu)
+)
+SELECT {EVENT_COLS}, _op, _commit_time, year FROM snap {after}"""
+
+
+KEYED = {
+    "keyedCreateDedupe": f"""SELECT {EVENT_COLS} FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY (ts IS NOT NULL) DESC, ts DESC, event_id DESC) AS rn
+        FROM events) WHERE rn = 1""",
+    "keyedSnapshotEvent": keyed_snapshot_sql("value", "event"),
+    "keyedSnapshotEventByTs": keyed_snapshot_sql("ts", "event"),
+    "keyedSnapshotCommit": keyed_snapshot_sql("value", "commit"),
+    "keyedAsOf": keyed_snapshot_sql("value", "event", as_of="20240112999999999"),
+    "keyedIncremental": keyed_snapshot_sql("value", "event", begin="20240125000000000"),
+}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(RACING)
+    out.update(KEYED)
     return out

@@ -1,0 +1,328 @@
+"""A keyed, mutable table kept as a change log of commits on parquet.
+
+Layout under the table path::
+
+    log/_commit_time=<t>/<partition cols>/part-*.parquet   one folder per commit
+    base/<t>/<partition cols>/part-*.parquet               compacted snapshots
+    timeline/<t>.<action>.<detail>                         one empty marker per action
+    schema.json                                            the log's data schema
+
+A commit is visible only once its timeline marker exists: the data folder is
+written first by an ordinary Spark write (tasks retried on executor loss,
+output committed by the job), then the marker is created. A failed or
+half-written commit therefore never shows up in reads and is removed by the
+next ``clean``. One writer at a time is assumed.
+
+Reads resolve the log with ``gridlake.keyed.merge.resolve``: the newest
+compacted base at or before the read point, plus the committed log folders
+after it (partition pruning on ``_commit_time`` keeps the rest unread).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from gridlake.keyed.merge import COMMIT, DELETE, INSERT, OP, OVERWRITE, UPSERT, dedupe_batch, resolve
+from gridlake.sources import fs
+from gridlake.sources.files import (
+    BLOCK_BYTES,
+    MAX_FILE_BYTES,
+    RECORD_SIZE_ESTIMATE,
+    TABLE_CODEC,
+    add_date_parts,
+    scan,
+)
+
+ACTION_COMMIT = "commit"
+ACTION_COMPACTION = "compaction"
+ACTION_CLEAN = "clean"
+QUERY_TYPES = ("snapshot", "incremental", "as_of")
+
+
+@dataclass(frozen=True)
+class TableOptions:
+    """What a keyed table is keyed, ordered and partitioned by.
+
+    Defaults follow the reference's ride table: key ``ride_id``, ordering
+    (pre-combine) ``started_at``, partitioned by the year of ``started_at``,
+    snappy files of about 25 MiB, one commit retained by clean.
+    """
+
+    name: str = "bikeshare"
+    key: tuple[str, ...] = ("ride_id",)
+    ordering: tuple[str, ...] = ("started_at",)
+    tiebreak: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ("year",)
+    date_source: str | None = "started_at"
+    mode: str = "event"
+    retain_commits: int = 1
+    codec: str = TABLE_CODEC
+    max_file_bytes: int = MAX_FILE_BYTES
+    block_bytes: int = BLOCK_BYTES
+    record_size: int = RECORD_SIZE_ESTIMATE
+    extra: dict = field(default_factory=dict)
+
+
+@dataclass(frozen=True, order=True)
+class Action:
+    time: str
+    action: str
+    detail: str
+
+
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")[:17]
+
+
+def _bump(t: str) -> str:
+    return str(int(t) + 1).zfill(17)
+
+
+class KeyedTable:
+    def __init__(self, spark: SparkSession, path: str, options: TableOptions | None = None):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.options = options or TableOptions()
+        self.log_path = f"{self.path}/log"
+        self.base_path = f"{self.path}/base"
+        self.timeline_path = f"{self.path}/timeline"
+        self.schema_path = f"{self.path}/schema.json"
+
+    # ------------------------------------------------------------ timeline
+    def timeline(self) -> list[Action]:
+        out = []
+        for e in fs.list_dir(self.spark, self.timeline_path):
+            name = e.path.rsplit("/", 1)[-1]
+            parts = name.split(".")
+            if len(parts) == 3 and parts[0].isdigit():
+                out.append(Action(*parts))
+        return sorted(out)
+
+    def commits(self) -> list[Action]:
+        return [a for a in self.timeline() if a.action == ACTION_COMMIT]
+
+    def _next_time(self) -> str:
+        t = _now()
+        tl = self.timeline()
+        if tl and t <= tl[-1].time:
+            t = _bump(tl[-1].time)
+        return t
+
+    def _mark(self, t: str, action: str, detail: str) -> None:
+        fs.write_text(self.spark, f"{self.timeline_path}/{t}.{action}.{detail}", "")
+
+    def horizon(self) -> str:
+        cleans = [a.detail for a in self.timeline() if a.action == ACTION_CLEAN]
+        return max(cleans) if cleans else ""
+
+    # ------------------------------------------------------------ schema
+    def _schema(self) -> StructType:
+        return StructType.fromJson(json.loads(fs.read_text(self.spark, self.schema_path)))
+
+    def _log_schema(self) -> StructType:
+        """Data columns, ``_op``, then the partition columns (``_commit_time`` first)."""
+        data = self._schema()
+        parts = self.options.partition_by
+        fields = [f for f in data.fields if f.name not in parts]
+        part_fields = [data[p] for p in parts]
+        return StructType(fields + [StructField(COMMIT, StringType())] + part_fields)
+
+    # ------------------------------------------------------------ writes
+    def _prepare(self, df: DataFrame) -> DataFrame:
+        o = self.options
+        missing = [p for p in o.partition_by if p not in df.columns]
+        if missing and o.date_source and o.date_source in df.columns:
+            df = add_date_parts(df, o.date_source, missing)
+        return df
+
+    def _write_commit(self, df: DataFrame, op: str) -> str:
+        o = self.options
+        df = df.withColumn(OP, F.lit(op))
+        if fs.exists(self.spark, self.schema_path):
+            schema = self._schema()
+            # Delete commits carry keys only; give them the table's columns.
+            for f in schema.fields:
+                if f.name not in df.columns:
+                    df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+            df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        else:
+            if op == DELETE:
+                raise ValueError("cannot delete from a table that has no commits")
+            fs.write_text(self.spark, self.schema_path, df.schema.json())
+        t = self._next_time()
+        (
+            df.write.mode("overwrite")
+            .partitionBy(*o.partition_by)
+            .option("compression", o.codec)
+            .option("maxRecordsPerFile", max(1, o.max_file_bytes // max(1, o.record_size)))
+            .option("parquet.block.size", str(o.block_bytes))
+            .parquet(f"{self.log_path}/{COMMIT}={t}")
+        )
+        self._mark(t, ACTION_COMMIT, op)
+        return t
+
+    def _source(self, source: DataFrame | str, **read_options) -> DataFrame:
+        if isinstance(source, str):
+            return scan(self.spark, source, **read_options)
+        return source
+
+    def create(self, source: DataFrame | str, **read_options) -> str:
+        """Replace the table with the source, one row per key."""
+        o = self.options
+        df = self._prepare(self._source(source, **read_options))
+        return self._write_commit(dedupe_batch(df, o.key, o.ordering, o.tiebreak), OVERWRITE)
+
+    def insert(self, source: DataFrame | str, **read_options) -> str:
+        """Bulk insert, rows kept as they are (duplicates included)."""
+        return self._write_commit(self._prepare(self._source(source, **read_options)), INSERT)
+
+    def upsert(self, source: DataFrame | str, **read_options) -> str:
+        """Upsert on the key; the batch is first reduced to one row per key."""
+        o = self.options
+        df = self._prepare(self._source(source, **read_options))
+        return self._write_commit(dedupe_batch(df, o.key, o.ordering, o.tiebreak), UPSERT)
+
+    def delete(self, keys: DataFrame) -> str:
+        """T4: delete by a frame of keys (other columns ignored)."""
+        return self._write_commit(keys.select(*self.options.key).distinct(), DELETE)
+
+    # ------------------------------------------------------------ reads
+    def _log(self, after: str, upto: str, committed: list[str]) -> DataFrame:
+        df = self.spark.read.schema(self._log_schema()).parquet(self.log_path)
+        df = df.where((F.col(COMMIT) > F.lit(after)) & (F.col(COMMIT) <= F.lit(upto)))
+        return df.where(F.col(COMMIT).isin(*committed))
+
+    def _base(self, t: str) -> DataFrame:
+        schema = self._log_schema()
+        parts = self.options.partition_by
+        fields = [f for f in schema.fields if f.name not in parts] + [schema[p] for p in parts]
+        return self.spark.read.schema(StructType(fields)).parquet(f"{self.base_path}/{t}")
+
+    def _columns(self) -> list[str]:
+        data = [f.name for f in self._schema().fields if f.name != OP]
+        return data + [COMMIT, OP]
+
+    def snapshot(self, as_of: str | None = None) -> DataFrame:
+        """The table's rows, now or as of a commit time (inclusive)."""
+        tl = self.timeline()
+        upto = as_of or (tl[-1].time if tl else "")
+        horizon = self.horizon()
+        if as_of is not None and as_of < horizon:
+            raise ValueError(f"as-of {as_of} is before the clean horizon {horizon}; that history was removed")
+        commits = [a for a in tl if a.action == ACTION_COMMIT and a.time <= upto]
+        if not commits:
+            if not fs.exists(self.spark, self.schema_path):
+                raise ValueError(f"table at {self.path} has no commits")
+            schema = StructType([self._log_schema()[c] for c in self._columns()])
+            return self.spark.createDataFrame([], schema)
+        last_o = max((a.time for a in commits if a.detail == OVERWRITE), default="")
+        bases = [a.time for a in tl if a.action == ACTION_COMPACTION and last_o <= a.time <= upto]
+        base_t = max(bases) if bases else None
+        after = base_t if base_t else (_bump_down(last_o) if last_o else "")
+        log = self._log(after, upto, [a.time for a in commits if a.time > after])
+        cols = self._columns()
+        source = log.select(*cols)
+        if base_t:
+            source = self._base(base_t).select(*cols).unionByName(source)
+        o = self.options
+        snap = resolve(source, o.key, o.ordering, o.tiebreak, o.mode, start=last_o)
+        return snap.select(*cols)
+
+    def incremental(self, begin: str, end: str | None = None) -> DataFrame:
+        """Current rows written by commits after ``begin`` (up to ``end``)."""
+        return self.snapshot(as_of=end).where(F.col(COMMIT) > F.lit(begin))
+
+    def read(self, query_type: str = "snapshot", ts: str | None = None) -> DataFrame:
+        """T5-T8 by name. Unknown query types are rejected, not read as snapshots."""
+        if query_type == "snapshot":
+            return self.snapshot()
+        if query_type == "incremental":
+            if ts is None:
+                raise ValueError("an incremental read needs a begin time")
+            return self.incremental(ts)
+        if query_type == "as_of":
+            return self.snapshot(as_of=ts)
+        raise ValueError(f"query_type must be one of {QUERY_TYPES}, got {query_type!r}")
+
+    def lookup(self, **key_values) -> DataFrame:
+        """The current rows of one key; the key filter reaches the scan."""
+        snap = self.snapshot()
+        for k, v in key_values.items():
+            snap = snap.where(F.col(k) == F.lit(v))
+        return snap
+
+    # ------------------------------------------------------------ maintenance
+    def compact(self) -> str:
+        """Write the current snapshot as a new base; later reads start there.
+
+        Rows keep their original ``_commit_time`` and ``_op``, so reads before
+        and after compaction give the same rows.
+        """
+        tl = self.timeline()
+        if not [a for a in tl if a.action == ACTION_COMMIT]:
+            raise ValueError("nothing to compact")
+        snap = self.snapshot()
+        t = self._next_time()
+        o = self.options
+        (
+            snap.write.mode("overwrite")
+            .partitionBy(*o.partition_by)
+            .option("compression", o.codec)
+            .option("maxRecordsPerFile", max(1, o.max_file_bytes // max(1, o.record_size)))
+            .parquet(f"{self.base_path}/{t}")
+        )
+        self._mark(t, ACTION_COMPACTION, "-")
+        return t
+
+    def clean(self, retain: int | None = None) -> str:
+        """Remove history older than the ``retain``-th newest replace point.
+
+        A replace point is a compaction or an overwrite commit: reads from it
+        on need nothing older. Reads as of an earlier time then raise. Commit
+        folders that never got a timeline marker (failed writes) are removed
+        too. Returns the new horizon (``''`` when nothing was cleaned).
+        """
+        n = retain or self.options.retain_commits
+        tl = self.timeline()
+        points = sorted(
+            a.time for a in tl if a.action == ACTION_COMPACTION or (a.action == ACTION_COMMIT and a.detail == OVERWRITE)
+        )
+        committed = {a.time for a in tl if a.action == ACTION_COMMIT}
+        newest = tl[-1].time if tl else ""
+        for e in fs.list_dir(self.spark, self.log_path):
+            name = e.path.rstrip("/").rsplit("/", 1)[-1]
+            if name.startswith(f"{COMMIT}="):
+                t = name.split("=", 1)[1]
+                if t not in committed and t < newest:
+                    fs.delete(self.spark, e.path)
+        if len(points) < n:
+            return ""
+        horizon = points[-n]
+        for e in fs.list_dir(self.spark, self.log_path):
+            name = e.path.rstrip("/").rsplit("/", 1)[-1]
+            if name.startswith(f"{COMMIT}=") and name.split("=", 1)[1] < horizon:
+                fs.delete(self.spark, e.path)
+        for e in fs.list_dir(self.spark, self.base_path):
+            name = e.path.rstrip("/").rsplit("/", 1)[-1]
+            if name.isdigit() and name < horizon:
+                fs.delete(self.spark, e.path)
+        self._mark(self._next_time(), ACTION_CLEAN, horizon)
+        return horizon
+
+    # ------------------------------------------------------------ catalog
+    def register(self, view_name: str | None = None) -> str:
+        """Expose the current snapshot to SQL as a view."""
+        name = view_name or self.options.name
+        self.snapshot().createOrReplaceTempView(name)
+        return name
+
+
+def _bump_down(t: str) -> str:
+    """The commit time just before ``t`` (so ``> result`` includes ``t``)."""
+    return str(int(t) - 1).zfill(17)

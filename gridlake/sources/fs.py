@@ -68,3 +68,24 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully-qualified form of ``path`` (``/x`` -> ``file:/x`` locally)."""
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Write a small metadata file (a marker, a schema) in one call."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(data).decode("utf-8")

@@ -52,15 +52,24 @@ def _as_list(x: Sequence[str] | str | None) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def since_last_overwrite(log: DataFrame, start: str | None = None) -> DataFrame:
-    """Rule 1. ``start`` is the newest overwrite commit when the caller knows
-    it from the commit list (an overwrite with no rows still counts);
-    otherwise it is taken from the rows as a scalar subquery.
+def newest_overwrite(commits: DataFrame) -> Column:
+    """Scalar subquery: the newest ``O`` commit time of a commit list
+    (columns ``_commit_time``, ``_op``), or ``''`` when there is none."""
+    newest = commits.where(F.col(OP) == F.lit(OVERWRITE)).select(F.coalesce(F.max(COMMIT), F.lit("")))
+    return newest.scalar()
+
+
+def since_last_overwrite(log: DataFrame, start: str | Column | None = None) -> DataFrame:
+    """Rule 1. ``start`` is the newest overwrite commit, best taken from the
+    commit list (an overwrite with no rows still counts): a string, or a
+    scalar-subquery column from ``newest_overwrite``. Without it, it is
+    taken from the rows themselves.
     """
-    if start is not None:
+    if start is None:
+        start = newest_overwrite(log.select(COMMIT, OP))
+    if isinstance(start, str):
         return log.where(F.col(COMMIT) >= F.lit(start)) if start else log
-    newest_o = log.where(F.col(OP) == F.lit(OVERWRITE)).select(F.coalesce(F.max(COMMIT), F.lit("")))
-    return log.where(F.col(COMMIT) >= newest_o.scalar())
+    return log.where(F.col(COMMIT) >= start)
 
 
 def commit_summary(
@@ -111,7 +120,7 @@ def resolve(
     ordering: Sequence[str] | str,
     tiebreak: Sequence[str] | str = (),
     mode: str = "event",
-    start: str | None = None,
+    start: str | Column | None = None,
 ) -> DataFrame:
     """The table's rows after applying the change log (rules 1-5).
 

@@ -41,20 +41,35 @@ def commit_time(ts_col: str, op: F.Column) -> F.Column:
     return F.concat(F.date_format(F.col(ts_col), "yyyyMMdd"), slot, F.lit("0000000"))
 
 
+def _is_overwrite_day() -> F.Column:
+    return F.dayofmonth("ts").isin(*OVERWRITE_DAYS)
+
+
+def _op_of_event() -> F.Column:
+    return (
+        F.when(_is_overwrite_day(), F.lit(OVERWRITE))
+        .when(F.col("event_type").isin(*INSERT_TYPES), F.lit(INSERT))
+        .when(F.col("event_type").isin(*UPSERT_TYPES), F.lit(UPSERT))
+        .otherwise(F.lit(DELETE))
+    )
+
+
+def events_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commit list (``_commit_time``, ``_op``) of the derived log: a
+    two-column aggregate, much cheaper than the log itself."""
+    ev = read_tpch(spark, sf_dir, "events").select("ts", "event_type")
+    op = _op_of_event()
+    return ev.select(commit_time("ts", op).alias(COMMIT), op.alias(OP)).distinct()
+
+
 def events_log(spark: SparkSession, sf_dir: str, ordering: str = "ts") -> DataFrame:
     ev = read_tpch(spark, sf_dir, "events").select(*EVENT_COLUMNS)
-    day = F.dayofmonth("ts")
-    is_o = day.isin(*OVERWRITE_DAYS)
+    is_o = _is_overwrite_day()
     # Overwrite batches: one row per (day, key), as a create de-duplicates.
     o_rows = latest_per_key(
         ev.where(is_o).withColumn("_day", F.to_date("ts")), ["_day", KEY], ordering, TIEBREAK
     ).drop("_day").withColumn(OP, F.lit(OVERWRITE))
-    op = (
-        F.when(F.col("event_type").isin(*INSERT_TYPES), F.lit(INSERT))
-        .when(F.col("event_type").isin(*UPSERT_TYPES), F.lit(UPSERT))
-        .otherwise(F.lit(DELETE))
-    )
-    rest = ev.where(~is_o).withColumn(OP, op)
+    rest = ev.where(~is_o).withColumn(OP, _op_of_event())
     log = o_rows.unionByName(rest)
     return log.withColumn(COMMIT, commit_time("ts", F.col(OP))).withColumn("year", F.year("ts"))
 

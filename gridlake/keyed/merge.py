@@ -23,12 +23,14 @@ The snapshot rules, per key:
 Plan shape (why it survives a key holding a third of the table):
 
 * The full log is only ever *aggregated* (partial aggregation map-side) to
-  one summary row per (key, commit) and *semi-joined* back on
-  (key, commit). The windows run on the summary, whose size per key is the
-  number of commits, not rows.
-* The semi-join is on (key, commit), so both sides are shuffled for it and
-  AQE can split a skewed (key, commit) partition, or broadcast the summary
-  side when it turns out small at runtime.
+  one narrow summary row per (key, commit) -- a hash aggregate of the
+  greatest ordering value -- and *semi-joined* back on (key, commit). The
+  windows run on the summary, whose size per key is the number of commits,
+  not rows, and which carries no row payload through its sorts.
+* Rule 3 is a separate ``max_by`` aggregate over the upsert rows only.
+* The semi-joins are on (key, commit), so both sides are shuffled for them
+  and AQE can split a skewed (key, commit) partition, or broadcast the
+  summary side when it turns out small at runtime.
 """
 
 from __future__ import annotations
@@ -72,38 +74,40 @@ def since_last_overwrite(log: DataFrame, start: str | Column | None = None) -> D
     return log.where(F.col(COMMIT) >= start)
 
 
-def commit_summary(
-    log: DataFrame,
-    key: Sequence[str],
-    ordering: Sequence[str],
-    tiebreak: Sequence[str],
-    mode: str,
-) -> DataFrame:
-    """One row per (key, commit) with the flags of rules 2-5.
+def _ordering_value(ordering: Sequence[str]) -> Column:
+    """Greatest ordering value of a group, NULL lowest.
 
-    ``_mo`` greatest ordering value of the commit's rows for the key,
-    ``_best`` its best row (rule 3), ``_fires`` rule 4, ``_keep_io`` whether
-    the commit's I/O rows survive (rule 5), ``_take_u`` whether ``_best`` is
-    the key's surviving U row.
+    With one ordering column plain ``max`` already ranks NULL lowest (it
+    ignores NULLs) and keeps the aggregate hash-based; several columns need
+    the struct form.
     """
-    row = F.struct(*[F.col(c) for c in log.columns])
-    summary = log.groupBy(*key, COMMIT, OP).agg(
-        F.max(order_key(ordering)).alias("_mo"),
-        F.max_by(row, order_key(ordering, tiebreak)).alias("_best"),
-    )
+    if len(ordering) == 1:
+        return F.max(ordering[0])
+    return F.max(order_key(ordering))
+
+
+def commit_summary(log: DataFrame, key: Sequence[str], ordering: Sequence[str], mode: str) -> DataFrame:
+    """One narrow row per (key, commit) with the flags of rules 2, 4 and 5.
+
+    ``_mo`` greatest ordering value of the key's rows in the commit,
+    ``_fires`` rule 4, ``_keep_io`` whether the commit's I/O rows survive
+    (rule 5), ``_take_u`` whether the commit holds the key's surviving U row.
+    """
+    summary = log.groupBy(*key, COMMIT, OP).agg(_ordering_value(ordering).alias("_mo"))
     per_key = Window.partitionBy(*key)
     before = per_key.orderBy(COMMIT).rowsBetween(Window.unboundedPreceding, -1)
     commit = F.col(COMMIT)
     op = F.col(OP)
-    deleted_at = F.max(F.when(op == F.lit(DELETE), commit)).over(per_key)
-    summary = summary.withColumn("_cd", deleted_at)
+    summary = summary.withColumn("_cd", F.max(F.when(op == F.lit(DELETE), commit)).over(per_key))
     alive = (op != F.lit(DELETE)) & (F.col("_cd").isNull() | (commit > F.col("_cd")))
     summary = summary.withColumn("_alive", alive)
     prev_max = F.max(F.when(F.col("_alive"), F.col("_mo"))).over(before)
+    is_u = (op == F.lit(UPSERT)) & F.col("_alive")
     if mode == "commit":
-        fires = (op == F.lit(UPSERT)) & F.col("_alive")
+        fires = is_u
     elif mode == "event":
-        fires = (op == F.lit(UPSERT)) & F.col("_alive") & (prev_max.isNull() | (F.col("_mo") >= prev_max))
+        # A NULL own value against a non-NULL earlier maximum does not fire.
+        fires = is_u & F.coalesce(prev_max.isNull() | (F.col("_mo") >= prev_max), F.lit(False))
     else:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     summary = summary.withColumn("_fires", fires)
@@ -114,6 +118,20 @@ def commit_summary(
     return summary.withColumn("_keep_io", keep_io).withColumn("_take_u", take_u)
 
 
+def best_upserts(log: DataFrame, key: Sequence[str], ordering: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
+    """Rule 3: the best U row per (key, commit), as a ``_best`` struct.
+
+    ``max_by`` is an aggregate, so a key with many upserts in one commit is
+    reduced map-side before its rows meet in one task.
+    """
+    row = F.struct(*[F.col(c) for c in log.columns])
+    return (
+        log.where(F.col(OP) == F.lit(UPSERT))
+        .groupBy(*key, COMMIT)
+        .agg(F.max_by(row, order_key(ordering, tiebreak)).alias("_best"))
+    )
+
+
 def resolve(
     log: DataFrame,
     key: Sequence[str] | str,
@@ -130,10 +148,15 @@ def resolve(
     """
     keys, ords, ties = _as_list(key), _as_list(ordering), _as_list(tiebreak)
     cols = log.columns
-    live = since_last_overwrite(log, start)
-    live = live.where(_all_not_null(keys))
-    summary = commit_summary(live, keys, ords, ties, mode)
-    upserts = summary.where(F.col("_take_u")).select("_best.*").select(*cols)
+    live = since_last_overwrite(log, start).where(_all_not_null(keys))
+    summary = commit_summary(live, keys, ords, mode)
+    take_u = summary.where(F.col("_take_u")).select(*keys, COMMIT)
+    upserts = (
+        best_upserts(live, keys, ords, ties)
+        .join(take_u, on=[*keys, COMMIT], how="left_semi")
+        .select("_best.*")
+        .select(*cols)
+    )
     keep = summary.where(F.col("_keep_io")).select(*keys, COMMIT)
     inserts = live.where(F.col(OP).isin(INSERT, OVERWRITE)).join(keep, on=[*keys, COMMIT], how="left_semi")
     return upserts.unionByName(inserts.select(*cols))

@@ -28,6 +28,11 @@ DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Partitioned writes with few partition values per task (race_type, year)
+    # keep that many files open instead of sorting every task's rows by the
+    # partition columns; past the limit Spark falls back to the sort, so
+    # memory stays bounded.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Keep `_commit_time=20240101...` partition values as strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",

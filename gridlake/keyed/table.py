@@ -4,7 +4,7 @@ Layout under the table path::
 
     log/_commit_time=<t>/<partition cols>/part-*.parquet   one folder per commit
     base/<t>/<partition cols>/part-*.parquet               compacted snapshots
-    timeline/<t>.<action>.<detail>                         one empty marker per action
+    timeline/<t>.<action>.<detail>                         one one-line marker per action
     schema.json                                            the log's data schema
 
 A commit is visible only once its timeline marker exists: the data folder is
@@ -115,7 +115,9 @@ class KeyedTable:
         return t
 
     def _mark(self, t: str, action: str, detail: str) -> None:
-        fs.write_text(self.spark, f"{self.timeline_path}/{t}.{action}.{detail}", "")
+        # The marker's one line repeats its name, so the timeline folder can
+        # be read as a text stream of actions (see gridlake.streaming).
+        fs.write_text(self.spark, f"{self.timeline_path}/{t}.{action}.{detail}", f"{t},{action},{detail}\n")
 
     def horizon(self) -> str:
         cleans = [a.detail for a in self.timeline() if a.action == ACTION_CLEAN]
@@ -141,7 +143,7 @@ class KeyedTable:
             df = add_date_parts(df, o.date_source, missing)
         return df
 
-    def _write_commit(self, df: DataFrame, op: str) -> str:
+    def _write_commit(self, df: DataFrame, op: str, at: str | None = None) -> str:
         o = self.options
         df = df.withColumn(OP, F.lit(op))
         if fs.exists(self.spark, self.schema_path):
@@ -155,7 +157,7 @@ class KeyedTable:
             if op == DELETE:
                 raise ValueError("cannot delete from a table that has no commits")
             fs.write_text(self.spark, self.schema_path, df.schema.json())
-        t = self._next_time()
+        t = at or self._next_time()
         (
             df.write.mode("overwrite")
             .partitionBy(*o.partition_by)
@@ -172,25 +174,34 @@ class KeyedTable:
             return scan(self.spark, source, **read_options)
         return source
 
-    def create(self, source: DataFrame | str, **read_options) -> str:
-        """Replace the table with the source, one row per key."""
+    def create(self, source: DataFrame | str, at: str | None = None, **read_options) -> str:
+        """Replace the table with the source, one row per key.
+
+        ``at`` fixes the commit time (replaying another table's commits);
+        writing the same commit again replaces it, so a replay is idempotent.
+        """
         o = self.options
         df = self._prepare(self._source(source, **read_options))
-        return self._write_commit(dedupe_batch(df, o.key, o.ordering, o.tiebreak), OVERWRITE)
+        return self._write_commit(dedupe_batch(df, o.key, o.ordering, o.tiebreak), OVERWRITE, at)
 
-    def insert(self, source: DataFrame | str, **read_options) -> str:
+    def insert(self, source: DataFrame | str, at: str | None = None, **read_options) -> str:
         """Bulk insert, rows kept as they are (duplicates included)."""
-        return self._write_commit(self._prepare(self._source(source, **read_options)), INSERT)
+        return self._write_commit(self._prepare(self._source(source, **read_options)), INSERT, at)
 
-    def upsert(self, source: DataFrame | str, **read_options) -> str:
+    def upsert(self, source: DataFrame | str, at: str | None = None, **read_options) -> str:
         """Upsert on the key; the batch is first reduced to one row per key."""
         o = self.options
         df = self._prepare(self._source(source, **read_options))
-        return self._write_commit(dedupe_batch(df, o.key, o.ordering, o.tiebreak), UPSERT)
+        return self._write_commit(dedupe_batch(df, o.key, o.ordering, o.tiebreak), UPSERT, at)
 
-    def delete(self, keys: DataFrame) -> str:
+    def delete(self, keys: DataFrame, at: str | None = None) -> str:
         """T4: delete by a frame of keys (other columns ignored)."""
-        return self._write_commit(keys.select(*self.options.key).distinct(), DELETE)
+        return self._write_commit(keys.select(*self.options.key).distinct(), DELETE, at)
+
+    def commit_rows(self, commit: str) -> DataFrame:
+        """The rows one commit wrote (its log folder only, by partition pruning)."""
+        cols = [c for c in self._columns()]
+        return self._log(_bump_down(commit), commit, [commit]).select(*cols)
 
     # ------------------------------------------------------------ reads
     def _log(self, after: str, upto: str, committed: list[str]) -> DataFrame:

@@ -49,8 +49,13 @@ def name_failures(name: Column | str, min_len: int = 3, max_len: int = 63) -> Co
 
 
 def name_verdict(name: Column | str, min_len: int = 3, max_len: int = 63) -> Column:
-    """``Success``, or ``Failed!`` and the broken rules' messages, one per line."""
-    fails = name_failures(name, min_len, max_len)
-    return F.when(F.size(fails) == 0, F.lit(VERDICT_OK)).otherwise(
+    """``Success``, or ``Failed!`` and the broken rules' messages, one per line.
+
+    A NULL name has no verdict (NULL).
+    """
+    c = F.col(name) if isinstance(name, str) else name
+    fails = name_failures(c, min_len, max_len)
+    verdict = F.when(F.size(fails) == 0, F.lit(VERDICT_OK)).otherwise(
         F.concat_ws("\n", F.lit(VERDICT_FAILED), F.array_join(fails, "\n"))
     )
+    return F.when(c.isNotNull(), verdict)

@@ -125,3 +125,10 @@ def race_driver_pairs(t: RacingTables) -> DataFrame:
     joined = star_join(t.results, [race_dim(t), driver_dim(t)])
     return joined.select("race_name", "driver_name")
 
+
+def race_driver_union(t: RacingTables) -> DataFrame:
+    """U1 on a narrow projection: every (race, driver) pair with a normal or
+    sprint result, each once."""
+    sprint = star_join(t.sprint_results, [race_dim(t), driver_dim(t)]).select("race_name", "driver_name")
+    return race_driver_pairs(t).union(sprint).distinct()
+

@@ -254,7 +254,81 @@ KEYED = {
 }
 
 
+RACING["raceDriverUnion"] = _racing(
+    "SELECT ra.name || ' ' || ra.year AS race_name, d.forename || ' ' || d.surname AS driver_name "
+    "FROM results r JOIN races ra ON r.raceId = ra.raceId JOIN drivers d ON r.driverId = d.driverId "
+    "WHERE r.l_returnflag = 'N' "
+    "UNION "
+    "SELECT ra.name || ' ' || ra.year AS race_name, d.forename || ' ' || d.surname AS driver_name "
+    "FROM results r JOIN races ra ON r.raceId = ra.raceId JOIN drivers d ON r.driverId = d.driverId "
+    "WHERE r.l_returnflag = 'R'"
+)
+
+EXT_RE = r"^\.*[^.].*(\.[^.]*)$"
+
+
+def _ext(x: str) -> str:
+    return f"regexp_extract(regexp_extract({x}, '([^/]*)$', 1), '{EXT_RE}', 1)"
+
+
+def _ftype(x: str) -> str:
+    return f"regexp_replace({_ext(x)}, '^\\.', '')"
+
+
+PAGE_URL_PARTS = f"""
+WITH k AS (SELECT page_id, regexp_replace(url, '^[a-z]+://[^/]*/?', '') AS key FROM pages),
+p AS (
+    SELECT page_id, key,
+           regexp_extract(key, '([^/]*)$', 1) AS file_name,
+           {_ext('key')} AS ext,
+           {_ftype('key')} AS file_type,
+           left(key, length(key) - length({_ext('key')})) AS stripped
+    FROM k
+)
+SELECT page_id, key, file_name,
+       left(file_name, length(file_name) - length(ext)) AS stem,
+       ext, file_type,
+       CASE WHEN file_type IN ('gz') THEN {_ftype('stripped')} ELSE file_type END AS read_format,
+       file_type IN ('csv', 'parquet', 'json', 'txt', 'orc', 'gz', 'avro') AS valid,
+       CASE WHEN ext <> '' THEN stripped || '.parquet' END AS target_key,
+       CASE WHEN ext <> '' THEN 'inputs/' || left(file_name, length(file_name) - length(ext)) || '.parquet' END
+           AS target_in_dir
+FROM p
+"""
+
+NAME_RULES = r"""
+WITH names AS (
+    SELECT 'page_host' AS source, page_id AS id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS name FROM pages
+    UNION ALL SELECT 'part_name', p_partkey, p_name FROM part
+    UNION ALL SELECT 'nation_name', CAST(n_nationkey AS BIGINT), lower(n_name) FROM nation
+),
+f AS (
+    SELECT *, list_filter([
+        CASE WHEN length(name) < 3 OR length(name) > 63 THEN 'Bucket name must be between 3 and 63 characters.' END,
+        CASE WHEN NOT regexp_matches(name, '^[a-z0-9.-]+$')
+             THEN 'Bucket name should contain only lowercase, numbers, periods (.), dashes (-)' END,
+        CASE WHEN contains(name, '_') THEN 'Bucket name cannot contain underscore (_)' END,
+        CASE WHEN suffix(name, '-') THEN 'Bucket name cannot end with dash (-)' END,
+        CASE WHEN contains(name, '..') THEN 'Bucket name cannot contain double periods (..)' END,
+        CASE WHEN contains(name, '.-') OR contains(name, '-.')
+             THEN 'Bucket name cannot have dashes and periods next to each other' END,
+        CASE WHEN regexp_matches(name, '^(\d{1,3}\.){3}\d{1,3}$') THEN 'Bucket name cannot be in IP address format' END
+    ], lambda x: x IS NOT NULL) AS fails
+    FROM names
+)
+SELECT source, id, name,
+       CASE WHEN name IS NULL THEN NULL
+            WHEN len(fails) = 0 THEN 'Success'
+            ELSE 'Failed!' || chr(10) || array_to_string(fails, chr(10)) END AS verdict,
+       CASE WHEN name IS NOT NULL THEN CAST(len(fails) AS INTEGER) END AS n_failures
+FROM f
+"""
+
+OBJECTS = {"pageUrlParts": PAGE_URL_PARTS, "bucketNameRules": NAME_RULES}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(RACING)
     out.update(KEYED)
+    out.update(OBJECTS)
     return out

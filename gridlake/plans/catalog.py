@@ -36,7 +36,7 @@ VIEW_SQL = {
     "driverPoints": _ranked("resultFacts", "driver_name", _POINTS, "driver_points"),
     "fastestLapsPerRace": (
         "SELECT race_name, driver_name, fastestLapTime FROM {db}.resultFacts "
-        f"WHERE {_FASTEST} ORDER BY raceId ASC NULLS LAST"
+        f"WHERE {_FASTEST} ORDER BY raceId ASC NULLS LAST, driver_name ASC NULLS LAST, fastestLapTime ASC NULLS LAST"
     ),
     "fastestLapsPerDriver": _ranked("resultFacts", "driver_name", "COUNT(*)", "num_fastest_laps", _FASTEST),
     "fastestLapsPerConst": _ranked("resultFacts", "constructor_name", "COUNT(*)", "num_fastest_laps", _FASTEST),
@@ -46,7 +46,8 @@ VIEW_SQL = {
     "driversWinFromFarBack": (
         "SELECT driver_name, race_name AS raceName, starting_grid AS startedFrom, "
         "starting_grid - finishOrder AS positionsGained FROM {db}.resultFacts WHERE finishOrder = 1 "
-        "ORDER BY positionsGained DESC NULLS LAST, driver_name ASC NULLS LAST"
+        "ORDER BY positionsGained DESC NULLS LAST, driver_name ASC NULLS LAST, raceName ASC NULLS LAST, "
+        "startedFrom ASC NULLS LAST"
     ),
     "mostWinsFromFarBack": _ranked(
         "resultFacts", "driver_name", "COUNT(*)", "winAttempts", "finishOrder = 1 AND starting_grid - finishOrder >= 5"

@@ -125,11 +125,11 @@ RACING = {
     "driverPointsIn1997": _ranked("resultFacts", "driver_name", POINTS, "driver_points", _year(1997)),
     "fastestLapsPerRace": _racing(
         f"SELECT race_name, driver_name, fastestLapTime FROM resultFacts WHERE {FASTEST} "
-        "ORDER BY raceId ASC NULLS LAST"
+        "ORDER BY raceId ASC NULLS LAST, driver_name ASC NULLS LAST, fastestLapTime ASC NULLS LAST"
     ),
     "fastestLapsPerRaceIn2000": _racing(
         f"SELECT race_name, driver_name, fastestLapTime FROM resultFacts WHERE {_year(2000)} AND {FASTEST} "
-        "ORDER BY raceId ASC NULLS LAST"
+        "ORDER BY raceId ASC NULLS LAST, driver_name ASC NULLS LAST, fastestLapTime ASC NULLS LAST"
     ),
     "fastestLapsPerDriver": _ranked("resultFacts", "driver_name", "COUNT(*)", "num_fastest_laps", FASTEST),
     "fastestLapsPerConst": _ranked("resultFacts", "constructor_name", "COUNT(*)", "num_fastest_laps", FASTEST),
@@ -139,7 +139,8 @@ RACING = {
     "driversWinFromFarBack": _racing(
         "SELECT driver_name, race_name AS raceName, starting_grid AS startedFrom, "
         "starting_grid - finishOrder AS positionsGained FROM resultFacts WHERE finishOrder = 1 "
-        "ORDER BY positionsGained DESC NULLS LAST, driver_name ASC NULLS LAST"
+        "ORDER BY positionsGained DESC NULLS LAST, driver_name ASC NULLS LAST, raceName ASC NULLS LAST, "
+        "startedFrom ASC NULLS LAST"
     ),
     "mostWinsFromFarBack": _ranked(
         "resultFacts", "driver_name", "COUNT(*)", "winAttempts", "finishOrder = 1 AND starting_grid - finishOrder >= 5"

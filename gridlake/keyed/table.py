@@ -328,11 +328,31 @@ class KeyedTable:
 
     # ------------------------------------------------------------ catalog
     def register(self, view_name: str | None = None) -> str:
-        """Expose the current snapshot to SQL as a view."""
+        """Expose the current snapshot to SQL as a (session) view."""
         name = view_name or self.options.name
         self.snapshot().createOrReplaceTempView(name)
         return name
 
+    def register_log_table(self, database: str, name: str | None = None) -> str:
+        """The change log as an external catalog table over its location.
+
+        ``CREATE TABLE ... USING parquet PARTITIONED BY (_commit_time, ...)
+        LOCATION``; the full history becomes queryable in SQL, with partition
+        pruning on commit time. Run again after new commits to pick up their
+        partitions.
+        """
+        full = f"{database}.{name or self.options.name + '_log'}"
+        schema = self._log_schema()
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = ", ".join(f"`{p}`" for p in (COMMIT, *self.options.partition_by))
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet "
+            f"PARTITIONED BY ({parts}) LOCATION '{self.log_path}'"
+        )
+        self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+        return full
+
 
 def _bump_down(t: str) -> str:
     """The commit time just before ``t`` (so ``> result`` includes ``t``)."""

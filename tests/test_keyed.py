@@ -183,3 +183,28 @@ def test_point_lookup_pushes_key_filter(spark, rides):
     rides.upsert(mk([("r1", "2024-05-01 10:00:00", "A2")]))
     plan = rides.lookup(ride_id="r1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(ride_id,r1)" in plan
+
+
+def test_date_part_partitions_json_deletes_and_log_table(spark, tmp):
+    opts = TableOptions(name="rides_ymd", partition_by=("year", "month", "day"), tiebreak=("station",))
+    t = KeyedTable(spark, f"{tmp}/ymd", opts)
+    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
+    t.create(mk([("r1", "2023-05-01 10:00:00", "A"), ("r2", "2024-02-03 10:00:00", "B")]))
+    import os
+
+    assert os.path.isdir(f"{tmp}/ymd/log") and any("month=5" in d for d, _, _ in os.walk(f"{tmp}/ymd/log"))
+    got = {r.ride_id: (r.year, r.month, r.day) for r in t.snapshot().collect()}
+    assert got == {"r1": (2023, 5, 1), "r2": (2024, 2, 3)}
+    # delete keys read from a JSON file
+    with open(f"{tmp}/delete_ids.json", "w") as f:
+        f.write('{"ride_id": "r2"}\n')
+    from gridlake.sources.files import scan
+
+    t.delete(scan(spark, f"{tmp}/delete_ids.json"))
+    assert [r.ride_id for r in t.snapshot().collect()] == ["r1"]
+    # the raw change log as an external table
+    name = t.register_log_table("lake_hist")
+    assert spark.sql(f"SELECT count(*) AS n FROM {name}").first().n == 3
+    assert spark.sql(f"SELECT count(*) AS n FROM {name} WHERE _op = 'D'").first().n == 1
+    view = t.register("rides_now")
+    assert spark.sql(f"SELECT count(*) AS n FROM {view}").first().n == 1

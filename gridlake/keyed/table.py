@@ -198,6 +198,40 @@ class KeyedTable:
         """T4: delete by a frame of keys (other columns ignored)."""
         return self._write_commit(keys.select(*self.options.key).distinct(), DELETE, at)
 
+    def import_log(self, log: DataFrame) -> list[str]:
+        """Bulk-load a change-log history (data + ``_commit_time`` + ``_op``).
+
+        One Spark job writes every commit's folder (partitioned by commit
+        time), then one timeline marker per commit makes them visible, oldest
+        first. Each commit must hold one op kind, and the history must be
+        newer than the table's existing commits. Returns the commit times.
+        """
+        o = self.options
+        ops = log.groupBy(COMMIT).agg(F.min(OP).alias("op"), F.countDistinct(OP).alias("n"))
+        commits = sorted((r[COMMIT], r.op, r.n) for r in ops.collect())  # one row per commit
+        bad = [t for t, _, n in commits if n != 1]
+        if bad:
+            raise ValueError(f"commits with more than one op kind: {bad[:5]}")
+        tl = self.timeline()
+        if tl and commits and commits[0][0] <= tl[-1].time:
+            raise ValueError("imported commits must be newer than the table's timeline")
+        data = self._prepare(log)
+        if not fs.exists(self.spark, self.schema_path):
+            fs.write_text(self.spark, self.schema_path, data.drop(COMMIT).schema.json())
+        schema = self._schema()
+        data = data.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.col(COMMIT))
+        (
+            data.write.mode("append")
+            .partitionBy(COMMIT, *o.partition_by)
+            .option("compression", o.codec)
+            .option("maxRecordsPerFile", max(1, o.max_file_bytes // max(1, o.record_size)))
+            .option("parquet.block.size", str(o.block_bytes))
+            .parquet(self.log_path)
+        )
+        for t, op, _ in commits:
+            self._mark(t, ACTION_COMMIT, op)
+        return [t for t, _, _ in commits]
+
     def commit_rows(self, commit: str) -> DataFrame:
         """The rows one commit wrote (its log folder only, by partition pruning)."""
         cols = [c for c in self._columns()]

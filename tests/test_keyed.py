@@ -208,3 +208,27 @@ def test_date_part_partitions_json_deletes_and_log_table(spark, tmp):
     assert spark.sql(f"SELECT count(*) AS n FROM {name} WHERE _op = 'D'").first().n == 1
     view = t.register("rides_now")
     assert spark.sql(f"SELECT count(*) AS n FROM {view}").first().n == 1
+
+
+def test_import_log_matches_resolve(spark, tmp):
+    from gridlake.plans import changelog
+
+    sf = "/root/testdata/sf0.001"
+    log = changelog.events_log(spark, sf, "value")
+    opts = TableOptions(name="ev", key=("user_id",), ordering=("value",), tiebreak=("event_id",), date_source="ts")
+    t = KeyedTable(spark, f"{tmp}/ev", opts)
+    commits = t.import_log(log)
+    assert commits == sorted(commits) and len(commits) == len(t.commits())
+    want = resolve(log, "user_id", "value", "event_id", "event")
+    cols = ["event_id", "_commit_time", "_op"]
+    got = sorted(tuple(r) for r in t.snapshot().select(*cols).collect())
+    assert got == sorted(tuple(r) for r in want.select(*cols).collect())
+    mid = commits[len(commits) // 2]
+    want_mid = resolve(log.where(F.col("_commit_time") <= mid), "user_id", "value", "event_id", "event")
+    assert sorted(tuple(r) for r in t.snapshot(as_of=mid).select(*cols).collect()) == sorted(
+        tuple(r) for r in want_mid.select(*cols).collect()
+    )
+    t.compact()
+    assert sorted(tuple(r) for r in t.snapshot().select(*cols).collect()) == got
+    with pytest.raises(ValueError):
+        t.import_log(log)

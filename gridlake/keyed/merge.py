@@ -61,6 +61,12 @@ def newest_overwrite(commits: DataFrame) -> Column:
     return newest.scalar()
 
 
+def newest_overwrite_value(commits: DataFrame) -> str:
+    """The newest ``O`` commit time of a commit list, evaluated now (one value)."""
+    row = commits.where(F.col(OP) == F.lit(OVERWRITE)).agg(F.max(COMMIT).alias("t")).first()
+    return (row.t if row is not None else None) or ""
+
+
 def since_last_overwrite(log: DataFrame, start: str | Column | None = None) -> DataFrame:
     """Rule 1. ``start`` is the newest overwrite commit, best taken from the
     commit list (an overwrite with no rows still counts): a string, or a

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here assumes. AQE re-plans joins at runtime from real
 # shuffle sizes (broadcast conversion, skew splitting, partition coalescing),
@@ -94,3 +95,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage of an intermediate that several branches of a plan
+    read: each branch then scans the written files (with column pruning)
+    instead of recomputing the intermediate. Survives executor loss, unlike
+    a cache or a local checkpoint.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

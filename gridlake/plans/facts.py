@@ -65,15 +65,38 @@ def status_dim(t: RacingTables) -> Dim:
     return Dim(t.status.select("statusId", "status"), "statusId")
 
 
-def _result_branch(t: RacingTables, entries: DataFrame, race_type: str, sprint: bool) -> DataFrame:
-    # races first: it joins on the key the results are already partitioned by.
-    joined = star_join(entries, [race_dim(t), status_dim(t), driver_dim(t), constructor_dim(t)])
+def _tagged_results(entries: DataFrame, race_type: str, sprint: bool) -> DataFrame:
+    """One results table with its race type; sprints get NULL rank and speed."""
     rank = null_of("string") if sprint else F.col("rank")
     speed = null_of("string") if sprint else F.col("fastestLapSpeed")
+    return entries.select(
+        "resultId", "raceId", "driverId", "constructorId", "statusId", "grid", "position",
+        "positionText", "positionOrder", "points", "laps", "time", "milliseconds", "fastestLap",
+        rank.alias("rank"), "fastestLapTime", speed.alias("fastestLapSpeed"),
+        F.lit(race_type).alias("race_type"),
+    )
+
+
+def result_facts(t: RacingTables) -> DataFrame:
+    """Q1: normal and sprint results, star-joined, ``UNION`` (distinct).
+
+    Inner joins distribute over a union, so the two results tables are
+    unioned first (each tagged with its literal ``race_type``) and joined
+    with each dimension once, instead of two star joins that each shuffle or
+    broadcast every dimension. A ``race_type`` filter above this plan still
+    reaches the union below the joins and prunes the other table (Catalyst
+    folds the literal). The distinct over the 18 output columns is one hash
+    aggregate at the end, as the SQL ``UNION`` asks.
+    """
+    entries = _tagged_results(t.results, NORMAL_RACE, sprint=False).unionByName(
+        _tagged_results(t.sprint_results, SPRINT_RACE, sprint=True)
+    )
+    # races first: it joins on the key the results are already partitioned by.
+    joined = star_join(entries, [race_dim(t), status_dim(t), driver_dim(t), constructor_dim(t)])
     return joined.select(
         F.col("resultId"),
         F.col("raceId"),
-        F.lit(race_type).alias("race_type"),
+        F.col("race_type"),
         F.col("race_name"),
         F.col("driver_name"),
         F.col("constructor_name"),
@@ -85,23 +108,11 @@ def _result_branch(t: RacingTables, entries: DataFrame, race_type: str, sprint:
         F.col("laps"),
         concat_sql("time", F.lit("."), "milliseconds").alias("raced_time"),
         F.col("fastestLap"),
-        rank.alias("rank"),
+        F.col("rank"),
         F.col("fastestLapTime"),
-        speed.alias("fastestLapSpeed_kmph"),
+        F.col("fastestLapSpeed").alias("fastestLapSpeed_kmph"),
         F.col("status"),
-    )
-
-
-def result_facts(t: RacingTables) -> DataFrame:
-    """Q1: normal and sprint results, star-joined, ``UNION`` (distinct).
-
-    The two branches differ in the literal ``race_type``, so a filter on it
-    above this plan prunes the other branch entirely (Catalyst folds the
-    literal). The distinct is one hash aggregate over the union.
-    """
-    normal = _result_branch(t, t.results, NORMAL_RACE, sprint=False)
-    sprint = _result_branch(t, t.sprint_results, SPRINT_RACE, sprint=True)
-    return normal.union(sprint).distinct()
+    ).distinct()
 
 
 def quali_facts(t: RacingTables) -> DataFrame:

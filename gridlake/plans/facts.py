@@ -65,16 +65,29 @@ def status_dim(t: RacingTables) -> Dim:
     return Dim(t.status.select("statusId", "status"), "statusId")
 
 
+# Result columns the data model types as text. Inferred types of raw files
+# can differ between the two results tables (a column of lap times may be
+# read as timestamps in one file and as text in the other); the union of the
+# two is text, as in SQL.
+TEXT_COLUMNS = ("position", "positionText", "time", "milliseconds", "fastestLap", "rank", "fastestLapTime", "fastestLapSpeed")
+
+
 def _tagged_results(entries: DataFrame, race_type: str, sprint: bool) -> DataFrame:
     """One results table with its race type; sprints get NULL rank and speed."""
-    rank = null_of("string") if sprint else F.col("rank")
-    speed = null_of("string") if sprint else F.col("fastestLapSpeed")
-    return entries.select(
+    cols = [
         "resultId", "raceId", "driverId", "constructorId", "statusId", "grid", "position",
         "positionText", "positionOrder", "points", "laps", "time", "milliseconds", "fastestLap",
-        rank.alias("rank"), "fastestLapTime", speed.alias("fastestLapSpeed"),
-        F.lit(race_type).alias("race_type"),
-    )
+        "rank", "fastestLapTime", "fastestLapSpeed",
+    ]
+    out = []
+    for c in cols:
+        if sprint and c in ("rank", "fastestLapSpeed"):
+            out.append(null_of("string").alias(c))
+        elif c in TEXT_COLUMNS:
+            out.append(F.col(c).cast("string").alias(c))
+        else:
+            out.append(F.col(c))
+    return entries.select(*out, F.lit(race_type).alias("race_type"))
 
 
 def result_facts(t: RacingTables) -> DataFrame:

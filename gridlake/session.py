@@ -21,6 +21,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even when that costs an extra shuffle later (e.g.
+    # the races join that reuses the results' raceId partitioning): a hot
+    # key holding a third of the rows must not become one straggler task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Static broadcast threshold for relations with file statistics, and the
     # runtime one AQE applies to measured shuffle output. Both are size checks:

@@ -124,6 +124,13 @@ def table_name_for(key: str) -> str:
     return stem
 
 
+def table_name_col(key) -> F.Column:
+    """``table_name_for`` as a column expression."""
+    stem = P.base_name(key, with_extension=False)
+    inner = P.base_name(stem, with_extension=False)
+    return F.when(P.file_type(key).isin(*P.COMPRESSION_SUFFIXES), inner).otherwise(stem)
+
+
 def bucket_to_tables(
     spark: SparkSession,
     root: str,
@@ -135,22 +142,25 @@ def bucket_to_tables(
 
     Files that share a base name (``2023/results.csv``, ``2024/results.csv``)
     are read by one job into one table; files of the same name in different
-    formats are unioned by column name.
+    formats are unioned by column name. Names and formats are derived and
+    grouped in Spark; the driver receives one row per (table, format) with
+    its file list -- the list a reader needs anyway.
     """
-    listing = list_objects(spark, root, prefix=prefix).where(P.is_valid_format("key"))
-    # File names only: one row per file, metadata-sized.
-    rows = listing.select("key", "path").orderBy("key").collect()
+    listing = list_objects(spark, root, prefix=prefix).where(P.is_valid_format("key", formats))
+    groups_df = (
+        listing.select(table_name_col(F.col("key")).alias("table"), P.data_format("key").alias("fmt"), "path")
+        .where(F.col("fmt").isin(*READERS.keys()))
+        .groupBy("table", "fmt")
+        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    )
     groups: dict[str, dict[str, list[str]]] = {}
-    for r in rows:
-        t = P.py_data_format(r.key)
-        if t not in READERS:
-            continue
-        groups.setdefault(table_name_for(r.key), {}).setdefault(t, []).append(r.path)
+    for r in groups_df.collect():
+        groups.setdefault(r.table, {})[r.fmt] = list(r.paths)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
-    for name, by_fmt in groups.items():
-        frames = [scan(spark, files, t) for t, files in sorted(by_fmt.items())]
+    for name, by_fmt in sorted(groups.items()):
+        frames = [scan(spark, paths, t) for t, paths in sorted(by_fmt.items())]
         df = frames[0]
         for other in frames[1:]:
             df = df.unionByName(other, allowMissingColumns=True)

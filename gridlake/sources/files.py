@@ -232,16 +232,45 @@ def bulk_convert(
     prefix: str | None = None,
     formats: tuple[str, ...] = P.VALID_FORMATS,
     parallelism: int = 4,
+    by_folder: bool = False,
 ) -> DataFrame:
     """Convert every file of a valid format under ``src_root``.
 
-    Each file is its own Spark job (its output is its own dataset), and up to
-    ``parallelism`` jobs run at once so small files do not serialize on the
-    driver. Returns ``(key, target)`` per converted file.
+    Per file (default, the reference's behaviour): each file becomes its own
+    dataset at its converted key, one Spark job per file, up to
+    ``parallelism`` at once. ``by_folder=True`` is the mode for many small
+    files: the files of one folder and one format -- assumed to share a
+    schema -- are converted by a single job into one dataset at
+    ``tgt_root/<folder>.<target_format>``. Returns ``(key, target)`` rows.
     """
     listing = list_objects(spark, src_root, prefix=prefix).where(P.is_valid_format("key", formats))
+    listing = listing.where(P.data_format("key").isin(*READERS.keys()))
+    if by_folder:
+        folder = F.regexp_extract(F.col("key"), r"^(.*)/[^/]*$", 1)
+        groups = (
+            listing.groupBy(folder.alias("folder"), P.data_format("key").alias("fmt"))
+            .agg(F.sort_array(F.collect_list("key")).alias("keys"), F.sort_array(F.collect_list("path")).alias("paths"))
+            .collect()
+        )
+
+        # A folder holding several formats gets one dataset per format.
+        per_folder: dict[str, int] = {}
+        for g in groups:
+            per_folder[g.folder] = per_folder.get(g.folder, 0) + 1
+
+        def group(r):
+            name = r.folder or "_root"
+            if per_folder[r.folder] > 1:
+                name = f"{name}.{r.fmt}"
+            tgt = _join(tgt_root, f"{name}.{target_format}")
+            write(scan(spark, list(r.paths), r.fmt), tgt, target_format)
+            return [(k, tgt) for k in r.keys]
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            done = [pair for pairs in pool.map(group, groups) for pair in pairs]
+        return spark.createDataFrame(done, "key string, target string")
+
     keys = [r.key for r in listing.select("key").orderBy("key").collect()]
-    keys = [k for k in keys if P.py_data_format(k) in READERS]
 
     def one(k: str):
         return k, convert_file(spark, src_root, k, tgt_root, target_dir, target_format)

@@ -164,3 +164,16 @@ def test_export_import_roundtrip(spark, tmp):
         export.export_database(spark, f"{tmp}/x", ["exp_src"], "arrow")
     with pytest.raises(files.MissingConnector):
         export.export_database(spark, f"{tmp}/y", ["exp_src"], "avro")
+
+
+def test_bulk_convert_by_folder(spark, tmp):
+    root = os.path.join(tmp, "many")
+    for i in range(6):
+        _write(f"{root}/laps/2024/part{i}.csv", f"lap,ms\n{i},{i * 10}\n{i + 100},{i}\n")
+    _write(f"{root}/laps/2023/x.csv", "lap,ms\n1,2\n")
+    done = files.bulk_convert(spark, root, f"{tmp}/out", by_folder=True)
+    got = {r.key: r.target for r in done.collect()}
+    assert len(got) == 7 and len(set(got.values())) == 2
+    t2024 = got["laps/2024/part0.csv"]
+    assert t2024.endswith("laps/2024.parquet")
+    assert spark.read.parquet(t2024).count() == 12

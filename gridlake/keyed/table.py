@@ -220,6 +220,10 @@ class KeyedTable:
             fs.write_text(self.spark, self.schema_path, data.drop(COMMIT).schema.json())
         schema = self._schema()
         data = data.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.col(COMMIT))
+        # Cluster rows by their output folder so each commit gets a few
+        # well-sized files rather than one small file per input task; AQE
+        # still splits a commit that holds a large share of the rows.
+        data = data.hint("rebalance", COMMIT, *o.partition_by)
         (
             data.write.mode("append")
             .partitionBy(COMMIT, *o.partition_by)
@@ -312,9 +316,11 @@ class KeyedTable:
         tl = self.timeline()
         if not [a for a in tl if a.action == ACTION_COMMIT]:
             raise ValueError("nothing to compact")
-        snap = self.snapshot()
-        t = self._next_time()
         o = self.options
+        # Rebalanced by partition columns: the base is rewritten whole, so it
+        # gets well-sized files per partition (skewed partitions split).
+        snap = self.snapshot().hint("rebalance", *o.partition_by)
+        t = self._next_time()
         (
             snap.write.mode("overwrite")
             .partitionBy(*o.partition_by)

@@ -1,4 +1,4 @@
-"""The racing warehouse's raw tables.
+r"""The racing warehouse's raw tables.
 
 The reports run on seven raw tables (results, sprint_results, qualifying,
 races, drivers, constructors, status). They come either from files with the
@@ -16,6 +16,27 @@ constructors       supplier: name = s_name
 status             part: status = p_type
 =================  ==========================================================
 
+Columns of the three results-shaped tables (``ln`` = ``l_linenumber``):
+
+==================  ===========================================================
+resultId            l_orderkey * 10 + ln (not unique, like any derived id here)
+raceId / driverId   l_orderkey / o_custkey of that order
+constructorId       l_suppkey;  statusId: l_partkey
+grid                l_quantity % 20 + 1
+position            ln as text, ``\N`` for line 7;  positionText: l_linestatus
+positionOrder       ln
+points              l_quantity / 2 (so Q11's ``points >= 1`` is a real filter)
+laps                l_partkey
+time, milliseconds  l_tax and l_discount in hundredths, as text; milliseconds
+                    is NULL on open lines, so ``time||'.'||milliseconds`` meets NULLs
+fastestLap          l_suppkey as text
+rank                l_partkey % 20 + 1 as text, ``\N`` for line 7 (independent
+                    of the finishing order, so fastest laps are not just wins)
+fastestLapTime      l_extendedprice as decimal(12,2) text (qualifying q1 too)
+fastestLapSpeed     l_partkey as text
+q2 / q3             text, ``\N`` below line 5 / 3
+==================  ===========================================================
+
 The lineitem -> orders join that gives each result its driver (o_custkey) is
 the one big-to-big join of the mapping; it hash-partitions the results by
 order key, which the later races join on the same key reuses.

@@ -319,7 +319,9 @@ class KeyedTable:
         o = self.options
         # Rebalanced by partition columns: the base is rewritten whole, so it
         # gets well-sized files per partition (skewed partitions split).
-        snap = self.snapshot().hint("rebalance", *o.partition_by)
+        # Sorted by key within each task, so every file covers a narrow key
+        # range and a point lookup skips most row groups by their min/max.
+        snap = self.snapshot().hint("rebalance", *o.partition_by).sortWithinPartitions(*o.key)
         t = self._next_time()
         (
             snap.write.mode("overwrite")

@@ -116,3 +116,21 @@ def test_warehouse_views_match_reports(spark):
     assert "PartitionFilters: [isnotnull(race_type" in plan
     # and the saved facts equal the lazily built ones
     assert rf.count() == facts.result_facts(t).count()
+
+
+def test_bounded_dimension_is_broadcast_without_size_stats(spark):
+    from gridlake.operators.joins import Dim, star_join
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(1000).selectExpr("id", "id % 25 AS n_nationkey")
+        nation = spark.read.parquet(f"{SF001}/nation.parquet").selectExpr("CAST(n_nationkey AS BIGINT) AS n_nationkey", "n_name")
+        joined = star_join(fact, [Dim(nation, "n_nationkey", max_rows=25)])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        unbounded = star_join(fact, [Dim(nation, "n_nationkey")])
+        assert "SortMergeJoin" in unbounded._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

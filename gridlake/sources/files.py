@@ -95,6 +95,21 @@ def scan(
         raise _wrap_missing(t, e) from e
 
 
+def _is_unsplittable(path: str | list[str]) -> bool:
+    paths = [path] if isinstance(path, str) else path
+    return any(P.py_file_type(p) in P.COMPRESSION_SUFFIXES for p in paths)
+
+
+def spread(df: DataFrame, path: str | list[str]) -> DataFrame:
+    """Rebalance rows read from unsplittable (gzip) files before writing.
+
+    One gzip file is read by one task; without this, that task would also
+    write all of its rows. AQE's rebalance cuts them into advisory-sized
+    partitions. Splittable inputs are returned unchanged (no extra shuffle).
+    """
+    return df.hint("rebalance") if _is_unsplittable(path) else df
+
+
 def query_file(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """``SELECT * FROM '<path>'`` (S4): SQL over a file with no table."""
     t = _format_for(path, fmt)
@@ -107,7 +122,7 @@ def query_file(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
 
 def file_to_table(spark: SparkSession, path: str | list[str], table: str, fmt: str | None = None, **options) -> str:
     """Drop ``table`` if it exists, then create it from the file(s)."""
-    df = scan(spark, path, fmt, **options)
+    df = spread(scan(spark, path, fmt, **options), path)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     df.write.mode("overwrite").saveAsTable(table)
     return table
@@ -160,7 +175,7 @@ def bucket_to_tables(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
     for name, by_fmt in sorted(groups.items()):
-        frames = [scan(spark, paths, t) for t, paths in sorted(by_fmt.items())]
+        frames = [spread(scan(spark, paths, t), paths) for t, paths in sorted(by_fmt.items())]
         df = frames[0]
         for other in frames[1:]:
             df = df.unionByName(other, allowMissingColumns=True)
@@ -219,7 +234,8 @@ def convert_file(
     tgt = converted_path(src_key, tgt_root, target_format, target_dir)
     if tgt is None:
         return None
-    write(scan(spark, _join(src_root, src_key)), tgt, target_format)
+    src = _join(src_root, src_key)
+    write(spread(scan(spark, src), src), tgt, target_format)
     return tgt
 
 
@@ -263,7 +279,7 @@ def bulk_convert(
             if per_folder[r.folder] > 1:
                 name = f"{name}.{r.fmt}"
             tgt = _join(tgt_root, f"{name}.{target_format}")
-            write(scan(spark, list(r.paths), r.fmt), tgt, target_format)
+            write(spread(scan(spark, list(r.paths), r.fmt), list(r.paths)), tgt, target_format)
             return [(k, tgt) for k in r.keys]
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

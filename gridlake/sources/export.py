@@ -9,9 +9,12 @@ write; the manifest is metadata-sized.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.sources.files import MissingConnector, scan, write
+from gridlake.sources.files import scan, write
 
 # The reference's parquet export settings.
 PARQUET_EXPORT_OPTIONS = {"compression": "zstd", "parquet.block.row.count.limit": "100000"}
@@ -52,8 +55,13 @@ def export_database(
     out_dir: str,
     databases: list[str] | None = None,
     fmt: str = "parquet",
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Write each table to ``out_dir`` in ``fmt`` and a manifest; return it."""
+    """Write each table to ``out_dir`` in ``fmt`` and a manifest; return it.
+
+    Tables are independent writes, so up to ``parallelism`` run as
+    concurrent Spark jobs; the manifest is written last, after every table.
+    """
     if fmt == "arrow":
         raise NotImplementedError("arrow-file export is not built")
     if fmt not in EXPORT_OPTIONS:
@@ -61,37 +69,55 @@ def export_database(
     if databases is None:
         databases = [d.name for d in spark.catalog.listDatabases()]
     base = out_dir.rstrip("/")
-    rows = []
-    for db, name, kind in _objects(spark, databases):
-        if kind == "view":
-            rows.append((db, name, kind, None, None, _view_sql(spark, db, name)))
-            continue
+    objects = _objects(spark, databases)
+    rows = [(db, name, kind, None, None, _view_sql(spark, db, name)) for db, name, kind in objects if kind == "view"]
+
+    def one(obj):
+        db, name, kind = obj
         path = f"{base}/{db}_{name}"
-        try:
-            write(spark.table(f"{db}.{name}"), path, fmt, **EXPORT_OPTIONS[fmt])
-        except MissingConnector:
-            raise
-        rows.append((db, name, kind, fmt, path, None))
+        write(spark.table(f"{db}.{name}"), path, fmt, **EXPORT_OPTIONS[fmt])
+        return (db, name, kind, fmt, path, None)
+
+    tables = [o for o in objects if o[2] == "table"]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows += list(pool.map(one, tables))
     manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
     manifest.coalesce(1).write.mode("overwrite").json(f"{base}/{MANIFEST}")
     return manifest
 
 
-def import_database(spark: SparkSession, in_dir: str) -> list[str]:
-    """Re-create the exported tables, then the views."""
+def import_database(spark: SparkSession, in_dir: str, parallelism: int = 4) -> list[str]:
+    """Re-create the exported tables (concurrently), then the views."""
     base = in_dir.rstrip("/")
     manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{base}/{MANIFEST}")
-    entries = manifest.collect()  # one row per table: metadata only
-    done = []
-    for e in sorted(entries, key=lambda r: (r.kind != "table", r.database, r.name)):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {e.database}")
+    entries = sorted(manifest.collect(), key=lambda r: (r.database, r.name))  # one row per table or view
+    for db in sorted({e.database for e in entries}):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+
+    def table(e) -> str:
         full = f"{e.database}.{e.name}"
-        if e.kind == "table":
-            df = scan(spark, e.path, e.format, **IMPORT_OPTIONS.get(e.format, {}))
-            spark.sql(f"DROP TABLE IF EXISTS {full}")
-            df.write.mode("overwrite").saveAsTable(full)
-        else:
-            spark.sql(f"DROP VIEW IF EXISTS {full}")
-            spark.sql(e.view_sql)
-        done.append(full)
+        df = scan(spark, e.path, e.format, **IMPORT_OPTIONS.get(e.format, {}))
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        df.write.mode("overwrite").saveAsTable(full)
+        return full
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        done = list(pool.map(table, [e for e in entries if e.kind == "table"]))
+    # A view may read another view: create what can be created, retry the
+    # rest, stop when a pass makes no progress.
+    pending = [e for e in entries if e.kind == "view"]
+    while pending:
+        failed, last_error = [], None
+        for e in pending:
+            full = f"{e.database}.{e.name}"
+            try:
+                spark.sql(f"DROP VIEW IF EXISTS {full}")
+                spark.sql(e.view_sql)
+                done.append(full)
+            except AnalysisException as exc:
+                failed.append(e)
+                last_error = exc
+        if len(failed) == len(pending):
+            raise last_error
+        pending = failed
     return done

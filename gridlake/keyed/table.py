@@ -243,9 +243,19 @@ class KeyedTable:
 
     # ------------------------------------------------------------ reads
     def _log(self, after: str, upto: str, committed: list[str]) -> DataFrame:
-        df = self.spark.read.schema(self._log_schema()).parquet(self.log_path)
-        df = df.where((F.col(COMMIT) > F.lit(after)) & (F.col(COMMIT) <= F.lit(upto)))
-        return df.where(F.col(COMMIT).isin(*committed))
+        """Rows of the committed log folders in (after, upto].
+
+        Only those folders are handed to the reader (``basePath`` keeps
+        ``_commit_time`` a partition column), so a long history is not
+        listed on every read.
+        """
+        times = [t for t in committed if after < t <= upto]
+        schema = self._log_schema()
+        if not times:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.log_path}/{COMMIT}={t}" for t in times]
+        df = self.spark.read.schema(schema).option("basePath", self.log_path).parquet(*paths)
+        return df.where(F.col(COMMIT).isin(*times))
 
     def _base(self, t: str) -> DataFrame:
         schema = self._log_schema()

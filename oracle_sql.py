@@ -252,6 +252,10 @@ KEYED = {
     "keyedSnapshotCommit": keyed_snapshot_sql("value", "commit"),
     "keyedAsOf": keyed_snapshot_sql("value", "event", as_of="20240112999999999"),
     "keyedIncremental": keyed_snapshot_sql("value", "event", begin="20240125000000000"),
+    # The same log stored as a keyed table and read back: same answers.
+    "keyedTableSnapshot": keyed_snapshot_sql("value", "event"),
+    "keyedTableCompacted": keyed_snapshot_sql("value", "event"),
+    "keyedTableAsOf": keyed_snapshot_sql("value", "event", as_of="20240112999999999"),
 }
 
 

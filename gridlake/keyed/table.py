@@ -15,7 +15,7 @@ next ``clean``. One writer at a time is assumed.
 
 Reads resolve the log with ``gridlake.keyed.merge.resolve``: the newest
 compacted base at or before the read point, plus the committed log folders
-after it (partition pruning on ``_commit_time`` keeps the rest unread).
+after it (only those folders are listed and read).
 """
 
 from __future__ import annotations
@@ -237,9 +237,8 @@ class KeyedTable:
         return [t for t, _, _ in commits]
 
     def commit_rows(self, commit: str) -> DataFrame:
-        """The rows one commit wrote (its log folder only, by partition pruning)."""
-        cols = [c for c in self._columns()]
-        return self._log(_bump_down(commit), commit, [commit]).select(*cols)
+        """The rows one commit wrote (only its log folder is read)."""
+        return self._log(_bump_down(commit), commit, [commit]).select(*self._columns())
 
     # ------------------------------------------------------------ reads
     def _log(self, after: str, upto: str, committed: list[str]) -> DataFrame:

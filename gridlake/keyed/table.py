@@ -342,20 +342,28 @@ class KeyedTable:
         self._mark(t, ACTION_COMPACTION, "-")
         return t
 
-    def clean(self, retain: int | None = None) -> str:
-        """Remove history older than the ``retain``-th newest replace point.
-
-        A replace point is a compaction or an overwrite commit: reads from it
-        on need nothing older. Reads as of an earlier time then raise. Commit
-        folders that never got a timeline marker (failed writes) are removed
-        too. Returns the new horizon (``''`` when nothing was cleaned).
+    def clean(self, retain: int | None = None, policy: str = "commits") -> str:
+        """Remove history no longer needed, and failed commits.
+
+        A *replace point* is a compaction or an overwrite commit: reads from
+        it on need nothing older. ``policy="commits"`` (default) keeps reads
+        as of each of the newest ``retain`` data commits working: the horizon
+        is the newest replace point at or before the ``retain``-th newest
+        commit. ``policy="versions"`` keeps the newest ``retain`` replace
+        points. Log folders and bases older than the horizon are deleted,
+        and reads as of an earlier time then raise. Commit folders that
+        never got a timeline marker (failed writes) are removed too. Returns
+        the new horizon (``''`` when nothing was cleaned).
         """
         n = retain or self.options.retain_commits
+        if policy not in ("commits", "versions"):
+            raise ValueError(f"policy must be 'commits' or 'versions', got {policy!r}")
         tl = self.timeline()
+        data_commits = sorted(a.time for a in tl if a.action == ACTION_COMMIT)
         points = sorted(
             a.time for a in tl if a.action == ACTION_COMPACTION or (a.action == ACTION_COMMIT and a.detail == OVERWRITE)
         )
-        committed = {a.time for a in tl if a.action == ACTION_COMMIT}
+        committed = set(data_commits)
         newest = tl[-1].time if tl else ""
         for e in fs.list_dir(self.spark, self.log_path):
             name = e.path.rstrip("/").rsplit("/", 1)[-1]
@@ -363,9 +371,14 @@ class KeyedTable:
                 t = name.split("=", 1)[1]
                 if t not in committed and t < newest:
                     fs.delete(self.spark, e.path)
-        if len(points) < n:
+        if policy == "versions":
+            horizon = points[-n] if len(points) >= n else ""
+        else:
+            keep_from = data_commits[-n] if len(data_commits) >= n else ""
+            eligible = [p for p in points if keep_from and p <= keep_from]
+            horizon = eligible[-1] if eligible else ""
+        if not horizon or horizon <= self.horizon():
             return ""
-        horizon = points[-n]
         for e in fs.list_dir(self.spark, self.log_path):
             name = e.path.rstrip("/").rsplit("/", 1)[-1]
             if name.startswith(f"{COMMIT}=") and name.split("=", 1)[1] < horizon:

@@ -281,3 +281,33 @@ def test_resolve_composite_ordering(spark, seed):
     )
     got = sorted((r.payload, r._commit_time, r._op) for r in resolve(df, "k", ["o1", "o2"], "tb", "event").collect())
     assert got == replay_composite(rows, "event")
+
+
+def test_clean_policies(spark, tmp):
+    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
+    t = KeyedTable(spark, f"{tmp}/cp", TableOptions(name="cp", tiebreak=("station",)))
+    c1 = t.create(mk([("r1", "2023-05-01 10:00:00", "A")]))
+    c2 = t.insert(mk([("r2", "2023-05-02 10:00:00", "B")]))
+    b1 = t.compact()
+    c3 = t.upsert(mk([("r1", "2023-06-01 10:00:00", "A2")]))
+    c4 = t.insert(mk([("r3", "2023-06-02 10:00:00", "C")]))
+    rows_now = _rows(t)
+    # keep the newest two commits readable: c3 needs base b1 (newest replace point <= c3)
+    assert t.clean(retain=2) == b1
+    assert _rows(t) == rows_now
+    assert _rows(t, as_of=c3) == [("r1", "A2", "U"), ("r2", "B", "I")]
+    with pytest.raises(ValueError):
+        t.snapshot(as_of=c2)
+    # nothing more to clean under the same policy
+    assert t.clean(retain=2) == ""
+    # versions policy with one version: the newest replace point is still b1
+    assert t.clean(retain=1, policy="versions") == ""
+    b2 = t.compact()
+    assert t.clean(retain=1, policy="versions") == b2
+    assert _rows(t) == rows_now
+    with pytest.raises(ValueError):
+        t.snapshot(as_of=c4)
+    import os
+
+    assert not any(n < b2 for n in os.listdir(f"{tmp}/cp/base"))
+    assert c1 < c2 < b1 < c3 < c4 < b2

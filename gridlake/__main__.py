@@ -7,7 +7,7 @@
     python -m gridlake import IN_DIR
     python -m gridlake sql "SELECT ..." [--rows N]
     python -m gridlake keyed ACTION TABLE_PATH [SOURCE] [--key ride_id] [--ordering started_at]
-                                   [--partition year] [--ts T] [--retain N]
+                                   [--partition year] [--ts T] [--retain N] [--policy commits|versions]
 
 ACTION is create, insert, upsert, delete, snapshot, incremental, as_of,
 compact or clean. The session is built with ``build_session``, so it keeps
@@ -63,6 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--mode", default="event", choices=["event", "commit"])
     s.add_argument("--ts")
     s.add_argument("--retain", type=int)
+    s.add_argument("--policy", default="commits", choices=["commits", "versions"])
     s.add_argument("--rows", type=int, default=20)
 
     a = p.parse_args(argv)
@@ -126,7 +127,7 @@ def main(argv: list[str] | None = None) -> int:
         elif a.action == "compact":
             print(t.compact())
         elif a.action == "clean":
-            print(t.clean(a.retain))
+            print(t.clean(a.retain, a.policy))
     if owned:
         spark.stop()
     return 0

@@ -75,7 +75,9 @@ def scan(
 
     ``null_marker`` (CSV only) turns that string into NULL, e.g. ``"\\N"``;
     by default the marker is kept as text, so a column holding it stays a
-    string. ``schema`` replaces CSV type inference.
+    string. ``schema`` replaces CSV type inference, which otherwise reads
+    the input once more before the real read: pass a schema for large
+    inputs, or ``samplingRatio="0.01"`` to infer from a sample.
     """
     first = path if isinstance(path, str) else path[0]
     t = _format_for(first, fmt)
@@ -152,6 +154,8 @@ def bucket_to_tables(
     database: str | None = None,
     prefix: str | None = None,
     formats: tuple[str, ...] = P.VALID_FORMATS,
+    schemas: dict[str, StructType | str] | None = None,
+    **read_options: str,
 ) -> list[str]:
     """Load every file under ``root`` into a table named by its base name.
 
@@ -159,7 +163,9 @@ def bucket_to_tables(
     are read by one job into one table; files of the same name in different
     formats are unioned by column name. Names and formats are derived and
     grouped in Spark; the driver receives one row per (table, format) with
-    its file list -- the list a reader needs anyway.
+    its file list -- the list a reader needs anyway. ``schemas`` maps table
+    names to known schemas (no inference pass); ``read_options`` go to every
+    reader.
     """
     listing = list_objects(spark, root, prefix=prefix).where(P.is_valid_format("key", formats))
     groups_df = (
@@ -175,7 +181,8 @@ def bucket_to_tables(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
     for name, by_fmt in sorted(groups.items()):
-        frames = [spread(scan(spark, paths, t), paths) for t, paths in sorted(by_fmt.items())]
+        schema = (schemas or {}).get(name)
+        frames = [spread(scan(spark, paths, t, schema=schema, **read_options), paths) for t, paths in sorted(by_fmt.items())]
         df = frames[0]
         for other in frames[1:]:
             df = df.unionByName(other, allowMissingColumns=True)

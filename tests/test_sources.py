@@ -132,6 +132,9 @@ def test_bucket_to_tables(spark, bucket):
     made = files.bucket_to_tables(spark, bucket, database="f1raw", prefix="raw/")
     assert "f1raw.races" in made and "f1raw.drivers" in made and "f1raw.constructors" in made
     assert spark.table("f1raw.drivers").count() == 2
+    # a known schema skips inference
+    files.bucket_to_tables(spark, bucket, database="f1raw2", prefix="raw/", schemas={"races": "raceId long, year long, name string"})
+    assert dict(spark.table("f1raw2.races").dtypes)["year"] == "bigint"
 
 
 def test_export_import_roundtrip(spark, tmp):

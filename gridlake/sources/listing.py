@@ -93,4 +93,6 @@ def prefix_exists(spark: SparkSession, root: str, prefix: str = "") -> bool:
     Answered from filesystem metadata with a glob, without a Spark job.
     """
     base = root if root.endswith("/") else root + "/"
-    return len(fs.glob(spark, f"{base}{prefix}*")) > 0
+    # The prefix is literal text: escape the glob's special characters.
+    literal = "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in prefix)
+    return len(fs.glob(spark, f"{base}{literal}*")) > 0

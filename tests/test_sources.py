@@ -183,3 +183,11 @@ def test_bulk_convert_by_folder(spark, tmp):
     t2024 = got["laps/2024/part0.csv"]
     assert t2024.endswith("laps/2024.parquet")
     assert spark.read.parquet(t2024).count() == 12
+
+
+def test_prefix_with_glob_characters(spark, tmp):
+    _write(f"{tmp}/gl/data[1]/x.csv", "a\n1\n")
+    _write(f"{tmp}/gl/dataX/y.csv", "a\n1\n")
+    assert listing.prefix_exists(spark, f"{tmp}/gl", "data[1]")
+    assert not listing.prefix_exists(spark, f"{tmp}/gl", "data[2]")
+    assert not listing.prefix_exists(spark, f"{tmp}/gl", "data*Z")

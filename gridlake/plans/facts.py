@@ -152,7 +152,13 @@ def race_driver_pairs(t: RacingTables) -> DataFrame:
 
 def race_driver_union(t: RacingTables) -> DataFrame:
     """U1 on a narrow projection: every (race, driver) pair with a normal or
-    sprint result, each once."""
-    sprint = star_join(t.sprint_results, [race_dim(t), driver_dim(t)]).select("race_name", "driver_name")
-    return race_driver_pairs(t).union(sprint).distinct()
+    sprint result, each once.
+
+    The names are a function of (raceId, driverId), so the distinct id
+    pairs of both tables are taken first (combined map-side) and only they
+    are joined; the final distinct is over the names, as the SQL asks.
+    """
+    ids = t.results.select("raceId", "driverId").union(t.sprint_results.select("raceId", "driverId")).distinct()
+    joined = star_join(ids, [race_dim(t), driver_dim(t)])
+    return joined.select("race_name", "driver_name").distinct()
 

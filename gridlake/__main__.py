@@ -11,7 +11,8 @@
 
 ACTION is create, insert, upsert, delete, snapshot, incremental, as_of,
 compact or clean. The session is built with ``build_session``, so it keeps
-whatever the cluster's submit configuration sets.
+whatever the cluster's submit configuration sets; ``--master local[N]``
+(before the command) runs locally.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import sys
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="gridlake")
+    p.add_argument("--master", help="e.g. local[8] for a local run; leave unset under spark-submit")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("load-bucket")
@@ -73,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     from gridlake.session import build_session
 
     owned = SparkSession.getActiveSession() is None
-    spark = build_session(app_name=f"gridlake-{a.cmd}")
+    spark = build_session(master=a.master, app_name=f"gridlake-{a.cmd}")
     if a.cmd == "load-bucket":
         from gridlake.sources.files import bucket_to_tables
 

@@ -2,8 +2,8 @@
 
 Everything here is ordinary Spark configuration. On a cluster the deployment
 owns most of it (executor sizing, shuffle partitions, the checkpoint folder);
-``build_session`` only fills in what is unset so tests and the bench run the
-same code as production.
+``build_session`` only fills in what is unset, so tests and the bench run the
+same code as production without overriding a cluster's tuning.
 """
 
 from __future__ import annotations
@@ -40,6 +40,12 @@ DEFAULTS = {
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Keep `_commit_time=20240101...` partition values as strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+}
+
+# Static settings, fixed when the JVM starts: set only for local runs (tests,
+# bench). On a cluster they belong to the submit configuration (Kryo is
+# recommended there too).
+LOCAL_STATIC = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
 }
@@ -53,20 +59,34 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    ``shuffle_partitions`` is the *initial* partition count; AQE coalesces it
-    down at runtime, so on a cluster set it high (thousands) and let AQE size
-    the stages.
+    ``DEFAULTS`` fill in only what the submit configuration (``--conf``,
+    ``spark-defaults.conf``) or the running session has not set, so a
+    cluster's own tuning always wins. The static ``LOCAL_STATIC`` settings
+    are applied only when ``master`` asks for a local run (tests, bench).
+    ``shuffle_partitions`` and ``extra`` are explicit requests and are
+    applied. ``shuffle_partitions`` is the *initial* partition count; AQE
+    coalesces it at runtime, so on a cluster set it high (thousands) and
+    let AQE size the stages.
     """
+    explicit = dict(extra or {})
+    if shuffle_partitions:
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        if master.startswith("local"):
+            for k, v in LOCAL_STATIC.items():
+                builder = builder.config(k, v)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    conf = spark.conf
+    for k, v in DEFAULTS.items():
+        if conf.get(k, None) is None and conf.isModifiable(k):
+            conf.set(k, v)
+    for k, v in explicit.items():
+        if conf.isModifiable(k):
+            conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -186,10 +186,11 @@ def bucket_to_tables(
         df = frames[0]
         for other in frames[1:]:
             df = df.unionByName(other, allowMissingColumns=True)
-        full = f"{database}.{name}" if database else name
+        quoted = "`" + name.replace("`", "``") + "`"
+        full = f"{database}.{quoted}" if database else quoted
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         df.write.mode("overwrite").saveAsTable(full)
-        created.append(full)
+        created.append(f"{database}.{name}" if database else name)
     return created
 
 

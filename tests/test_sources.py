@@ -191,3 +191,10 @@ def test_prefix_with_glob_characters(spark, tmp):
     assert listing.prefix_exists(spark, f"{tmp}/gl", "data[1]")
     assert not listing.prefix_exists(spark, f"{tmp}/gl", "data[2]")
     assert not listing.prefix_exists(spark, f"{tmp}/gl", "data*Z")
+
+
+def test_bucket_to_tables_quotes_names(spark, tmp):
+    _write(f"{tmp}/q/lap-times.csv", "lap,ms\n1,2\n")
+    made = files.bucket_to_tables(spark, f"{tmp}/q", database="qraw")
+    assert made == ["qraw.lap-times"]
+    assert spark.table("qraw.`lap-times`").count() == 1

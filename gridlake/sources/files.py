@@ -142,10 +142,12 @@ def table_name_for(key: str) -> str:
 
 
 def table_name_col(key) -> F.Column:
-    """``table_name_for`` as a column expression."""
+    """``table_name_for`` as a column expression, made a valid table name:
+    characters other than letters, digits and ``_`` become ``_``."""
     stem = P.base_name(key, with_extension=False)
     inner = P.base_name(stem, with_extension=False)
-    return F.when(P.file_type(key).isin(*P.COMPRESSION_SUFFIXES), inner).otherwise(stem)
+    name = F.when(P.file_type(key).isin(*P.COMPRESSION_SUFFIXES), inner).otherwise(stem)
+    return F.regexp_replace(name, r"[^A-Za-z0-9_]", "_")
 
 
 def bucket_to_tables(
@@ -161,7 +163,9 @@ def bucket_to_tables(
 
     Files that share a base name (``2023/results.csv``, ``2024/results.csv``)
     are read by one job into one table; files of the same name in different
-    formats are unioned by column name. Names and formats are derived and
+    formats are unioned by column name. A name's characters other than
+    letters, digits and ``_`` become ``_`` (``lap-times.csv`` -> table
+    ``lap_times``), as the catalog requires. Names and formats are derived and
     grouped in Spark; the driver receives one row per (table, format) with
     its file list -- the list a reader needs anyway. ``schemas`` maps table
     names to known schemas (no inference pass); ``read_options`` go to every
@@ -186,11 +190,10 @@ def bucket_to_tables(
         df = frames[0]
         for other in frames[1:]:
             df = df.unionByName(other, allowMissingColumns=True)
-        quoted = "`" + name.replace("`", "``") + "`"
-        full = f"{database}.{quoted}" if database else quoted
+        full = f"{database}.{name}" if database else name
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         df.write.mode("overwrite").saveAsTable(full)
-        created.append(f"{database}.{name}" if database else name)
+        created.append(full)
     return created
 
 

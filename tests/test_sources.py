@@ -196,5 +196,5 @@ def test_prefix_with_glob_characters(spark, tmp):
 def test_bucket_to_tables_quotes_names(spark, tmp):
     _write(f"{tmp}/q/lap-times.csv", "lap,ms\n1,2\n")
     made = files.bucket_to_tables(spark, f"{tmp}/q", database="qraw")
-    assert made == ["qraw.lap-times"]
-    assert spark.table("qraw.`lap-times`").count() == 1
+    assert made == ["qraw.lap_times"]
+    assert spark.table("qraw.lap_times").count() == 1

@@ -130,20 +130,11 @@ def file_to_table(spark: SparkSession, path: str | list[str], table: str, fmt: s
     return table
 
 
-def table_name_for(key: str) -> str:
-    """Table named after a file: its base name without extension(s).
-
-    ``raw/results.csv`` -> ``results``; ``a/races.csv.gz`` -> ``races``.
-    """
-    stem = P.py_base_name(key, with_extension=False)
-    if P.py_file_type(key) in P.COMPRESSION_SUFFIXES:
-        stem = P.py_base_name(stem, with_extension=False)
-    return stem
-
-
 def table_name_col(key) -> F.Column:
-    """``table_name_for`` as a column expression, made a valid table name:
-    characters other than letters, digits and ``_`` become ``_``."""
+    """The table a file loads into: its base name without extension(s)
+    (``raw/results.csv`` -> ``results``, ``a/races.csv.gz`` -> ``races``),
+    made a valid table name: characters other than letters, digits and
+    ``_`` become ``_``."""
     stem = P.base_name(key, with_extension=False)
     inner = P.base_name(stem, with_extension=False)
     name = F.when(P.file_type(key).isin(*P.COMPRESSION_SUFFIXES), inner).otherwise(stem)

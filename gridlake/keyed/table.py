@@ -143,11 +143,32 @@ class KeyedTable:
             df = add_date_parts(df, o.date_source, missing)
         return df
 
+    def _evolve(self, df: DataFrame) -> StructType:
+        """The stored schema, extended by any new columns of ``df``.
+
+        Adding columns is allowed (older commits read them as NULL); a
+        column whose type changed is an error, never a silent cast.
+        """
+        schema = self._schema()
+        known = {f.name: f for f in schema.fields}
+        changed = [
+            f"{f.name}: {known[f.name].dataType.simpleString()} -> {f.dataType.simpleString()}"
+            for f in df.schema.fields
+            if f.name in known and not _fits(f.dataType, known[f.name].dataType)
+        ]
+        if changed:
+            raise ValueError(f"column types changed: {changed}")
+        new = [StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in known and f.name != COMMIT]
+        if new:
+            schema = StructType(schema.fields + new)
+            fs.write_text(self.spark, self.schema_path, schema.json())
+        return schema
+
     def _write_commit(self, df: DataFrame, op: str, at: str | None = None) -> str:
         o = self.options
         df = df.withColumn(OP, F.lit(op))
         if fs.exists(self.spark, self.schema_path):
-            schema = self._schema()
+            schema = self._evolve(df) if op != DELETE else self._schema()
             # Delete commits carry keys only; give them the table's columns.
             for f in schema.fields:
                 if f.name not in df.columns:
@@ -218,7 +239,7 @@ class KeyedTable:
         data = self._prepare(log)
         if not fs.exists(self.spark, self.schema_path):
             fs.write_text(self.spark, self.schema_path, data.drop(COMMIT).schema.json())
-        schema = self._schema()
+        schema = self._evolve(data.drop(COMMIT))
         data = data.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.col(COMMIT))
         # Cluster rows by their output folder so each commit gets a few
         # well-sized files rather than one small file per input task; AQE
@@ -418,6 +439,20 @@ class KeyedTable:
         return full
 
 
+_WIDENING = {
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"),
+    ("smallint", "bigint"), ("int", "bigint"), ("float", "double"), ("tinyint", "double"),
+    ("smallint", "double"), ("int", "double"),
+}
+
+
+def _fits(new, stored) -> bool:
+    """A batch column of type ``new`` can be stored as ``stored`` without loss."""
+    if new == stored or new.simpleString() == "void":
+        return True
+    return (new.simpleString(), stored.simpleString()) in _WIDENING
+
+
 def _bump_down(t: str) -> str:
     """The commit time just before ``t`` (so ``> result`` includes ``t``)."""
     return str(int(t) - 1).zfill(17)

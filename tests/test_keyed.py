@@ -311,3 +311,21 @@ def test_clean_policies(spark, tmp):
 
     assert not any(n < b2 for n in os.listdir(f"{tmp}/cp/base"))
     assert c1 < c2 < b1 < c3 < c4 < b2
+
+
+def test_schema_evolution(spark, tmp):
+    t = KeyedTable(spark, f"{tmp}/evo", TableOptions(name="evo", tiebreak=("station",)))
+    t.create(spark.createDataFrame([("r1", _ts("2023-05-01 10:00:00"), "A")], RIDE_SCHEMA))
+    # a new column is added; older rows read it as NULL
+    t.insert(
+        spark.createDataFrame(
+            [("r2", _ts("2023-06-01 10:00:00"), "B", 7)], RIDE_SCHEMA + ", bikes int"
+        )
+    )
+    got = {r.ride_id: r.bikes for r in t.snapshot().collect()}
+    assert got == {"r1": None, "r2": 7}
+    # a narrower type is widened on write; a changed type is refused
+    t.upsert(spark.createDataFrame([("r1", _ts("2024-01-01 00:00:00"), "A2", 3)], RIDE_SCHEMA + ", bikes short"))
+    assert {r.ride_id: r.bikes for r in t.snapshot().collect()} == {"r1": 3, "r2": 7}
+    with pytest.raises(ValueError):
+        t.insert(spark.createDataFrame([("r3", _ts("2024-01-01 00:00:00"), "C", "x")], RIDE_SCHEMA + ", bikes string"))

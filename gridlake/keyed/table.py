@@ -80,6 +80,28 @@ def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")[:17]
 
 
+def instant(ts: str | dt.datetime | None) -> str | None:
+    """A commit instant as ``yyyyMMddHHmmssSSS`` (17 digits, UTC).
+
+    Accepts that form, 14 digits (to the second), an ISO date/time string
+    or a ``datetime``; anything else is rejected rather than compared as
+    text.
+    """
+    if ts is None:
+        return None
+    if isinstance(ts, dt.datetime):
+        return ts.strftime("%Y%m%d%H%M%S%f")[:17]
+    t = str(ts).strip()
+    if t.isdigit() and len(t) == 17:
+        return t
+    if t.isdigit() and len(t) == 14:
+        return t + "000"
+    try:
+        return dt.datetime.fromisoformat(t).strftime("%Y%m%d%H%M%S%f")[:17]
+    except ValueError:
+        raise ValueError(f"not a commit instant: {ts!r} (use yyyyMMddHHmmssSSS or an ISO time)") from None
+
+
 def _bump(t: str) -> str:
     return str(int(t) + 1).zfill(17)
 
@@ -287,8 +309,9 @@ class KeyedTable:
         data = [f.name for f in self._schema().fields if f.name != OP]
         return data + [COMMIT, OP]
 
-    def snapshot(self, as_of: str | None = None) -> DataFrame:
+    def snapshot(self, as_of: str | dt.datetime | None = None) -> DataFrame:
         """The table's rows, now or as of a commit time (inclusive)."""
+        as_of = instant(as_of)
         tl = self.timeline()
         upto = as_of or (tl[-1].time if tl else "")
         horizon = self.horizon()
@@ -313,9 +336,9 @@ class KeyedTable:
         snap = resolve(source, o.key, o.ordering, o.tiebreak, o.mode, start=last_o)
         return snap.select(*cols)
 
-    def incremental(self, begin: str, end: str | None = None) -> DataFrame:
+    def incremental(self, begin: str | dt.datetime, end: str | dt.datetime | None = None) -> DataFrame:
         """Current rows written by commits after ``begin`` (up to ``end``)."""
-        return self.snapshot(as_of=end).where(F.col(COMMIT) > F.lit(begin))
+        return self.snapshot(as_of=end).where(F.col(COMMIT) > F.lit(instant(begin)))
 
     def read(self, query_type: str = "snapshot", ts: str | None = None) -> DataFrame:
         """T5-T8 by name. Unknown query types are rejected, not read as snapshots."""

@@ -329,3 +329,14 @@ def test_schema_evolution(spark, tmp):
     assert {r.ride_id: r.bikes for r in t.snapshot().collect()} == {"r1": 3, "r2": 7}
     with pytest.raises(ValueError):
         t.insert(spark.createDataFrame([("r3", _ts("2024-01-01 00:00:00"), "C", "x")], RIDE_SCHEMA + ", bikes string"))
+
+
+def test_instants():
+    from gridlake.keyed.table import instant
+
+    assert instant("20250126162059363") == "20250126162059363"
+    assert instant("20250126162059") == "20250126162059000"
+    assert instant("2025-01-26 16:20:59.363") == "20250126162059363"
+    assert instant(dt.datetime(2025, 1, 26, 16, 20, 59, 363000)) == "20250126162059363"
+    with pytest.raises(ValueError):
+        instant("yesterday")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
 from gridlake.sources import fs
 
@@ -20,7 +20,7 @@ LISTING_SCHEMA = StructType(
         StructField("path", StringType()),
         StructField("size", LongType()),
         StructField("last_modified", TimestampType()),
-        StructField("is_prefix", StringType()),
+        StructField("is_dir", BooleanType()),
     ]
 )
 
@@ -41,7 +41,7 @@ def list_objects(
 
     ``recursive=False`` returns the entries directly under the prefix: files
     at that level, plus one row per sub-folder (its key ends with ``/`` and
-    ``is_prefix`` is ``'Y'``), as an object store's delimiter listing does.
+    ``is_dir`` is true), as an object store's delimiter listing does.
     ``start_after`` keeps keys that sort after it. Hidden files (names
     starting with ``_`` or ``.``) are not listed, as Spark's file sources
     skip them.
@@ -76,15 +76,15 @@ def list_objects(
                 F.when(is_dir, F.concat(F.lit(base + p), F.left(rest, slash))).otherwise(F.col("path")).alias("path"),
                 F.when(~is_dir, F.col("size")).alias("size"),
                 F.when(~is_dir, F.col("last_modified")).alias("last_modified"),
-                F.when(is_dir, F.lit("Y")).otherwise(F.lit("N")).alias("is_prefix"),
+                is_dir.alias("is_dir"),
             )
             .distinct()
         )
     else:
-        files = files.withColumn("is_prefix", F.lit("N"))
+        files = files.withColumn("is_dir", F.lit(False))
     if start_after:
         files = files.where(F.col("key") > F.lit(start_after))
-    return files.select("key", "path", "size", "last_modified", "is_prefix")
+    return files.select("key", "path", "size", "last_modified", "is_dir")
 
 
 def prefix_exists(spark: SparkSession, root: str, prefix: str = "") -> bool:

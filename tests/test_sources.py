@@ -75,9 +75,9 @@ def test_listing_and_prefix(spark, bucket):
     keys = sorted(r.key for r in lst.collect())
     assert "raw/a.csv.d/x.csv" in keys and "raw/gz/drivers.csv.gz" in keys
     top = listing.list_objects(spark, bucket, prefix="raw/", recursive=False)
-    entries = {r.key: r.is_prefix for r in top.collect()}
-    assert entries["raw/gz/"] == "Y" and entries["raw/a.csv.d/"] == "Y"
-    assert entries["raw/races.csv"] == "N"
+    entries = {r.key: r.is_dir for r in top.collect()}
+    assert entries["raw/gz/"] is True and entries["raw/a.csv.d/"] is True
+    assert entries["raw/races.csv"] is False
     after = listing.list_objects(spark, bucket, start_after="raw/races.csv")
     assert all(r.key > "raw/races.csv" for r in after.collect())
     assert listing.prefix_exists(spark, bucket, "raw/gz")

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from gridlake.plans.facts import quali_facts, result_facts
 from gridlake.plans.racing import RacingTables
 
+# The reference's schema names (its view names are the keys
+# of VIEW_SQL below).
 RAW_DB = "raw_data"
 DERIVED_DB = "derived_data"
 

@@ -329,7 +329,12 @@ SELECT source, id, name,
 FROM f
 """
 
-OBJECTS = {"pageUrlParts": PAGE_URL_PARTS, "bucketNameRules": NAME_RULES}
+OBJECTS = {
+    "pageUrlParts": PAGE_URL_PARTS,
+    "bucketNameRules": NAME_RULES,
+    "scanByExtension": "SELECT * FROM customer",
+    "directFileQuery": "SELECT * FROM orders",
+}
 
 
 def all_sql() -> dict[str, str]:

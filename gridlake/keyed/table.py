@@ -141,17 +141,18 @@ class KeyedTable:
         # be read as a text stream of actions (see gridlake.streaming).
         fs.write_text(self.spark, f"{self.timeline_path}/{t}.{action}.{detail}", f"{t},{action},{detail}\n")
 
-    def horizon(self) -> str:
-        cleans = [a.detail for a in self.timeline() if a.action == ACTION_CLEAN]
+    def horizon(self, timeline: list[Action] | None = None) -> str:
+        tl = self.timeline() if timeline is None else timeline
+        cleans = [a.detail for a in tl if a.action == ACTION_CLEAN]
         return max(cleans) if cleans else ""
 
     # ------------------------------------------------------------ schema
     def _schema(self) -> StructType:
         return StructType.fromJson(json.loads(fs.read_text(self.spark, self.schema_path)))
 
-    def _log_schema(self) -> StructType:
+    def _log_schema(self, data: StructType | None = None) -> StructType:
         """Data columns, ``_op``, then the partition columns (``_commit_time`` first)."""
-        data = self._schema()
+        data = data or self._schema()
         parts = self.options.partition_by
         fields = [f for f in data.fields if f.name not in parts]
         part_fields = [data[p] for p in parts]
@@ -284,7 +285,7 @@ class KeyedTable:
         return self._log(_bump_down(commit), commit, [commit]).select(*self._columns())
 
     # ------------------------------------------------------------ reads
-    def _log(self, after: str, upto: str, committed: list[str]) -> DataFrame:
+    def _log(self, after: str, upto: str, committed: list[str], schema: StructType | None = None) -> DataFrame:
         """Rows of the committed log folders in (after, upto].
 
         Only those folders are handed to the reader (``basePath`` keeps
@@ -292,46 +293,47 @@ class KeyedTable:
         listed on every read.
         """
         times = [t for t in committed if after < t <= upto]
-        schema = self._log_schema()
+        schema = schema or self._log_schema()
         if not times:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.log_path}/{COMMIT}={t}" for t in times]
         df = self.spark.read.schema(schema).option("basePath", self.log_path).parquet(*paths)
         return df.where(F.col(COMMIT).isin(*times))
 
-    def _base(self, t: str) -> DataFrame:
-        schema = self._log_schema()
+    def _base(self, t: str, schema: StructType | None = None) -> DataFrame:
+        schema = schema or self._log_schema()
         parts = self.options.partition_by
         fields = [f for f in schema.fields if f.name not in parts] + [schema[p] for p in parts]
         return self.spark.read.schema(StructType(fields)).parquet(f"{self.base_path}/{t}")
 
-    def _columns(self) -> list[str]:
-        data = [f.name for f in self._schema().fields if f.name != OP]
-        return data + [COMMIT, OP]
+    def _columns(self, data: StructType | None = None) -> list[str]:
+        names = [f.name for f in (data or self._schema()).fields if f.name != OP]
+        return names + [COMMIT, OP]
 
     def snapshot(self, as_of: str | dt.datetime | None = None) -> DataFrame:
         """The table's rows, now or as of a commit time (inclusive)."""
         as_of = instant(as_of)
-        tl = self.timeline()
+        tl = self.timeline()  # one listing and one schema read per snapshot
         upto = as_of or (tl[-1].time if tl else "")
-        horizon = self.horizon()
+        horizon = self.horizon(tl)
         if as_of is not None and as_of < horizon:
             raise ValueError(f"as-of {as_of} is before the clean horizon {horizon}; that history was removed")
         commits = [a for a in tl if a.action == ACTION_COMMIT and a.time <= upto]
+        if not fs.exists(self.spark, self.schema_path):
+            raise ValueError(f"table at {self.path} has no commits")
+        data = self._schema()
+        log_schema = self._log_schema(data)
+        cols = self._columns(data)
         if not commits:
-            if not fs.exists(self.spark, self.schema_path):
-                raise ValueError(f"table at {self.path} has no commits")
-            schema = StructType([self._log_schema()[c] for c in self._columns()])
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], StructType([log_schema[c] for c in cols]))
         last_o = max((a.time for a in commits if a.detail == OVERWRITE), default="")
         bases = [a.time for a in tl if a.action == ACTION_COMPACTION and last_o <= a.time <= upto]
         base_t = max(bases) if bases else None
         after = base_t if base_t else (_bump_down(last_o) if last_o else "")
-        log = self._log(after, upto, [a.time for a in commits if a.time > after])
-        cols = self._columns()
+        log = self._log(after, upto, [a.time for a in commits if a.time > after], log_schema)
         source = log.select(*cols)
         if base_t:
-            source = self._base(base_t).select(*cols).unionByName(source)
+            source = self._base(base_t, log_schema).select(*cols).unionByName(source)
         o = self.options
         snap = resolve(source, o.key, o.ordering, o.tiebreak, o.mode, start=last_o)
         return snap.select(*cols)

@@ -139,7 +139,9 @@ class KeyedTable:
     def _mark(self, t: str, action: str, detail: str) -> None:
         # The marker's one line repeats its name, so the timeline folder can
         # be read as a text stream of actions (see gridlake.streaming).
-        fs.write_text(self.spark, f"{self.timeline_path}/{t}.{action}.{detail}", f"{t},{action},{detail}\n")
+        fs.write_text(
+            self.spark, f"{self.timeline_path}/{t}.{action}.{detail}", f"{t},{action},{detail}\n", atomic=True
+        )
 
     def horizon(self, timeline: list[Action] | None = None) -> str:
         tl = self.timeline() if timeline is None else timeline

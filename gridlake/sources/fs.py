@@ -70,14 +70,28 @@ def qualify(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(p).toString())
 
 
-def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
-    """Write a small metadata file (a marker, a schema) in one call."""
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True, atomic: bool = False) -> None:
+    """Write a small metadata file (a marker, a schema) in one call.
+
+    ``atomic=True`` writes a hidden temporary file beside it (Spark's file
+    sources skip names starting with ``.``) and renames it into place, so a
+    reader listing the folder never sees the file half-written.
+    """
     fs, p = _fs(spark, path)
-    out = fs.create(p, overwrite)
+    target = p
+    if atomic:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
+    out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if atomic:
+        if overwrite and fs.exists(target):
+            fs.delete(target, False)
+        if not fs.rename(p, target):
+            raise OSError(f"could not move {p} to {target}")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

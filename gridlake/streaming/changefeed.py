@@ -1,9 +1,11 @@
 """Incremental consumption of a keyed table with Structured Streaming.
 
 The table's timeline folder gains one small file per committed action, and
-each file's single line is ``<time>,<action>,<detail>``. Read as a text
-stream, the timeline is therefore the stream of committed actions, in the
-order they became visible; a write that never got its marker never appears.
+each file's single line is ``<time>,<action>,<detail>``. Markers are written
+under a hidden name and renamed into place, so the stream never reads one
+half-written. Read as a text stream, the timeline is therefore the stream of
+committed actions, in the order they became visible; a write that never got
+its marker never appears.
 Each micro-batch holds a handful of commit markers; the rows of those
 commits are read from the log with a batch read pruned to their folders.
 

@@ -186,7 +186,7 @@ class KeyedTable:
         new = [StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in known and f.name != COMMIT]
         if new:
             schema = StructType(schema.fields + new)
-            fs.write_text(self.spark, self.schema_path, schema.json())
+            fs.write_text(self.spark, self.schema_path, schema.json(), atomic=True)
         return schema
 
     def _write_commit(self, df: DataFrame, op: str, at: str | None = None) -> str:
@@ -202,7 +202,7 @@ class KeyedTable:
         else:
             if op == DELETE:
                 raise ValueError("cannot delete from a table that has no commits")
-            fs.write_text(self.spark, self.schema_path, df.schema.json())
+            fs.write_text(self.spark, self.schema_path, df.schema.json(), atomic=True)
         t = at or self._next_time()
         (
             df.write.mode("overwrite")
@@ -263,7 +263,7 @@ class KeyedTable:
             raise ValueError("imported commits must be newer than the table's timeline")
         data = self._prepare(log)
         if not fs.exists(self.spark, self.schema_path):
-            fs.write_text(self.spark, self.schema_path, data.drop(COMMIT).schema.json())
+            fs.write_text(self.spark, self.schema_path, data.drop(COMMIT).schema.json(), atomic=True)
         schema = self._evolve(data.drop(COMMIT))
         data = data.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.col(COMMIT))
         # Cluster rows by their output folder so each commit gets a few

@@ -250,7 +250,9 @@ class KeyedTable:
         One Spark job writes every commit's folder (partitioned by commit
         time), then one timeline marker per commit makes them visible, oldest
         first. Each commit must hold one op kind, and the history must be
-        newer than the table's existing commits. Returns the commit times.
+        newer than the table's existing commits (checked first, from the two
+        commit columns only). Re-running a failed import is safe. Returns the
+        commit times.
         """
         o = self.options
         ops = log.groupBy(COMMIT).agg(F.min(OP).alias("op"), F.countDistinct(OP).alias("n"))
@@ -270,8 +272,12 @@ class KeyedTable:
         # well-sized files rather than one small file per input task; AQE
         # still splits a commit that holds a large share of the rows.
         data = data.hint("rebalance", COMMIT, *o.partition_by)
+        # Dynamic partition overwrite replaces exactly the folders of these
+        # commits -- all newer than the timeline, so nothing committed -- and
+        # a re-run after a failed import does not duplicate rows.
         (
-            data.write.mode("append")
+            data.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(COMMIT, *o.partition_by)
             .option("compression", o.codec)
             .option("maxRecordsPerFile", max(1, o.max_file_bytes // max(1, o.record_size)))

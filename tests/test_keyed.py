@@ -340,3 +340,17 @@ def test_instants():
     assert instant(dt.datetime(2025, 1, 26, 16, 20, 59, 363000)) == "20250126162059363"
     with pytest.raises(ValueError):
         instant("yesterday")
+
+
+def test_import_log_retry_does_not_duplicate(spark, tmp):
+    from gridlake.plans import changelog
+
+    log = changelog.events_log(spark, "/root/testdata/sf0.001", "value")
+    opts = TableOptions(name="ev2", key=("user_id",), ordering=("value",), tiebreak=("event_id",), date_source="ts")
+    t = KeyedTable(spark, f"{tmp}/ev2", opts)
+    # a failed first attempt leaves commit folders and no timeline markers
+    log.write.partitionBy("_commit_time", "year").parquet(f"{tmp}/ev2/log")
+    assert t.timeline() == []
+    t.import_log(log)  # the retry
+    n_log = spark.read.parquet(f"{tmp}/ev2/log").count()
+    assert n_log == log.count()

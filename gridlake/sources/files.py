@@ -130,6 +130,20 @@ def file_to_table(spark: SparkSession, path: str | list[str], table: str, fmt: s
     return table
 
 
+_GLOB_SPECIAL = "\\*?[]{},"
+
+
+def glob_literal(text: str) -> str:
+    """``text`` with Hadoop glob special characters escaped."""
+    return "".join("\\" + ch if ch in _GLOB_SPECIAL else ch for ch in text)
+
+
+def name_filter(names: list[str]) -> str:
+    """A ``pathGlobFilter`` matching exactly these file names."""
+    lits = [glob_literal(n) for n in names]
+    return lits[0] if len(lits) == 1 else "{" + ",".join(lits) + "}"
+
+
 def table_name_col(key) -> F.Column:
     """The table a file loads into: its base name without extension(s)
     (``raw/results.csv`` -> ``results``, ``a/races.csv.gz`` -> ``races``),
@@ -158,26 +172,45 @@ def bucket_to_tables(
     letters, digits and ``_`` become ``_`` (``lap-times.csv`` -> table
     ``lap_times``), as the catalog requires. Names and formats are derived and
     grouped in Spark; the driver receives one row per (table, format) with
-    its file list -- the list a reader needs anyway. ``schemas`` maps table
-    names to known schemas (no inference pass); ``read_options`` go to every
-    reader.
+    its distinct file names, and each table is read from the folder with a
+    file-name filter (exact paths only when ``prefix`` ends mid-name).
+    ``schemas`` maps table names to known schemas (no inference pass);
+    ``read_options`` go to every reader.
     """
     listing = list_objects(spark, root, prefix=prefix).where(P.is_valid_format("key", formats))
+    # At a folder boundary each table is read from its folder with a file-name
+    # filter, so the driver gets one row per (table, format) with the few
+    # distinct file names; the reader lists the files itself. Otherwise the
+    # exact file paths are needed.
+    at_boundary = not prefix or prefix.endswith("/")
+    load_dir = root.rstrip("/") + ("/" + prefix.rstrip("/") if prefix else "")
+    agg = [F.sort_array(F.collect_set(P.base_name("key"))).alias("names")]
+    if not at_boundary:
+        agg.append(F.sort_array(F.collect_list("path")).alias("paths"))
     groups_df = (
-        listing.select(table_name_col(F.col("key")).alias("table"), P.data_format("key").alias("fmt"), "path")
+        listing.select("key", "path", table_name_col(F.col("key")).alias("table"), P.data_format("key").alias("fmt"))
         .where(F.col("fmt").isin(*READERS.keys()))
         .groupBy("table", "fmt")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .agg(*agg)
     )
-    groups: dict[str, dict[str, list[str]]] = {}
+    groups: dict[str, dict[str, tuple[list[str], list[str] | None]]] = {}
     for r in groups_df.collect():
-        groups.setdefault(r.table, {})[r.fmt] = list(r.paths)
+        groups.setdefault(r.table, {})[r.fmt] = (list(r.names), list(r.paths) if not at_boundary else None)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
     for name, by_fmt in sorted(groups.items()):
         schema = (schemas or {}).get(name)
-        frames = [spread(scan(spark, paths, t, schema=schema, **read_options), paths) for t, paths in sorted(by_fmt.items())]
+        frames = []
+        for t, (names, paths) in sorted(by_fmt.items()):
+            if paths is None:
+                df = scan(
+                    spark, load_dir, t, schema=schema, recursiveFileLookup="true",
+                    pathGlobFilter=name_filter(names), **read_options,
+                )
+            else:
+                df = scan(spark, paths, t, schema=schema, **read_options)
+            frames.append(spread(df, names))
         df = frames[0]
         for other in frames[1:]:
             df = df.unionByName(other, allowMissingColumns=True)
@@ -265,28 +298,40 @@ def bulk_convert(
     listing = listing.where(P.data_format("key").isin(*READERS.keys()))
     if by_folder:
         folder = F.regexp_extract(F.col("key"), r"^(.*)/[^/]*$", 1)
-        groups = (
-            listing.groupBy(folder.alias("folder"), P.data_format("key").alias("fmt"))
-            .agg(F.sort_array(F.collect_list("key")).alias("keys"), F.sort_array(F.collect_list("path")).alias("paths"))
-            .collect()
-        )
+        ext = P.extension("key")
+        suffix = F.when(P.file_type("key").isin(*P.COMPRESSION_SUFFIXES), F.concat(P.extension(P.strip_extension("key")), ext)).otherwise(ext)
+        keyed = listing.select("key", folder.alias("folder"), P.data_format("key").alias("fmt"), suffix.alias("suffix"))
+        # One row per (folder, format, suffix): the driver never sees file lists.
+        groups = keyed.select("folder", "fmt", "suffix").distinct().orderBy("folder", "fmt", "suffix").collect()
+        per_folder: dict[str, set[str]] = {}
+        for g in groups:
+            per_folder.setdefault(g.folder, set()).add(g.fmt)
 
-        # A folder holding several formats gets one dataset per format.
-        per_folder: dict[str, int] = {}
+        def target(g) -> str:
+            name = g.folder or "_root"
+            if len(per_folder[g.folder]) > 1:
+                name = f"{name}.{g.fmt}"
+            return _join(tgt_root, f"{name}.{target_format}")
+
+        by_target: dict[str, list] = {}
         for g in groups:
-            per_folder[g.folder] = per_folder.get(g.folder, 0) + 1
+            by_target.setdefault(target(g), []).append(g)
 
-        def group(r):
-            name = r.folder or "_root"
-            if per_folder[r.folder] > 1:
-                name = f"{name}.{r.fmt}"
-            tgt = _join(tgt_root, f"{name}.{target_format}")
-            write(spread(scan(spark, list(r.paths), r.fmt), list(r.paths)), tgt, target_format)
-            return [(k, tgt) for k in r.keys]
+        def convert(item):
+            tgt, gs = item
+            # Files directly in the folder with that suffix, by glob: the
+            # reader lists them; sub-folders are not included.
+            base = src_root.rstrip("/") + ("/" + glob_literal(gs[0].folder) if gs[0].folder else "")
+            globs = [f"{base}/*{glob_literal(g.suffix)}" for g in gs]
+            write(spread(scan(spark, globs, gs[0].fmt), [g.suffix for g in gs]), tgt, target_format)
+            return tgt
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            done = [pair for pairs in pool.map(group, groups) for pair in pairs]
-        return spark.createDataFrame(done, "key string, target string")
+            list(pool.map(convert, sorted(by_target.items())))
+        mapping = spark.createDataFrame(
+            [(g.folder, g.fmt, g.suffix, target(g)) for g in groups], "folder string, fmt string, suffix string, target string"
+        )
+        return keyed.join(mapping, on=["folder", "fmt", "suffix"]).select("key", "target")
 
     keys = [r.key for r in listing.select("key").orderBy("key").collect()]
 

@@ -198,3 +198,25 @@ def test_bucket_to_tables_quotes_names(spark, tmp):
     made = files.bucket_to_tables(spark, f"{tmp}/q", database="qraw")
     assert made == ["qraw.lap_times"]
     assert spark.table("qraw.lap_times").count() == 1
+
+
+def test_bucket_to_tables_same_name_in_folders(spark, tmp):
+    _write(f"{tmp}/y/2023/results.csv", "id,v\n1,a\n2,b\n")
+    _write(f"{tmp}/y/2024/results.csv", "id,v\n3,c\n")
+    _write(f"{tmp}/y/2024/deep/results.csv.gz", "id,v\n4,d\n", gz=True)
+    made = files.bucket_to_tables(spark, f"{tmp}/y", database="yr")
+    assert made == ["yr.results"]
+    assert sorted(r.id for r in spark.table("yr.results").collect()) == [1, 2, 3, 4]
+    # a prefix that ends mid-name falls back to exact paths
+    files.bucket_to_tables(spark, f"{tmp}/y", database="yr2", prefix="2024/res")
+    assert sorted(r.id for r in spark.table("yr2.results").collect()) == [3]
+
+
+def test_bulk_convert_by_folder_gz_and_subfolders(spark, tmp):
+    _write(f"{tmp}/g/laps/a.csv", "lap\n1\n")
+    _write(f"{tmp}/g/laps/b.csv.gz", "lap\n2\n", gz=True)
+    _write(f"{tmp}/g/laps/sub/c.csv", "lap\n3\n")
+    done = {r.key: r.target for r in files.bulk_convert(spark, f"{tmp}/g", f"{tmp}/o", by_folder=True).collect()}
+    assert done["laps/a.csv"] == done["laps/b.csv.gz"]
+    assert sorted(r.lap for r in spark.read.parquet(done["laps/a.csv"]).collect()) == [1, 2]
+    assert sorted(r.lap for r in spark.read.parquet(done["laps/sub/c.csv"]).collect()) == [3]

@@ -220,3 +220,15 @@ def test_bulk_convert_by_folder_gz_and_subfolders(spark, tmp):
     assert done["laps/a.csv"] == done["laps/b.csv.gz"]
     assert sorted(r.lap for r in spark.read.parquet(done["laps/a.csv"]).collect()) == [1, 2]
     assert sorted(r.lap for r in spark.read.parquet(done["laps/sub/c.csv"]).collect()) == [3]
+
+
+@pytest.mark.parametrize("fmt", ["json", "orc"])
+def test_export_import_json_orc(spark, tmp, fmt):
+    db = f"exp_{fmt}"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    spark.sql(f"CREATE DATABASE {db}")
+    spark.createDataFrame([(1, "a"), (2, None)], "k bigint, v string").write.saveAsTable(f"{db}.t")
+    export.export_database(spark, f"{tmp}/e_{fmt}", [db], fmt)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    export.import_database(spark, f"{tmp}/e_{fmt}")
+    assert sorted((r.k, r.v) for r in spark.table(f"{db}.t").collect()) == [(1, "a"), (2, None)]

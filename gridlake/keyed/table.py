@@ -43,6 +43,9 @@ ACTION_COMMIT = "commit"
 ACTION_COMPACTION = "compaction"
 ACTION_CLEAN = "clean"
 QUERY_TYPES = ("snapshot", "incremental", "as_of")
+# The reference's read names, accepted as aliases: "snap", "incr", and
+# "time" (a read at an instant, which it calls but never implements).
+QUERY_ALIASES = {"snap": "snapshot", "incr": "incremental", "time": "as_of"}
 
 
 @dataclass(frozen=True)
@@ -351,7 +354,10 @@ class KeyedTable:
         return self.snapshot(as_of=end).where(F.col(COMMIT) > F.lit(instant(begin)))
 
     def read(self, query_type: str = "snapshot", ts: str | None = None) -> DataFrame:
-        """T5-T8 by name. Unknown query types are rejected, not read as snapshots."""
+        """T5-T8 by name (``snapshot``/``snap``, ``incremental``/``incr``,
+        ``as_of``/``time``). Unknown query types are rejected, not read as
+        snapshots."""
+        query_type = QUERY_ALIASES.get(query_type, query_type)
         if query_type == "snapshot":
             return self.snapshot()
         if query_type == "incremental":

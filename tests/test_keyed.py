@@ -146,9 +146,15 @@ def test_keyed_table_lifecycle(spark, rides):
         rides.snapshot(as_of=t3)
     # point lookup
     assert [r.station for r in rides.lookup(ride_id="r2").collect()] == ["AFTER"]
-    # unknown query types are rejected
+    # the reference's read names work; unknown ones are rejected
+    assert sorted((r.ride_id, r.station) for r in rides.read("snap").collect()) == sorted(
+        (r.ride_id, r.station) for r in rides.snapshot().collect()
+    )
+    assert rides.read("incr", t3).count() == rides.incremental(t3).count()
+    with pytest.raises(ValueError):
+        rides.read("time", t1)  # below the clean horizon
     with pytest.raises(ValueError):
-        rides.read("time", t1)
+        rides.read("N")
 
 
 def test_second_and_empty_overwrite(spark, rides):
@@ -292,6 +298,8 @@ def test_clean_policies(spark, tmp):
     c3 = t.upsert(mk([("r1", "2023-06-01 10:00:00", "A2")]))
     c4 = t.insert(mk([("r3", "2023-06-02 10:00:00", "C")]))
     rows_now = _rows(t)
+    # the reference's "time" read is a read at an instant
+    assert sorted((r.ride_id, r.station) for r in t.read("time", c2).collect()) == [("r1", "A"), ("r2", "B")]
     # keep the newest two commits readable: c3 needs base b1 (newest replace point <= c3)
     assert t.clean(retain=2) == b1
     assert _rows(t) == rows_now

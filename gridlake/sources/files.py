@@ -297,6 +297,8 @@ def bulk_convert(
     listing = list_objects(spark, src_root, prefix=prefix).where(P.is_valid_format("key", formats))
     listing = listing.where(P.data_format("key").isin(*READERS.keys()))
     if by_folder:
+        if prefix and not prefix.endswith("/"):
+            raise ValueError("by_folder converts whole folders: the prefix must end with '/'")
         folder = F.regexp_extract(F.col("key"), r"^(.*)/[^/]*$", 1)
         ext = P.extension("key")
         suffix = F.when(P.file_type("key").isin(*P.COMPRESSION_SUFFIXES), F.concat(P.extension(P.strip_extension("key")), ext)).otherwise(ext)

@@ -293,7 +293,15 @@ class KeyedTable:
 
     def commit_rows(self, commit: str) -> DataFrame:
         """The rows one commit wrote (only its log folder is read)."""
-        return self._log(_bump_down(commit), commit, [commit]).select(*self._columns())
+        return self.changes([commit])
+
+    def changes(self, commits: list[str]) -> DataFrame:
+        """The rows these commits wrote, with ``_commit_time`` and ``_op``
+        (only their log folders are read)."""
+        times = sorted(commits)
+        if not times:
+            return self._log("", "", [])
+        return self._log(_bump_down(times[0]), times[-1], times).select(*self._columns())
 
     # ------------------------------------------------------------ reads
     def _log(self, after: str, upto: str, committed: list[str], schema: StructType | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ half-written. Read as a text stream, the timeline is therefore the stream of
 committed actions, in the order they became visible; a write that never got
 its marker never appears.
 Each micro-batch holds a handful of commit markers; the rows of those
-commits are read from the log with a batch read pruned to their folders.
+commits are read from their log folders only, and copied in one job.
 
 ``replicate`` keeps a second keyed table in step with a source table:
 every source commit is re-applied to the target *with the same commit time*,
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridlake.keyed.merge import COMMIT, DELETE, INSERT, OP, OVERWRITE, UPSERT
+from gridlake.keyed.merge import COMMIT
 from gridlake.keyed.table import ACTION_COMMIT, KeyedTable
 from gridlake.session import scratch_path
 
@@ -45,22 +45,21 @@ def commit_stream(spark: SparkSession, table: KeyedTable, max_files_per_trigger:
 
 
 def apply_commits(source: KeyedTable, target: KeyedTable, commits: list[tuple[str, str]]) -> list[str]:
-    """Re-apply source commits to ``target`` in commit order, same times."""
-    done = []
-    for t, op in sorted(commits):
-        rows = source.commit_rows(t).drop(COMMIT, OP)
-        if op == OVERWRITE:
-            target.create(rows, at=t)
-        elif op == INSERT:
-            target.insert(rows, at=t)
-        elif op == UPSERT:
-            target.upsert(rows, at=t)
-        elif op == DELETE:
-            target.delete(rows, at=t)
-        else:
-            raise ValueError(f"unknown op {op!r} in commit {t}")
-        done.append(t)
-    return done
+    """Copy source commits into ``target`` under their own commit times.
+
+    One Spark job for the whole set (``import_log``): the rows are already
+    what the source's writes produced (de-duplicated where the op asks for
+    it), so they are stored as they are. Commits the target already has are
+    skipped -- markers are written oldest first, so after a failure they are
+    a prefix -- and the rest are re-written in full, so a re-run is
+    idempotent.
+    """
+    have = {a.time for a in target.commits()}
+    todo = sorted({t for t, _ in commits if t not in have})
+    if not todo:
+        return []
+    target.import_log(source.changes(todo))
+    return todo
 
 
 def replicate(

@@ -5,6 +5,7 @@ Layout under the table path::
     log/_commit_time=<t>/<partition cols>/part-*.parquet   one folder per commit
     base/<t>/<partition cols>/part-*.parquet               compacted snapshots
     timeline/<t>.<action>.<detail>                         one one-line marker per action
+    timeline/<t>.batch.<n>                                 one marker of n commit lines (an import)
     schema.json                                            the log's data schema
 
 A commit is visible only once its timeline marker exists: the data folder is
@@ -42,6 +43,8 @@ from gridlake.sources.files import (
 ACTION_COMMIT = "commit"
 ACTION_COMPACTION = "compaction"
 ACTION_CLEAN = "clean"
+# One marker for a whole imported history: its lines are commit markers.
+ACTION_BATCH = "batch"
 QUERY_TYPES = ("snapshot", "incremental", "as_of")
 # The reference's read names, accepted as aliases: "snap", "incr", and
 # "time" (a read at an instant, which it calls but never implements).
@@ -125,7 +128,13 @@ class KeyedTable:
         for e in fs.list_dir(self.spark, self.timeline_path):
             name = e.path.rsplit("/", 1)[-1]
             parts = name.split(".")
-            if len(parts) == 3 and parts[0].isdigit():
+            if len(parts) != 3 or not parts[0].isdigit():
+                continue  # hidden temporary files
+            if parts[1] == ACTION_BATCH:
+                for line in fs.read_text(self.spark, e.path).splitlines():
+                    if line:
+                        out.append(Action(*line.split(",")))
+            else:
                 out.append(Action(*parts))
         return sorted(out)
 
@@ -251,8 +260,8 @@ class KeyedTable:
         """Bulk-load a change-log history (data + ``_commit_time`` + ``_op``).
 
         One Spark job writes every commit's folder (partitioned by commit
-        time), then one timeline marker per commit makes them visible, oldest
-        first. Each commit must hold one op kind, and the history must be
+        time), then a single timeline marker listing them all makes the whole
+        history visible at once. Each commit must hold one op kind, and the history must be
         newer than the table's existing commits (checked first, from the two
         commit columns only). Re-running a failed import is safe. Returns the
         commit times.
@@ -287,8 +296,13 @@ class KeyedTable:
             .option("parquet.block.size", str(o.block_bytes))
             .parquet(self.log_path)
         )
-        for t, op, _ in commits:
-            self._mark(t, ACTION_COMMIT, op)
+        # One marker for the whole history, renamed into place: the import
+        # becomes visible at once (all commits or none), in one metadata write.
+        if commits:
+            lines = "".join(f"{t},{ACTION_COMMIT},{op}\n" for t, op, _ in commits)
+            fs.write_text(
+                self.spark, f"{self.timeline_path}/{commits[-1][0]}.{ACTION_BATCH}.{len(commits)}", lines, atomic=True
+            )
         return [t for t, _, _ in commits]
 
     def commit_rows(self, commit: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Incremental consumption of a keyed table with Structured Streaming.
 
-The table's timeline folder gains one small file per committed action, and
-each file's single line is ``<time>,<action>,<detail>``. Markers are written
+The table's timeline folder gains one small file per committed action (an
+imported history gets one file for all its commits), and each line is
+``<time>,<action>,<detail>``. Markers are written
 under a hidden name and renamed into place, so the stream never reads one
 half-written. Read as a text stream, the timeline is therefore the stream of
 committed actions, in the order they became visible; a write that never got
@@ -50,9 +51,8 @@ def apply_commits(source: KeyedTable, target: KeyedTable, commits: list[tuple[st
     One Spark job for the whole set (``import_log``): the rows are already
     what the source's writes produced (de-duplicated where the op asks for
     it), so they are stored as they are. Commits the target already has are
-    skipped -- markers are written oldest first, so after a failure they are
-    a prefix -- and the rest are re-written in full, so a re-run is
-    idempotent.
+    skipped -- a batch's commits become visible together, in one marker --
+    and the rest are re-written in full, so a re-run is idempotent.
     """
     have = {a.time for a in target.commits()}
     todo = sorted({t for t, _ in commits if t not in have})

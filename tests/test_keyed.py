@@ -362,3 +362,21 @@ def test_import_log_retry_does_not_duplicate(spark, tmp):
     t.import_log(log)  # the retry
     n_log = spark.read.parquet(f"{tmp}/ev2/log").count()
     assert n_log == log.count()
+
+
+def test_batch_marker_and_changes(spark, tmp):
+    import os
+
+    from gridlake.plans import changelog
+
+    log = changelog.events_log(spark, "/root/testdata/sf0.001", "value")
+    opts = TableOptions(name="ev3", key=("user_id",), ordering=("value",), tiebreak=("event_id",), date_source="ts")
+    t = KeyedTable(spark, f"{tmp}/ev3", opts)
+    commits = t.import_log(log)
+    markers = [n for n in os.listdir(f"{tmp}/ev3/timeline") if not n.startswith(".")]
+    assert markers == [f"{commits[-1]}.batch.{len(commits)}"]
+    assert [a.time for a in t.commits()] == commits
+    some = commits[3:6]
+    got = t.changes(some).groupBy("_commit_time").count().collect()
+    want = log.where(F.col("_commit_time").isin(*some)).groupBy("_commit_time").count().collect()
+    assert sorted(got) == sorted(want)

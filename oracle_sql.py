@@ -256,6 +256,8 @@ KEYED = {
     "keyedTableSnapshot": keyed_snapshot_sql("value", "event"),
     "keyedTableCompacted": keyed_snapshot_sql("value", "event"),
     "keyedTableAsOf": keyed_snapshot_sql("value", "event", as_of="20240112999999999"),
+    # ... and copied to a replica by the streaming change feed.
+    "keyedReplicaSnapshot": keyed_snapshot_sql("value", "event"),
 }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fixity, jaccard_join, language, packing, repeats, secret_scan, token_files, tokens
+from . import decontamination, embeddings, fixity, jaccard_join, language, packing, repeats, secret_scan, token_files, tokens
 from .common import Stage, table, texts
 
 
@@ -59,7 +59,12 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_embedding_near_dedup": near_embeddings,
     "op2_secret_scan": scan_secrets,
     "op3_best_fit_packing": pack,
     "op4_ngram_jaccard_join": jaccard,

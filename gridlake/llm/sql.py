@@ -2,6 +2,25 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1 = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.93
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), components AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM components LEFT JOIN counts USING (vec_id)
+"""
+
 OP4 = rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -122,6 +141,7 @@ SELECT doc_id, a AS start, z AS "end", n AS n_words, first_doc AS first_doc_id,
 """
 
 SQL = {
+    "op1_embedding_near_dedup": OP1,
     "op4_ngram_jaccard_join": OP4,
     "op7_benchmark_decontamination": OP7,
     "op8_warc_fixity": OP8,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embeddings, fixity, jaccard_join, language, packing, repeats, secret_scan, token_files, tokens
-from .common import Stage, table, texts
+from . import decontamination, embeddings, fixity, jaccard_join, language, packing, repeats, secret_scan, token_files, tokens, toxicity
+from .common import Stage, held_out, table, texts
 
 
 def _ids(items: Column) -> Column:
@@ -27,6 +27,13 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path).drop("ids")
 
 
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    fold = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    return scored.select("doc_id", fold, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontamination.mark(texts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -69,6 +76,7 @@ QUERIES = {
     "op3_best_fit_packing": pack,
     "op4_ngram_jaccard_join": jaccard,
     "op5_token_id_files": token_ids,
+    "op6_toxicity": toxic,
     "op7_benchmark_decontamination": decontaminate,
     "op8_warc_fixity": fixity_audit,
     "op9_language_id": languages,

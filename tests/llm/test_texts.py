@@ -1,0 +1,219 @@
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gridlake.llm import decontamination as D
+from gridlake.llm import fixity, language, repeats, secret_scan, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def words_of(text):
+    return re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+
+
+def marks(text, items, window):
+    w, hit, found = words_of(text), set(), set()
+    for item, t in items:
+        v = words_of(t)
+        k = min(window, len(v))
+        wins = {tuple(v[i : i + k]) for i in range(len(v) - k + 1)} if k else set()
+        for i in range(len(w) - k + 1):
+            if tuple(w[i : i + k]) in wins:
+                hit |= set(range(i, i + k))
+                found.add(item)
+    return len(w), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("most", [10**6, 12])  # one automaton, and several
+@pytest.mark.parametrize("window", [3, 5])
+def test_decontamination_equals_all_windows(spark, window, most):
+    rng = random.Random(window)
+    pick = lambda n: " ".join(rng.choice(["a", "B", "c", "ét", "7"]) for _ in range(n))
+    items = [(i, pick(rng.choice([1, 2, 3, 4, 7, 12])) if i > 2 else ["", None, " . "][i]) for i in range(12)]
+    docs = [(i, pick(rng.randrange(40)), i) for i in range(60)] + [(100, None, 1), (101, "", 1), (102, "!?", 1)]
+    marked = D.mark(
+        spark.createDataFrame(docs, "doc_id long, text string, n_hit long"), spark.createDataFrame(items, "item_id long, text string"), window, most
+    )
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in marked.collect()}
+    assert got == {i: marks(t, [(a, b) for a, b in items if b], window) for i, t, _ in docs}
+    clean = D.cut_spans(marked)
+    for r in clean.where("n_hit > 0").collect():
+        assert len(words_of(r.text)) == r.n_words - r.n_hit
+
+
+def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
+    items = spark.createDataFrame([(1, "brown fox jumps over the lazy dog", 5)], "item_id long, text string, text_key long")
+    got = {r.doc_id: r for r in D.mark(odd_docs, items).collect()}
+    assert got[1].n_hit == 21 and got[1].score == 1.0 and got[5].n_words == 60_000 and got[2].n_hit == 0
+    assert D.mark(no_docs, items).count() == 0
+    assert D.mark(odd_docs, items.limit(0)).where("n_hit > 0").count() == 0
+
+
+def test_forward_pass_sums_all_segmentations():
+    pieces = ["▁", "▁a", "a", "ab", "b", "▁ab", "ba"]
+    model = language.fit({"x": [("ab", 3), ("abba", 1)], "y": [("ba", 2), ("bab", 2)]}, pieces)
+    number = {p: i + 1 for i, p in enumerate(pieces)}
+    for word in ("a", "abab", "bbaab"):
+        marked = "▁" + word
+        for j in range(2):
+            total = 0.0
+            for cuts in itertools.product([0, 1], repeat=len(marked) - 1):
+                at = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(marked)]
+                parts = [marked[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+                if all(p in number for p in parts):
+                    total += np.prod([model.prob[number[p], j] for p in parts])
+            assert np.isclose(model.words([word])[0, j], np.log(total))
+
+
+def test_language_of_held_out_texts(spark, odd_docs, no_docs):
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pieces = language.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    model = language.train(docs, pieces)
+    rows = language.op_frame(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(rows) > 100 and np.mean([r.lang == r.lang_pred for r in rows]) >= 0.97
+    odd = {r.doc_id: r for r in language.identify(odd_docs, model).collect()}
+    assert all((odd[i].lang_pred, odd[i].score) == ("und", 0.0) for i in (2, 3, 4, 6))
+    assert all(odd[i].lang_pred != "und" and 0 < odd[i].score <= 1 for i in (1, 5, 8, None))
+    assert language.identify(no_docs, model).count() == 0
+    nothing = language.op_frame(odd_docs, language.train(no_docs, pieces)).collect()
+    assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+
+
+def test_kernel_counts_gapped_subsequences():
+    rng = random.Random(6)
+    n = toxicity.ORDER
+
+    def slow(s, t):
+        total = 0.0
+        for a in itertools.combinations(range(len(s)), n):
+            for b in itertools.combinations(range(len(t)), n):
+                if all(s[i] == t[j] for i, j in zip(a, b, strict=True)):
+                    total += toxicity.DECAY ** (a[-1] - a[0] + 1 + b[-1] - b[0] + 1)
+        return total
+
+    for _ in range(20):
+        s, t = (bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 9))) for _ in range(2))
+        got = toxicity.kernel(toxicity._rows([s], 0), toxicity._rows([t], 1))[0]
+        assert np.isclose(got, slow(s, t))
+
+
+def test_toxicity_of_held_out_and_gapped_texts(spark, odd_docs, no_docs):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    rows = toxicity.score(docs, model).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).collect()
+    right = np.mean([(r.score >= 0.5) == (r.toxic == 1) for r in rows])
+    assert len(rows) > 40 and right >= 0.95
+    base = "Anat with by of nteres atre are. That {} ththor with the ereat on thin"
+    texts = [(i, base.format(w)) for i, w in enumerate(["", "thentst", "idiot", "i d i o t", "i.d.i.o.t", "IDIOT!!", "wor-th-less", "stu pid"])]
+    got = [r.score >= 0.5 for r in toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), model).orderBy("doc_id").collect()]
+    assert got == [False, False, True, True, True, True, True, False]
+    odd = {r.doc_id: r.score for r in toxicity.score(odd_docs, model).collect()}
+    assert odd[2] == odd[3] == odd[4] < 0.5 and all(0 <= v <= 1 for v in odd.values())
+    assert toxicity.score(no_docs, model).count() == 0
+    assert {r.score for r in toxicity.score(odd_docs, toxicity.train(docs, labels.limit(0))).collect()} == {0.0}
+
+
+def test_secrets_are_found_and_words_left_alone(spark, odd_docs, no_docs):
+    rng = random.Random(2)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows, secrets = [], {}
+    for i in range(60):
+        token, key = hexes(40), "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+        plain = "some quite unremarkableandlengthywords here with www.example.org/path/to/some/longer/page and 1234567890123456"
+        text = [f'{plain} token = "{token}" and {plain}', f"{plain} {key} {plain}", plain][i % 3]
+        rows.append((i, text, 0.5))
+        secrets[i] = {token, key} & set(re.findall(r"\w+", text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, probability double")
+    got = {}
+    for r in secret_scan.secrets(docs).collect():
+        got.setdefault(r.doc_id, set()).add(r.candidate)
+        assert rows[r.doc_id][1][r.start : r.start + len(r.candidate)] == r.candidate
+    assert got == {i: s for i, s in secrets.items() if s}
+    for r in secret_scan.redact(docs).collect():
+        want = rows[r.doc_id][1]
+        for s in secrets[r.doc_id]:
+            want = want.replace(s, secret_scan.MARK)
+        assert r.text == want
+    assert secret_scan.redact(odd_docs).select(odd_docs.columns).exceptAll(odd_docs).count() == 0
+    assert secret_scan.secrets(no_docs).count() == 0 and secret_scan.redact(no_docs).count() == 0
+
+
+def units(text):
+    out, at = [], 0
+    for u in re.split(r"(?<=[.!?])(?=[\t-\r ])|(?<=\n)", text or ""):
+        w = words_of(u)
+        lead = len(u) - len(u.lstrip("".join(map(chr, [*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]))))
+        if len(w) >= repeats.MIN_WORDS:
+            out.append((at + lead, at + len(u), b" ".join(w)))
+        at += len(u)
+    return out
+
+
+def test_repeated_units_equal_a_plain_search(spark):
+    rng = random.Random(10)
+    lines = ["".join(rng.choice(["été ", "uno ", "two, ", "Three "]) for _ in range(rng.randrange(4, 12))).strip() + rng.choice(".!?") for _ in range(40)]
+    rows = [(i, "".join(rng.choice(lines) + rng.choice([" ", "\n", "\n\n", "x"]) for _ in range(rng.randrange(0, 8)))) for i in range(80)]
+    rows += [(1, rows[1][1]), (200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first, want = {}, set()
+    for i, t in sorted(set(rows[:-2])):
+        for a, b, u in units(t):
+            if u in first:
+                want.add((i, a, b, *first[u]))
+            else:
+                first[u] = (i, a)
+    got = [(r.doc_id, r.start, r.end, r.first_doc_id, r.first_start) for r in repeats.repeated(docs).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    clean = repeats.dedup(docs)
+    assert clean.count() == len(rows)
+    for r in clean.where("doc_id < 200").collect():
+        original = next(t for i, t in rows if i == r.doc_id)
+        for _, a, b, *_ in sorted((w for w in want if w[0] == r.doc_id), key=lambda w: -w[1]):
+            original = original[:a] + original[b:]
+        assert r.text == original
+
+
+def test_repeats_of_odd_rows(odd_docs, no_docs):
+    got = repeats.repeated(odd_docs).collect()
+    assert [(r.doc_id, r.first_start) for r in sorted(got, key=lambda r: r.start)] == [(1, 0), (1, 0)]  # within one text
+    assert repeats.dedup(odd_docs).count() == odd_docs.count()
+    assert repeats.repeated(no_docs).count() == 0
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, hash long")
+
+
+def test_audit_locates_damage(spark):
+    rng = random.Random(8)
+    rows = [(i * 3, f"http://h/{i}", "x" * rng.randrange(1, 40)) for i in range(1500)] + [(None, "u", "n"), (None, None, None), (6, "again", "")]
+    hurt = dict.fromkeys(rng.sample(range(1500), 7))
+    other = [(i, u, h + "!" if k in hurt else h) for k, (i, u, h) in enumerate(rows)]
+    a, b = (fixity.Tree(fixity.records(pages(spark, r)), n) for r, n in ((rows, "a"), (other, "b")))
+    bad = {(r.file_no, r.record_no) for r in fixity.audit(a, b).collect()}
+    ids = {r.page_id for r in a.records.collect() if (r.file_no, r.record_no) in bad}
+    assert {rows[k][0] for k in hurt} <= ids
+    # A record that has grown moves those after it in its file, and no others.
+    assert {f for f, _ in bad} == {rows[k][0] // fixity.FILE_IDS for k in hurt}
+    assert fixity.audit(a, a).count() == 0
+    whole = fixity.ledger(a, b)
+    assert whole.count() == len(rows) and whole.where("status = 'damaged'").count() == len(bad)
+    one = a.records.where("file_no = 0 and record_no = 0").first()
+    record = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:0>\r\nWARC-Target-URI: http://h/0\r\nContent-Type: text/html\r\nContent-Length: {len(rows[0][2])}\r\n\r\n{rows[0][2]}\r\n\r\n"
+    assert one.record_sha256 == hashlib.sha256(record.encode()).hexdigest() and one.record_length == len(record)
+
+
+def test_audit_of_lost_records_and_empty_tables(spark):
+    rows = [(i, "u", "h" * i) for i in range(300)]
+    a, b, none = (fixity.Tree(fixity.records(pages(spark, rows).where(w)), "t") for w in ("true", "page_id < 290", "false"))
+    assert sorted(r.record_no for r in fixity.audit(a, b).collect()) == list(range(290, 300))
+    assert fixity.audit(a, none).count() == 300 and fixity.audit(none, none).count() == 0
+    assert fixity.ledger(none, none).count() == 0

@@ -6,7 +6,7 @@ Sub-packages:
 - ``functions`` column expressions (string concat, predicates, paths, name rules)
 - ``operators`` star joins with size-checked broadcast, skew-safe de-duplication
 - ``plans``     the racing warehouse: raw tables, facts, reports, catalog
-- ``keyed``     a keyed table kept as a change log of commits on parquet
+- ``keyed``     operations on keyed rows and the resolution of a change log
 - ``streaming`` incremental consumption of that change log
 """
 

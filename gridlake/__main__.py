@@ -6,13 +6,11 @@
     python -m gridlake export OUT_DIR [--format parquet] [--databases a,b]
     python -m gridlake import IN_DIR
     python -m gridlake sql "SELECT ..." [--rows N]
-    python -m gridlake keyed ACTION TABLE_PATH [SOURCE] [--key ride_id] [--ordering started_at]
-                                   [--partition year] [--ts T] [--retain N] [--policy commits|versions]
 
-ACTION is create, insert, upsert, delete, snapshot, incremental, as_of,
-compact or clean. The session is built with ``build_session``, so it keeps
-whatever the cluster's submit configuration sets; ``--master local[N]``
-(before the command) runs locally.
+The session is built with ``build_session``, so it keeps whatever the
+cluster's submit configuration sets; ``--master local[N]`` (before the command)
+runs locally. ``warehouse`` builds the derived database from raw tables that are
+in the catalog already, and leaves those as they are.
 """
 
 from __future__ import annotations
@@ -54,20 +52,6 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("query")
     s.add_argument("--rows", type=int, default=20)
 
-    s = sub.add_parser("keyed")
-    s.add_argument("action", choices=["create", "insert", "upsert", "delete", "snapshot", "incremental", "as_of", "compact", "clean"])
-    s.add_argument("table_path")
-    s.add_argument("source", nargs="?")
-    s.add_argument("--key", default="ride_id")
-    s.add_argument("--ordering", default="started_at")
-    s.add_argument("--tiebreak", default="")
-    s.add_argument("--partition", default="year")
-    s.add_argument("--mode", default="event", choices=["event", "commit"])
-    s.add_argument("--ts")
-    s.add_argument("--retain", type=int)
-    s.add_argument("--policy", default="commits", choices=["commits", "versions"])
-    s.add_argument("--rows", type=int, default=20)
-
     a = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -87,10 +71,9 @@ def main(argv: list[str] | None = None) -> int:
             truncate=False
         )
     elif a.cmd == "warehouse":
-        from gridlake.plans import catalog, racing
+        from gridlake.plans import catalog
 
-        made = catalog.build_warehouse(spark, racing.from_tables(spark, a.raw_db), a.raw_db, a.derived_db)
-        print("\n".join(made))
+        print("\n".join(catalog.build_derived(spark, a.raw_db, a.derived_db)))
     elif a.cmd == "export":
         from gridlake.sources.export import export_database
 
@@ -102,34 +85,6 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(import_database(spark, a.in_dir)))
     elif a.cmd == "sql":
         spark.sql(a.query).show(a.rows, truncate=False)
-    elif a.cmd == "keyed":
-        from gridlake.keyed.table import KeyedTable, TableOptions
-
-        opts = TableOptions(
-            key=tuple(a.key.split(",")),
-            ordering=tuple(a.ordering.split(",")),
-            tiebreak=tuple(x for x in a.tiebreak.split(",") if x),
-            partition_by=tuple(x for x in a.partition.split(",") if x),
-            date_source=a.ordering.split(",")[0],
-            mode=a.mode,
-        )
-        t = KeyedTable(spark, a.table_path, opts)
-        if a.action in ("create", "insert", "upsert"):
-            print(getattr(t, a.action)(a.source))
-        elif a.action == "delete":
-            from gridlake.sources.files import scan
-
-            print(t.delete(scan(spark, a.source)))
-        elif a.action == "snapshot":
-            t.snapshot().show(a.rows, truncate=False)
-        elif a.action == "incremental":
-            t.incremental(a.ts).show(a.rows, truncate=False)
-        elif a.action == "as_of":
-            t.snapshot(as_of=a.ts).show(a.rows, truncate=False)
-        elif a.action == "compact":
-            print(t.compact())
-        elif a.action == "clean":
-            print(t.clean(a.retain, a.policy))
     if owned:
         spark.stop()
     return 0

@@ -61,16 +61,10 @@ def newest_overwrite(commits: DataFrame) -> Column:
     return newest.scalar()
 
 
-def newest_overwrite_value(commits: DataFrame) -> str:
-    """The newest ``O`` commit time of a commit list, evaluated now (one value)."""
-    row = commits.where(F.col(OP) == F.lit(OVERWRITE)).agg(F.max(COMMIT).alias("t")).first()
-    return (row.t if row is not None else None) or ""
-
-
 def since_last_overwrite(log: DataFrame, start: str | Column | None = None) -> DataFrame:
     """Rule 1. ``start`` is the newest overwrite commit, best taken from the
     commit list (an overwrite with no rows still counts): a string, or a
-    scalar-subquery column from ``newest_overwrite``. Without it, it is
+    scalar-subquery column from ``newest_overwrite``, which stays lazy. Without it, it is
     taken from the rows themselves.
     """
     if start is None:
@@ -149,12 +143,41 @@ def resolve(
     """The table's rows after applying the change log (rules 1-5).
 
     Output columns are the log's columns (``_commit_time`` and ``_op``
-    included), each row as it was written. Rows with a NULL key are dropped:
-    a keyed table has no NULL keys.
+    included), each row as it was written. A row with a NULL key fails the
+    job: such rows are refused when they are written, so here one is a fault
+    of the log that must not pass in silence.
+    """
+    keys, ords, ties = _as_list(key), _as_list(ordering), _as_list(tiebreak)
+    cols = log.columns
+    return _resolved(_keyed(since_last_overwrite(log, start), keys), keys, ords, ties, mode, cols)
+
+
+def resolve_since(
+    log: DataFrame,
+    key: Sequence[str] | str,
+    ordering: Sequence[str] | str,
+    tiebreak: Sequence[str] | str,
+    mode: str,
+    start: str | Column | None,
+    begin: str,
+    touched: DataFrame | None = None,
+) -> DataFrame:
+    """The table's rows that commits after ``begin`` wrote.
+
+    Only keys with such a commit can have such rows, so the log is first
+    semi-joined with the keys touched after ``begin`` and only their history
+    is resolved. ``touched`` gives these keys where a cheaper scan knows them.
     """
     keys, ords, ties = _as_list(key), _as_list(ordering), _as_list(tiebreak)
     cols = log.columns
-    live = since_last_overwrite(log, start).where(_all_not_null(keys))
+    live = _keyed(since_last_overwrite(log, start), keys)
+    if touched is None:
+        touched = live.where(F.col(COMMIT) > F.lit(begin)).select(*keys).distinct()
+    rows = _resolved(live.join(touched, keys, "left_semi"), keys, ords, ties, mode, cols)
+    return rows.where(F.col(COMMIT) > F.lit(begin))
+
+
+def _resolved(live: DataFrame, keys: list[str], ords: list[str], ties: list[str], mode: str, cols: list[str]) -> DataFrame:
     summary = commit_summary(live, keys, ords, mode)
     take_u = summary.where(F.col("_take_u")).select(*keys, COMMIT)
     upserts = (
@@ -168,16 +191,8 @@ def resolve(
     return upserts.unionByName(inserts.select(*cols))
 
 
-def _all_not_null(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
-
-
-def dedupe_batch(df: DataFrame, key: Sequence[str] | str, ordering: Sequence[str] | str,
-                 tiebreak: Sequence[str] | str = ()) -> DataFrame:
-    """One row per key of a write batch (create and upsert batches)."""
-    from gridlake.operators.dedupe import latest_per_key
+def _keyed(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``log``, failing at run time on a row whose key is NULL."""
+    from gridlake.keyed.ops import refuse_null_keys
 
-    return latest_per_key(df, _as_list(key), _as_list(ordering), _as_list(tiebreak))
+    return refuse_null_keys(log, keys)

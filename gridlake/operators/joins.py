@@ -1,14 +1,11 @@
-"""Star joins with a size check before any broadcast.
-
-A dimension is broadcast only when its size is *proven* small: the caller
-passes ``max_rows`` for a dimension whose row count is fixed by its domain
-(a status list, a nation list). Every other dimension is left to the planner,
-which makes two size checks of its own: the static one against
-``spark.sql.autoBroadcastJoinThreshold`` from relation statistics, and the
-runtime one in AQE against the measured shuffle output. When both say "big",
-the join stays a sort-merge join and AQE splits skewed partitions of the fact
-side, so a dimension that grows with the data never ends up copied to every
-executor.
+"""Star joins.
+
+No dimension is broadcast on faith: the planner makes two size checks of its
+own, the static one against ``spark.sql.autoBroadcastJoinThreshold`` from
+relation statistics and the runtime one in AQE against the measured shuffle
+output. When both say "big", the join stays a sort-merge join and AQE splits
+skewed partitions of the fact side, so a dimension that grows with the data
+never ends up copied to every executor.
 """
 
 from __future__ import annotations
@@ -16,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -24,27 +20,16 @@ class Dim:
     """One dimension of a star join.
 
     ``key`` is the join column, present under the same name on both sides
-    (SQL ``USING``: the key is kept once). ``max_rows`` is an upper bound on the
-    dimension's size that holds at every scale, or ``None`` when the size grows
-    with the data.
+    (SQL ``USING``: the key is kept once).
     """
 
     df: DataFrame
     key: str
-    max_rows: int | None = None
-
-
-# A dimension bounded by this many rows is small enough to copy to every
-# executor whatever the fact size (a few MB at most for narrow rows).
-BROADCAST_MAX_ROWS = 100_000
 
 
 def join_dim(fact: DataFrame, dim: Dim) -> DataFrame:
     """Inner equi-join ``fact JOIN dim USING (key)``."""
-    side = dim.df
-    if dim.max_rows is not None and dim.max_rows <= BROADCAST_MAX_ROWS:
-        side = F.broadcast(side)
-    return fact.join(side, on=dim.key, how="inner")
+    return fact.join(dim.df, on=dim.key, how="inner")
 
 
 def star_join(fact: DataFrame, dims: list[Dim]) -> DataFrame:

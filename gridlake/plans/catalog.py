@@ -15,66 +15,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.plans.facts import quali_facts, result_facts
-from gridlake.plans.racing import RacingTables
+from gridlake.plans.racing import RacingTables, from_tables
+from gridlake.plans.reports import REPORTS
 
-# The reference's schema names (its view names are the keys
-# of VIEW_SQL below).
+# The reference's schema names.
 RAW_DB = "raw_data"
 DERIVED_DB = "derived_data"
 
-_FASTEST = r"(CASE WHEN rank = '\\N' THEN '20' ELSE rank END) = '1' AND race_type = 'Normal race'"
-_POINTS = "CAST(SUM(CAST(points AS DECIMAL(18, 2))) AS DOUBLE)"
-
-
-def _ranked(src: str, key: str, measure: str, alias: str, where: str = "") -> str:
-    cond = f"WHERE {where}" if where else ""
-    return (
-        f"SELECT {key}, {measure} AS {alias} FROM {{db}}.{src} {cond} "
-        f"GROUP BY {key} ORDER BY {alias} DESC NULLS LAST, {key} ASC NULLS LAST"
-    )
-
-
-# Spark SQL bodies of the stored views; ``{db}`` is the derived schema.
-VIEW_SQL = {
-    "constructorPoints": _ranked("resultFacts", "constructor_name", _POINTS, "constructor_points"),
-    "driverPoints": _ranked("resultFacts", "driver_name", _POINTS, "driver_points"),
-    "fastestLapsPerRace": (
-        "SELECT race_name, driver_name, fastestLapTime FROM {db}.resultFacts "
-        f"WHERE {_FASTEST} ORDER BY raceId ASC NULLS LAST, driver_name ASC NULLS LAST, fastestLapTime ASC NULLS LAST"
-    ),
-    "fastestLapsPerDriver": _ranked("resultFacts", "driver_name", "COUNT(*)", "num_fastest_laps", _FASTEST),
-    "fastestLapsPerConst": _ranked("resultFacts", "constructor_name", "COUNT(*)", "num_fastest_laps", _FASTEST),
-    "mostWinsFromPole": _ranked(
-        "resultFacts", "driver_name", "COUNT(*)", "TimesWonFromPole", "starting_grid = 1 AND finishOrder = 1"
-    ),
-    "driversWinFromFarBack": (
-        "SELECT driver_name, race_name AS raceName, starting_grid AS startedFrom, "
-        "starting_grid - finishOrder AS positionsGained FROM {db}.resultFacts WHERE finishOrder = 1 "
-        "ORDER BY positionsGained DESC NULLS LAST, driver_name ASC NULLS LAST, raceName ASC NULLS LAST, "
-        "startedFrom ASC NULLS LAST"
-    ),
-    "mostWinsFromFarBack": _ranked(
-        "resultFacts", "driver_name", "COUNT(*)", "winAttempts", "finishOrder = 1 AND starting_grid - finishOrder >= 5"
-    ),
-    "mostPositionsGainedByDriver": _ranked(
-        "resultFacts", "driver_name", "COUNT(*)", "positionsGained", "points >= 1 AND starting_grid - finishOrder >= 5"
-    ),
-    "mostWinsFromDifferentPositions": _ranked(
-        "resultFacts", "driver_name", "COUNT(DISTINCT starting_grid)", "gridPositions", "finishOrder = 1"
-    ),
-    "mostWinsPerDriverWithoutSprint": _ranked(
-        "resultFacts", "driver_name", "COUNT(*)", "winsPerDriver", "finishOrder = 1 AND race_type = 'Normal race'"
-    ),
-    "mostWinsPerConstWithoutSprint": _ranked(
-        "resultFacts", "constructor_name", "COUNT(*)", "winsPerDriver", "finishOrder = 1 AND race_type = 'Normal race'"
-    ),
-    "mostPolesPerDriver": _ranked("qualiFacts", "driver_name", "COUNT(*)", "polesPerDriver", "finalQualiPosition = 1"),
-    "mostPolesPerConst": _ranked(
-        "qualiFacts", "constructor_name", "COUNT(*)", "polesPerDriver", "finalQualiPosition = 1"
-    ),
-}
-
-
 def reset_schemas(spark: SparkSession, names: tuple[str, ...] = (RAW_DB, DERIVED_DB)) -> None:
     """C4: drop and re-create the schemas."""
     for n in names:
@@ -109,14 +56,31 @@ def build_facts(tables: RacingTables, db: str = DERIVED_DB) -> tuple[str, str]:
 
 
 def create_views(spark: SparkSession, db: str = DERIVED_DB) -> list[str]:
-    """``CREATE OR REPLACE VIEW`` for every report."""
+    """``CREATE OR REPLACE VIEW`` for every report, from the one definition each has."""
     made = []
-    for name, body in VIEW_SQL.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {db}.{name} AS {body.format(db=db)}")
+    for name, report in REPORTS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {db}.{name} AS {report.sql(db)}")
         made.append(f"{db}.{name}")
     return made
 
 
+def build_derived(spark: SparkSession, raw_db: str = RAW_DB, derived_db: str = DERIVED_DB) -> list[str]:
+    """The derived schema, its fact tables and views, from raw tables that the
+    catalog has; only the derived schema is dropped and made anew."""
+    if raw_db.lower() == derived_db.lower():
+        raise ValueError("the derived schema is dropped first, so it can't be the raw one")
+    reset_schemas(spark, (derived_db,))
+    made = list(build_facts(from_tables(spark, raw_db), derived_db)) + create_views(spark, derived_db)
+    spark.catalog.setCurrentDatabase(derived_db)
+    return made
+
+
+def _reads(df: DataFrame, db: str) -> bool:
+    """Whether a frame reads a catalog table of the schema."""
+    plan = df._jdf.queryExecution().analyzed().toString().lower()
+    return f"spark_catalog.{db.lower()}." in plan
+
+
 def build_warehouse(
     spark: SparkSession,
     tables: RacingTables,
@@ -124,13 +88,22 @@ def build_warehouse(
     derived_db: str = DERIVED_DB,
     keep_raw: bool = True,
 ) -> list[str]:
-    """Schemas, raw tables, fact tables and views, in the reference's order."""
-    reset_schemas(spark, (raw_db, derived_db))
-    made = save_raw(tables, raw_db) if keep_raw else []
-    if keep_raw:
-        from gridlake.plans.racing import from_tables
+    """Schemas, raw tables, fact tables and views, in the reference's order.
 
-        tables = from_tables(spark, raw_db)
+    A schema that the given tables are read from is never dropped: if that is
+    ``raw_db`` its tables are used as they are.
+    """
+    frames = tables.as_dict().values()
+    if any(_reads(df, derived_db) for df in frames):
+        raise ValueError(f"the inputs are read from {derived_db}, which would be dropped")
+    if any(_reads(df, raw_db) for df in frames):
+        return build_derived(spark, raw_db, derived_db)
+    made = []
+    if keep_raw:
+        reset_schemas(spark, (raw_db,))
+        made = save_raw(tables, raw_db)
+        return made + build_derived(spark, raw_db, derived_db)
+    reset_schemas(spark, (derived_db,))
     made += list(build_facts(tables, derived_db))
     made += create_views(spark, derived_db)
     spark.catalog.setCurrentDatabase(derived_db)

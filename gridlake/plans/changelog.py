@@ -6,14 +6,17 @@ none, so one is derived from ``events`` (key ``user_id``, ordering ``ts`` or
 
 * each day of events is a set of commits, one per operation kind, with
   commit time ``yyyyMMdd`` + a two-digit slot + ``0000000`` (17 digits);
-* days ``OVERWRITE_DAYS`` are table (re)creations: that day's events,
-  de-duplicated by key as a create does, in an ``O`` commit (slot 01);
+* days of the month in ``OVERWRITE_DAYS`` are table (re)creations: that day's
+  events, de-duplicated by key as a create does, in an ``O`` commit (slot 01).
+  Only the first day is one, so every later day can affect an answer;
 * on other days ``signup``/``purchase`` events are bulk inserts (``I``,
   slot 02), ``click``/``view`` events are upserts (``U``, slot 03) and
   ``error`` events delete their key (``D``, slot 04).
 
 Everything is a projection of ``events`` plus one aggregation for the
-overwrite batches, so the log grows with the table.
+overwrite batches, so the log grows with the table. A commit's day is its
+events' day, so bounds on commits are put on ``ts`` too, where the scan can use
+them.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from gridlake.keyed.merge import COMMIT, DELETE, INSERT, OP, OVERWRITE, UPSERT
 from gridlake.operators.dedupe import latest_per_key
 from gridlake.plans.racing import read_tpch
 
-OVERWRITE_DAYS = (1, 21)
+OVERWRITE_DAYS = (1,)
 INSERT_TYPES = ("signup", "purchase")
 UPSERT_TYPES = ("click", "view")
 SLOTS = {OVERWRITE: "01", INSERT: "02", UPSERT: "03", DELETE: "04"}
@@ -54,24 +57,49 @@ def _op_of_event() -> F.Column:
     )
 
 
-def events_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, upto: str | None = None) -> DataFrame:
+    """The events of commits up to ``upto``: a bound on ``ts`` that reaches the scan."""
+    ev = read_tpch(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    if upto:
+        day = f"{upto[:4]}-{upto[4:6]}-{upto[6:8]}"
+        ev = ev.where(F.col("ts") < F.expr(f"timestamp '{day}' + interval 1 day"))
+    return ev
+
+
+def events_commits(spark: SparkSession, sf_dir: str, upto: str | None = None) -> DataFrame:
     """The commit list (``_commit_time``, ``_op``) of the derived log: a
     two-column aggregate, much cheaper than the log itself."""
-    ev = read_tpch(spark, sf_dir, "events").select("ts", "event_type")
+    ev = _events(spark, sf_dir, upto)
     op = _op_of_event()
-    return ev.select(commit_time("ts", op).alias(COMMIT), op.alias(OP)).distinct()
+    commits = ev.select(commit_time("ts", op).alias(COMMIT), op.alias(OP)).distinct()
+    return commits.where(F.col(COMMIT) <= F.lit(upto)) if upto else commits
 
 
-def events_log(spark: SparkSession, sf_dir: str, ordering: str = "ts") -> DataFrame:
-    ev = read_tpch(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+def events_log(spark: SparkSession, sf_dir: str, ordering: str = "ts", upto: str | None = None) -> DataFrame:
+    """The log's rows of commits up to ``upto``, from the newest overwrite on.
+
+    What an overwrite replaced isn't read: its day is a scalar subquery, which
+    becomes a filter of the scan when the query runs.
+    """
+    ev = _events(spark, sf_dir, upto)
+    kind = dict(ev.dtypes)["ts"]
+    newest = F.coalesce(F.max(F.to_date("ts")).cast(kind), F.lit("0001-01-01").cast(kind))
+    ev = ev.where(F.col("ts") >= _events(spark, sf_dir, upto).where(_is_overwrite_day()).select(newest).scalar())
     is_o = _is_overwrite_day()
     # Overwrite batches: one row per (day, key), as a create de-duplicates.
     o_rows = latest_per_key(
         ev.where(is_o).withColumn("_day", F.to_date("ts")), ["_day", KEY], ordering, TIEBREAK
     ).drop("_day").withColumn(OP, F.lit(OVERWRITE))
     rest = ev.where(~is_o).withColumn(OP, _op_of_event())
-    log = o_rows.unionByName(rest)
-    return log.withColumn(COMMIT, commit_time("ts", F.col(OP))).withColumn("year", F.year("ts"))
+    log = o_rows.unionByName(rest).withColumn(COMMIT, commit_time("ts", F.col(OP))).withColumn("year", F.year("ts"))
+    return log.where(F.col(COMMIT) <= F.lit(upto)) if upto else log
+
+
+def touched_since(spark: SparkSession, sf_dir: str, begin: str) -> DataFrame:
+    """The keys with a commit after ``begin``; its day bounds the scan."""
+    day = f"{begin[:4]}-{begin[4:6]}-{begin[6:8]}"
+    ev = read_tpch(spark, sf_dir, "events").select("ts", "event_type", KEY).where(F.col("ts") >= F.expr(f"timestamp '{day}'"))
+    return ev.where(commit_time("ts", _op_of_event()) > F.lit(begin)).select(KEY).distinct()
 
 
 def create_batch(spark: SparkSession, sf_dir: str, ordering: str = "ts") -> DataFrame:

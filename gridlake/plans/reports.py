@@ -1,11 +1,12 @@
 """The leaderboard reports (Q3-Q17) over the fact tables.
 
-Each function takes the fact DataFrame and returns a lazy DataFrame, the
-equivalent of one stored view. Every report is filter -> group -> measure ->
-order: the filter is pushed toward the scan (a ``race_type`` filter prunes the
-other union branch, or a partition of a saved fact table), the aggregate is
-partial-then-final so each executor sends one row per group and task, and the
-final order is over the small aggregated result.
+Each report is defined once, as a ``Report``: the fact table it reads, its
+filter, its columns and its order, as SQL expressions. ``frame`` applies it to
+a fact DataFrame, ``sql`` is the text of the stored view. Every report is
+filter -> group -> measure -> order: the filter is pushed toward the scan (a
+``race_type`` filter prunes the other union branch, or a partition of a saved
+fact table), the aggregate is partial-then-final so each executor sends one
+row per group and task, and the final order is over the small result.
 
 The per-year variants take ``year``: ``RIGHT(race_name, 4) = year``, which
 the reference has commented out in its views.
@@ -13,167 +14,103 @@ the reference has commented out in its views.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.predicates import (
-    fastest_lap,
-    is_normal_race,
-    positions_gained,
-    race_year_is,
-)
+from gridlake.functions.predicates import race_year_is
 from gridlake.plans.facts import race_driver_pairs
 from gridlake.plans.racing import RacingTables
 
 
-def _where(df: DataFrame, *conds: Column | None) -> DataFrame:
-    for c in conds:
-        if c is not None:
-            df = df.where(c)
-    return df
-
-
-def _ranked(df: DataFrame, key: str, measure: Column, alias: str) -> DataFrame:
-    """``SELECT key, measure AS alias GROUP BY key ORDER BY alias DESC, key``.
-
-    NULLs sort last both ways, as the reference's engine does.
-    """
-    return (
-        df.groupBy(key)
-        .agg(measure.alias(alias))
-        .orderBy(F.desc_nulls_last(alias), F.asc_nulls_last(key))
-    )
-
-
-def _count() -> Column:
-    return F.count(F.lit(1))
-
-
-def _sum_points() -> Column:
-    # Sum as decimal: a double sum depends on the order rows arrive in, so the
-    # same data could give different last digits on different partitionings.
-    return F.sum(F.col("points").cast("decimal(18,2)")).cast("double")
-
-
-def constructor_points(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q3 ``constructorPoints``: all rows, sprints included."""
-    return _ranked(_where(facts, race_year_is(year)), "constructor_name", _sum_points(), "constructor_points")
-
-
-def driver_points(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q4 ``driverPoints``."""
-    return _ranked(_where(facts, race_year_is(year)), "driver_name", _sum_points(), "driver_points")
-
-
-def _fastest_laps(facts: DataFrame, year: int | None) -> DataFrame:
-    return _where(facts, race_year_is(year), fastest_lap("rank"), is_normal_race())
-
-
-def fastest_laps_per_race(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q5 ``fastestLapsPerRace``: ordered by ``raceId``, which is not output.
-
-    The trailing sort keys only order rows the reference leaves tied; they
-    give the range partitioner distinct keys, so one race with very many
-    rows does not end up in a single sort task.
-    """
-    return (
-        _fastest_laps(facts, year)
-        .orderBy(F.asc_nulls_last("raceId"), F.asc_nulls_last("driver_name"), F.asc_nulls_last("fastestLapTime"))
-        .select("race_name", "driver_name", "fastestLapTime")
-    )
-
-
-def fastest_laps_per_driver(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q6 ``fastestLapsPerDriver``."""
-    return _ranked(_fastest_laps(facts, year), "driver_name", _count(), "num_fastest_laps")
-
-
-def fastest_laps_per_constructor(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q7 ``fastestLapsPerConst``."""
-    return _ranked(_fastest_laps(facts, year), "constructor_name", _count(), "num_fastest_laps")
-
-
-def _wins(facts: DataFrame, year: int | None) -> DataFrame:
-    return _where(facts, race_year_is(year), F.col("finishOrder") == F.lit(1))
-
-
-def most_wins_from_pole(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q8 ``mostWinsFromPole``: grid 1 and finish 1, sprints included."""
-    won = _where(_wins(facts, year), F.col("starting_grid") == F.lit(1))
-    return _ranked(won, "driver_name", _count(), "TimesWonFromPole")
-
-
-def drivers_win_from_far_back(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q9 ``driversWinFromFarBack``: every win with its gain, no minimum."""
-    return (
-        _wins(facts, year)
-        .select(
-            "driver_name",
-            F.col("race_name").alias("raceName"),
-            F.col("starting_grid").alias("startedFrom"),
-            positions_gained().alias("positionsGained"),
-        )
-        # raceName and startedFrom only break the reference's ties: they keep
-        # a driver with a third of all wins from sorting in one task.
-        .orderBy(
-            F.desc_nulls_last("positionsGained"),
-            F.asc_nulls_last("driver_name"),
-            F.asc_nulls_last("raceName"),
-            F.asc_nulls_last("startedFrom"),
-        )
-    )
-
-
-def most_wins_from_far_back(facts: DataFrame, year: int | None = None, min_gain: int = 5) -> DataFrame:
-    """Q10 ``mostWinsFromFarBack``: wins that gained at least ``min_gain`` places."""
-    won = _where(_wins(facts, year), positions_gained() >= F.lit(min_gain))
-    return _ranked(won, "driver_name", _count(), "winAttempts")
-
-
-def most_positions_gained_by_driver(
-    facts: DataFrame, year: int | None = None, min_gain: int = 5, min_points: float = 1
-) -> DataFrame:
-    """Q11 ``mostPositionsGainedByDriver``.
-
-    The measure is a COUNT of scoring results with a gain of at least
-    ``min_gain``, under the alias ``positionsGained`` (as in the reference).
-    """
-    rows = _where(
-        facts,
-        race_year_is(year),
-        F.col("points") >= F.lit(min_points),
-        positions_gained() >= F.lit(min_gain),
-    )
-    return _ranked(rows, "driver_name", _count(), "positionsGained")
-
-
-def most_wins_from_different_positions(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q12 ``mostWinsFromDifferentPositions``: exact distinct grid slots."""
-    return _ranked(_wins(facts, year), "driver_name", F.count_distinct("starting_grid"), "gridPositions")
-
-
-def most_wins_per_driver_without_sprint(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q13 ``mostWinsPerDriverWithoutSprint``."""
-    return _ranked(_where(_wins(facts, year), is_normal_race()), "driver_name", _count(), "winsPerDriver")
-
-
-def most_wins_per_constructor_without_sprint(facts: DataFrame, year: int | None = None) -> DataFrame:
-    """Q14 ``mostWinsPerConstWithoutSprint`` (alias ``winsPerDriver`` kept)."""
-    return _ranked(_where(_wins(facts, year), is_normal_race()), "constructor_name", _count(), "winsPerDriver")
-
-
-def _poles(quali: DataFrame, year: int | None) -> DataFrame:
-    return _where(quali, race_year_is(year), F.col("finalQualiPosition") == F.lit(1))
-
-
-def most_poles_per_driver(quali: DataFrame, year: int | None = None) -> DataFrame:
-    """Q15 ``mostPolesPerDriver`` over ``qualiFacts``."""
-    return _ranked(_poles(quali, year), "driver_name", _count(), "polesPerDriver")
-
+@dataclass(frozen=True)
+class Report:
+    """``columns`` and ``order`` are (expression, alias) and (expression, descending)
+    pairs; a report with a ``key`` groups by it. NULLs sort last both ways, as the
+    reference's engine does. Order expressions beyond the reference's only rank
+    what it leaves tied; they give the range partitioner distinct keys, so that
+    one race or driver with very many rows isn't sorted in a single task."""
+
+    source: str
+    columns: tuple[tuple[str, str], ...]
+    order: tuple[tuple[str, bool], ...]
+    where: str = "true"
+    key: str | None = None
+
+    def frame(self, facts: DataFrame, year: int | None = None) -> DataFrame:
+        in_year = race_year_is(year)
+        rows = facts.where(self.where) if in_year is None else facts.where(self.where).where(in_year)
+        order = [F.expr(e).desc_nulls_last() if down else F.expr(e).asc_nulls_last() for e, down in self.order]
+        cols = [F.expr(e).alias(a) for e, a in self.columns]
+        if self.key:
+            return rows.groupBy(self.key).agg(*cols[1:]).orderBy(*order)
+        return rows.withColumns({a: F.expr(e) for e, a in self.columns if e != a}).orderBy(*order).select(*[a for _, a in self.columns])
+
+    def sql(self, db: str) -> str:
+        cols = ", ".join(e if e == a else f"{e} AS {a}" for e, a in self.columns)
+        group = f" GROUP BY {self.key}" if self.key else ""
+        order = ", ".join(f"{e} {'DESC' if down else 'ASC'} NULLS LAST" for e, down in self.order)
+        return f"SELECT {cols} FROM {db}.{self.source} WHERE {self.where}{group} ORDER BY {order}"
+
+
+def _ranked(key: str, measure: str, alias: str, where: str = "true", source: str = "resultFacts") -> Report:
+    return Report(source, ((key, key), (measure, alias)), ((alias, True), (key, False)), where, key)
+
+
+# Points are summed as decimals with 18 digits after the point: exact for any
+# points that are given, and, unlike a sum of doubles, the same on any partitioning.
+_POINTS = "cast(sum(cast(points AS decimal(38, 18))) AS double)"
+_NORMAL = "race_type = 'Normal race'"
+_FASTEST = rf"(CASE WHEN rank = '\\N' THEN '20' ELSE rank END) = '1' AND {_NORMAL}"
+_WON = "finishOrder = 1"
+_GAINED = "starting_grid - finishOrder"
+
+# By the reference's view names; predicates and aliases are its own too.
+REPORTS = {
+    "constructorPoints": _ranked("constructor_name", _POINTS, "constructor_points"),
+    "driverPoints": _ranked("driver_name", _POINTS, "driver_points"),
+    "fastestLapsPerRace": Report(
+        "resultFacts",
+        (("race_name", "race_name"), ("driver_name", "driver_name"), ("fastestLapTime", "fastestLapTime")),
+        (("raceId", False), ("driver_name", False), ("fastestLapTime", False)),
+        _FASTEST,
+    ),
+    "fastestLapsPerDriver": _ranked("driver_name", "count(*)", "num_fastest_laps", _FASTEST),
+    "fastestLapsPerConst": _ranked("constructor_name", "count(*)", "num_fastest_laps", _FASTEST),
+    "mostWinsFromPole": _ranked("driver_name", "count(*)", "TimesWonFromPole", f"starting_grid = 1 AND {_WON}"),
+    "driversWinFromFarBack": Report(
+        "resultFacts",
+        (("driver_name", "driver_name"), ("race_name", "raceName"), ("starting_grid", "startedFrom"), (_GAINED, "positionsGained")),
+        (("positionsGained", True), ("driver_name", False), ("raceName", False), ("startedFrom", False)),
+        _WON,
+    ),
+    "mostWinsFromFarBack": _ranked("driver_name", "count(*)", "winAttempts", f"{_WON} AND {_GAINED} >= 5"),
+    "mostPositionsGainedByDriver": _ranked("driver_name", "count(*)", "positionsGained", f"points >= 1 AND {_GAINED} >= 5"),
+    "mostWinsFromDifferentPositions": _ranked("driver_name", "count(DISTINCT starting_grid)", "gridPositions", _WON),
+    "mostWinsPerDriverWithoutSprint": _ranked("driver_name", "count(*)", "winsPerDriver", f"{_WON} AND {_NORMAL}"),
+    "mostWinsPerConstWithoutSprint": _ranked("constructor_name", "count(*)", "winsPerDriver", f"{_WON} AND {_NORMAL}"),
+    "mostPolesPerDriver": _ranked("driver_name", "count(*)", "polesPerDriver", "finalQualiPosition = 1", "qualiFacts"),
+    "mostPolesPerConst": _ranked("constructor_name", "count(*)", "polesPerDriver", "finalQualiPosition = 1", "qualiFacts"),
+}
 
-def most_poles_per_constructor(quali: DataFrame, year: int | None = None) -> DataFrame:
-    """Q16 ``mostPolesPerConst`` (alias ``polesPerDriver`` kept)."""
-    return _ranked(_poles(quali, year), "constructor_name", _count(), "polesPerDriver")
+RESULT_VIEWS = {name: r.frame for name, r in REPORTS.items() if r.source == "resultFacts"}
+QUALI_VIEWS = {name: r.frame for name, r in REPORTS.items() if r.source == "qualiFacts"}
+
+constructor_points = REPORTS["constructorPoints"].frame
+driver_points = REPORTS["driverPoints"].frame
+fastest_laps_per_race = REPORTS["fastestLapsPerRace"].frame
+fastest_laps_per_driver = REPORTS["fastestLapsPerDriver"].frame
+fastest_laps_per_constructor = REPORTS["fastestLapsPerConst"].frame
+most_wins_from_pole = REPORTS["mostWinsFromPole"].frame
+drivers_win_from_far_back = REPORTS["driversWinFromFarBack"].frame
+most_wins_from_far_back = REPORTS["mostWinsFromFarBack"].frame
+most_positions_gained_by_driver = REPORTS["mostPositionsGainedByDriver"].frame
+most_wins_from_different_positions = REPORTS["mostWinsFromDifferentPositions"].frame
+most_wins_per_driver_without_sprint = REPORTS["mostWinsPerDriverWithoutSprint"].frame
+most_wins_per_constructor_without_sprint = REPORTS["mostWinsPerConstWithoutSprint"].frame
+most_poles_per_driver = REPORTS["mostPolesPerDriver"].frame
+most_poles_per_constructor = REPORTS["mostPolesPerConst"].frame
 
 
 def race_driver_sample(t: RacingTables, n: int = 10) -> DataFrame:
@@ -188,25 +125,3 @@ def race_driver_sample(t: RacingTables, n: int = 10) -> DataFrame:
         .orderBy(F.asc_nulls_last("race_name"), F.asc_nulls_last("driver_name"))
         .limit(n)
     )
-
-
-# The stored views, by the reference's view names. Each takes the fact table
-# it reads (``resultFacts`` or ``qualiFacts``).
-RESULT_VIEWS = {
-    "constructorPoints": constructor_points,
-    "driverPoints": driver_points,
-    "fastestLapsPerRace": fastest_laps_per_race,
-    "fastestLapsPerDriver": fastest_laps_per_driver,
-    "fastestLapsPerConst": fastest_laps_per_constructor,
-    "mostWinsFromPole": most_wins_from_pole,
-    "driversWinFromFarBack": drivers_win_from_far_back,
-    "mostWinsFromFarBack": most_wins_from_far_back,
-    "mostPositionsGainedByDriver": most_positions_gained_by_driver,
-    "mostWinsFromDifferentPositions": most_wins_from_different_positions,
-    "mostWinsPerDriverWithoutSprint": most_wins_per_driver_without_sprint,
-    "mostWinsPerConstWithoutSprint": most_wins_per_constructor_without_sprint,
-}
-QUALI_VIEWS = {
-    "mostPolesPerDriver": most_poles_per_driver,
-    "mostPolesPerConst": most_poles_per_constructor,
-}

@@ -10,9 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job here assumes. AQE re-plans joins at runtime from real
 # shuffle sizes (broadcast conversion, skew splitting, partition coalescing),
@@ -38,8 +37,6 @@ DEFAULTS = {
     # partition columns; past the limit Spark falls back to the sort, so
     # memory stays bounded.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
-    # Keep `_commit_time=20240101...` partition values as strings.
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 # Static settings, fixed when the JVM starts: set only for local runs (tests,
@@ -88,7 +85,6 @@ def build_session(
         if conf.isModifiable(k):
             conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -101,8 +97,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting one only when none is configured.
 
-    A cluster always names a shared folder; the local fallback exists for
-    tests and the bench, which run on one machine.
+    A cluster names a shared folder in ``spark.checkpoint.dir``. Without one,
+    a local folder is used on a local master only (tests, the bench): anywhere
+    else every executor would write to its own disk, so that is an error.
     """
     sc = spark.sparkContext
     existing = checkpoint_dir(spark)
@@ -110,6 +107,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(existing)
         return existing
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="gridlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -119,16 +118,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet under the checkpoint folder and read it back.
-
-    Cuts the lineage of an intermediate that several branches of a plan
-    read: each branch then scans the written files (with column pruning)
-    instead of recomputing the intermediate. Survives executor loss, unlike
-    a cache or a local checkpoint.
-    """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)

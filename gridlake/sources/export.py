@@ -1,39 +1,52 @@
 """Database export and import.
 
 An export writes every table of the chosen databases to
-``<dir>/<database>_<table>/`` in one format, plus a ``manifest`` dataset (one
-row per table or view, with each view's SQL) that ``import_database`` reads
-to re-create the tables and then the views. Each table is one distributed
-write; the manifest is metadata-sized.
+``<dir>/<database>/<table>/`` in one format, plus a ``manifest`` dataset (one
+row per table or view: its schema and partition columns, or its SQL) from which
+``import_database`` re-creates the tables as they were and then the views. Each
+table is one distributed write; the manifest is metadata-sized.
 """
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from gridlake.sources.files import scan, write
+from gridlake.sources.files import READERS, write
 
 # The reference's parquet export settings.
 PARQUET_EXPORT_OPTIONS = {"compression": "zstd", "parquet.block.row.count.limit": "100000"}
 # Fixed value: the delimiter of its CSV export.
 CSV_EXPORT_DELIMITER = "||"
-
+# What a NULL is in a CSV export, so that it differs from an empty text. A
+# table that holds this very text is refused.
+CSV_EXPORT_NULL = "\u2400"
+
+CSV_OPTIONS = {
+    "sep": CSV_EXPORT_DELIMITER, "header": "true", "nullValue": CSV_EXPORT_NULL, "emptyValue": "", "escape": '"', "quoteAll": "true",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 EXPORT_OPTIONS: dict[str, dict[str, str]] = {
     "parquet": PARQUET_EXPORT_OPTIONS,
-    "csv": {"sep": CSV_EXPORT_DELIMITER, "header": "true"},
-    "json": {},
+    "csv": CSV_OPTIONS,
+    "json": JSON_OPTIONS | {"ignoreNullFields": "false"},
     "orc": {},
     "avro": {},
 }
-IMPORT_OPTIONS: dict[str, dict[str, str]] = {
-    "csv": {"sep": CSV_EXPORT_DELIMITER, "header": "true", "inferSchema": "true"},
-}
+# Fields of an export may hold line breaks; quoted, they stay inside a record.
+IMPORT_OPTIONS: dict[str, dict[str, str]] = {"csv": CSV_OPTIONS | {"multiLine": "true", "enforceSchema": "false"}, "json": JSON_OPTIONS}
 
 MANIFEST = "manifest"
-MANIFEST_SCHEMA = "database string, name string, kind string, format string, path string, view_sql string"
+MANIFEST_SCHEMA = (
+    "database string, name string, kind string, format string, path string, view_sql string, schema string, partitions array<string>"
+)
 
 
 def _objects(spark: SparkSession, databases: list[str]) -> list[tuple[str, str, str]]:
@@ -50,6 +63,20 @@ def _view_sql(spark: SparkSession, db: str, name: str) -> str:
     return spark.sql(f"SHOW CREATE TABLE {db}.{name}").first()[0]
 
 
+def _partitions(spark: SparkSession, db: str, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(f"{db}.{name}") if c.isPartition]
+
+
+def _refuse_marker(df: DataFrame, name: str) -> None:
+    """CSV can't tell a text that equals the marker from NULL: such a table isn't exported."""
+    held = [F.col(f"`{f.name}`") == CSV_EXPORT_NULL for f in df.schema if isinstance(f.dataType, StringType)]
+    cond = F.lit(False)
+    for c in held:
+        cond = cond | F.coalesce(c, F.lit(False))
+    if held and df.where(cond).limit(1).count():
+        raise ValueError(f"{name} holds the text {CSV_EXPORT_NULL!r}, which stands for NULL in a CSV export")
+
+
 def export_database(
     spark: SparkSession,
     out_dir: str,
@@ -70,13 +97,15 @@ def export_database(
         databases = [d.name for d in spark.catalog.listDatabases()]
     base = out_dir.rstrip("/")
     objects = _objects(spark, databases)
-    rows = [(db, name, kind, None, None, _view_sql(spark, db, name)) for db, name, kind in objects if kind == "view"]
+    rows = [(db, name, kind, None, None, _view_sql(spark, db, name), None, None) for db, name, kind in objects if kind == "view"]
 
     def one(obj):
         db, name, kind = obj
-        path = f"{base}/{db}_{name}"
-        write(spark.table(f"{db}.{name}"), path, fmt, **EXPORT_OPTIONS[fmt])
-        return (db, name, kind, fmt, path, None)
+        path, df = f"{db}/{name}", spark.table(f"{db}.{name}")
+        if fmt == "csv":
+            _refuse_marker(df, f"{db}.{name}")
+        write(df, f"{base}/{path}", fmt, **EXPORT_OPTIONS[fmt])
+        return (db, name, kind, fmt, path, None, df.schema.json(), _partitions(spark, db, name))
 
     tables = [o for o in objects if o[2] == "table"]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -96,9 +125,12 @@ def import_database(spark: SparkSession, in_dir: str, parallelism: int = 4) -> l
 
     def table(e) -> str:
         full = f"{e.database}.{e.name}"
-        df = scan(spark, e.path, e.format, **IMPORT_OPTIONS.get(e.format, {}))
+        schema = StructType.fromJson(json.loads(e.schema))
+        # The path is relative to the export, which may have been moved.
+        df = spark.read.format(READERS[e.format][0]).options(**IMPORT_OPTIONS.get(e.format, {})).schema(schema).load(f"{base}/{e.path}")
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        df.write.mode("overwrite").saveAsTable(full)
+        w = df.write.mode("overwrite")
+        (w.partitionBy(*e.partitions) if e.partitions else w).saveAsTable(full)
         return full
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -3,20 +3,28 @@
 The reader is chosen from the file's extension (looking through ``.gz``,
 which Spark's text-based readers decompress themselves). Reads are lazy
 DataFrames; writes are Spark jobs. Nothing passes through the driver except
-file *names* when a listing is turned into one job per table or file.
+file *names*, streamed, when a listing is turned into one job per table or file.
+
+Columns go by name: CSV files that are read together are grouped by their
+header lines, parquet and orc schemas are merged. A file that can't be read is
+reported, never left out in silence.
 """
 
 from __future__ import annotations
 
 import os
-from concurrent.futures import ThreadPoolExecutor
+import warnings
+from collections.abc import Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from gridlake.functions import paths as P
+from gridlake.sources import fs
 from gridlake.sources.listing import list_objects
 
 # File type -> (Spark source, default reader options). The CSV defaults are
@@ -26,8 +34,8 @@ READERS: dict[str, tuple[str, dict[str, str]]] = {
     "csv": ("csv", {"header": "true", "inferSchema": "true"}),
     "txt": ("text", {}),
     "json": ("json", {}),
-    "parquet": ("parquet", {}),
-    "orc": ("orc", {}),
+    "parquet": ("parquet", {"mergeSchema": "true"}),
+    "orc": ("orc", {"mergeSchema": "true"}),
     "avro": ("avro", {}),
 }
 WRITERS: dict[str, tuple[str, dict[str, str]]] = {
@@ -71,13 +79,16 @@ def scan(
     null_marker: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """Read a file, a glob or a list of files with the reader for their type.
+    """Read a file, a folder, a glob or a list of files with the reader for their type.
 
     ``null_marker`` (CSV only) turns that string into NULL, e.g. ``"\\N"``;
     by default the marker is kept as text, so a column holding it stays a
     string. ``schema`` replaces CSV type inference, which otherwise reads
     the input once more before the real read: pass a schema for large
     inputs, or ``samplingRatio="0.01"`` to infer from a sample.
+
+    CSV files with differing headers are read apart and united by column name;
+    a column that some of them lack is NULL there.
     """
     first = path if isinstance(path, str) else path[0]
     t = _format_for(first, fmt)
@@ -88,15 +99,76 @@ def scan(
     if null_marker is not None and t == "csv":
         opts["nullValue"] = null_marker
     opts.update(options)
-    reader = spark.read.format(source).options(**opts)
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        return reader.load(path)
+        if t == "csv" and str(opts.get("header")).lower() == "true" and not _is_one_file(spark, path):
+            groups = _by_header(spark, path, {k: v for k, v in opts.items() if k in FILE_OPTIONS})
+            if len(groups) > 1:
+                rest = {k: v for k, v in opts.items() if k not in FILE_OPTIONS}
+                return _united([_load(spark, source, files, rest, schema, by_name=True) for files in groups])
+        return _load(spark, source, path, opts, schema, by_name=t == "csv" and schema is not None)
     except AnalysisException as e:
         raise _wrap_missing(t, e) from e
 
 
+# Options that say which files are read.
+FILE_OPTIONS = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
+
+
+def _is_one_file(spark: SparkSession, path: str | list[str]) -> bool:
+    paths = [path] if isinstance(path, str) else path
+    if len(paths) != 1:
+        return False
+    return not any(c in paths[0] for c in "*?[{") and not fs.is_dir(spark, paths[0])
+
+
+def _by_header(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> list[list[str]]:
+    """The paths of CSV files, grouped by their first lines.
+
+    If all agree, which is told from a distinct count, no path is collected.
+    Otherwise the driver holds the paths, as a reader's file index does.
+    """
+    lines = spark.read.format("text").options(**options).load(path)
+    start = lines.select("_metadata.file_path", "value", F.monotonically_increasing_id().alias("n")).where("_metadata.file_block_start = 0")
+    heads = start.groupBy("file_path").agg(F.min_by("value", "n").alias("header"))
+    if heads.agg(F.count_distinct("header").alias("n")).first().n <= 1:
+        return []
+    rows = heads.orderBy("header", "file_path").toLocalIterator()
+    return [[r.file_path for r in group] for _, group in groupby(rows, key=lambda r: r.header)]
+
+
+def _load(
+    spark: SparkSession, source: str, path: str | list[str], options: dict[str, str], schema: StructType | str | None, by_name: bool
+) -> DataFrame:
+    """One read. ``by_name`` gives the columns of a CSV header the types of the schema's fields of that name."""
+    reader = spark.read.format(source).options(**options)
+    if schema is None:
+        return reader.load(path)
+    if not by_name or str(options.get("header")).lower() != "true":
+        return reader.schema(schema).load(path)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.dataType for f in wanted}
+    found = reader.option("inferSchema", "false").load(path).columns
+    if not set(found) & set(kinds):  # a file without a header line of these names
+        return reader.schema(wanted).load(path)
+    here = StructType([StructField(c, kinds.get(c, StringType())) for c in found])
+    rows = spark.read.format(source).options(**options).schema(here).load(path)
+    return rows.select([F.col(f"`{f.name}`") if f.name in found else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted])
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """Frames by column name; a column whose types differ, other than in the size of a number, is text."""
+    kinds: dict[str, set] = {}
+    for df in frames:
+        for f in df.schema:
+            kinds.setdefault(f.name, set()).add(f.dataType)
+    as_text = {c for c, k in kinds.items() if len(k) > 1 and not all(isinstance(x, NumericType) for x in k)}
+    out = None
+    for df in frames:
+        df = df.select([F.col(f"`{c}`").cast("string").alias(c) if c in as_text else F.col(f"`{c}`") for c in df.columns])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def _is_unsplittable(path: str | list[str]) -> bool:
     paths = [path] if isinstance(path, str) else path
     return any(P.py_file_type(p) in P.COMPRESSION_SUFFIXES for p in paths)
@@ -130,20 +202,6 @@ def file_to_table(spark: SparkSession, path: str | list[str], table: str, fmt: s
     return table
 
 
-_GLOB_SPECIAL = "\\*?[]{},"
-
-
-def glob_literal(text: str) -> str:
-    """``text`` with Hadoop glob special characters escaped."""
-    return "".join("\\" + ch if ch in _GLOB_SPECIAL else ch for ch in text)
-
-
-def name_filter(names: list[str]) -> str:
-    """A ``pathGlobFilter`` matching exactly these file names."""
-    lits = [glob_literal(n) for n in names]
-    return lits[0] if len(lits) == 1 else "{" + ",".join(lits) + "}"
-
-
 def table_name_col(key) -> F.Column:
     """The table a file loads into: its base name without extension(s)
     (``raw/results.csv`` -> ``results``, ``a/races.csv.gz`` -> ``races``),
@@ -155,6 +213,45 @@ def table_name_col(key) -> F.Column:
     return F.regexp_replace(name, r"[^A-Za-z0-9_]", "_")
 
 
+class SkippedFiles(UserWarning):
+    """Objects that a bulk operation could not read."""
+
+
+def objects_of(listing: DataFrame, formats: tuple[str, ...] = P.VALID_FORMATS, gz_format: str | None = None) -> DataFrame:
+    """The objects of a listing: key, path, fmt, and a ``reason`` if they can't be read.
+
+    A folder whose name has a data extension (``inputs/results.parquet/``) is a
+    dataset that Spark wrote, and one object whatever it holds. A bare ``x.gz``
+    doesn't say what it holds: ``gz_format`` does. Names that start with ``_``
+    or ``.`` are invisible to Spark's readers. Files without a valid extension
+    aren't data and aren't listed.
+    """
+    folder = F.regexp_extract("key", r"^(.*?[^/]\.(?:" + "|".join(sorted(READERS)) + r"))/", 1)
+    inside = folder != ""
+    key = F.when(inside, folder).otherwise(F.col("key"))
+    cut = F.length("key") - F.length(key)
+    found = listing.where(~F.col("is_dir")).select(
+        key.alias("key"), F.left("path", F.length("path") - cut).alias("path")
+    ).distinct().where(P.is_valid_format("key", formats))
+    fmt = P.data_format("key")
+    if gz_format:
+        fmt = F.when(fmt == "", gz_format).otherwise(fmt)
+    hidden = P.base_name("key").rlike("^[_.]")
+    return found.withColumn("fmt", fmt).withColumn(
+        "reason",
+        F.when(hidden, "hidden from Spark's readers").when(F.col("fmt") == "", "no format inside .gz")
+        .when(~F.col("fmt").isin(*READERS), "no reader for its format"),
+    )
+
+
+def _report_skipped(objects: DataFrame) -> None:
+    skipped = objects.where("reason is not null")
+    n = skipped.count()
+    if n:
+        some = ", ".join(f"{r.key} ({r.reason})" for r in skipped.orderBy("key").limit(10).collect())
+        warnings.warn(f"{n} objects are not read: {some}{' ...' if n > 10 else ''}", SkippedFiles, stacklevel=3)
+
+
 def bucket_to_tables(
     spark: SparkSession,
     root: str,
@@ -162,61 +259,34 @@ def bucket_to_tables(
     prefix: str | None = None,
     formats: tuple[str, ...] = P.VALID_FORMATS,
     schemas: dict[str, StructType | str] | None = None,
+    gz_format: str | None = None,
     **read_options: str,
 ) -> list[str]:
-    """Load every file under ``root`` into a table named by its base name.
-
-    Files that share a base name (``2023/results.csv``, ``2024/results.csv``)
-    are read by one job into one table; files of the same name in different
-    formats are unioned by column name. A name's characters other than
-    letters, digits and ``_`` become ``_`` (``lap-times.csv`` -> table
-    ``lap_times``), as the catalog requires. Names and formats are derived and
-    grouped in Spark; the driver receives one row per (table, format) with
-    its distinct file names, and each table is read from the folder with a
-    file-name filter (exact paths only when ``prefix`` ends mid-name).
-    ``schemas`` maps table names to known schemas (no inference pass);
-    ``read_options`` go to every reader.
+    """Load every object under ``root`` into a table named by its base name.
+
+    Objects that share a base name (``2023/results.csv``, ``2024/results.csv``,
+    ``inputs/results.parquet/``) make one table, their columns united by name.
+    A name's characters other than letters, digits and ``_`` become ``_``
+    (``lap-times.csv`` -> table ``lap_times``), as the catalog requires. The
+    driver holds the paths of one table at a time. ``schemas`` maps table names
+    to known schemas (no inference pass), ``gz_format`` is the format of bare
+    ``.gz`` files, ``read_options`` go to every reader. What can't be read is
+    reported as a ``SkippedFiles`` warning.
     """
-    listing = list_objects(spark, root, prefix=prefix).where(P.is_valid_format("key", formats))
-    # At a folder boundary each table is read from its folder with a file-name
-    # filter, so the driver gets one row per (table, format) with the few
-    # distinct file names; the reader lists the files itself. Otherwise the
-    # exact file paths are needed.
-    at_boundary = not prefix or prefix.endswith("/")
-    load_dir = root.rstrip("/") + ("/" + prefix.rstrip("/") if prefix else "")
-    agg = [F.sort_array(F.collect_set(P.base_name("key"))).alias("names")]
-    if not at_boundary:
-        agg.append(F.sort_array(F.collect_list("path")).alias("paths"))
-    groups_df = (
-        listing.select("key", "path", table_name_col(F.col("key")).alias("table"), P.data_format("key").alias("fmt"))
-        .where(F.col("fmt").isin(*READERS.keys()))
-        .groupBy("table", "fmt")
-        .agg(*agg)
-    )
-    groups: dict[str, dict[str, tuple[list[str], list[str] | None]]] = {}
-    for r in groups_df.collect():
-        groups.setdefault(r.table, {})[r.fmt] = (list(r.names), list(r.paths) if not at_boundary else None)
+    objects = objects_of(list_objects(spark, root, prefix=prefix), formats, gz_format)
+    _report_skipped(objects)
+    rows = objects.where("reason is null").select(table_name_col(F.col("key")).alias("table"), "fmt", "path").orderBy("table", "fmt", "path")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
-    for name, by_fmt in sorted(groups.items()):
-        schema = (schemas or {}).get(name)
+    for name, of_table in groupby(rows.toLocalIterator(), key=lambda r: r.table):
         frames = []
-        for t, (names, paths) in sorted(by_fmt.items()):
-            if paths is None:
-                df = scan(
-                    spark, load_dir, t, schema=schema, recursiveFileLookup="true",
-                    pathGlobFilter=name_filter(names), **read_options,
-                )
-            else:
-                df = scan(spark, paths, t, schema=schema, **read_options)
-            frames.append(spread(df, names))
-        df = frames[0]
-        for other in frames[1:]:
-            df = df.unionByName(other, allowMissingColumns=True)
+        for t, of_format in groupby(of_table, key=lambda r: r.fmt):
+            paths = [r.path for r in of_format]
+            frames.append(spread(scan(spark, paths, t, schema=(schemas or {}).get(name), **read_options), paths))
         full = f"{database}.{name}" if database else name
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        df.write.mode("overwrite").saveAsTable(full)
+        _united(frames).write.mode("overwrite").saveAsTable(full)
         created.append(full)
     return created
 
@@ -274,6 +344,46 @@ def convert_file(
     return tgt
 
 
+def _targets(objects: DataFrame, tgt_root: str, target_dir: str | None, target_format: str) -> DataFrame:
+    """The objects with a ``target`` each, no two alike.
+
+    A target is named by the stem as long as that is unique; files that share
+    it (``2023/results.csv``, ``2024/results.csv``) keep their source folder,
+    and files that still share that (``a.csv``, ``a.json``) their full name.
+    """
+    key = F.col("key")
+    folder = F.regexp_extract(key, r"^(.*/)?[^/]*$", 1)
+    ending = F.lit(f".{target_format}")
+    base = "" if target_dir is None else target_dir.strip("/") + "/"
+    first = P.converted_key("key", target_format, None if target_dir is None else target_dir.rstrip("/"))
+    names = [first, F.concat(F.lit(base), folder, P.base_name("key", False), ending), F.concat(F.lit(base), key, ending)]
+    out = objects.withColumn("name", names[0])
+    for other in names[1:]:
+        shared = out.groupBy("name").count().where("count > 1").select("name", F.lit(True).alias("shared"))
+        out = out.join(shared, "name", "left").withColumn("name", F.when(F.col("shared"), other).otherwise(F.col("name"))).drop("shared")
+    return out.withColumn("target", F.concat(F.lit(tgt_root.rstrip("/") + "/"), "name")).drop("name")
+
+
+def _refuse_shared_targets(targets: DataFrame) -> None:
+    twice = targets.groupBy("target").count().where("count > 1").select("target").limit(5).collect()
+    if twice:
+        raise ValueError(f"several inputs would be written to {[r.target for r in twice]}; nothing was written")
+
+
+def _each(work: Iterator, run, parallelism: int) -> None:
+    """Run the items of a stream as concurrent Spark jobs, with few of them in hand at a time."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        running = set()
+        for item in work:
+            running.add(pool.submit(run, item))
+            if len(running) >= 2 * max(1, parallelism):
+                done, running = wait(running, return_when=FIRST_COMPLETED)
+                for x in done:
+                    x.result()
+        for x in running:
+            x.result()
+
+
 def bulk_convert(
     spark: SparkSession,
     src_root: str,
@@ -284,65 +394,48 @@ def bulk_convert(
     formats: tuple[str, ...] = P.VALID_FORMATS,
     parallelism: int = 4,
     by_folder: bool = False,
+    gz_format: str | None = None,
 ) -> DataFrame:
-    """Convert every file of a valid format under ``src_root``.
+    """Convert every object of a valid format under ``src_root``.
 
     Per file (default, the reference's behaviour): each file becomes its own
     dataset at its converted key, one Spark job per file, up to
-    ``parallelism`` at once. ``by_folder=True`` is the mode for many small
-    files: the files of one folder and one format -- assumed to share a
-    schema -- are converted by a single job into one dataset at
-    ``tgt_root/<folder>.<target_format>``. Returns ``(key, target)`` rows.
+    ``parallelism`` at once; targets are unique (see ``_targets``), and it is
+    checked before anything is written. ``by_folder=True`` is the mode for
+    many small files: the files of one folder and one format are converted by
+    a single job, columns by name, into one dataset at
+    ``tgt_root/<folder>.<target_format>``. Returns ``(key, target, reason)``
+    rows; an object that can't be read has a reason and no target, and a
+    ``SkippedFiles`` warning says so.
     """
-    listing = list_objects(spark, src_root, prefix=prefix).where(P.is_valid_format("key", formats))
-    listing = listing.where(P.data_format("key").isin(*READERS.keys()))
+    if by_folder and prefix and not prefix.endswith("/"):
+        raise ValueError("by_folder converts whole folders: the prefix must end with '/'")
+    objects = objects_of(list_objects(spark, src_root, prefix=prefix), formats, gz_format)
+    _report_skipped(objects)
+    good = objects.where("reason is null")
     if by_folder:
-        if prefix and not prefix.endswith("/"):
-            raise ValueError("by_folder converts whole folders: the prefix must end with '/'")
-        folder = F.regexp_extract(F.col("key"), r"^(.*)/[^/]*$", 1)
-        ext = P.extension("key")
-        suffix = F.when(P.file_type("key").isin(*P.COMPRESSION_SUFFIXES), F.concat(P.extension(P.strip_extension("key")), ext)).otherwise(ext)
-        keyed = listing.select("key", folder.alias("folder"), P.data_format("key").alias("fmt"), suffix.alias("suffix"))
-        # One row per (folder, format, suffix): the driver never sees file lists.
-        groups = keyed.select("folder", "fmt", "suffix").distinct().orderBy("folder", "fmt", "suffix").collect()
-        per_folder: dict[str, set[str]] = {}
-        for g in groups:
-            per_folder.setdefault(g.folder, set()).add(g.fmt)
-
-        def target(g) -> str:
-            name = g.folder or "_root"
-            if len(per_folder[g.folder]) > 1:
-                name = f"{name}.{g.fmt}"
-            return _join(tgt_root, f"{name}.{target_format}")
-
-        by_target: dict[str, list] = {}
-        for g in groups:
-            by_target.setdefault(target(g), []).append(g)
-
-        def convert(item):
-            tgt, gs = item
-            # Files directly in the folder with that suffix, by glob: the
-            # reader lists them; sub-folders are not included.
-            base = src_root.rstrip("/") + ("/" + glob_literal(gs[0].folder) if gs[0].folder else "")
-            globs = [f"{base}/*{glob_literal(g.suffix)}" for g in gs]
-            write(spread(scan(spark, globs, gs[0].fmt), [g.suffix for g in gs]), tgt, target_format)
-            return tgt
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(convert, sorted(by_target.items())))
-        mapping = spark.createDataFrame(
-            [(g.folder, g.fmt, g.suffix, target(g)) for g in groups], "folder string, fmt string, suffix string, target string"
-        )
-        return keyed.join(mapping, on=["folder", "fmt", "suffix"]).select("key", "target")
-
-    keys = [r.key for r in listing.select("key").orderBy("key").collect()]
-
-    def one(k: str):
-        return k, convert_file(spark, src_root, k, tgt_root, target_dir, target_format)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        done = list(pool.map(one, keys))
-    return spark.createDataFrame(done, "key string, target string")
+        folder = F.regexp_extract("key", r"^(.*)/[^/]*$", 1)
+        placed = good.withColumn("folder", folder)
+        several = placed.groupBy("folder").agg((F.count_distinct("fmt") > 1).alias("several"))
+        name = F.when(F.col("folder") == "", "_root").otherwise(F.col("folder"))
+        name = F.when(F.col("several"), F.concat_ws(".", name, "fmt")).otherwise(name)
+        target = F.concat(F.lit(tgt_root.rstrip("/") + "/"), name, F.lit(f".{target_format}"))
+        targets = placed.join(several, "folder").withColumn("target", target)
+        _refuse_shared_targets(targets.select("target", "folder", "fmt").distinct())
+    else:
+        targets = _targets(good, tgt_root, target_dir, target_format)
+        _refuse_shared_targets(targets)
+    rows = targets.select("target", "fmt", "path").orderBy("target", "fmt", "path").toLocalIterator()
+    work = (((target, fmt), [r.path for r in group]) for (target, fmt), group in groupby(rows, key=lambda r: (r.target, r.fmt)))
+
+    def convert(item) -> None:
+        (target, fmt), paths = item
+        write(spread(scan(spark, paths if len(paths) > 1 else paths[0], fmt), paths), target, target_format)
+
+    _each(work, convert, parallelism)
+    return targets.select("key", "target", "reason").unionByName(
+        objects.where("reason is not null").select("key", F.lit(None).cast("string").alias("target"), "reason")
+    )
 
 
 # Keyed-table storage defaults (fixed values from the reference's table options).
@@ -360,12 +453,21 @@ def write_partitioned(
     codec: str = TABLE_CODEC,
     max_file_bytes: int = MAX_FILE_BYTES,
     record_size: int = RECORD_SIZE_ESTIMATE,
+    cluster_by: list[str] | tuple[str, ...] = (),
 ) -> str:
     """Columnar write partitioned by derived date parts.
 
-    Files are capped at about ``max_file_bytes`` via a row cap computed from
-    the per-record size estimate; row groups are ``BLOCK_BYTES``.
+    Rows are rebalanced by the partition columns first, so a partition comes
+    from few tasks (and a large one from several) instead of every task
+    writing a small file for each. Files are capped at about
+    ``max_file_bytes`` via a row cap computed from the per-record size
+    estimate; row groups are ``BLOCK_BYTES``. ``cluster_by`` sorts the rows
+    of a file, so lookups by these columns skip row groups.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if cluster_by:
+        df = df.sortWithinPartitions(*partition_by, *cluster_by)
     (
         df.write.mode(mode)
         .partitionBy(*partition_by)

@@ -8,6 +8,8 @@ the same code works on any scheme Spark is configured for.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -32,74 +34,43 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def list_dir(spark: SparkSession, path: str) -> list[Entry]:
-    """Immediate children of a folder (no recursion); empty if it is missing."""
+def is_dir(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [
-        Entry(str(s.getPath().toString()), bool(s.isDirectory()), int(s.getLen()), int(s.getModificationTime()))
-        for s in fs.listStatus(p)
-    ]
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
 
 
-def glob(spark: SparkSession, pattern: str) -> list[Entry]:
-    fs, p = _fs(spark, pattern)
-    found = fs.globStatus(p)
-    if found is None:
-        return []
-    return [
-        Entry(str(s.getPath().toString()), bool(s.isDirectory()), int(s.getLen()), int(s.getModificationTime()))
-        for s in found
-    ]
+def _entry(status) -> Entry:
+    """One call instead of four: a status names its fields, in this order, in its text."""
+    m = _STATUS.match(str(status.toString()))
+    if m:
+        return Entry(m["path"], m["dir"] == "true", int(m["length"] or 0), int(m["time"]))
+    return Entry(str(status.getPath().toString()), bool(status.isDirectory()), int(status.getLen()), int(status.getModificationTime()))
 
 
-def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
+_STATUS = re.compile(
+    r"\w+\{path=(?P<path>.*); isDirectory=(?P<dir>true|false); (?:length=(?P<length>\d+); replication=\d+; blocksize=\d+; )?"
+    r"modification_time=(?P<time>\d+); (?!.*; isDirectory=)",
+    re.S,
+)
+
+
+def walk(spark: SparkSession, path: str, recursive: bool = True) -> Iterator[Entry]:
+    """Everything below a folder, hidden names included, one entry after the
+    other as the filesystem lists it; nothing if the folder is missing."""
     fs, p = _fs(spark, path)
-    return bool(fs.delete(p, recursive))
+    if not fs.exists(p):
+        return
+    found = fs.listFiles(p, True) if recursive else fs.listStatusIterator(p)
+    while found.hasNext():
+        yield _entry(found.next())
 
 
-def mkdirs(spark: SparkSession, path: str) -> bool:
+def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p = _fs(spark, path)
-    return bool(fs.mkdirs(p))
+    return bool(fs.delete(p, recursive))
 
 
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully-qualified form of ``path`` (``/x`` -> ``file:/x`` locally)."""
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString())
-
-
-def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True, atomic: bool = False) -> None:
-    """Write a small metadata file (a marker, a schema) in one call.
-
-    ``atomic=True`` writes a hidden temporary file beside it (Spark's file
-    sources skip names starting with ``.``) and renames it into place, so a
-    reader listing the folder never sees the file half-written.
-    """
-    fs, p = _fs(spark, path)
-    target = p
-    if atomic:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if atomic:
-        if overwrite and fs.exists(target):
-            fs.delete(target, False)
-        if not fs.rename(p, target):
-            raise OSError(f"could not move {p} to {target}")
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-    finally:
-        stream.close()
-    return bytes(data).decode("utf-8")

@@ -1,19 +1,29 @@
 """Object listing as a DataFrame.
 
-A listing is one row per file: ``key`` (path relative to the listed root),
-``path`` (fully qualified), ``size`` and ``last_modified``. It is built with
-the ``binaryFile`` source with its ``content`` column pruned away, so Spark
-lists the files (in parallel for large trees) and never opens them.
+A listing is one row per object: ``key`` (path relative to the listed root),
+``path`` (fully qualified), ``size`` and ``last_modified``. Spark's file
+sources leave out names that start with ``_`` or ``.``, an object store lists
+them, so the filesystem is asked: only the folder the prefix lies in, entry by
+entry. The driver holds ``CHUNK`` entries at most; a longer listing is written
+to the checkpoint folder in pieces and read from there.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from datetime import datetime, timezone
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
+from gridlake.session import scratch_path
 from gridlake.sources import fs
 
+CHUNK = 50_000
+
 LISTING_SCHEMA = StructType(
     [
         StructField("key", StringType()),
@@ -30,6 +40,18 @@ def _root(spark: SparkSession, root: str) -> str:
     return q if q.endswith("/") else q + "/"
 
 
+def _entries(spark: SparkSession, root: str, prefix: str, recursive: bool) -> Iterator[tuple]:
+    """The objects below the folder of the prefix; a sub-folder is one entry unless recursive."""
+    base = _root(spark, root)
+    folder = prefix.rpartition("/")[0]
+    for e in fs.walk(spark, base + folder, recursive):
+        path = e.path if e.path.startswith(base) else fs.qualify(spark, e.path)
+        key = path[len(base):] + ("/" if e.is_dir else "")
+        if key.startswith(prefix):
+            size, time = (None, None) if e.is_dir else (e.length, datetime.fromtimestamp(e.modification_time / 1000, timezone.utc))
+            yield key, path + ("/" if e.is_dir else ""), size, time, e.is_dir
+
+
 def list_objects(
     spark: SparkSession,
     root: str,
@@ -37,62 +59,28 @@ def list_objects(
     recursive: bool = True,
     start_after: str | None = None,
 ) -> DataFrame:
-    """Files under ``root`` whose key starts with ``prefix``.
+    """Objects under ``root`` whose key starts with ``prefix``, hidden ones included.
 
     ``recursive=False`` returns the entries directly under the prefix: files
     at that level, plus one row per sub-folder (its key ends with ``/`` and
     ``is_dir`` is true), as an object store's delimiter listing does.
-    ``start_after`` keeps keys that sort after it. Hidden files (names
-    starting with ``_`` or ``.``) are not listed, as Spark's file sources
-    skip them.
+    ``start_after`` keeps keys that sort after it.
     """
-    if not fs.exists(spark, root):
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    base = _root(spark, root)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(
-            F.col("path"),
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("last_modified"),
-        )
-    )
-    # Keys are relative to the qualified root.
-    files = files.withColumn("key", F.expr(f"substring(path, {len(base) + 1})"))
-    if prefix:
-        files = files.where(F.col("key").startswith(prefix))
-    if not recursive:
-        p = prefix or ""
-        # Cut the key after the first "/" that follows the prefix.
-        rest = F.substring(F.col("key"), len(p) + 1, 1 << 30)
-        slash = F.instr(rest, "/")
-        is_dir = slash > 0
-        entry = F.when(is_dir, F.concat(F.lit(p), F.left(rest, slash))).otherwise(F.col("key"))
-        files = (
-            files.select(
-                entry.alias("key"),
-                F.when(is_dir, F.concat(F.lit(base + p), F.left(rest, slash))).otherwise(F.col("path")).alias("path"),
-                F.when(~is_dir, F.col("size")).alias("size"),
-                F.when(~is_dir, F.col("last_modified")).alias("last_modified"),
-                is_dir.alias("is_dir"),
-            )
-            .distinct()
-        )
-    else:
-        files = files.withColumn("is_dir", F.lit(False))
-    if start_after:
-        files = files.where(F.col("key") > F.lit(start_after))
-    return files.select("key", "path", "size", "last_modified", "is_dir")
+    found = _entries(spark, root, prefix or "", recursive)
+    some = list(islice(found, CHUNK))
+    rows = spark.createDataFrame(some, LISTING_SCHEMA)
+    if len(some) == CHUNK:
+        path = scratch_path(spark, f"listing-{uuid.uuid4().hex}")
+        while some:
+            spark.createDataFrame(some, LISTING_SCHEMA).write.mode("append").parquet(path)
+            some = list(islice(found, CHUNK))
+        rows = spark.read.schema(LISTING_SCHEMA).parquet(path)
+    return rows.where(F.col("key") > F.lit(start_after)) if start_after else rows
 
 
 def prefix_exists(spark: SparkSession, root: str, prefix: str = "") -> bool:
     """True when at least one object or folder exists under ``root/prefix``.
 
-    Answered from filesystem metadata with a glob, without a Spark job.
+    The folder of the prefix is listed up to the first match.
     """
-    base = root if root.endswith("/") else root + "/"
-    # The prefix is literal text: escape the glob's special characters.
-    literal = "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in prefix)
-    return len(fs.glob(spark, f"{base}{literal}*")) > 0
+    return next(_entries(spark, root, prefix, recursive=False), None) is not None

@@ -1,11 +1,12 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridlake.keyed.merge import resolve
-from gridlake.keyed.table import KeyedTable, TableOptions
+from gridlake.keyed import ops
 
 LOG_SCHEMA = "k string, ord int, tb int, payload string, _commit_time string, _op string"
 
@@ -84,162 +85,6 @@ def test_resolve_as_of_prefixes(spark):
         assert sorted((r.payload, r._commit_time, r._op) for r in got) == want
 
 
-def _ts(s):
-    return dt.datetime.fromisoformat(s)
-
-
-RIDE_SCHEMA = "ride_id string, started_at timestamp, station string"
-
-
-@pytest.fixture()
-def rides(spark, tmp):
-    opts = TableOptions(name="rides", key=("ride_id",), ordering=("started_at",), tiebreak=("station",))
-    return KeyedTable(spark, f"{tmp}/rides", opts)
-
-
-def _rows(table, **kw):
-    return sorted((r.ride_id, r.station, r._op) for r in table.snapshot(**kw).collect())
-
-
-def test_keyed_table_lifecycle(spark, rides):
-    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
-    # create with a duplicate key: the later ride wins
-    t1 = rides.create(mk([("r1", "2023-05-01 10:00:00", "A"), ("r1", "2023-06-01 10:00:00", "B"), ("r2", "2023-01-01 00:00:00", "C")]))
-    assert _rows(rides) == [("r1", "B", "O"), ("r2", "C", "O")]
-    # bulk insert keeps duplicates
-    rides.insert(mk([("r3", "2024-01-01 00:00:00", "D"), ("r3", "2024-01-01 00:00:00", "E")]))
-    assert [r for r in _rows(rides) if r[0] == "r3"] == [("r3", "D", "I"), ("r3", "E", "I")]
-    # upsert older than stored does not win; newer does; key moves to another year
-    t3 = rides.upsert(mk([("r1", "2022-01-01 00:00:00", "OLD"), ("r2", "2024-02-02 00:00:00", "NEW")]))
-    got = dict(((a, b) for a, b, _ in _rows(rides)))
-    assert got["r1"] == "B" and got["r2"] == "NEW"
-    years = {r.ride_id: r.year for r in rides.snapshot().collect()}
-    assert years["r2"] == 2024
-    # upsert after duplicate inserts replaces them all
-    rides.upsert(mk([("r3", "2024-03-01 00:00:00", "F")]))
-    assert [r for r in _rows(rides) if r[0] == "r3"] == [("r3", "F", "U")]
-    # delete, including an unknown key; then insert after delete
-    rides.delete(spark.createDataFrame([("r1",), ("nope",)], "ride_id string"))
-    assert "r1" not in {r[0] for r in _rows(rides)}
-    rides.insert(mk([("r1", "2020-01-01 00:00:00", "BACK")]))
-    assert ("r1", "BACK", "I") in _rows(rides)
-    # as-of between commits
-    assert _rows(rides, as_of=t1) == [("r1", "B", "O"), ("r2", "C", "O")]
-    before_u = _rows(rides, as_of=t3)
-    assert ("r2", "NEW", "U") in before_u
-    # incremental: rows written after t3
-    inc = sorted(r.station for r in rides.incremental(t3).collect())
-    assert inc == ["BACK", "F"]
-    # compaction does not change any read
-    latest = _rows(rides)
-    tc = rides.compact()
-    assert _rows(rides) == latest
-    assert _rows(rides, as_of=t3) == before_u
-    rides.upsert(mk([("r2", "2025-01-01 00:00:00", "AFTER")]))
-    after = _rows(rides)
-    assert ("r2", "AFTER", "U") in after
-    # clean keeps the newest replace point (the compaction); older as-of raises
-    h = rides.clean()
-    assert h == tc
-    assert _rows(rides) == after
-    with pytest.raises(ValueError):
-        rides.snapshot(as_of=t3)
-    # point lookup
-    assert [r.station for r in rides.lookup(ride_id="r2").collect()] == ["AFTER"]
-    # the reference's read names work; unknown ones are rejected
-    assert sorted((r.ride_id, r.station) for r in rides.read("snap").collect()) == sorted(
-        (r.ride_id, r.station) for r in rides.snapshot().collect()
-    )
-    assert rides.read("incr", t3).count() == rides.incremental(t3).count()
-    with pytest.raises(ValueError):
-        rides.read("time", t1)  # below the clean horizon
-    with pytest.raises(ValueError):
-        rides.read("N")
-
-
-def test_second_and_empty_overwrite(spark, rides):
-    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
-    rides.create(mk([("r1", "2023-05-01 10:00:00", "A")]))
-    rides.insert(mk([("r2", "2023-05-01 10:00:00", "B")]))
-    rides.create(mk([("r9", "2023-05-01 10:00:00", "Z")]))
-    assert _rows(rides) == [("r9", "Z", "O")]
-    rides.create(spark.createDataFrame([], RIDE_SCHEMA))
-    assert _rows(rides) == []
-    rides.insert(mk([("r5", "2023-05-01 10:00:00", "E")]))
-    assert _rows(rides) == [("r5", "E", "I")]
-
-
-def test_failed_commit_is_invisible_and_cleaned(spark, rides, tmp):
-    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
-    rides.create(mk([("r1", "2023-05-01 10:00:00", "A")]))
-    # a commit folder without a timeline marker, as a crashed writer leaves it
-    orphan = mk([("r1", "2024-05-01 10:00:00", "GHOST")]).withColumn("_op", F.lit("U")).withColumn("year", F.year("started_at"))
-    orphan.write.partitionBy("year").parquet(f"{rides.log_path}/_commit_time=20000101000000000")
-    assert _rows(rides) == [("r1", "A", "O")]
-    rides.insert(mk([("r2", "2023-05-01 10:00:00", "B")]))
-    rides.clean(retain=5)
-    from gridlake.sources import fs
-
-    assert not fs.exists(spark, f"{rides.log_path}/_commit_time=20000101000000000")
-
-
-def test_point_lookup_pushes_key_filter(spark, rides):
-    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
-    rides.create(mk([("r1", "2023-05-01 10:00:00", "A"), ("r2", "2023-05-01 10:00:00", "B")]))
-    rides.upsert(mk([("r1", "2024-05-01 10:00:00", "A2")]))
-    plan = rides.lookup(ride_id="r1")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(ride_id,r1)" in plan
-
-
-def test_date_part_partitions_json_deletes_and_log_table(spark, tmp):
-    opts = TableOptions(name="rides_ymd", partition_by=("year", "month", "day"), tiebreak=("station",))
-    t = KeyedTable(spark, f"{tmp}/ymd", opts)
-    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
-    t.create(mk([("r1", "2023-05-01 10:00:00", "A"), ("r2", "2024-02-03 10:00:00", "B")]))
-    import os
-
-    assert os.path.isdir(f"{tmp}/ymd/log") and any("month=5" in d for d, _, _ in os.walk(f"{tmp}/ymd/log"))
-    got = {r.ride_id: (r.year, r.month, r.day) for r in t.snapshot().collect()}
-    assert got == {"r1": (2023, 5, 1), "r2": (2024, 2, 3)}
-    # delete keys read from a JSON file
-    with open(f"{tmp}/delete_ids.json", "w") as f:
-        f.write('{"ride_id": "r2"}\n')
-    from gridlake.sources.files import scan
-
-    t.delete(scan(spark, f"{tmp}/delete_ids.json"))
-    assert [r.ride_id for r in t.snapshot().collect()] == ["r1"]
-    # the raw change log as an external table
-    name = t.register_log_table("lake_hist")
-    assert spark.sql(f"SELECT count(*) AS n FROM {name}").first().n == 3
-    assert spark.sql(f"SELECT count(*) AS n FROM {name} WHERE _op = 'D'").first().n == 1
-    view = t.register("rides_now")
-    assert spark.sql(f"SELECT count(*) AS n FROM {view}").first().n == 1
-
-
-def test_import_log_matches_resolve(spark, tmp):
-    from gridlake.plans import changelog
-
-    sf = "/root/testdata/sf0.001"
-    log = changelog.events_log(spark, sf, "value")
-    opts = TableOptions(name="ev", key=("user_id",), ordering=("value",), tiebreak=("event_id",), date_source="ts")
-    t = KeyedTable(spark, f"{tmp}/ev", opts)
-    commits = t.import_log(log)
-    assert commits == sorted(commits) and len(commits) == len(t.commits())
-    want = resolve(log, "user_id", "value", "event_id", "event")
-    cols = ["event_id", "_commit_time", "_op"]
-    got = sorted(tuple(r) for r in t.snapshot().select(*cols).collect())
-    assert got == sorted(tuple(r) for r in want.select(*cols).collect())
-    mid = commits[len(commits) // 2]
-    want_mid = resolve(log.where(F.col("_commit_time") <= mid), "user_id", "value", "event_id", "event")
-    assert sorted(tuple(r) for r in t.snapshot(as_of=mid).select(*cols).collect()) == sorted(
-        tuple(r) for r in want_mid.select(*cols).collect()
-    )
-    t.compact()
-    assert sorted(tuple(r) for r in t.snapshot().select(*cols).collect()) == got
-    with pytest.raises(ValueError):
-        t.import_log(log)
-
-
 def replay_composite(log_rows, mode):
     """The sequential model with ordering (o1, o2), each NULL lowest."""
 
@@ -288,95 +133,144 @@ def test_resolve_composite_ordering(spark, seed):
     got = sorted((r.payload, r._commit_time, r._op) for r in resolve(df, "k", ["o1", "o2"], "tb", "event").collect())
     assert got == replay_composite(rows, "event")
 
+RIDES = "ride_id string, started_at timestamp, station string, year int"
+KEYS = dict(key="ride_id", ordering="started_at", tiebreak="station")
 
-def test_clean_policies(spark, tmp):
-    mk = lambda rows: spark.createDataFrame([(a, _ts(b), c) for a, b, c in rows], RIDE_SCHEMA)
-    t = KeyedTable(spark, f"{tmp}/cp", TableOptions(name="cp", tiebreak=("station",)))
-    c1 = t.create(mk([("r1", "2023-05-01 10:00:00", "A")]))
-    c2 = t.insert(mk([("r2", "2023-05-02 10:00:00", "B")]))
-    b1 = t.compact()
-    c3 = t.upsert(mk([("r1", "2023-06-01 10:00:00", "A2")]))
-    c4 = t.insert(mk([("r3", "2023-06-02 10:00:00", "C")]))
-    rows_now = _rows(t)
-    # the reference's "time" read is a read at an instant
-    assert sorted((r.ride_id, r.station) for r in t.read("time", c2).collect()) == [("r1", "A"), ("r2", "B")]
-    # keep the newest two commits readable: c3 needs base b1 (newest replace point <= c3)
-    assert t.clean(retain=2) == b1
-    assert _rows(t) == rows_now
-    assert _rows(t, as_of=c3) == [("r1", "A2", "U"), ("r2", "B", "I")]
-    with pytest.raises(ValueError):
-        t.snapshot(as_of=c2)
-    # nothing more to clean under the same policy
-    assert t.clean(retain=2) == ""
-    # versions policy with one version: the newest replace point is still b1
-    assert t.clean(retain=1, policy="versions") == ""
-    b2 = t.compact()
-    assert t.clean(retain=1, policy="versions") == b2
-    assert _rows(t) == rows_now
-    with pytest.raises(ValueError):
-        t.snapshot(as_of=c4)
-    import os
 
-    assert not any(n < b2 for n in os.listdir(f"{tmp}/cp/base"))
-    assert c1 < c2 < b1 < c3 < c4 < b2
+def _rides(spark, rows):
+    data = [(k, dt.datetime.fromisoformat(t) if t else None, s) for k, t, s in rows]
+    return spark.createDataFrame([(*r, r[1].year if r[1] else None) for r in data], RIDES)
 
 
-def test_schema_evolution(spark, tmp):
-    t = KeyedTable(spark, f"{tmp}/evo", TableOptions(name="evo", tiebreak=("station",)))
-    t.create(spark.createDataFrame([("r1", _ts("2023-05-01 10:00:00"), "A")], RIDE_SCHEMA))
-    # a new column is added; older rows read it as NULL
-    t.insert(
-        spark.createDataFrame(
-            [("r2", _ts("2023-06-01 10:00:00"), "B", 7)], RIDE_SCHEMA + ", bikes int"
-        )
-    )
-    got = {r.ride_id: r.bikes for r in t.snapshot().collect()}
-    assert got == {"r1": None, "r2": 7}
-    # a narrower type is widened on write; a changed type is refused
-    t.upsert(spark.createDataFrame([("r1", _ts("2024-01-01 00:00:00"), "A2", 3)], RIDE_SCHEMA + ", bikes short"))
-    assert {r.ride_id: r.bikes for r in t.snapshot().collect()} == {"r1": 3, "r2": 7}
+def _stations(rows):
+    return sorted((r.ride_id, r.station) for r in rows.collect())
+
+
+@pytest.mark.parametrize("mode", ["event", "commit"])
+@pytest.mark.parametrize("seed", range(2))
+def test_operations_one_by_one_match_the_replay(spark, seed, mode):
+    """T1-T4 applied commit after commit give what the sequential model gives."""
+    log = random_log(50 + seed, n_keys=6, n_commits=8)
+    schema = "k string, ord int, tb int, payload string"
+    rows = spark.createDataFrame([], schema)
+    by_commit = {}
+    for r in log:
+        by_commit.setdefault(r["_commit_time"], []).append(r)
+    for t in sorted(by_commit):
+        batch = spark.createDataFrame([(r["k"], r["ord"], r["tb"], r["payload"]) for r in by_commit[t]], schema)
+        op = by_commit[t][0]["_op"]
+        if op == "O":
+            rows = batch  # the model's overwrite keeps duplicates
+        elif op == "I":
+            rows = ops.insert(rows, batch, "k")
+        elif op == "U":
+            rows = ops.upsert(rows, batch, "k", "ord", "tb", mode)
+        else:
+            rows = ops.delete(rows, batch, "k")
+        rows = spark.createDataFrame(rows.collect(), schema)
+    assert sorted(r.payload for r in rows.collect()) == sorted(p for p, _, _ in replay(log, mode))
+
+
+def test_create_insert_upsert_delete(spark):
+    rows = ops.create(_rides(spark, [("r1", "2023-05-01", "A"), ("r1", "2023-06-01", "B"), ("r2", "2023-01-01", "C")]), **KEYS)
+    assert _stations(rows) == [("r1", "B"), ("r2", "C")]
+    rows = ops.insert(rows, _rides(spark, [("r3", "2024-01-01", "D"), ("r3", "2024-01-01", "E")]), "ride_id")
+    # an upsert that is older than what is stored changes nothing; a newer one moves the key to another year
+    rows = ops.upsert(rows, _rides(spark, [("r1", "2022-01-01", "OLD"), ("r2", "2024-02-02", "NEW")]), **KEYS)
+    assert _stations(rows) == [("r1", "B"), ("r2", "NEW"), ("r3", "D"), ("r3", "E")]
+    assert {r.ride_id: r.year for r in rows.collect()}["r2"] == 2024
+    rows = ops.upsert(rows, _rides(spark, [("r3", "2024-03-01", "F")]), **KEYS)
+    rows = ops.delete(rows, spark.createDataFrame([("r1",), ("nope",)], "ride_id string"), "ride_id")
+    assert _stations(rows) == [("r2", "NEW"), ("r3", "F")]
+    # a column that a batch adds is NULL in older rows
+    wider = ops.insert(rows, _rides(spark, [("r4", "2024-01-01", "G")]).withColumn("extra", F.lit(1)), "ride_id")
+    assert {r.ride_id: r.extra for r in wider.collect()} == {"r2": None, "r3": None, "r4": 1}
+
+
+@pytest.mark.parametrize("write", ["create", "insert", "upsert"])
+def test_null_keys_are_refused(spark, write):
+    rows, batch = _rides(spark, [("r1", "2023-05-01", "A")]), _rides(spark, [(None, "2023-05-01", "B")])
+    with pytest.raises(Exception, match="ride_id is NULL"):
+        (ops.create(batch, **KEYS) if write == "create" else ops.insert(rows, batch, "ride_id") if write == "insert" else ops.upsert(rows, batch, **KEYS)).collect()
+
+
+def test_null_keys_in_a_log_do_not_pass_in_silence(spark):
+    log = spark.createDataFrame([(None, 1, 1, "p", "20240101000000000", "I")], LOG_SCHEMA)
+    with pytest.raises(Exception, match="k is NULL"):
+        resolve(log, "k", "ord", "tb").collect()
+
+
+def test_reads_by_name(spark):
+    rows = random_log(7, n_commits=20)
+    df = spark.createDataFrame([tuple(r[c] for c in ("k", "ord", "tb", "payload", "_commit_time", "_op")) for r in rows], LOG_SCHEMA)
+    at = sorted({r["_commit_time"] for r in rows})[9]
+    read = lambda how, t=None: sorted((r.payload, r._commit_time, r._op) for r in ops.read(df, how, "k", "ord", "tb", at=t).collect())
+    now = replay(rows, "event")
+    assert read("snapshot") == read("snap") == now
+    assert read("as_of", at) == read("time", at) == replay([r for r in rows if r["_commit_time"] <= at], "event")
+    assert read("incremental", at) == read("incr", at) == [r for r in now if r[1] > at]
+    for how in ("as_of", "incremental"):
+        with pytest.raises(ValueError):
+            read(how)
     with pytest.raises(ValueError):
-        t.insert(spark.createDataFrame([("r3", _ts("2024-01-01 00:00:00"), "C", "x")], RIDE_SCHEMA + ", bikes string"))
+        read("latest")
 
 
-def test_instants():
-    from gridlake.keyed.table import instant
+def test_an_overwrite_without_rows_empties_the_table(spark):
+    log = spark.createDataFrame([("a", 1, 1, "p", "20240101000000000", "I")], LOG_SCHEMA)
+    commits = spark.createDataFrame([("20240101000000000", "I"), ("20240102000000000", "O")], "_commit_time string, _op string")
+    assert ops.read(log, "snapshot", "k", "ord", "tb", commits=commits).count() == 0
 
-    assert instant("20250126162059363") == "20250126162059363"
-    assert instant("20250126162059") == "20250126162059000"
-    assert instant("2025-01-26 16:20:59.363") == "20250126162059363"
-    assert instant(dt.datetime(2025, 1, 26, 16, 20, 59, 363000)) == "20250126162059363"
-    with pytest.raises(ValueError):
-        instant("yesterday")
 
+def test_stored_rows_by_date_parts(spark, tmp):
+    """Partitioned files, an external table, a view, a lookup that reaches the scan."""
+    from gridlake.sources.files import add_date_parts, write_partitioned
 
-def test_import_log_retry_does_not_duplicate(spark, tmp):
-    from gridlake.plans import changelog
+    rows = add_date_parts(_rides(spark, [("r1", "2023-05-01", "A"), ("r2", "2024-02-03", "B")]), "started_at", ["year", "month", "day"])
+    write_partitioned(rows, f"{tmp}/rides", ["year", "month", "day"], cluster_by=["ride_id"])
+    ops.external_table(spark, "rides_by_day", f"{tmp}/rides", ["year", "month", "day"])
+    stored = spark.table("rides_by_day")
+    assert {r.ride_id: (r.year, r.month, r.day) for r in stored.collect()} == {"r1": (2023, 5, 1), "r2": (2024, 2, 3)}
+    assert dict(stored.dtypes)["year"] == "int" and dict(spark.read.parquet(f"{tmp}/rides").dtypes)["year"] == "int"
+    found = ops.lookup(stored, ride_id="r1")
+    assert [r.station for r in found.collect()] == ["A"]
+    assert "EqualTo(ride_id,r1)" in found._jdf.queryExecution().executedPlan().toString()
+    ops.temp_view(stored, "rides_now")
+    assert spark.sql("SELECT count(*) AS n FROM rides_now WHERE year = 2024").first().n == 1
+    spark.sql("DROP TABLE rides_by_day")
 
-    log = changelog.events_log(spark, "/root/testdata/sf0.001", "value")
-    opts = TableOptions(name="ev2", key=("user_id",), ordering=("value",), tiebreak=("event_id",), date_source="ts")
-    t = KeyedTable(spark, f"{tmp}/ev2", opts)
-    # a failed first attempt leaves commit folders and no timeline markers
-    log.write.partitionBy("_commit_time", "year").parquet(f"{tmp}/ev2/log")
-    assert t.timeline() == []
-    t.import_log(log)  # the retry
-    n_log = spark.read.parquet(f"{tmp}/ev2/log").count()
-    assert n_log == log.count()
 
+def test_few_files_for_few_partitions(spark, tmp):
+    import glob
 
-def test_batch_marker_and_changes(spark, tmp):
-    import os
+    from gridlake.sources.files import write_partitioned
 
+    rows = spark.range(20_000).repartition(16).selectExpr("id", "cast(id % 4 as int) as year")
+    write_partitioned(rows, f"{tmp}/few", ["year"])
+    assert len(glob.glob(f"{tmp}/few/year=*/*.parquet")) <= 8
+
+
+def test_bounds_reach_the_scan(spark):
     from gridlake.plans import changelog
 
-    log = changelog.events_log(spark, "/root/testdata/sf0.001", "value")
-    opts = TableOptions(name="ev3", key=("user_id",), ordering=("value",), tiebreak=("event_id",), date_source="ts")
-    t = KeyedTable(spark, f"{tmp}/ev3", opts)
-    commits = t.import_log(log)
-    markers = [n for n in os.listdir(f"{tmp}/ev3/timeline") if not n.startswith(".")]
-    assert markers == [f"{commits[-1]}.batch.{len(commits)}"]
-    assert [a.time for a in t.commits()] == commits
-    some = commits[3:6]
-    got = t.changes(some).groupBy("_commit_time").count().collect()
-    want = log.where(F.col("_commit_time").isin(*some)).groupBy("_commit_time").count().collect()
-    assert sorted(got) == sorted(want)
+    sf = "/root/testdata/sf0.001"
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    log = changelog.events_log(spark, sf, "value", "20240112999999999")
+    scans = [x for x in plan(log).splitlines() if "FileScan" in x]
+    assert all("LessThan(ts,2024-01-13" in x for x in scans)  # the as-of bound
+    assert any(re.search(r"\(ts#\d+ >= Subquery", x) for x in scans)  # the overwrite bound
+    assert "GreaterThanOrEqual(ts,2024-01-25" in plan(changelog.touched_since(spark, sf, "20240125000000000"))
+    days = {r.d for r in changelog.events_log(spark, sf, "value").selectExpr("substr(_commit_time, 7, 2) d").distinct().collect()}
+    assert len(days) >= 25  # every day can affect an answer
+
+
+def test_a_copied_log_gains_only_what_is_new(spark, tmp):
+    from gridlake.streaming.copy import copy_new
+
+    one = spark.createDataFrame([tuple(r.values()) for r in random_log(3)], LOG_SCHEMA)
+    one.write.parquet(f"{tmp}/log")
+    for extra in (0, 0, 5):  # run, run again, run after more has been written
+        if extra:
+            one.limit(extra).write.mode("append").parquet(f"{tmp}/log")
+        copy_new(spark, f"{tmp}/log", f"{tmp}/copy", f"{tmp}/checkpoint").awaitTermination()
+        assert spark.read.parquet(f"{tmp}/copy").count() == one.count() + extra

@@ -118,19 +118,37 @@ def test_warehouse_views_match_reports(spark):
     assert rf.count() == facts.result_facts(t).count()
 
 
-def test_bounded_dimension_is_broadcast_without_size_stats(spark):
-    from gridlake.operators.joins import Dim, star_join
-
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        fact = spark.range(1000).selectExpr("id", "id % 25 AS n_nationkey")
-        nation = spark.read.parquet(f"{SF001}/nation.parquet").selectExpr("CAST(n_nationkey AS BIGINT) AS n_nationkey", "n_name")
-        joined = star_join(fact, [Dim(nation, "n_nationkey", max_rows=25)])
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan
-        unbounded = star_join(fact, [Dim(nation, "n_nationkey")])
-        assert "SortMergeJoin" in unbounded._jdf.queryExecution().executedPlan().toString()
-        assert joined.count() == 1000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_points_are_summed_exactly(spark):
+    rows = [("A", 0.004)] * 1000 + [("B", 0.1)] * 10 + [("B", None)] + [("C", 1e-9)]
+    facts = spark.createDataFrame(rows, "driver_name string, points double")
+    assert [tuple(r) for r in reports.driver_points(facts).collect()] == [("A", 4.0), ("B", 1.0), ("C", 1e-9)]
+
+
+def test_views_and_frames_agree(spark):
+    """Every report has one definition; its view over saved facts gives the frame's rows in the same order."""
+    from gridlake.plans import catalog, racing
+
+    t = racing.from_tpch(spark, SF001)
+    catalog.build_warehouse(spark, t, "agree_raw", "agree_derived")
+    for name, report in reports.REPORTS.items():
+        want = report.frame(spark.table(f"agree_derived.{report.source}")).collect()
+        assert spark.table(f"agree_derived.{name}").collect() == want and (want or name)
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_the_warehouse_keeps_what_it_reads(spark):
+    from gridlake.__main__ import main
+    from gridlake.plans import catalog, racing
+
+    t = racing.from_tpch(spark, SF001)
+    catalog.reset_schemas(spark, ("keep_raw",))
+    catalog.save_raw(t, "keep_raw")
+    before = {x.name: spark.table(f"keep_raw.{x.name}").count() for x in spark.catalog.listTables("keep_raw")}
+    assert main(["warehouse", "--raw-db", "keep_raw", "--derived-db", "keep_derived"]) == 0
+    catalog.build_warehouse(spark, racing.from_tables(spark, "keep_raw"), "keep_raw", "keep_derived")
+    assert {x.name: spark.table(f"keep_raw.{x.name}").count() for x in spark.catalog.listTables("keep_raw")} == before
+    assert len(before) == 7 and spark.table("keep_derived.driverPoints").count() > 0
+    for other in ("keep_raw", "keep_derived"):
+        with pytest.raises(ValueError):
+            catalog.build_derived(spark, other, other)
+    spark.catalog.setCurrentDatabase("default")

@@ -1,4 +1,6 @@
-from gridlake.session import DEFAULTS, build_session, checkpoint_dir
+import pytest
+
+from gridlake.session import DEFAULTS, build_session, checkpoint_dir, ensure_checkpoint_dir
 
 
 def test_defaults_do_not_override_set_values(spark):
@@ -17,5 +19,26 @@ def test_defaults_do_not_override_set_values(spark):
         spark.conf.set(key, old)
 
 
-def test_checkpoint_dir_is_set(spark):
-    assert checkpoint_dir(spark)
+def test_a_local_master_gets_a_local_checkpoint_folder(spark):
+    assert ensure_checkpoint_dir(spark) and checkpoint_dir(spark)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -69,6 +70,9 @@ class Stage:
         path = f"{self.base}/{self.n:03d}-{name}"
         df.write.parquet(path)
         self.paths[name] = path
+        # Shuffle files go when the driver's garbage collector meets their plans, which may be long after.
+        gc.collect()
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

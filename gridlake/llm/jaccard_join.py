@@ -309,11 +309,12 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     stage = Stage(docs.sparkSession, "jaccard")
     docs = texts(docs)
     described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, point binary, cells array<long>"), "described")
-    known = docs.where("doc_id is not null and text is not null")
     members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
     # Cells with at least two documents, with the smallest and the largest of them.
     shared = members.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     met = stage.write(members.join(shared, "cell"), "met")
+    # The texts that verification may need: written once, the others stay where they are.
+    known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
     edges = None
     for center in ("low", "high"):
         star = met.where(F.col("doc_id") != F.col(center)).select(
@@ -343,7 +344,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     )
     pairs = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long").distinct()
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
-    stage.drop("met")
+    stage.drop("met", "known", "edges-low", "edges-high")
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")
     return described.select("doc_id", F.col("n").alias("n_shingles")).join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

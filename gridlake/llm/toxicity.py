@@ -347,7 +347,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     number = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # two rows
     share = F.when(F.col("toxic") == 1, SAMPLE / number.get(1, 1)).otherwise(SAMPLE / number.get(0, 1))
     sample = marked.where(unit_hash(F.col("doc_id"), 6) < share)
-    rows = texts(docs).where("text is not null").join(sample, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    # About twice SAMPLE ids, whatever the input: small enough to send everywhere, so that no text is shuffled to find them.
+    rows = texts(docs).where("text is not null").join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
     some = sorted((r["text"], r["toxic"]) for r in rows.collect())  # about twice SAMPLE documents
     return fit([t for t, _ in some], [y for _, y in some])
 

@@ -22,7 +22,7 @@ MSG_DASH_PERIOD = "Bucket name cannot have dashes and periods next to each other
 MSG_IP_FORM = "Bucket name cannot be in IP address format"
 VERDICT_OK = "Success"
 VERDICT_FAILED = "Failed!"
-
+# The two patterns that decide which names are reported.
 CHARSET_RE = r"^[a-z0-9.-]+$"
 IP_FORM_RE = r"^(\d{1,3}\.){3}\d{1,3}$"
 

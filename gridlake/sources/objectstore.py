@@ -16,14 +16,13 @@ def s3a_settings(
     ssl: bool = False,
 ) -> dict[str, str]:
     """Session settings for an S3-compatible endpoint (path-style, no SSL by default)."""
+    # The property names of the public s3a connector.
     return {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.access.key": access_key,
         "spark.hadoop.fs.s3a.secret.key": secret_key,
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
         "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
-        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
-        "spark.hadoop.fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider",
     }
 
 

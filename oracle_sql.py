@@ -339,8 +339,45 @@ OBJECTS = {
 }
 
 
+_FORMATS = ("csv", "csv_gz", "json", "json_gz", "orc", "parquet")
+_CODED = "SELECT *, CASE s_suppkey % 4 WHEN 0 THEN '007' WHEN 1 THEN '1.50' WHEN 2 THEN '' END AS code FROM supplier"
+
+ROUND_TRIPS = {
+    "bulkConvertRoundTrip": "SELECT * FROM customer",
+    "bucketToTables": "SELECT * FROM customer",
+    "convertThenLoad": RACING["raceDriverSample"],
+    "scanFormats": " UNION ALL ".join(f"SELECT *, '{f}' AS read_from FROM supplier" for f in _FORMATS),
+    "fileToTableAndBack": "SELECT * FROM part",
+    **{f"exportImport{f}": _CODED for f in ("Parquet", "Csv", "Json", "Orc")},
+    "partitionedEvents": "SELECT *, year(ts) AS year, month(ts) AS month, day(ts) AS day FROM events",
+    "pointLookup": "SELECT * FROM orders WHERE o_orderkey = 7",
+    # One pass per operation: what each leaves of the rows before it.
+    "keyedOperations": """
+WITH ev AS (SELECT *, day(ts) AS day FROM events),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY user_id, day <= 10 ORDER BY value DESC NULLS LAST, event_id DESC) AS rn
+    FROM ev WHERE day <= 10 OR day > 20
+),
+stored AS (
+    SELECT * EXCLUDE (rn) FROM ranked WHERE day <= 10 AND rn = 1
+    UNION ALL SELECT * FROM ev WHERE day > 10 AND day <= 20 AND event_type = 'purchase'
+),
+firing AS (
+    SELECT r.* EXCLUDE (rn) FROM ranked r
+    WHERE r.day > 20 AND r.rn = 1 AND NOT EXISTS (
+        SELECT 1 FROM stored s WHERE s.user_id = r.user_id AND s.value IS NOT NULL AND (r.value IS NULL OR s.value > r.value))
+)
+SELECT * FROM (
+    SELECT * FROM firing UNION ALL SELECT * FROM stored WHERE user_id NOT IN (SELECT user_id FROM firing)
+) WHERE user_id NOT IN (SELECT user_id FROM ev WHERE day = 30 AND event_type = 'error')""",
+    # The stored views answer as the reports do.
+    **{f"view_{name}": RACING[name] for name in RACING if name.startswith(("constructor", "driver", "fastest", "most")) and not name.endswith(("1997", "2000"))},
+}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(RACING)
     out.update(KEYED)
     out.update(OBJECTS)
+    out.update(ROUND_TRIPS)
     return out

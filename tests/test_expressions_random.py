@@ -3,7 +3,6 @@ all in one DataFrame per test (one Spark job, thousands of cases)."""
 
 import os
 import random
-import re
 
 from gridlake.functions import names as N
 from gridlake.functions import paths as P
@@ -43,34 +42,48 @@ def test_paths_match_os_path(spark):
         assert r.fmt == P.py_data_format(k), k
 
 
-def _rules(name, lo=3, hi=63):
-    out = []
-    if not lo <= len(name) <= hi:
-        out.append(N.MSG_LENGTH)
-    if not re.match(r"^[a-z0-9.-]+$", name):
-        out.append(N.MSG_CHARSET)
-    if "_" in name:
-        out.append(N.MSG_UNDERSCORE)
-    if name.endswith("-"):
-        out.append(N.MSG_TRAILING_DASH)
-    if ".." in name:
-        out.append(N.MSG_DOUBLE_PERIOD)
-    if ".-" in name or "-." in name:
-        out.append(N.MSG_DASH_PERIOD)
-    if re.match(r"^(\d{1,3}\.){3}\d{1,3}$", name):
-        out.append(N.MSG_IP_FORM)
-    return out
+def _check(spark, names):
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", N.name_failures("n").alias("f"), N.name_verdict("n").alias("v"))
+    return {r.n: (list(r.f), r.v) for r in df.collect()}
 
 
-def test_name_rules_match_python_model(spark):
+def test_names_of_plain_labels_are_valid_and_each_blemish_adds_its_message(spark):
+    """Names are built valid, then spoilt in one known way at a time; the message of that way, and no other, appears."""
     rnd = random.Random(11)
-    names = {"".join(rnd.choice("ab1.-_A9") for _ in range(rnd.randint(0, 70))) for _ in range(3000)}
-    names |= {f"{rnd.randint(0, 999)}.{rnd.randint(0, 999)}.{rnd.randint(0, 999)}.{rnd.randint(0, 999)}" for _ in range(50)}
-    names = sorted(names)
-    df = spark.createDataFrame([(n,) for n in names], "n string").select(
-        "n", N.name_failures("n").alias("f"), N.name_verdict("n").alias("v")
-    )
-    for r in df.collect():
-        want = _rules(r.n)
-        assert list(r.f) == want, r.n
-        assert r.v == (N.VERDICT_OK if not want else "\n".join([N.VERDICT_FAILED] + want))
+    label = lambda: "".join(rnd.choice("abcxyz") for _ in range(rnd.randint(3, 9)))
+    spoil = {
+        N.MSG_DOUBLE_PERIOD: lambda n: n + ".." + label(),
+        N.MSG_DASH_PERIOD: lambda n: n + rnd.choice([".-", "-."]) + label(),
+        N.MSG_TRAILING_DASH: lambda n: n + "-",
+        N.MSG_CHARSET: lambda n: n + rnd.choice("A !/\u00e9"),
+        N.MSG_LENGTH: lambda n: rnd.choice([n[:2], (n + label() * 20)[:64].rstrip("-.") .ljust(64, "a")]),
+    }
+    good = {rnd.choice(["-", "."]).join(label() for _ in range(rnd.randint(1, 5))) for _ in range(400)}
+    bad = {make(n): (n, msg) for n in sorted(good) for msg, make in spoil.items()}
+    got = _check(spark, sorted(good | set(bad)))
+    for n in good:
+        assert got[n] == ([], N.VERDICT_OK), n
+    for n, (_, msg) in bad.items():
+        if n not in good:
+            assert got[n][0] == [msg], n
+            assert got[n][1] == N.VERDICT_FAILED + "\n" + msg
+
+
+def test_failures_of_random_names_are_consistent(spark):
+    rnd = random.Random(12)
+    names = sorted({"".join(rnd.choice("ab1.-_A9") for _ in range(rnd.randint(0, 70))) for _ in range(3000)})
+    got = _check(spark, names)
+    order = [N.MSG_LENGTH, N.MSG_CHARSET, N.MSG_UNDERSCORE, N.MSG_TRAILING_DASH, N.MSG_DOUBLE_PERIOD, N.MSG_DASH_PERIOD, N.MSG_IP_FORM]
+    for n, (fails, verdict) in got.items():
+        assert fails == [m for m in order if m in fails]  # each at most once, in the fixed order
+        assert (N.MSG_UNDERSCORE in fails) <= (N.MSG_CHARSET in fails)  # an underscore is no allowed character either
+        assert verdict.split("\n") == ([N.VERDICT_FAILED, *fails] if fails else [N.VERDICT_OK])
+        assert (N.MSG_LENGTH in fails) == (len(n) not in range(3, 64))
+
+
+def test_addresses_are_no_names(spark):
+    rnd = random.Random(13)
+    octets = [".".join(str(rnd.randint(0, 999)) for _ in range(4)) for _ in range(50)]
+    got = _check(spark, octets + [o + ".x" for o in octets] + [o.rpartition(".")[0] for o in octets])
+    for o in octets:
+        assert got[o][0] == [N.MSG_IP_FORM] and got[o + ".x"][0] == [] and got[o.rpartition(".")[0]][0] == []

@@ -27,7 +27,8 @@ Plan shape (why it survives a key holding a third of the table):
   greatest ordering value -- and *semi-joined* back on (key, commit). The
   windows run on the summary, whose size per key is the number of commits,
   not rows, and which carries no row payload through its sorts.
-* Rule 3 is a separate ``max_by`` aggregate over the upsert rows only.
+* Rule 3 is a separate ranking of the upsert rows only, cut to the best row of
+  a (key, commit) before the shuffle.
 * The semi-joins are on (key, commit), so both sides are shuffled for them
   and AQE can split a skewed (key, commit) partition, or broadcast the
   summary side when it turns out small at runtime.
@@ -40,7 +41,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.operators.dedupe import order_key
+from gridlake.operators.dedupe import latest_per_key, order_key
 
 COMMIT = "_commit_time"
 OP = "_op"
@@ -119,17 +120,8 @@ def commit_summary(log: DataFrame, key: Sequence[str], ordering: Sequence[str],
 
 
 def best_upserts(log: DataFrame, key: Sequence[str], ordering: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
-    """Rule 3: the best U row per (key, commit), as a ``_best`` struct.
-
-    ``max_by`` is an aggregate, so a key with many upserts in one commit is
-    reduced map-side before its rows meet in one task.
-    """
-    row = F.struct(*[F.col(c) for c in log.columns])
-    return (
-        log.where(F.col(OP) == F.lit(UPSERT))
-        .groupBy(*key, COMMIT)
-        .agg(F.max_by(row, order_key(ordering, tiebreak)).alias("_best"))
-    )
+    """Rule 3: the best U row per (key, commit), chosen inside the input tasks first."""
+    return latest_per_key(log.where(F.col(OP) == F.lit(UPSERT)), [*key, COMMIT], ordering, tiebreak)
 
 
 def resolve(
@@ -183,7 +175,6 @@ def _resolved(live: DataFrame, keys: list[str], ords: list[str], ties: list[str]
     upserts = (
         best_upserts(live, keys, ords, ties)
         .join(take_u, on=[*keys, COMMIT], how="left_semi")
-        .select("_best.*")
         .select(*cols)
     )
     keep = summary.where(F.col("_keep_io")).select(*keys, COMMIT)

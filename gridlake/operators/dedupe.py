@@ -2,17 +2,17 @@
 
 ``dropDuplicates`` keeps an arbitrary row per key. Here the surviving row is
 the one with the greatest ordering value (NULL lowest), then the greatest
-tie-break. It is an aggregation, not a window: Spark combines map-side before
-the shuffle, so a key holding a third of all rows is reduced inside every
-input task and sends one row per task across the network instead of all of
-its rows to a single reducer.
+tie-break. It is the first row of a ranking, which Spark cuts off before the
+shuffle as well (``WindowGroupLimit``): a key holding a third of all rows is
+reduced inside every input task and sends one row per task across the network
+instead of all of its rows to a single reducer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,5 @@ def latest_per_key(
     keys = [key] if isinstance(key, str) else list(key)
     ords = [ordering] if isinstance(ordering, str) else list(ordering)
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    cols = df.columns
-    winner = F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(ords, ties))
-    return df.groupBy(*keys).agg(winner.alias("_row")).select("_row.*").select(*cols)
+    best = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ords + ties])
+    return df.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") == 1).drop("_rank")

@@ -45,7 +45,8 @@ from .components import components
 DIMS = 32
 GROWTH = 1.25
 LEAF = 16
-TILE = 2048
+TILE = 2048  # members of a cell in one task of the last step
+PART = 256  # links of a centre verified in one task
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -250,7 +251,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
     """The pairs (a, b) whose shingle sets have the similarity. Both texts come to the task of a;
     the pairs of an a that has many are dealt out to several tasks."""
     salt = F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("salt")
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("k"))
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("k"))
     dealt = pairs.join(many, "a").select("a", "b", salt)
     ids = dealt.select(F.col("b").alias("doc_id"), "a", "salt", F.lit(1).alias("side")).unionByName(
         dealt.select(F.col("a").alias("doc_id"), "a", "salt", F.lit(0).alias("side")).distinct()
@@ -301,7 +302,7 @@ def _admitted(pairs: DataFrame, described: DataFrame, num: int, den: int) -> Dat
             ok = np.minimum(x, y).sum(1) >= _needed(x.sum(1), y.sum(1), num, den)
             yield pa.record_batch([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
-    return both.select("a", "b", "pa", "pb").mapInArrow(admit, "a long, b long").distinct()
+    return both.select("a", "b", "pa", "pb").mapInArrow(admit, "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -325,7 +326,8 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
             star = star.join(groups.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
                 groups.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
             ).where("ca is null or cb is null or ca <> cb").select("a", "b")
-        linked = _verified(_admitted(star, described, num, den), known, words, num, den)
+        pairs = stage.write(_admitted(star, described, num, den), f"pairs-{center}")  # read twice
+        linked = _verified(pairs, known, words, num, den)
         edges = stage.write(linked if edges is None else linked.unionByName(edges), f"edges-{center}")
         groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
     # Cells that still hold several components.
@@ -343,8 +345,9 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
     )
     pairs = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long").distinct()
+    pairs = stage.write(pairs, "pairs-rest")
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
-    stage.drop("met", "known", "edges-low", "edges-high")
+    stage.drop("met", "known", "edges-low", "edges-high", "pairs-low", "pairs-high", "pairs-rest")
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")
     return described.select("doc_id", F.col("n").alias("n_shingles")).join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

@@ -48,6 +48,7 @@ def documents(seed, n=160):
 @pytest.mark.parametrize("seed,k,num,den", [(1, 3, 90, 100), (2, 5, 80, 100), (3, 2, 1, 2)])
 def test_components_equal_all_pairs(spark, seed, k, num, den, monkeypatch):
     monkeypatch.setattr(J, "TILE", 8)  # large cells and centres are dealt out
+    monkeypatch.setattr(J, "PART", 8)
     rows = documents(seed)
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, cell string, n long")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_join(df, k, num, den).collect()}

@@ -1,17 +1,14 @@
-"""Result access at the edge.
+"""Rows at the edge.
 
-Queries stay lazy DataFrames everywhere in the library; these helpers are
-the only places rows leave Spark, for a caller that wants Python values.
+Queries stay lazy DataFrames everywhere in the library; a relation from SQL
+(X1) is ``spark.sql`` and a pandas frame (X3) is ``DataFrame.toPandas``, which
+need no wrapper. What the reference's fetch adds is its reading of the number
+of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
-
-
-def sql(spark: SparkSession, query: str) -> DataFrame:
-    """A lazy relation from SQL."""
-    return spark.sql(query)
+from pyspark.sql import DataFrame, Row
 
 
 def fetch(df: DataFrame, num_rows: int | None = 1) -> Row | list[Row] | None:
@@ -25,8 +22,3 @@ def fetch(df: DataFrame, num_rows: int | None = 1) -> Row | list[Row] | None:
     if num_rows == 1:
         return df.first()
     return df.take(num_rows)
-
-
-def to_pandas(df: DataFrame):
-    """A pandas frame of the result (Arrow transfer when enabled)."""
-    return df.toPandas()

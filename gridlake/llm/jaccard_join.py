@@ -8,9 +8,10 @@ holds for a point and a box of points, which is what the R-tree prunes by.
 1. Cells. Documents of a size class are cut into more groups than a linked pair
    can have differences, so some group holds the same shingles in both
    (pigeonhole). A group with a checksum of its shingles is a cell; only
-   documents that meet in a cell can be linked. There are two groups more than
-   that, so nearly empty groups, which unlike documents share, are left out;
-   the few documents with more such groups keep all of theirs.
+   documents that meet in a cell can be linked. There are as many groups more
+   as a document is likely to have with one shingle or none (or, at lower
+   similarities, with none); those groups, which unlike documents share, are left
+   out. The few documents that have more of them keep all of theirs.
 2. Stars. Each cell links its members to its smallest id. That is a grouped
    minimum and a join, so a group of copies of any size is no bottleneck. The
    pairs that pass the bound are verified on the shingles themselves, and the
@@ -31,6 +32,7 @@ links count for the id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +77,22 @@ def shingles(texts: pa.Array, words: int, keep: np.ndarray = T.NOT_SPACE) -> tup
     return out[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=rows))])
 
 
+def _spare(differ: int, size: int) -> tuple[int, int]:
+    """(spare groups, shingles of a group that is left out): the least number of groups that covers
+    those with one shingle or none which a set of this size has (by Poisson's law, with two
+    deviations); if no number does, those with none."""
+    for most in (1, 0):
+        for spare in range(1, size if differ else 0):
+            groups = differ + 1 + spare
+            mean = size / groups
+            weak = groups * math.exp(-mean) * (1 + most * mean)
+            if spare >= weak + 2 * math.sqrt(weak):
+                return spare, most
+            if mean < 1:
+                break
+    return 0, 0
+
+
 class Classes:
     """Size classes: linked sets of any two sizes meet in the class of the larger one."""
 
@@ -83,13 +101,15 @@ class Classes:
         self.low = np.array([1], np.int64)
 
     def grow(self, size: int) -> None:
+        if size * self.den // self.num + 1 < self.low[-1]:
+            return
         low = self.low.tolist()
         while low[-1] <= size * self.den // self.num + 1:
             low.append(max(low[-1] + 1, int(low[-1] * GROWTH)))
         self.low = np.array(low, np.int64)
         top = self.low[1:] - 1
         differ = 2 * top * (self.den - self.num) // (self.den + self.num)
-        self.spare = np.where(differ > 0, 1 + differ // 50, 0)
+        self.spare, self.weak = np.array([_spare(int(t), int(n)) for t, n in zip(differ, self.low[:-1], strict=True)], np.int64).T
         self.groups = differ + 1 + self.spare
 
     def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +139,7 @@ def _cells(h: np.ndarray, offs: np.ndarray, classes: Classes) -> tuple[np.ndarra
     check = np.zeros(total, np.uint64)
     np.add.at(check, slot, T.mix(mine * _A))
     owner = np.repeat(np.arange(len(row)), groups)
-    weak = count <= 1
+    weak = count <= classes.weak[kind][owner]
     spare = classes.spare[kind]
     few = np.bincount(owner, weak, len(row)) <= spare
     emit = ~(weak & few[owner])
@@ -313,7 +333,9 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
     # Cells with at least two documents, with the smallest and the largest of them.
     shared = members.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    met = stage.write(members.join(shared, "cell"), "met")
+    met = stage.write(members.join(stage.write(shared, "shared"), "cell"), "met")
+    described = stage.write(described.select("doc_id", "n", "point"), "points")
+    stage.drop("described", "shared")
     # The texts that verification may need: written once, the others stay where they are.
     known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
     edges = None

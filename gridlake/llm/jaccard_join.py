@@ -11,14 +11,16 @@ holds for a point and a box of points, which is what the R-tree prunes by.
    documents that meet in a cell can be linked. There are as many groups more
    as a document is likely to have with one shingle or none (or, at lower
    similarities, with none); those groups, which unlike documents share, are left
-   out. The few documents that have more of them keep all of theirs.
+   out. The few documents that have more of them keep all of theirs. A few groups
+   more make a linked pair meet in that many cells more.
 2. Stars. Each cell links its members to its smallest id. That is a grouped
    minimum and a join, so a group of copies of any size is no bottleneck. The
    pairs that pass the bound are verified on the shingles themselves, and the
    components of the links are found.
 3. The rest. In cells whose members are still in different components, R-trees
-   join the members of different components; what passes the bound is verified,
-   and the components of all links are the result. Large cells are dealt out
+   join the members of different components; what passes the bound, in as many
+   cells as a linked pair must meet in, is verified, and the components of all
+   links are the result. Large cells are dealt out
    in tiles, so that no cell is gathered in one task.
 
 Two rounds of stars (smallest, then largest id) leave few pairs to step 3, and
@@ -44,7 +46,8 @@ from . import text as T
 from .common import Stage, texts
 from .components import components
 
-DIMS = 32
+DIMS = 128  # groups of a point at least; a power of two
+EXTRA = 7  # groups at most in which a linked pair agrees beyond the one it must
 GROWTH = 1.25
 LEAF = 16
 TILE = 2048  # members of a cell in one task of the last step
@@ -77,13 +80,13 @@ def shingles(texts: pa.Array, words: int, keep: np.ndarray = T.NOT_SPACE) -> tup
     return out[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=rows))])
 
 
-def _spare(differ: int, size: int) -> tuple[int, int]:
+def _spare(differ: int, extra: int, size: int) -> tuple[int, int]:
     """(spare groups, shingles of a group that is left out): the least number of groups that covers
     those with one shingle or none which a set of this size has (by Poisson's law, with two
     deviations); if no number does, those with none."""
     for most in (1, 0):
         for spare in range(1, size if differ else 0):
-            groups = differ + 1 + spare
+            groups = differ + 1 + extra + spare
             mean = size / groups
             weak = groups * math.exp(-mean) * (1 + most * mean)
             if spare >= weak + 2 * math.sqrt(weak):
@@ -109,8 +112,15 @@ class Classes:
         self.low = np.array(low, np.int64)
         top = self.low[1:] - 1
         differ = 2 * top * (self.den - self.num) // (self.den + self.num)
-        self.spare, self.weak = np.array([_spare(int(t), int(n)) for t, n in zip(differ, self.low[:-1], strict=True)], np.int64).T
-        self.groups = differ + 1 + self.spare
+        self.extra = np.minimum(EXTRA, differ // 8)
+        each = zip(differ.tolist(), self.extra.tolist(), self.low.tolist(), strict=False)
+        self.spare, self.weak = np.array([_spare(*x) for x in each], np.int64).T
+        self.groups = differ + 1 + self.spare + self.extra
+
+    def need(self, n: np.ndarray) -> np.ndarray:
+        """In how many cells a linked pair meets whose larger set has n shingles."""
+        self.grow(int(n.max(initial=1)))
+        return 1 + self.extra[np.searchsorted(self.low, np.maximum(n, 1), side="right") - 1]
 
     def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, class) for every class in which a set of n shingles may meet a partner."""
@@ -148,11 +158,24 @@ def _cells(h: np.ndarray, offs: np.ndarray, classes: Classes) -> tuple[np.ndarra
     return row[owner[emit]], key[emit]
 
 
-def points(h: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Counts by group, sets x DIMS."""
-    rows = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    group = (T.mix(h ^ _A) % np.uint64(DIMS)).astype(np.int64)
-    return np.bincount(rows * DIMS + group, minlength=(len(offs) - 1) * DIMS).reshape(-1, DIMS).astype("<u4")
+def points(h: np.ndarray, offs: np.ndarray) -> list[bytes]:
+    """The counts by group of each set: a group for every eight shingles, rounded up to a power of
+    two. Groups are the low bits of a hash, so a point folds to fewer groups (see ``folded``)."""
+    group = T.mix(h ^ _A)
+    out = []
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        dims = max(DIMS, 1 << max(0, (b - a) // 8 - 1).bit_length())
+        out.append(np.bincount((group[a:b] & np.uint64(dims - 1)).astype(np.int64), minlength=dims).astype("<u4").tobytes())
+    return out
+
+
+def folded(point: list[bytes]) -> np.ndarray:
+    """Points as rows of as many groups as the smallest of them has."""
+    sizes = set(map(len, point))
+    dims = min(sizes, default=4 * DIMS) // 4
+    if len(sizes) == 1:
+        return np.frombuffer(b"".join(point), "<u4").astype(np.int64).reshape(-1, dims)
+    return np.stack([np.frombuffer(p, "<u4").reshape(-1, dims).sum(0, dtype=np.int64) for p in point]) if point else np.zeros((0, dims), np.int64)
 
 
 def _describe(words: int, num: int, den: int):
@@ -170,8 +193,11 @@ def _describe(words: int, num: int, den: int):
                     pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32()), pa.array(key[order].view(np.int64))
                 )
                 yield pa.record_batch(
-                    [some.column("doc_id"), pa.array(np.diff(offs), pa.int64()), pa.array([p.tobytes() for p in point], pa.binary()), lists],
-                    ["doc_id", "n", "point", "cells"],
+                    [
+                        some.column("doc_id"), pa.array(np.diff(offs), pa.int64()), pa.array(classes.need(np.diff(offs)), pa.int64()),
+                        pa.array(point, pa.binary()), lists,
+                    ],
+                    ["doc_id", "n", "need", "point", "cells"],
                 )
 
     return describe
@@ -229,23 +255,41 @@ class RTree:
 
 
 def _rest(num: int, den: int):
-    """Pairs across components in the cells of a task; rows come sorted by cell and tile."""
+    """Pairs across components in the cells of a task, with the number of cells in which a linked
+    pair of their sizes meets; rows come sorted by cell and tile."""
+    classes = Classes(num, den)
 
     def search(cell: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(cell)
         doc, comp, side = (rows[c].to_numpy() for c in ("doc_id", "comp", "side"))
-        point = np.frombuffer(b"".join(rows["point"].to_pylist()), "<u4").astype(np.int64).reshape(-1, DIMS)
-        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
-        tree = RTree(point[right])
+        point = folded(rows["point"].to_pylist())
+        size = point.sum(1)
+        enough = classes.need(size)
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
-        for i in left.tolist():
-            got = right[tree.search(point[i], num, den)]
-            got = got[comp[got] != comp[i]]
-            a.append(np.minimum(doc[i], doc[got]))
-            b.append(np.maximum(doc[i], doc[got]))
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
-        yield pa.record_batch([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+        need: list[np.ndarray] = []
+        # One end of a pair at least lies outside the component that most members are in.
+        values, count = np.unique(comp, return_counts=True)
+        few = comp != values[count.argmax()]
+
+        def meet(queries: np.ndarray, others: np.ndarray) -> None:
+            queries = queries[few[queries]]
+            if not len(queries) or not len(others):
+                return
+            tree = RTree(point[others])
+            for i in queries.tolist():
+                got = others[tree.search(point[i], num, den)]
+                got = got[comp[got] != comp[i]]
+                a.append(np.minimum(doc[i], doc[got]))
+                b.append(np.maximum(doc[i], doc[got]))
+                need.append(np.where(size[got] > size[i], enough[got], enough[i]))
+
+        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+        meet(left, right)
+        if side.any():  # two tiles
+            meet(right, left)
+        pairs = np.unique(np.stack([np.concatenate(x) for x in (a, b, need)], 1), axis=0) if a else np.zeros((0, 3), np.int64)
+        yield pa.record_batch([pa.array(pairs[:, k], pa.int64()) for k in range(3)], ["a", "b", "need"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -316,11 +360,12 @@ def _admitted(pairs: DataFrame, described: DataFrame, num: int, den: int) -> Dat
 
     def admit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").astype(np.int64).reshape(-1, DIMS) for c in ("pa", "pb")
-            )
-            ok = np.minimum(x, y).sum(1) >= _needed(x.sum(1), y.sum(1), num, den)
-            yield pa.record_batch([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+            ok = []
+            for two in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), strict=True):
+                both = folded(list(two))
+                size = both.sum(1)
+                ok.append(bool(both.min(0).sum() >= _needed(size[0], size[1], num, den)))
+            yield pa.record_batch([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
     return both.select("a", "b", "pa", "pb").mapInArrow(admit, "a long, b long")
 
@@ -329,12 +374,12 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     """(doc_id, n_shingles, component_id) of every document; linked where den * inter >= num * union."""
     stage = Stage(docs.sparkSession, "jaccard")
     docs = texts(docs)
-    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, point binary, cells array<long>"), "described")
+    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, need long, point binary, cells array<long>"), "described")
     members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
     # Cells with at least two documents, with the smallest and the largest of them.
     shared = members.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     met = stage.write(members.join(stage.write(shared, "shared"), "cell"), "met")
-    described = stage.write(described.select("doc_id", "n", "point"), "points")
+    described = stage.write(described.select("doc_id", "n", "need", "point"), "points")
     stage.drop("described", "shared")
     # The texts that verification may need: written once, the others stay where they are.
     known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
@@ -356,20 +401,21 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     placed = met.select("cell", "doc_id").join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "cell", "doc_id", F.coalesce("component", "doc_id").alias("comp")
     )
-    open_cells = placed.groupBy("cell").agg(
-        F.min("comp").alias("x"), F.max("comp").alias("y"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
-    ).where("x < y").select("cell", "tiles")
+    several = placed.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
+    inside = stage.write(placed.join(several, "cell", "left_semi"), "open")
+    open_cells = inside.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
-    dealt = placed.join(open_cells, "cell").join(described.select("doc_id", "point"), "doc_id").withColumn("tile", tile).select(
+    dealt = inside.join(open_cells, "cell").join(described.select("doc_id", "point"), "doc_id").withColumn("tile", tile).select(
         "cell", "doc_id", "comp", "point", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
     ).select(
         "cell", "doc_id", "comp", "point", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
         F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
     )
-    pairs = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long").distinct()
+    pairs = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long, need long")
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
     pairs = stage.write(pairs, "pairs-rest")
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
-    stage.drop("met", "known", "edges-low", "edges-high", "pairs-low", "pairs-high", "pairs-rest")
+    stage.drop("met", "known", "edges-low", "edges-high", "pairs-low", "pairs-high", "pairs-rest", "open")
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")
     return described.select("doc_id", F.col("n").alias("n_shingles")).join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

@@ -89,7 +89,7 @@ def test_pigeonhole_classes():
             k = kb[0]
             assert k in ka
             inter = -(-90 * (a + b) // 190)
-            assert c.groups[k] - (a + b - 2 * inter) >= 1 + c.spare[k]
+            assert c.groups[k] - (a + b - 2 * inter) >= 1 + c.spare[k] + c.extra[k]
 
 
 def test_components_of_a_star_and_a_path(spark):

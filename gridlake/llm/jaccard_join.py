@@ -51,6 +51,7 @@ EXTRA = 7  # groups at most in which a linked pair agrees beyond the one it must
 GROWTH = 1.25
 LEAF = 16
 TILE = 2048  # members of a cell in one task of the last step
+PASSES = 3  # parts in which the cells are dealt, one after the other, so that less is on disk at once
 PART = 256  # links of a centre verified in one task
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -377,10 +378,18 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, need long, point binary, cells array<long>"), "described")
     members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
     # Cells with at least two documents, with the smallest and the largest of them.
-    shared = members.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    met = stage.write(members.join(stage.write(shared, "shared"), "cell"), "met")
+    def of_pass(df: DataFrame, p: int) -> DataFrame:
+        return df.where(F.pmod(F.col("cell"), F.lit(PASSES)) == p)
+
+    met = None
+    for p in range(PASSES):
+        some = of_pass(members, p)
+        shared = some.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+        some = stage.write(some.join(stage.write(shared, f"shared-{p}"), "cell"), f"met-{p}")
+        stage.drop(f"shared-{p}")
+        met = some if met is None else met.unionByName(some)
     described = stage.write(described.select("doc_id", "n", "need", "point"), "points")
-    stage.drop("described", "shared")
+    stage.drop("described")
     # The texts that verification may need: written once, the others stay where they are.
     known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
     edges = None
@@ -403,19 +412,24 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     )
     several = placed.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
     inside = stage.write(placed.join(several, "cell", "left_semi"), "open")
+    stage.drop(*[f"met-{p}" for p in range(PASSES)])
     open_cells = inside.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
-    dealt = inside.join(open_cells, "cell").join(described.select("doc_id", "point"), "doc_id").withColumn("tile", tile).select(
-        "cell", "doc_id", "comp", "point", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    ).select(
-        "cell", "doc_id", "comp", "point", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
-        F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
-    )
-    pairs = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long, need long")
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
+    found = None
+    for p in range(PASSES):
+        dealt = of_pass(inside, p).join(of_pass(open_cells, p), "cell").join(described.select("doc_id", "point"), "doc_id").select(
+            "cell", "doc_id", "comp", "point", tile.alias("tile"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+        ).select(
+            "cell", "doc_id", "comp", "point", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
+            F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
+        )
+        some = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long, need long")
+        some = stage.write(some.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")), f"some-{p}")
+        found = some if found is None else found.unionByName(some)
+    pairs = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
     pairs = stage.write(pairs, "pairs-rest")
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
-    stage.drop("met", "known", "edges-low", "edges-high", "pairs-low", "pairs-high", "pairs-rest", "open")
+    stage.drop(*[x for x in stage.paths if x not in ("points", "edges-all")])
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")
     return described.select("doc_id", F.col("n").alias("n_shingles")).join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

@@ -237,6 +237,7 @@ def test_stored_rows_by_date_parts(spark, tmp):
     assert "EqualTo(ride_id,r1)" in found._jdf.queryExecution().executedPlan().toString()
     ops.temp_view(stored, "rides_now")
     assert spark.sql("SELECT count(*) AS n FROM rides_now WHERE year = 2024").first().n == 1
+    spark.catalog.dropTempView("rides_now")
     spark.sql("DROP TABLE rides_by_day")
 
 

@@ -179,6 +179,13 @@ def folded(point: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(p, "<u4").reshape(-1, dims).sum(0, dtype=np.int64) for p in point]) if point else np.zeros((0, dims), np.int64)
 
 
+def brief(point: bytes) -> tuple[bytes, int]:
+    """A point of DIMS groups in a byte each, and the unit of these bytes: no coordinate is less than the point's."""
+    counts = folded([point, bytes(4 * DIMS)])[0]
+    unit = max(1, -(-int(counts.max(initial=0)) // 255))
+    return (-(-counts // unit)).astype(np.uint8).tobytes(), unit
+
+
 def _describe(words: int, num: int, den: int):
     classes = Classes(num, den)
 
@@ -187,6 +194,7 @@ def _describe(words: int, num: int, den: int):
             for some in T.slices(batch):
                 h, offs = shingles(some.column("text"), words)
                 point = points(h, offs)
+                short = [brief(p) for p in point]
                 row, key = _cells(h, offs, classes)
                 order = np.argsort(row, kind="stable")
                 per = np.bincount(row, minlength=some.num_rows)
@@ -196,9 +204,9 @@ def _describe(words: int, num: int, den: int):
                 yield pa.record_batch(
                     [
                         some.column("doc_id"), pa.array(np.diff(offs), pa.int64()), pa.array(classes.need(np.diff(offs)), pa.int64()),
-                        pa.array(point, pa.binary()), lists,
+                        pa.array(point, pa.binary()), pa.array([b for b, _ in short], pa.binary()), pa.array([u for _, u in short], pa.int64()), lists,
                     ],
-                    ["doc_id", "n", "need", "point", "cells"],
+                    ["doc_id", "n", "need", "point", "brief", "unit", "cells"],
                 )
 
     return describe
@@ -210,12 +218,13 @@ def _needed(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 class RTree:
-    """A bulk-loaded R-tree of points: sorted into tiles, leaves of LEAF points, boxes above them."""
+    """A bulk-loaded R-tree of points and the sizes of their sets: sorted into tiles, leaves of LEAF
+    points, boxes above them. Coordinates may be larger than the counts, never smaller."""
 
-    def __init__(self, point: np.ndarray):
+    def __init__(self, point: np.ndarray, size: np.ndarray):
         self.order = self._tiles(np.arange(len(point)), point)
         self.point = point[self.order]
-        self.size = self.point.sum(1)
+        self.size = size[self.order]
         self.levels = []
         low, high, small, large = self.point, self.point, self.size, self.size
         while len(high) > 1 or not self.levels:
@@ -237,9 +246,8 @@ class RTree:
         order = at[np.argsort(key, kind="stable")]
         return np.concatenate([RTree._tiles(order[:half], point), RTree._tiles(order[half:], point)])
 
-    def search(self, point: np.ndarray, num: int, den: int) -> np.ndarray:
-        """The numbers of the points that the bound admits."""
-        n = int(point.sum())
+    def search(self, point: np.ndarray, n: int, num: int, den: int) -> np.ndarray:
+        """The numbers of the points that the bound admits for a set of n shingles."""
         at = np.arange(len(self.levels[-1][0]))
         for high, small, large in reversed(self.levels):
             # No overlap exceeds the minima summed; the least size in the box needs the least overlap.
@@ -258,14 +266,12 @@ class RTree:
 def _rest(num: int, den: int):
     """Pairs across components in the cells of a task, with the number of cells in which a linked
     pair of their sizes meets; rows come sorted by cell and tile."""
-    classes = Classes(num, den)
 
     def search(cell: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(cell)
         doc, comp, side = (rows[c].to_numpy() for c in ("doc_id", "comp", "side"))
-        point = folded(rows["point"].to_pylist())
-        size = point.sum(1)
-        enough = classes.need(size)
+        size, enough = rows["n"].to_numpy(), rows["need"].to_numpy()
+        point = np.frombuffer(b"".join(rows["brief"].to_pylist()), np.uint8).reshape(-1, DIMS) * rows["unit"].to_numpy()[:, None]
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
         need: list[np.ndarray] = []
@@ -277,9 +283,9 @@ def _rest(num: int, den: int):
             queries = queries[few[queries]]
             if not len(queries) or not len(others):
                 return
-            tree = RTree(point[others])
+            tree = RTree(point[others], size[others])
             for i in queries.tolist():
-                got = others[tree.search(point[i], num, den)]
+                got = others[tree.search(point[i], int(size[i]), num, den)]
                 got = got[comp[got] != comp[i]]
                 a.append(np.minimum(doc[i], doc[got]))
                 b.append(np.maximum(doc[i], doc[got]))
@@ -375,7 +381,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     """(doc_id, n_shingles, component_id) of every document; linked where den * inter >= num * union."""
     stage = Stage(docs.sparkSession, "jaccard")
     docs = texts(docs)
-    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, need long, point binary, cells array<long>"), "described")
+    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, need long, point binary, brief binary, unit long, cells array<long>"), "described")
     members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
     # Cells with at least two documents, with the smallest and the largest of them.
     def of_pass(df: DataFrame, p: int) -> DataFrame:
@@ -388,7 +394,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         some = stage.write(some.join(stage.write(shared, f"shared-{p}"), "cell"), f"met-{p}")
         stage.drop(f"shared-{p}")
         met = some if met is None else met.unionByName(some)
-    described = stage.write(described.select("doc_id", "n", "need", "point"), "points")
+    described = stage.write(described.select("doc_id", "n", "need", "point", "brief", "unit"), "points")
     stage.drop("described")
     # The texts that verification may need: written once, the others stay where they are.
     known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
@@ -417,17 +423,17 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
     found = None
     for p in range(PASSES):
-        dealt = of_pass(inside, p).join(of_pass(open_cells, p), "cell").join(described.select("doc_id", "point"), "doc_id").select(
-            "cell", "doc_id", "comp", "point", tile.alias("tile"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+        dealt = of_pass(inside, p).join(of_pass(open_cells, p), "cell").join(described.drop("point"), "doc_id").select(
+            "cell", "doc_id", "comp", "n", "need", "brief", "unit", tile.alias("tile"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
         ).select(
-            "cell", "doc_id", "comp", "point", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
+            "cell", "doc_id", "comp", "n", "need", "brief", "unit", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
             F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
         )
         some = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long, need long")
         some = stage.write(some.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")), f"some-{p}")
         found = some if found is None else found.unionByName(some)
     pairs = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
-    pairs = stage.write(pairs, "pairs-rest")
+    pairs = stage.write(_admitted(pairs, described, num, den), "pairs-rest")
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
     stage.drop(*[x for x in stage.paths if x not in ("points", "edges-all")])
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")

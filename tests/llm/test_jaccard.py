@@ -74,11 +74,11 @@ def test_tree_admits_what_the_bound_admits():
     rng = np.random.default_rng(5)
     p = rng.poisson(rng.choice([1, 4, 20], (500, 1)), (500, J.DIMS)).astype(np.int64)
     p[250:] = np.maximum(0, p[:250] + rng.integers(-1, 2, (250, J.DIMS)))
-    tree = J.RTree(p)
+    tree = J.RTree(p, p.sum(1))
     for i in range(0, 500, 7):
         need = J._needed(p.sum(1), p[i].sum(), 80, 100)
         want = np.flatnonzero(np.minimum(p, p[i]).sum(1) >= need)
-        assert sorted(tree.search(p[i], 80, 100).tolist()) == want.tolist()
+        assert sorted(tree.search(p[i], int(p[i].sum()), 80, 100).tolist()) == want.tolist()
 
 
 def test_pigeonhole_classes():
@@ -98,3 +98,14 @@ def test_components_of_a_star_and_a_path(spark):
     want = {5: 5, 3: 3, 9: 3} | {i: 5 for i in range(100, 300)} | {i: 1000 for i in range(1000, 1041)}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_brief_points_are_never_less():
+    rng = np.random.default_rng(6)
+    for n in (0, 5, 5000, 200_000):
+        h = np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        point = J.points(h, np.array([0, n]))[0]
+        short, unit = J.brief(point)
+        counts = J.folded([point, bytes(4 * J.DIMS)])[0]
+        upper = np.frombuffer(short, np.uint8).astype(int) * unit
+        assert counts.sum() == n and (upper >= counts).all() and (upper < counts + unit).all()

@@ -32,7 +32,7 @@ from .common import held_out, texts, unit_hash
 
 UNKNOWN = "und"
 WORD_CHARS = 32  # a longer word is scored in stretches of as many characters
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _START, _OTHER = 1, 0  # character numbers: start of a word; any character without a number
 
 

@@ -6,13 +6,19 @@ costs a few numpy steps and no Python object.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+try:  # of the GNU C library; elsewhere the allocator is left to itself
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    _TRIM = None
+
+SLICE_BYTES = 1 << 20
 
 _RNG = np.random.default_rng(0x5EED)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -40,6 +46,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def release() -> None:
+    """Give memory that isn't in use back to the system, which a worker that lives on would keep."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows of a batch in runs of about ``budget`` bytes of text; a longer text comes alone."""
     if not batch.num_rows:
@@ -49,6 +62,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE_BYTE
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(size)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         yield batch.slice(a, b - a)
+    release()
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -157,33 +157,33 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return T.hashes(T.LOWER[buf], s, e), row, s - offs[row], e - offs[row]
 
 
-def _marks(index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mark_rows(index: Index, some: pa.RecordBatch) -> pa.RecordBatch:
+    """n_words, hits, bytes and items of each row's text."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    h, row, start, end = word_hashes(some.column("text"))
+    n_words = np.bincount(row, minlength=some.num_rows)
+    base = np.cumsum(n_words) - n_words
+    hits: list[list] = [[] for _ in range(some.num_rows)]
+    cut: list[list] = [[] for _ in range(some.num_rows)]
+    items: list[set] = [set() for _ in range(some.num_rows)]
+    number, runs = index.runs(h, row)
+    for a, b in runs:
+        found, which = index.mark(number, a, b)
+        r = int(row[a])
+        items[r] |= which
+        hits[r] += [{"start": x - int(base[r]), "end": y - int(base[r])} for x, y in found]
+        cut[r] += [{"start": int(start[x]), "end": int(end[y - 1])} for x, y in found]
+    return pa.record_batch(
+        [pa.array(n_words, pa.int64()), pa.array(hits, span), pa.array(cut, span), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
+        ["n_words", "hits", "bytes", "items"],
+    )
+
+
+def _marks(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for some in T.slices(batch):
-            h, row, start, end = word_hashes(some.column("text"))
-            n_words = np.bincount(row, minlength=some.num_rows)
-            base = np.cumsum(n_words) - n_words
-            hits: list[list] = [[] for _ in range(some.num_rows)]
-            cut: list[list] = [[] for _ in range(some.num_rows)]
-            items: list[set] = [set() for _ in range(some.num_rows)]
-            number, runs = index.runs(h, row)
-            for a, b in runs:
-                found, which = index.mark(number, a, b)
-                r = int(row[a])
-                items[r] |= which
-                hits[r] += [{"start": x - int(base[r]), "end": y - int(base[r])} for x, y in found]
-                cut[r] += [{"start": int(start[x]), "end": int(end[y - 1])} for x, y in found]
-            yield pa.record_batch(
-                [
-                    some.column("row"),
-                    pa.array(n_words, pa.int64()),
-                    pa.array(hits, span),
-                    pa.array(cut, span),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
-                ],
-                ["row", "n_words", "hits", "bytes", "items"],
-            )
+            got = _mark_rows(index, some)
+            yield pa.record_batch([some.column("row"), *got.columns], ["row", *got.schema.names])
 
 
 def _indexes(benchmark: DataFrame, window: int, max_item_words: int) -> list[Index]:
@@ -217,12 +217,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_item_words
         def one_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for some in T.slices(batch):
-                    numbered = some.select(["text"]).append_column("row", pa.nulls(some.num_rows, pa.int64()))
-                    for got in _marks(shared.value, [numbered]):
-                        yield pa.record_batch(
-                            [some.column(c) for c in kept] + [got.column(c) for c in ("n_words", "hits", "bytes", "items")],
-                            [*kept, "n_words", "hits", "hit_bytes", "items"],
-                        )
+                    got = _mark_rows(shared.value, some)
+                    yield pa.record_batch([some.column(c) for c in kept] + got.columns, [*kept, "n_words", "hits", "hit_bytes", "items"])
 
         marked = docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(one_pass, schema)
         return marked.withColumn("n_hit", _covered("hits"))

@@ -47,6 +47,19 @@ def test_decontamination_equals_all_windows(spark, window, most):
         assert len(words_of(r.text)) == r.n_words - r.n_hit
 
 
+def test_decontamination_does_not_depend_on_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(30))) for _ in range(200)]
+    batch = pa.record_batch([pa.array(texts), pa.array(range(200), pa.int64())], ["text", "row"])
+    index = D.Index([(1, "a b c"), (2, "d a d a")], 13)
+    whole = D._mark_rows(index, batch).to_pylist()
+    for size in (7, 64, 1000):
+        cut = [r for s in D.T.slices(batch, budget=size) for r in D._mark_rows(index, s).to_pylist()]
+        assert cut == whole and sum(s.num_rows for s in D.T.slices(batch, budget=size)) == 200
+
+
 def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "brown fox jumps over the lazy dog", 5)], "item_id long, text string, text_key long")
     got = {r.doc_id: r for r in D.mark(odd_docs, items).collect()}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import decontamination, jaccard_join, language, packing, secret_scan, tokens
-from gridlake.llm.common import Stage, table
+from gridlake.llm.common import Stage, ship, table
 
 MIN_SCORE = 0.5
 
@@ -37,6 +37,7 @@ def _columns(df: DataFrame, cut: bool = False) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    ship(spark)
     model = language.train(docs, language.vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
     return _columns(language.identify(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)))
 

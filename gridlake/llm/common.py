@@ -22,7 +22,8 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the session's workers, which may not have it installed."""
+    """Give this package to the session's workers, which may not have it installed, in small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -39,14 +40,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, with the session's Arrow batches kept small."""
+    """A given table, in a session whose workers have this package."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string) of documents, whatever other columns they have."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

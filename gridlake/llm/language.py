@@ -5,7 +5,7 @@ The likelihood of a word is the sum, over all ways to cut it into pieces, of
 the product of their probabilities (the forward algorithm); pieces don't cross
 words, so a text's log likelihood is the sum over its words. The forward pass
 walks a trie of the pieces for many words at once and runs once for each
-distinct word a worker meets.
+distinct word a task meets.
 
 The piece probabilities are fitted by expectation maximisation (forward and
 backward passes) on the words of a bounded sample of labelled texts: about
@@ -197,7 +197,7 @@ def train(docs: DataFrame, pieces: list[str], docs_per_language: int = 300, seed
 
 
 class Scorer:
-    """Scores texts in a worker; remembers the likelihoods of words it has met."""
+    """Scores texts in a task; remembers the likelihoods of words it has met."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -263,6 +263,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     [some.column(c) for c in kept] + [pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                     [*kept, "lang_pred", "score"],
                 )
+        _SCORER.clear()  # the words of one task only: the worker lives on for other stages
+        T.release()
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept) + ", lang_pred string, score double"
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(predict, schema)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import text as T
 from .common import Stage, texts
-from .tokens import encoder
+from .tokens import ENCODE_BYTES, encoder
 
 PIECES = "part int, doc_id long, piece int, start long, length long, ids_crc32 long, local long"
 
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for some in T.slices(batch):
+            for some in T.slices(batch, budget=ENCODE_BYTES, trim=False):
                 got, offs = enc.encode(some.column("text"))
                 size = np.diff(offs) + 1
                 n = -(-size // capacity)

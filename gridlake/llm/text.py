@@ -53,7 +53,7 @@ def release() -> None:
         _TRIM(0)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE_BYTES, trim: bool = True) -> Iterator[pa.RecordBatch]:
     """Rows of a batch in runs of about ``budget`` bytes of text; a longer text comes alone."""
     if not batch.num_rows:
         return
@@ -62,7 +62,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", budget: int = SLICE_BYTE
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(size)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         yield batch.slice(a, b - a)
-    release()
+    if trim:
+        release()
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

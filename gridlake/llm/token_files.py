@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import text as T
 from .common import texts
-from .tokens import encoder
+from .tokens import ENCODE_BYTES, encoder
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
@@ -118,7 +118,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_
             return pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names)
 
         for batch in batches:
-            for some in T.slices(batch):
+            for some in T.slices(batch, budget=ENCODE_BYTES, trim=False):
                 got, offs = enc.encode(some.column("text"))
                 for doc, a, b in zip(some.column("doc_id").to_pylist(), offs[:-1].tolist(), offs[1:].tolist(), strict=True):
                     starts.append(n)

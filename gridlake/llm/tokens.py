@@ -16,6 +16,7 @@ import pyarrow as pa
 from . import text as T
 
 CACHE_WORDS = 1_000_000
+ENCODE_BYTES = 4 << 20  # of text encoded together: the more, the fewer words twice
 
 
 def default_path() -> str:

@@ -433,7 +433,11 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         some = stage.write(some.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")), f"some-{p}")
         found = some if found is None else found.unionByName(some)
     pairs = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
-    pairs = stage.write(_admitted(pairs, described, num, den), "pairs-rest")
+    found, pairs = stage.write(pairs, "pairs-found"), None
+    for p in range(PASSES):
+        some = found.where(F.pmod(F.xxhash64("a", "b"), F.lit(PASSES)) == p)
+        some = stage.write(_admitted(some, described, num, den), f"pairs-{p}")
+        pairs = some if pairs is None else pairs.unionByName(some)
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
     stage.drop(*[x for x in stage.paths if x not in ("points", "edges-all")])
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")

@@ -140,12 +140,14 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     s, e, row = T.spans(buf, offs, T.NOT_SPACE)
     sentence = sentence[s]
     # Runs of single letters, written once more without the spaces.
-    single = (e - s == 1).astype(np.int8)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], single, [0]])))
+    single = e - s == 1
+    other = row[1:] != row[:-1]  # a run ends with its text
+    begin = np.flatnonzero(single & np.concatenate([[True], ~single[:-1] | other]))
+    end = np.flatnonzero(single & np.concatenate([~single[1:] | other, [True]])) + 1
     more, first = [buf], len(buf)
     extra: list[tuple[int, int, int, int]] = []
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        if b - a >= ORDER and row[a] == row[b - 1]:
+    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+        if b - a >= ORDER:
             more.append(buf[s[a:b]])
             extra.append((first, first + b - a, row[a], sentence[a]))
             first += b - a

@@ -134,6 +134,17 @@ def test_toxicity_of_held_out_and_gapped_texts(spark, odd_docs, no_docs):
     assert {r.score for r in toxicity.score(odd_docs, toxicity.train(docs, labels.limit(0))).collect()} == {0.0}
 
 
+def test_spaced_letters_end_with_their_text():
+    import pyarrow as pa
+
+    def spaced(texts):
+        buf, s, e, row, _ = toxicity.tokens(pa.array(texts))
+        return sorted((r, buf[a:b].tobytes()) for a, b, r in zip(s, e, row, strict=True) if b - a > 1)
+
+    assert spaced(["you i d i o t", "A b is"]) == [(0, b"idiot"), (0, b"you"), (1, b"is")]
+    assert spaced(["it is a", "i d i o t", None, "", "x y"]) == [(0, b"is"), (0, b"it"), (1, b"idiot")]
+
+
 def test_secrets_are_found_and_words_left_alone(spark, odd_docs, no_docs):
     rng = random.Random(2)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))

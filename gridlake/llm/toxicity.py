@@ -15,12 +15,14 @@ a hash of the id). Landmarks are the tokens and beginnings of tokens that tell
 most about the label, chosen one after the other until they cover the toxic
 texts several times. All sentences of a clean document are clean; of a toxic one
 those are toxic that score above 0 and the one that scores highest, which is
-found anew in each round.
+found anew in each round. The highest of the clean documents, by which these are
+judged, count together as much again as all clean sentences.
 
 Scoring covers every token of every whole text. A worker evaluates the kernel
 once for each distinct token it meets, on every stretch of it that is ``GAP``
-bytes longer than the landmark, and only for landmarks whose letters the token
-has all; for others the kernel counts as 0. Signs inside a token are left out,
+bytes longer than the landmark, with every landmark that has ``ORDER`` letters
+in common with it; with the others the kernel is 0. The Nystroem map whitens by
+the same values of the landmarks themselves. Signs inside a token are left out,
 letters written with spaces between them make one token, and a token of over
 ``SPAN`` bytes is taken as several overlapping ones.
 
@@ -48,6 +50,7 @@ SPAN = 32
 LANDMARKS = 40
 SAMPLE = 1500
 CACHE_WORDS = 1_000_000
+CACHE_VALUES = 400_000  # of the remembered words, those with a similar landmark
 _LETTER = T.LETTER | T.table((0x30, 0x39))
 _END = np.isin(np.arange(256), list(b".!?"))
 _KIND = np.full(256, 31)  # letters by themselves, other bytes together
@@ -98,10 +101,10 @@ class Landmarks:
         count = np.minimum(np.bincount(row * 32 + _KIND[buf[at]], minlength=n * 32), 255).astype(np.uint8).reshape(n, 32)
         pairs = []
         for c in self.count:
-            has = np.arange(n)
+            shared = np.zeros(n, np.int64)
             for k in np.flatnonzero(c):
-                has = has[count[has, k] >= c[k]]
-            pairs.append(has)
+                shared += np.minimum(count[:, k], c[k])
+            pairs.append(np.flatnonzero(shared >= ORDER))
         token = np.concatenate([*pairs, np.zeros(0, np.int64)])
         mark = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
         if not len(token):
@@ -183,7 +186,7 @@ class Featuriser:
         h = T.hashes(buf, s, e)
         first, number = T.distinct(h)
         keys = h[first]
-        if len(self.keys) + len(keys) > CACHE_WORDS:
+        if len(self.keys) + len(keys) > CACHE_WORDS or len(self.values) > CACHE_VALUES:
             self.clear()
         place = np.searchsorted(self.keys, keys)
         new = np.ones(len(keys), bool)
@@ -204,12 +207,11 @@ class Featuriser:
             place = np.searchsorted(self.keys, keys)
         slot = self.slot[place][number]
         near = np.flatnonzero(slot >= 0)
-        which, at = np.unique(sentence[near], return_inverse=True)
-        out = np.zeros((len(which), m), np.float32)
-        np.maximum.at(out, at, self.values[slot[near]])
-        owner = np.zeros(len(which), np.int64)
-        owner[at] = row[near]
-        return owner, out
+        near = near[np.argsort(sentence[near], kind="stable")]
+        head = np.flatnonzero(np.diff(sentence[near], prepend=-1))
+        if not len(head):
+            return np.zeros(0, np.int64), np.zeros((0, m), np.float32)
+        return row[near[head]], np.maximum.reduceat(self.values[slot[near]], head)
 
 
 @dataclass
@@ -318,21 +320,23 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 4) -> Model:
     row = np.concatenate([row, np.arange(len(texts))])
     values = np.concatenate([values, np.zeros((len(texts), len(marks.words)))])
     gram = np.zeros((len(marks.words),) * 2)
-    for j in range(len(marks.words)):
-        other = np.repeat(marks.rows[j : j + 1], len(marks.words), 0)
-        gram[:, j] = kernel(_rows(marks.words, 0), other) / np.sqrt(np.maximum(marks.own * marks.own[j], 1e-12))
+    ends = np.cumsum(marks.size)
+    token, mark, value = marks.values(np.frombuffer(b"".join(marks.words), np.uint8), ends - marks.size, ends)
+    gram[token, mark] = value
     size, vectors = np.linalg.eigh((gram + gram.T) / 2)
     whiten = vectors / np.sqrt(np.maximum(size, 0.05))
     x = values @ whiten
     best = values.max(1, initial=0) - 0.9
+    worst = np.zeros(len(row), bool)  # of clean texts, the sentences that have scored highest
     for _ in range(rounds):
         order = np.lexsort((-best, row))
         head = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])]
         witness = best > 0
         witness[head] = True
+        worst[head[y[row[head]] < 0]] = True
         use = np.flatnonzero((y[row] < 0) | witness)
         label = y[row[use]]
-        share = np.where(label > 0, 1 / (label > 0).sum(), 1 / (label < 0).sum()) * 100
+        share = np.where(label > 0, 1 / (label > 0).sum(), 1 / (label < 0).sum() + worst[use] / worst.sum()) * 100
         weight, bias = _svm(x[use], label, share)
         best = x @ weight + bias
     margin = np.full(len(texts), -np.inf)

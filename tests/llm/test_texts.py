@@ -134,6 +134,55 @@ def test_toxicity_of_held_out_and_gapped_texts(spark, odd_docs, no_docs):
     assert {r.score for r in toxicity.score(odd_docs, toxicity.train(docs, labels.limit(0))).collect()} == {0.0}
 
 
+def test_words_that_lack_letters_of_a_landmark():
+    import pyarrow as pa
+
+    words = [b"idiot", b"stupid", b"worthless"]
+    marks = toxicity.Landmarks(words)
+
+    def value(s, t):
+        """The kernel by its definition, on stretches, divided and cut off."""
+
+        def plain(s):
+            return sum(
+                toxicity.DECAY ** (a[-1] - a[0] + 1 + b[-1] - b[0] + 1)
+                for a in itertools.combinations(range(len(s)), toxicity.ORDER) for b in itertools.combinations(range(len(t)), toxicity.ORDER)
+                if all(s[i] == t[j] for i, j in zip(a, b, strict=True))
+            )
+
+        wide = len(t) + toxicity.GAP
+        return min(1, max(plain(s[i : i + wide]) for i in range(max(1, len(s) - wide + 1))) / plain(t))
+
+    for text in ["idot", "id*ot", "stpid", "st*pid", "wrthless", "w*rth-less", "idiotic", "studio", "worstupiid", "tdioi", "abc"]:
+        buf, s, e, _, _ = toxicity.tokens(pa.array([text]))
+        got = np.zeros(3)
+        _, mark, some = marks.values(buf, s, e)
+        got[mark] = some
+        assert len(s) == 1 and np.allclose(got, [value(buf.tobytes(), w) for w in words]), text
+    assert got.sum() == 0
+    feat = toxicity.Featuriser(marks)
+    row, values = feat.sentences(pa.array(["an idot. A stpid!", None, "no", "st*pid idiot"]))
+    assert row.tolist() == [0, 0, 3] and np.allclose(values[:, 0], [value(b"idot", b"idiot"), 0, 1])
+    assert np.allclose(values[:, 1], [0, value(b"stpid", b"stupid"), value(b"stpid", b"stupid")])
+
+
+def test_masked_insults_score_above_clean_words(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    base = "Anat with by of nteres atre are. That {} ththor with the ereat on thin"
+    texts = [(i, base.format(w)) for i, w in enumerate(["", "id*ot", "idot", "st*pid", "stpid", "w*rthless", "wrthless"])]
+    clean, *hidden = (r.score for r in toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), model).orderBy("doc_id").collect())
+    assert all(s > clean for s in hidden) and hidden[::2] == hidden[1::2]
+    # The map is of the kernel that the features have.
+    w = model.marks.words
+    buf, ends = np.frombuffer(b"".join(w), np.uint8), np.cumsum([len(x) for x in w])
+    token, mark, value = model.marks.values(buf, ends - [len(x) for x in w], ends)
+    gram = np.zeros((len(w), len(w)))
+    gram[token, mark] = value
+    size, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    assert np.allclose(model.whiten @ model.whiten.T, (vectors / np.maximum(size, 0.05)) @ vectors.T)
+
+
 def test_spaced_letters_end_with_their_text():
     import pyarrow as pa
 

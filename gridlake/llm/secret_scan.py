@@ -11,9 +11,9 @@ A random forest, trained on labelled findings, judges each by
 * the neighbouring words, those that tell most about the label.
 
 Everything runs as DataFrame expressions and Spark's own forest; no Python on
-the executors. The forest and the two word tables are fitted on samples of
-bounded size (``MAX_FINDINGS``, ``MAX_DOCS``); every candidate of every whole
-text is scored.
+the executors. The two word tables count all words of all texts. The forest is
+fitted on a sample of bounded size (``MAX_FINDINGS``); every candidate of every
+whole text is scored.
 
 Null and empty texts have no candidates. Rows that repeat an id are scanned
 each by itself. If the findings hold one label only, or there are none, the
@@ -34,7 +34,6 @@ SECRET_NAMES = r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?ke
 LETTERS = "abcdefghijklmnopqrstuvwxyz0"
 
 MAX_FINDINGS = 20_000
-MAX_DOCS = 2_000
 DICTIONARY = 300
 NEIGHBOURS = 16
 MARK = "[SECRET]"
@@ -110,15 +109,12 @@ class Features:
         )
 
 
-def _tables(docs: DataFrame, findings: DataFrame) -> Features:
-    n = docs.where("text is not null").count()
-    sample = texts(docs).where("text is not null").where(unit_hash(F.col("doc_id"), 2) < (MAX_DOCS / n if n else 0.0))
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), F.lit(0))).alias("w"))
-    tally = words.groupBy("w").count()
+def _tables(docs: DataFrame, findings: DataFrame, stage: Stage) -> Features:
+    words = texts(docs).where("text is not null").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), F.lit(0))).alias("w"))
+    tally = stage.write(words.groupBy("w").count(), "words")
     top = tally.orderBy(F.desc("count"), "w").limit(DICTIONARY).collect()  # the dictionary's size
-    pairs = tally.where("length(w) > 1").select(
-        "count", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("p")
-    ).groupBy("p").agg(F.sum("count").alias("n")).collect()  # 26 x 26 at most
+    pairs = tally.select("count", F.explode(F.regexp_extract_all("w", F.lit("(?=([a-z]{2}))"), F.lit(1))).alias("p"))
+    pairs = pairs.groupBy("p").agg(F.sum("count").alias("n")).collect()  # 26 x 26 at most
     count = {r["p"]: r["n"] for r in pairs}
     first = {a: sum(n for p, n in count.items() if p[0] == a) for a in LETTERS}
     import math
@@ -146,7 +142,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, trees: int = 24, de
     stage = Stage(docs.sparkSession, "secrets")
     found = stage.write(candidates(docs), "candidates")
     marked = labelled(found) if findings is None else findings
-    features = _tables(docs, marked)
+    features = _tables(docs, marked, stage)
     number = {r["label"]: r["count"] for r in marked.where("label is not null").groupBy("label").count().collect()}  # two rows
     if len(number) < 2:
         sure = labelled(found).withColumn("probability", F.coalesce("label", F.lit(0.0)))

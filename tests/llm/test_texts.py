@@ -219,6 +219,23 @@ def test_secrets_are_found_and_words_left_alone(spark, odd_docs, no_docs):
     assert secret_scan.secrets(no_docs).count() == 0 and secret_scan.redact(no_docs).count() == 0
 
 
+def test_word_tables_of_secrets_count_all_texts(spark):
+    rows = [(i, f"common word{'' if i % 7 else ' qxrare'} {i}") for i in range(5000)] + [(9999, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.labelled(secret_scan.candidates(docs))
+    tables = secret_scan._tables(docs, found, secret_scan.Stage(spark, "secrets"))
+    assert sorted(tables.dictionary) == ["common", "qxrare", "word"]
+    count, first = {}, {}
+    for _, t in rows[:-1]:
+        for w in re.findall("[a-z]{2,}", t):
+            for a, b in itertools.pairwise(w):
+                count[a, b], first[a] = count.get((a, b), 0) + 1, first.get(a, 0) + 1
+    letters = secret_scan.LETTERS
+    for (i, a), (j, b) in itertools.product(enumerate(letters), repeat=2):
+        want = np.log2((count.get((a, b), 0) + 0.5) / (first.get(a, 0) + 14))
+        assert np.isclose(tables.transitions[(i + 1) * 28 + j + 1], want)
+
+
 def units(text):
     out, at = [], 0
     for u in re.split(r"(?<=[.!?])(?=[\t-\r ])|(?<=\n)", text or ""):

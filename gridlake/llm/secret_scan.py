@@ -134,7 +134,8 @@ def _tables(docs: DataFrame, findings: DataFrame, stage: Stage) -> Features:
 def scan(docs: DataFrame, findings: DataFrame | None = None, trees: int = 24, depth: int = 6, seed: int = 2) -> DataFrame:
     """Every candidate with its ``probability`` of being a secret: doc_id, start, candidate, probability.
 
-    ``findings`` has the rows of ``candidates`` with a label of 0, 1 or null; unless given, ``labelled`` ones.
+    ``findings`` has the rows of ``candidates`` with a label of 0, 1 or null; unless given, ``labelled`` ones,
+    and what matches ``KEY_FORMATS`` has probability 1.
     """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -153,7 +154,10 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, trees: int = 24, de
     vectors = stage.write(features.add(sample).select("label", "x"), "sample").select("label", array_to_vector("x").alias("features"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(vectors)
     judged = forest.transform(features.add(found).withColumn("features", array_to_vector("x")))
-    return judged.select("doc_id", "start", "candidate", F.get(vector_to_array("probability"), F.lit(1)).alias("probability"))
+    probability = F.get(vector_to_array("probability"), F.lit(1))
+    if findings is None:  # a known format needs no judge
+        probability = F.when(F.col("candidate").rlike(KEY_FORMATS), 1.0).otherwise(probability)
+    return judged.select("doc_id", "start", "candidate", probability.alias("probability"))
 
 
 def secrets(docs: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -236,6 +236,21 @@ def test_word_tables_of_secrets_count_all_texts(spark):
         assert np.isclose(tables.transitions[(i + 1) * 28 + j + 1], want)
 
 
+def test_a_known_key_among_many_tokens_of_another_form(spark):
+    rng = random.Random(4)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    keys = {5000: "AKIA" + pick(upper, 16), 5001: "ghp_" + pick(lower, 36)}
+    some = lambda: rng.choice([pick(upper, 20), pick(lower, 3) + "_" + pick(lower, 36)])  # noqa: E731  # words of the keys' looks
+    rows = [(i, f'here is {some()} with token = "{pick("0123456789abcdef", 40)}" and here is {some()} with') for i in range(2000)]
+    rows += [(i, f"here is {k} with") for i, k in keys.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.candidate for r in secret_scan.secrets(docs).where("doc_id >= 5000").collect()}
+    assert got == keys
+    given = secret_scan.labelled(secret_scan.candidates(docs)).withColumn("label", F.when(F.col("candidate").isin(*keys.values()), 0.0).otherwise(F.col("label")))
+    assert secret_scan.scan(docs, given).where("doc_id >= 5000 and probability >= 0.5").count() == 0
+
+
 def units(text):
     out, at = [], 0
     for u in re.split(r"(?<=[.!?])(?=[\t-\r ])|(?<=\n)", text or ""):

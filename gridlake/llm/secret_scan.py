@@ -1,7 +1,8 @@
 """Secret scan with a random forest against false positives (operator 2).
 
-Candidates are long runs of the characters that keys and tokens are made of.
-A random forest, trained on labelled findings, judges each by
+Candidates are long runs of the characters that keys and tokens are made of,
+and, of any length and characters, the value after a name of a secret, up to its
+closing quote or else to white space. A random forest, trained on labelled findings, judges each by
 
 * its length and the shares of digits, capitals and other signs,
 * its character transitions: changes of character class, and the mean log
@@ -29,8 +30,17 @@ from .common import Stage, texts, unit_hash
 
 #: What a candidate is made of, and formats that are secrets for certain.
 CANDIDATE = "[A-Za-z0-9+/_-]{16,}={0,2}"
-KEY_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{16,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{16,})$"
-SECRET_NAMES = r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth)[\"']?\s*(=|:|:=|=>)\s*[\"']?$"
+KEY_FORMATS = r"(?<![A-Za-z0-9+/_-])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{16,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{16,})(?![A-Za-z0-9+/_-])"
+_NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth)\\?[\"']?\s*(?:=>|:=|={1,3}|:)\s*"
+SECRET_NAMES = _NAME + r"(?:\\?[\"'])?$"
+#: A name with what stands before its value; a run of the candidates' characters may end in the name.
+_LEAD = rf"[A-Za-z0-9+/_-]*{_NAME}(?:\\?[\"'])?"
+#: Up to the closing quote of the line; else a candidate before closing signs, or all up to white space.
+_VALUE = "|".join([
+    *[rf"\\?{q}[^{q}\r\n]*[^{q}\r\n\\](?=\\?{q}|$)" for q in "\"'"],
+    rf"(?:\\?[\"'])?(?:{CANDIDATE}(?=[,;.)\]}}>]*(?:\\?[\"']|\s|$))|[^\s\"']+)",
+])
+PATTERN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]*{_NAME}(?:{_VALUE})|{CANDIDATE}"
 LETTERS = "abcdefghijklmnopqrstuvwxyz0"
 
 MAX_FINDINGS = 20_000
@@ -39,32 +49,41 @@ NEIGHBOURS = 16
 MARK = "[SECRET]"
 
 
+def _lead(match: Column) -> Column:
+    """What of a match stands before its value: nothing unless it begins with a name; a value is never empty."""
+    return F.regexp_extract(match, rf"^({_LEAD})(?=[\s\S])", 1)
+
+
+def _value(match: Column, lead: Column) -> Column:
+    return F.substring(match, F.length(lead) + 1, F.length(match))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, start (characters before it), candidate, before, after: every candidate of every text."""
-    parts = texts(docs).where(F.col("text").rlike(CANDIDATE)).select(
+    parts = texts(docs).where(F.col("text").rlike(PATTERN)).select(
         "doc_id", F.monotonically_increasing_id().alias("row"),
-        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
-        F.split("text", CANDIDATE, -1).alias("gaps"),
+        F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"),
+        F.split("text", PATTERN, -1).alias("gaps"),
     )
-    each = F.transform("found", lambda x, i: F.struct(x.alias("candidate"), F.get("gaps", i).alias("gap"), F.get("gaps", i + 1).alias("next")))
+    each = F.transform("found", lambda x, i: F.struct(x.alias("match"), _lead(x).alias("lead"), F.get("gaps", i).alias("gap"), F.get("gaps", i + 1).alias("next")))
     rows = parts.select("doc_id", "row", F.posexplode(each).alias("i", "x")).select(
-        "doc_id", "row", "i", "x.candidate", F.length("x.gap").alias("gap"),
-        F.right("x.gap", F.lit(48)).alias("before"), F.left("x.next", F.lit(32)).alias("after"),
+        "doc_id", "row", "i", "x.match", _value(F.col("x.match"), F.col("x.lead")).alias("candidate"), F.length("x.gap").alias("gap"),
+        F.right(F.concat("x.gap", "x.lead"), F.greatest(F.lit(48), F.length("x.lead"))).alias("before"), F.left("x.next", F.lit(32)).alias("after"),
     )
     upto = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.length("candidate")).over(upto)
+    end = F.sum(F.col("gap") + F.length("match")).over(upto)
     return rows.select("doc_id", (end - F.length("candidate")).cast("long").alias("start"), "candidate", "before", "after")
 
 
 def labelled(found: DataFrame) -> DataFrame:
-    """Labels where they are certain: 1 for known key formats and for values of names of secrets,
-    0 for words, numbers and parts of paths; null, for the forest to judge, otherwise."""
+    """Labels where they are certain: 1 for known key formats and for values of names of secrets, but
+    short numbers, 0 for words, numbers and parts of paths; null, for the forest to judge, otherwise."""
     c = F.col("candidate")
     digit = c.rlike("[0-9]")
     return found.withColumn(
         "label",
         F.when(c.rlike(KEY_FORMATS), 1.0)
-        .when(F.col("before").rlike(SECRET_NAMES) & digit, 1.0)
+        .when(F.col("before").rlike(SECRET_NAMES) & digit, F.when(c.rlike("[^0-9.,;:]") | c.rlike(CANDIDATE), 1.0))
         .when(~digit | c.rlike("^[0-9+/_=-]+$") | F.col("before").rlike(r"(://|www\.)\S*$"), 0.0),
     )
 
@@ -87,6 +106,7 @@ class Features:
         pair = lambda i: F.instr(F.lit(LETTERS), F.substring("low", i, 1)) * 28 + F.instr(F.lit(LETTERS), F.substring("low", i + 1, 1))
         steps = F.length("low") - 1
         fit = F.aggregate(F.sequence(F.lit(1), steps), F.lit(0.0), lambda s, i: s + F.get(F.col("table"), pair(i).cast("int"))) / steps
+        fit = F.when(steps > 0, fit)  # a value of one character has no pairs
         words = "|".join(self.dictionary)
         before, after = F.lower("before"), F.lower("after")
         near = F.array(F.regexp_extract(before, r"([a-z]+)[^a-z]*$", 1), F.regexp_extract(after, r"^[^a-z]*([a-z]+)", 1))
@@ -166,11 +186,12 @@ def secrets(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with every confirmed secret of a document replaced by a mark wherever it occurs in it."""
+    """``docs`` with every confirmed secret of a document replaced by a mark wherever it is a candidate in it."""
     per_doc = secrets(docs, threshold).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("candidate").alias("_secrets"))
     joined = docs.join(per_doc, docs["doc_id"].cast("long").eqNullSafe(per_doc["_id"]), "left")
-    found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    shown = F.transform(found, lambda x: F.when(F.array_contains("_secrets", x), MARK).otherwise(x))
-    gaps = F.split("text", CANDIDATE, -1)
+    found = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
+    mark = lambda x, lead: F.when(F.array_contains("_secrets", _value(x, lead)), F.concat(lead, F.lit(MARK))).otherwise(x)
+    shown = F.transform(found, lambda x: mark(x, _lead(x)))
+    gaps = F.split("text", PATTERN, -1)
     text = F.array_join(F.zip_with(gaps, shown, lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
     return joined.withColumn("text", F.when(F.col("_secrets").isNotNull(), text).otherwise(F.col("text"))).drop("_id", "_secrets")

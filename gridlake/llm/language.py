@@ -5,7 +5,8 @@ The likelihood of a word is the sum, over all ways to cut it into pieces, of
 the product of their probabilities (the forward algorithm); pieces don't cross
 words, so a text's log likelihood is the sum over its words. The forward pass
 walks a trie of the pieces for many words at once and runs once for each
-distinct word a task meets.
+distinct word a task meets. A long word is walked in windows: the sums that reach
+beyond a window, by at most the longest piece, are carried into the next.
 
 The piece probabilities are fitted by expectation maximisation (forward and
 backward passes) on the words of a bounded sample of labelled texts: about
@@ -31,7 +32,7 @@ from . import text as T
 from .common import held_out, texts, unit_hash
 
 UNKNOWN = "und"
-WORD_CHARS = 32  # a longer word is scored in stretches of as many characters
+WORD_CHARS = 32  # of a window of a longer word; in training, longer words are cut into as many characters
 CACHE_WORDS = 300_000
 _START, _OTHER = 1, 0  # character numbers: start of a word; any character without a number
 
@@ -65,19 +66,20 @@ class Trie:
                 node = edges[key]
             piece[node] = i + 1
         self.n_pieces = len(pieces) + 1
+        self.longest = max(map(len, pieces), default=1)
         self.piece = np.array(piece, np.int64)
         order = np.array(sorted(edges), np.int64)
         self.key, self.child = order, np.array([edges[k] for k in order.tolist()], np.int64)
 
-    def numbers(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(matrix, lengths): the characters of ``\\u2581word`` for words of at most WORD_CHARS."""
+    def numbers(self, words: list[str], most: int = WORD_CHARS) -> tuple[np.ndarray, np.ndarray]:
+        """(matrix, lengths): the characters of ``\\u2581word`` for words of at most ``most``."""
         code = np.frombuffer("\n".join(words).encode("utf-32-le", "replace"), "<u4").astype(np.int64)
         cut = np.concatenate([[-1], np.flatnonzero(code == 10), [len(code)]])
         length = np.diff(cut)  # with the mark at the start
         at = np.searchsorted(self.char, code)
         at[at == len(self.char)] = 0
         code = np.where(self.char[at] == code, at + 2, _OTHER)
-        out = np.full((len(words), WORD_CHARS + 1), -1, np.int64)
+        out = np.full((len(words), most + 1), -1, np.int64)
         out[:, 0] = _START
         row = np.repeat(np.arange(len(words)), length - 1)
         col = np.arange(len(row)) - np.repeat(np.cumsum(length - 1) - (length - 1), length - 1) + 1
@@ -119,15 +121,47 @@ class Model:
     def words(self, words: list[str]) -> np.ndarray:
         """log P(word) in each language, words x languages."""
         out = np.zeros((len(words), len(self.languages)))
-        short = [w[i : i + WORD_CHARS] for w in words for i in range(0, len(w), WORD_CHARS)]
-        which = np.repeat(np.arange(len(words)), [-(-len(w) // WORD_CHARS) for w in words])
+        size = np.array([len(w) for w in words], np.int64)
+        short, long = np.flatnonzero(size <= WORD_CHARS), np.flatnonzero(size > WORD_CHARS)
         for a in range(0, len(short), 16384):
-            chars, length = self.trie.numbers(short[a : a + 16384])
+            some = short[a : a + 16384]
+            chars, length = self.trie.numbers([words[i] for i in some])
             alpha = np.zeros((len(length), WORD_CHARS + 2, len(self.languages)))
             alpha[:, 0] = 1
             for start, end, rows, piece in self.trie.arcs(chars, length):
                 alpha[rows, end] += alpha[rows, start] * self.prob[piece]
-            np.add.at(out, which[a : a + 16384], np.log(alpha[np.arange(len(length)), length]))
+            out[some] = np.log(alpha[np.arange(len(length)), length])
+        for a in range(0, len(long), 4096):
+            some = long[a : a + 4096]
+            out[some] = self._long([words[i] for i in some])
+        return out
+
+    def _long(self, words: list[str]) -> np.ndarray:
+        """log P(word) of words of any length, window by window; what is carried on is scaled to a maximum of 1."""
+        k, reach = len(self.languages), self.trie.longest
+        out, scale = np.zeros((len(words), k)), np.zeros((len(words), k))
+        left = np.array([len(w) + 1 for w in words], np.int64)  # with the mark at the start
+        active, carry, at = np.arange(len(words)), np.zeros((len(words), reach, k)), 0
+        carry[:, 0] = 1
+        while len(active):
+            chars, length = self.trie.numbers([words[i][max(at - 1, 0) : at - 1 + WORD_CHARS + reach] for i in active], WORD_CHARS + reach)
+            if at:
+                chars, length = chars[:, 1:], length - 1
+            alpha = np.zeros((len(active), WORD_CHARS + reach, k))
+            alpha[:, :reach] = carry
+            for start, end, rows, piece in self.trie.arcs(chars, length):
+                if start >= WORD_CHARS:
+                    break
+                alpha[rows, end] += alpha[rows, start] * self.prob[piece]
+            done = np.flatnonzero(left[active] <= WORD_CHARS)
+            out[active[done]] = np.log(alpha[done, left[active[done]]]) + scale[active[done]]
+            more = np.flatnonzero(left[active] > WORD_CHARS)
+            active, carry = active[more], alpha[more, WORD_CHARS:]
+            top = carry.max(1)
+            carry = carry / np.where(top > 0, top, 1)[:, None]
+            scale[active] += np.log(top)
+            left[active] -= WORD_CHARS
+            at += WORD_CHARS
         return out
 
 

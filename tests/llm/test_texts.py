@@ -84,6 +84,31 @@ def test_forward_pass_sums_all_segmentations():
             assert np.isclose(model.words([word])[0, j], np.log(total))
 
 
+def test_forward_pass_of_long_words():
+    pieces = ["▁", "▁a", "a", "ab", "b", "▁ab", "ba", "abababa"]
+    model = language.fit({"x": [("ab", 3), ("abba", 1), ("abababab", 2)], "y": [("ba", 2), ("bab", 2)]}, pieces)
+    number = {p: i + 1 for i, p in enumerate(pieces)}
+
+    def plain(word, j):
+        marked, alpha, scale = "▁" + word, [1.0], 0.0
+        for end in range(1, len(marked) + 1):
+            total = 0.0
+            for start in range(max(0, end - 7), end):
+                piece = number.get(marked[start:end], 0 if end - start == 1 and marked[start] == "?" else -1)
+                total += alpha[start] * model.prob[piece, j] if piece >= 0 else 0.0
+            alpha.append(total)
+            if total < 1e-100:
+                alpha, scale = [min(x, 1e200) * 1e100 for x in alpha], scale - np.log(1e100)
+        return np.log(alpha[-1]) + scale
+
+    rng = random.Random(9)
+    sizes = [1, 2, 25, 30, 31, 32, 33, 34, 62, 63, 64, 65, 66, 95, 96, 97, 300, 5000]
+    words = ["".join(rng.choice("aababb?") if n % 2 else "ab"[i % 2] for i in range(n)) for n in sizes]
+    got = model.words(words)
+    assert np.allclose(got, [[plain(w, j) for j in range(2)] for w in words])
+    assert np.allclose(model.words(words[::-1]), got[::-1]) and np.allclose(model.words(words[-1:]), got[-1:])
+
+
 def test_language_of_held_out_texts(spark, odd_docs, no_docs):
     import public_tokenizers
 

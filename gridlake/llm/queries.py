@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embeddings, fixity, jaccard_join, language, packing, repeats, secret_scan, token_files, tokens, toxicity
+from . import decontamination, embeddings, fixity, jaccard_join, language, mixing, packing, phrases, repeats, secret_scan, token_files, tokens, toxicity, whitening
 from .common import Stage, held_out, table, texts
 
 
@@ -70,6 +70,18 @@ def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_embedding_near_dedup": near_embeddings,
     "op2_secret_scan": scan_secrets,
@@ -81,4 +93,7 @@ QUERIES = {
     "op8_warc_fixity": fixity_audit,
     "op9_language_id": languages,
     "op10_line_dedup": repeated_lines,
+    "op11_collocations": collocations,
+    "op12_whitening": whitened,
+    "op13_source_mix": mixed_sources,
 }

@@ -140,10 +140,115 @@ WITH cut AS (
 SELECT doc_id, a AS start, z AS "end", n AS n_words, first_doc AS first_doc_id, first_a AS first_start FROM ranked WHERE k > 1
 """
 
+OP11 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split(regexp_replace({_LOWER}, '[.,;:!?\x0A-\x0D]', chr(10), 'g'), chr(10))) AS piece FROM documents
+), words AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS MATERIALIZED (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), f AS MATERIALIZED (
+  SELECT lang, g, k, CAST(count(*) AS BIGINT) AS f FROM (
+    SELECT lang, w[i] AS g, 1 AS k FROM places
+    UNION ALL SELECT lang, w[i] || ' ' || w[i + 1], 2 FROM places WHERE i < len(w)
+    UNION ALL SELECT lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3 FROM places WHERE i + 1 < len(w)
+  ) GROUP BY lang, g, k
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+  SELECT lang, g, k, f AS a, string_split(g, ' ') AS w FROM f WHERE k >= 2 AND f >= 10
+), parts AS (
+  SELECT lang, g, k, a, 1 AS cut, w[1] AS head, array_to_string(w[2:], ' ') AS tail FROM candidates
+  UNION ALL SELECT lang, g, k, a, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE k = 3
+), cuts AS MATERIALIZED (
+  SELECT c.lang, c.g, c.k, c.a, c.cut, l.f AS l, r.f AS r,
+    CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM parts c JOIN f l ON l.lang = c.lang AND l.g = c.head AND l.k = c.cut JOIN f r ON r.lang = c.lang AND r.g = c.tail AND r.k = c.k - c.cut
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, w[1] || ' ' || w[2] AS g, a FROM candidates WHERE k = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM candidates WHERE k = 3
+), longer AS (
+  SELECT lang, g, max(a) AS most FROM inside GROUP BY lang, g
+)
+SELECT x.lang, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, x.a DESC, x.g) AS rank, x.g AS phrase, x.a, x.l, x.r, t.n, x.score
+FROM lowest x JOIN totals t ON t.lang = x.lang LEFT JOIN longer y ON y.lang = x.lang AND y.g = x.g AND x.k = 2
+WHERE y.most IS NULL OR 100 * y.most < 50 * x.a
+QUALIFY rank <= 2000
+"""
+
+
+def _op13(passes: int = 4) -> str:
+    """The passes over a source's documents are one query after the other."""
+    sql = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || md5(coalesce(text, ''))), 1, 12) AS BIGINT) AS DOUBLE) + 0.5) / 281474976710656.0 AS u
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM sized GROUP BY source
+), weighted AS (
+  SELECT source, source_size, CASE (no - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM sources
+), filled AS (
+  SELECT *, (SELECT sum(source_size) FROM weighted) - coalesce(sum(3 * source_size) OVER w, 0) AS room,
+    (SELECT sum(weight) FROM weighted) - coalesce(sum(weight) OVER w, 0) AS shares
+  FROM weighted WINDOW w AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), price AS (
+  SELECT CAST(room AS DOUBLE) AS room, CAST(shares AS DOUBLE) AS shares FROM filled
+  WHERE weight * room <= 3 * source_size * shares ORDER BY room / shares DESC LIMIT 1
+), wanted AS (
+  SELECT source, source_size, least(CAST(weight AS DOUBLE) * (SELECT room FROM price) / (SELECT shares FROM price), CAST(3 * source_size AS DOUBLE)) AS target FROM weighted
+), graded AS (
+  SELECT *, length(bin(size)) + 1 AS grade FROM sized WHERE size > 0
+), grades AS (
+  SELECT source, grade, CAST(sum(size) AS BIGINT) AS words FROM graded GROUP BY source, grade
+), steps AS (
+  SELECT g.source, g.grade, g.words, t.target,
+    (t.target - 3 * CAST(coalesce(sum(words) OVER (PARTITION BY g.source ORDER BY grade DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+      / CAST(sum(words * grade) OVER (PARTITION BY g.source ORDER BY grade) AS DOUBLE) AS step
+  FROM grades g JOIN wanted t ON t.source IS NOT DISTINCT FROM g.source
+), best AS (
+  SELECT source, max(CASE WHEN step * grade <= 3 THEN step END) AS step FROM steps GROUP BY source
+), plan AS (
+  SELECT s.source, s.grade, s.words, s.target, CAST(floor(c) AS BIGINT) AS whole, c - CAST(floor(c) AS BIGINT) AS p
+  FROM (SELECT s.*, least(coalesce(b.step * s.grade, 3.0), 3.0) AS c FROM steps s JOIN best b ON s.source IS NOT DISTINCT FROM b.source) s
+), ranked AS (
+  SELECT g.doc_id, g.source, g.size, g.grade, g.u, p.whole, CASE WHEN p.p > 0 THEN (g.u / (1.0 - g.u)) * ((1.0 - p.p) / p.p) END AS odds
+  FROM graded g JOIN plan p ON p.source IS NOT DISTINCT FROM g.source AND p.grade = g.grade
+), placed AS (
+  SELECT *, odds / (1.0 + odds) AS q FROM ranked
+), state0 AS (
+  SELECT source, min(target) - sum(CAST(whole * words AS DOUBLE)) AS room, 0.0::DOUBLE AS at, 'inf'::DOUBLE AS most FROM plan GROUP BY source
+)"""
+    for k in range(passes):
+        sql += f"""
+, open{k} AS (
+  SELECT p.source, p.q, p.size, s.room, sum(p.size) OVER (PARTITION BY p.source ORDER BY q) AS upto
+  FROM placed p JOIN state{k} s ON s.source IS NOT DISTINCT FROM p.source WHERE q >= s.at AND size <= s.most
+), cut{k} AS (
+  SELECT o.source, min(CASE WHEN upto > room THEN q END) AS cut, max(CASE WHEN upto <= room THEN upto ELSE 0 END) AS used FROM open{k} o GROUP BY o.source
+), state{k + 1} AS (
+  SELECT s.source, CASE WHEN c.cut IS NULL THEN -1.0 ELSE s.room - c.used END AS room, coalesce(c.cut, 2.0) AS at,
+    CASE WHEN c.cut IS NULL THEN -1.0 ELSE s.room - c.used END AS most
+  FROM state{k} s LEFT JOIN cut{k} c ON c.source IS NOT DISTINCT FROM s.source
+)"""
+    drawn = " OR ".join(f"(p.q >= s{k}.at AND p.q < s{k + 1}.at AND p.size <= s{k}.most)" for k in range(passes))
+    joins = " ".join(f"LEFT JOIN state{k} s{k} ON s{k}.source IS NOT DISTINCT FROM p.source" for k in range(passes + 1))
+    return sql + f"""
+, taken AS (
+  SELECT p.doc_id, p.source, p.size, p.u, p.whole + CASE WHEN {drawn} THEN 1 ELSE 0 END AS copies FROM placed p {joins}
+)
+SELECT z.doc_id, z.size, w.source_size, w.target, CAST(coalesce(t.copies, 0) * z.size AS BIGINT) AS taken
+FROM sized z JOIN wanted w ON w.source IS NOT DISTINCT FROM z.source LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM z.doc_id AND t.u = z.u
+"""
+
+
 SQL = {
     "op1_embedding_near_dedup": OP1,
     "op4_ngram_jaccard_join": OP4,
     "op7_benchmark_decontamination": OP7,
     "op8_warc_fixity": OP8,
     "op10_line_dedup": OP10,
+    "op11_collocations": OP11,
+    "op13_source_mix": _op13(),
 }

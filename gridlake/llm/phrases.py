@@ -43,10 +43,11 @@ SUPPORT = 10
 LONGEST = 3
 FIRST = 2000
 COVERED = 50  # percent of a phrase's occurrences that lie in a longer candidate
-SHARD_WORDS = 1 << 22
-PART_WORDS = 1 << 21  # words of the corpus for one part of the phrases
-LEAST_PARTS = 64
+SHARD_WORDS = 1 << 21
+PART_WORDS = 1 << 22  # words of the corpus for one part of the phrases
+LEAST_PARTS = 24
 SALTS = 64
+SLICES = 8
 
 _CUT = T.table((0x0A, 0x0D)) | np.isin(np.arange(256), list(b".,;:!?"))
 _WORD = ~(_CUT | T.table((0x20, 0x20), (0x09, 0x09)))
@@ -88,35 +89,60 @@ def _slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[_Slice]:
                 yield x
 
 
-def _shards(batches: Iterator[pa.RecordBatch], seed: int, most: int) -> Iterator[list[_Slice]]:
+def _shards(batches: Iterator[pa.RecordBatch], seed: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The keys of the words of about ``most`` words of texts, and whether each goes on from the one before."""
     held, n = [], 0
     for x in _slices(batches, seed):
-        held.append(x)
+        held.append((x.keys, x.goes_on))
         n += len(x.keys)
         if n >= most:
-            yield held
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
             held, n = [], 0
     if held:
-        yield held
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+class _Words:
+    """The distinct words of some slices: key, check, count, language and the word itself."""
+
+    def __init__(self) -> None:
+        self.keys, self.checks, self.counts, self.langs, self.words = [], [], [], [], []
+
+    def add(self, x: _Slice, seed: int) -> None:
+        check = T.word_keys(x.buf, x.s, x.e, seed + 2)
+        first, number = T.distinct(x.keys)
+        if (check != check[first][number]).any():
+            raise Collision(seed)
+        self.keys.append(x.keys[first])
+        self.checks.append(check[first])
+        self.counts.append(np.bincount(number, minlength=len(first)))
+        self.langs.append(x.langs.take(pa.array(x.row[first])))
+        self.words.append(pa.array(T.strings(x.buf, x.s[first], x.e[first]), pa.string()))
+
+    def rows(self, seed: int) -> pa.RecordBatch:
+        keys, checks, counts = map(np.concatenate, (self.keys, self.checks, self.counts))
+        first, number = T.distinct(keys)
+        if (checks != checks[first][number]).any():
+            raise Collision(seed)
+        at = pa.array(first)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, number, counts)
+        columns = [pa.array(keys[first].view(np.int64)), pa.concat_arrays(self.langs).take(at), pa.concat_arrays(self.words).take(at), pa.array(total)]
+        return pa.record_batch(columns, ["key", "lang", "word", "c"])
 
 
 def words(docs: DataFrame, seed: int) -> DataFrame:
-    """key, lang, word, c: the words of each slice of texts with their counts there."""
+    """key, lang, word, c: the words of each ``SLICES`` slices of texts with their counts there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Words()
         for x in _slices(batches, seed):
-            check = T.word_keys(x.buf, x.s, x.e, seed + 2)
-            first, number = T.distinct(x.keys)
-            if (check != check[first][number]).any():
-                raise Collision(seed)
-            yield pa.record_batch(
-                [
-                    pa.array(x.keys[first].view(np.int64)),
-                    x.langs.take(pa.array(x.row[first])), pa.array(T.strings(x.buf, x.s[first], x.e[first]), pa.string()),
-                    pa.array(np.bincount(number, minlength=len(first))),
-                ],
-                ["key", "lang", "word", "c"],
-            )
+            held.add(x, seed)
+            if len(held.keys) == SLICES:
+                yield held.rows(seed)
+                held = _Words()
+        if held.keys:
+            yield held.rows(seed)
 
     return _rows(docs).mapInArrow(run, "key long, lang string, word string, c long")
 
@@ -157,6 +183,18 @@ def grouped(ids: np.ndarray, values: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate([[True], new])) if n else np.zeros(0, np.int64)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on: the bytes of each (1, 2, 4 or 8), then the numbers, compressed."""
+    size = next(b for b in (1, 2, 4, 8) if b == 8 or int(x.max(initial=0)) < 1 << 8 * b)
+    body = np.ascontiguousarray(x).astype(f"<u{size}").tobytes()
+    return bytes([size]) + len(body).to_bytes(8, "little") + pa.compress(body, "zstd", asbytes=True)
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    body = pa.decompress(b[9:], int.from_bytes(b[1:9], "little"), "zstd", asbytes=True)
+    return np.frombuffer(body, f"<u{b[0]}")
+
+
 _BLOCK = "part int, k int, support long, words binary, ids binary, counts binary"
 
 
@@ -164,14 +202,11 @@ def blocks(docs: DataFrame, seed: int, total: int, parts: int, support: int = SU
     """The counts of all phrases of two words or more in each shard.
 
     A row holds those of one length and part: the keys of their words, the words'
-    places among these keys, and the counts; ``support`` is the local support.
+    places among these keys, word by word, and the counts; ``support`` is the local support.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, seed, shard_words):
-            keys = np.concatenate([x.keys for x in shard])
-            goes_on = np.concatenate([x.goes_on for x in shard])
-            del shard
+        for keys, goes_on in _shards(batches, seed, shard_words):
             first, number = T.distinct(keys)
             vocabulary = keys[first]
             number = number.astype(np.int32)
@@ -198,10 +233,8 @@ def blocks(docs: DataFrame, seed: int, total: int, parts: int, support: int = SU
                 for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                     mine = by[a:b]
                     used, place = np.unique(ids[mine], return_inverse=True)
-                    out.append((
-                        int(part[mine[0]]), k, local, vocabulary[used].tobytes(),
-                        place.reshape(-1).astype(np.int32).tobytes(), counts[mine].astype(np.int64 if counts.max() >> 31 else np.int32).tobytes(),
-                    ))
+                    columns = place.reshape(len(mine), k).T  # the phrases are in order, so a column compresses well
+                    out.append((int(part[mine[0]]), k, local, vocabulary[used].tobytes(), _packed(columns), _packed(counts[mine])))
                 for a in range(0, len(out), 64):
                     yield pa.record_batch(
                         [pa.array(c, t) for c, t in zip(zip(*out[a : a + 64], strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
@@ -224,8 +257,8 @@ def _gathered(support: int):
         for own, b, c, local in zip(vocabularies, *[table.column(x).to_pylist() for x in ("ids", "counts", "support")], strict=True):
             mine = place[at : at + len(own)].astype(np.int32)
             at += len(own)
-            ids.append(mine[np.frombuffer(b, np.int32)].reshape(-1, k))
-            counts.append(np.frombuffer(c, np.int32 if len(c) == 4 * len(ids[-1]) else np.int64).astype(np.int64))
+            ids.append(mine[_unpacked(b)].reshape(k, -1).T)
+            counts.append(_unpacked(c).astype(np.int64))
             frequent.append(counts[-1] >= local)
         ids, counts, frequent = np.concatenate(ids), np.concatenate(counts), np.concatenate(frequent)
         order, start = grouped(ids, len(vocabulary))

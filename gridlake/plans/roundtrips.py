@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridlake.keyed import ops
 from gridlake.plans import catalog, racing, reports
 from gridlake.session import scratch_path
-from gridlake.sources import export, files
+from gridlake.sources import export, files, listing
 
 
 def _place(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -113,6 +113,56 @@ def partitioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(events.columns)
 
 
+PER_FILE = 50
+
+
+def _many_objects(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """``orders`` as many small files in a folder per status and one per last digit of the key below it."""
+    root, _ = _place(spark, name)
+    digit = F.pmod("o_orderkey", F.lit(10)).alias("digit")
+    orders = racing.read_tpch(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), digit)
+    spread = orders.repartition("status", "digit")  # all rows of a folder in one task, so its files are full but the last
+    spread.write.partitionBy("status", "digit").option("maxRecordsPerFile", PER_FILE).parquet(root)
+    return root
+
+
+def listed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects a folder, from a listing of the files just written; what a prefix and a
+    start key keep of them; the objects that Spark's own readers hide."""
+    root = _many_objects(spark, sf_dir, "listing")
+    found = listing.list_objects(spark, root)
+    folder = F.regexp_replace("key", "[^/]*$", "")
+    by = lambda df, how: df.groupBy(folder.alias("folder")).agg(
+        F.count("*").alias("n_objects"), F.count_distinct("key").alias("n_keys"), (F.min("size") > 0).alias("all_filled"), F.max(F.col("is_dir").cast("int")).alias("dirs")
+    ).withColumn("how", F.lit(how))
+    files = found.where("key like '%.parquet'")
+    marker = by(found.where("key = '_SUCCESS'").withColumn("size", F.lit(1)), "hidden")
+    some = by(listing.list_objects(spark, root, prefix="status=F/digit="), "prefix")
+    after = by(listing.list_objects(spark, root, start_after="status=O/digit=5").where("key like 'status=O/%'"), "start_after")
+    top = listing.list_objects(spark, root, prefix="status=", recursive=False).select(
+        F.col("key").alias("folder"), F.lit(1).cast("long").alias("n_objects"), F.lit(1).cast("long").alias("n_keys"),
+        F.col("size").isNull().alias("all_filled"), F.col("is_dir").cast("int").alias("dirs"), F.lit("folders").alias("how"),
+    )
+    return by(files, "all").unionByName(marker).unionByName(some).unionByName(after).unionByName(top)
+
+
+def prefixes_with_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which prefixes hold an object, for every status and digit and for some that can't."""
+    root = _many_objects(spark, sf_dir, "prefixes")
+    wanted = [f"status={s}/digit={d}/" for s in ("F", "O", "P", "X") for d in (0, 7)] + ["status=", "status=F", "digit=", "_SUCCESS", "_SUCCESS/"]
+    return spark.createDataFrame([(p, listing.prefix_exists(spark, root, p)) for p in wanted], "prefix string, has_objects boolean")
+
+
+def mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One glob over CSV files with three different headers, read by the names in their first lines."""
+    root, _ = _place(spark, "headers")
+    orders = racing.read_tpch(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for i, columns in enumerate((["o_orderkey", "o_custkey", "o_orderstatus"], ["o_orderstatus", "o_orderkey", "o_custkey"], ["o_custkey", "o_orderkey"])):
+        part = orders.where(F.pmod("o_orderkey", F.lit(3)) == i).select(columns).repartition(4)
+        files.write(part, f"{root}/{i}.csv", "csv", **({"compression": "gzip"} if i == 1 else {}))
+    return files.scan(spark, f"{root}/*.csv", schema=orders.schema)
+
+
 def keyed_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users created from the first ten days of events, purchases inserted from the
     next ten, the rest upserted by ``value``, users with an error on the last day deleted."""
@@ -162,6 +212,9 @@ QUERIES = {
     "exportImportJson": export_import("json"),
     "exportImportOrc": export_import("orc"),
     "partitionedEvents": partitioned_events,
+    "listedObjects": listed_objects,
+    "prefixesWithObjects": prefixes_with_objects,
+    "mixedHeaders": mixed_headers,
     "keyedOperations": keyed_operations,
     "pointLookup": point_lookup,
 } | {f"view_{name}": view(name) for name in reports.REPORTS}

@@ -24,7 +24,7 @@ from pyspark.sql.types import NumericType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from gridlake.functions import paths as P
-from gridlake.sources import fs
+from gridlake.sources import fs, store
 from gridlake.sources.listing import list_objects
 
 # File type -> (Spark source, default reader options). The CSV defaults are
@@ -122,18 +122,23 @@ def _is_one_file(spark: SparkSession, path: str | list[str]) -> bool:
 
 
 def _by_header(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> list[list[str]]:
-    """The paths of CSV files, grouped by their first lines.
+    """The paths of CSV files, grouped by their first lines; none if all agree.
 
-    If all agree, which is told from a distinct count, no path is collected.
-    Otherwise the driver holds the paths, as a reader's file index does.
+    Tasks read the heads of the files only (``store.heads``). If the first lines
+    agree, which is told from a distinct count, no path is collected. Otherwise
+    the driver holds the paths, as a reader's file index does.
     """
-    lines = spark.read.format("text").options(**options).load(path)
-    start = lines.select("_metadata.file_path", "value", F.monotonically_increasing_id().alias("n")).where("_metadata.file_block_start = 0")
-    heads = start.groupBy("file_path").agg(F.min_by("value", "n").alias("header"))
+    found = spark.read.format("binaryFile").options(**options).load(path).select("path")  # names; no content is read
+    if all(store.reachable(fs.qualify(spark, p)) for p in ([path] if isinstance(path, str) else path[:1])):
+        heads = store.heads(found, store.settings(spark))
+    else:
+        lines = spark.read.format("text").options(**options).load(path)
+        start = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("n"))
+        heads = start.groupBy("path").agg(F.min_by("value", "n").alias("header"))
     if heads.agg(F.count_distinct("header").alias("n")).first().n <= 1:
         return []
-    rows = heads.orderBy("header", "file_path").toLocalIterator()
-    return [[r.file_path for r in group] for _, group in groupby(rows, key=lambda r: r.header)]
+    rows = heads.select("path", "header").orderBy("header", "path").toLocalIterator()
+    return [[r.path for r in group] for _, group in groupby(rows, key=lambda r: r.header)]
 
 
 def _load(

@@ -3,9 +3,11 @@
 A listing is one row per object: ``key`` (path relative to the listed root),
 ``path`` (fully qualified), ``size`` and ``last_modified``. Spark's file
 sources leave out names that start with ``_`` or ``.``, an object store lists
-them, so the filesystem is asked: only the folder the prefix lies in, entry by
-entry. The driver holds ``CHUNK`` entries at most; a longer listing is written
-to the checkpoint folder in pieces and read from there.
+them, so the store is asked, by tasks: folders are shared out over them
+(``store``), and only those that can hold wanted keys are listed. Where tasks
+can't reach the file system, Hadoop is asked entry by entry; the driver then
+holds ``CHUNK`` entries at most, and a longer listing is written to the
+checkpoint folder in pieces and read from there.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
 from gridlake.session import scratch_path
-from gridlake.sources import fs
+from gridlake.sources import fs, store
 
 CHUNK = 50_000
 
@@ -66,6 +68,9 @@ def list_objects(
     ``is_dir`` is true), as an object store's delimiter listing does.
     ``start_after`` keeps keys that sort after it.
     """
+    base = _root(spark, root)
+    if store.reachable(base):
+        return store.listing(spark, base, prefix=prefix or "", start_after=start_after or "", recursive=str(recursive).lower())
     found = _entries(spark, root, prefix or "", recursive)
     some = list(islice(found, CHUNK))
     rows = spark.createDataFrame(some, LISTING_SCHEMA)

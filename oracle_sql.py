@@ -350,6 +350,22 @@ ROUND_TRIPS = {
     "fileToTableAndBack": "SELECT * FROM part",
     **{f"exportImport{f}": _CODED for f in ("Parquet", "Csv", "Json", "Orc")},
     "partitionedEvents": "SELECT *, year(ts) AS year, month(ts) AS month, day(ts) AS day FROM events",
+    "listedObjects": """
+WITH parts AS (
+    SELECT 'status=' || o_orderstatus || '/digit=' || o_orderkey % 10 || '/' AS folder, o_orderstatus AS status, o_orderkey % 10 AS digit,
+           CAST(ceil(count(*) / 50.0) AS BIGINT) AS n
+    FROM orders GROUP BY ALL
+)
+SELECT folder, n AS n_objects, n AS n_keys, true AS all_filled, 0 AS dirs, 'all' AS how FROM parts
+UNION ALL SELECT '', 1, 1, true, 0, 'hidden'
+UNION ALL SELECT folder, n, n, true, 0, 'prefix' FROM parts WHERE status = 'F'
+UNION ALL SELECT folder, n, n, true, 0, 'start_after' FROM parts WHERE status = 'O' AND digit >= 5
+UNION ALL SELECT DISTINCT 'status=' || status || '/', 1, 1, true, 1, 'folders' FROM parts""",
+    "prefixesWithObjects": """
+SELECT 'status=' || s || '/digit=' || d || '/' AS prefix, EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = s AND o_orderkey % 10 = d) AS has_objects
+FROM (VALUES ('F'), ('O'), ('P'), ('X')) a(s), (VALUES (0), (7)) b(d)
+UNION ALL SELECT * FROM (VALUES ('status=', true), ('status=F', EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F')), ('digit=', false), ('_SUCCESS', true), ('_SUCCESS/', false)) v""",
+    "mixedHeaders": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS o_orderstatus FROM orders",
     "pointLookup": "SELECT * FROM orders WHERE o_orderkey = 7",
     # One pass per operation: what each leaves of the rows before it.
     "keyedOperations": """

@@ -22,16 +22,15 @@ The snapshot rules, per key:
 
 Plan shape (why it survives a key holding a third of the table):
 
-* The full log is only ever *aggregated* (partial aggregation map-side) to
-  one narrow summary row per (key, commit) -- a hash aggregate of the
-  greatest ordering value -- and *semi-joined* back on (key, commit). The
-  windows run on the summary, whose size per key is the number of commits,
-  not rows, and which carries no row payload through its sorts.
-* Rule 3 is a separate ranking of the upsert rows only, cut to the best row of
-  a (key, commit) before the shuffle.
-* The semi-joins are on (key, commit), so both sides are shuffled for them
-  and AQE can split a skewed (key, commit) partition, or broadcast the
-  summary side when it turns out small at runtime.
+* The log is *aggregated* (combined in the input tasks) to one narrow row per
+  (key, commit): its greatest ordering value. That is all the rules need, and
+  its number of rows per key is the number of commits.
+* A key's commits are folded, in order, to its *state*: the newest delete, and
+  the commit of the last firing ``U`` row. Two narrow exchanges, no payload.
+* The states are joined back to the log on the key, a join whose skewed
+  partitions AQE splits (or which is a broadcast if the states are few), and the
+  rows are filtered by them. What is left of ``U`` rows, one commit per key,
+  is cut to the best row inside the tasks before it is exchanged.
 """
 
 from __future__ import annotations
@@ -87,41 +86,35 @@ def _ordering_value(ordering: Sequence[str]) -> Column:
     return F.max(order_key(ordering))
 
 
-def commit_summary(log: DataFrame, key: Sequence[str], ordering: Sequence[str], mode: str) -> DataFrame:
-    """One narrow row per (key, commit) with the flags of rules 2, 4 and 5.
+def key_states(log: DataFrame, key: Sequence[str], ordering: Sequence[str], mode: str) -> DataFrame:
+    """One row per key: ``_cd`` the newest delete (or ''), ``_cu`` the commit of the last firing ``U`` row (or '').
 
-    ``_mo`` greatest ordering value of the key's rows in the commit,
-    ``_fires`` rule 4, ``_keep_io`` whether the commit's I/O rows survive
-    (rule 5), ``_take_u`` whether the commit holds the key's surviving U row.
+    ``_cd`` counts for rows of every kind, ``_cu`` only after it.
     """
-    summary = log.groupBy(*key, COMMIT, OP).agg(_ordering_value(ordering).alias("_mo"))
-    per_key = Window.partitionBy(*key)
-    before = per_key.orderBy(COMMIT).rowsBetween(Window.unboundedPreceding, -1)
-    commit = F.col(COMMIT)
-    op = F.col(OP)
-    summary = summary.withColumn("_cd", F.max(F.when(op == F.lit(DELETE), commit)).over(per_key))
-    alive = (op != F.lit(DELETE)) & (F.col("_cd").isNull() | (commit > F.col("_cd")))
-    summary = summary.withColumn("_alive", alive)
-    prev_max = F.max(F.when(F.col("_alive"), F.col("_mo"))).over(before)
-    is_u = (op == F.lit(UPSERT)) & F.col("_alive")
-    if mode == "commit":
-        fires = is_u
-    elif mode == "event":
-        # A NULL own value against a non-NULL earlier maximum does not fire.
-        fires = is_u & F.coalesce(prev_max.isNull() | (F.col("_mo") >= prev_max), F.lit(False))
-    else:
+    if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    summary = summary.withColumn("_fires", fires)
-    summary = summary.withColumn("_cu", F.max(F.when(F.col("_fires"), commit)).over(per_key))
-    io = op.isin(INSERT, OVERWRITE)
-    keep_io = io & F.col("_alive") & (F.col("_cu").isNull() | (commit > F.col("_cu")))
-    take_u = F.col("_fires") & (commit == F.col("_cu"))
-    return summary.withColumn("_keep_io", keep_io).withColumn("_take_u", take_u)
-
-
-def best_upserts(log: DataFrame, key: Sequence[str], ordering: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
-    """Rule 3: the best U row per (key, commit), chosen inside the input tasks first."""
-    return latest_per_key(log.where(F.col(OP) == F.lit(UPSERT)), [*key, COMMIT], ordering, tiebreak)
+    none = F.lit("")
+    is_d = F.col(OP) == F.lit(DELETE)
+    if mode == "commit":  # the last U commit fires if it comes after the newest delete
+        last = lambda what: F.coalesce(F.max(F.when(what, F.col(COMMIT))), none)
+        states = log.groupBy(*key).agg(last(is_d).alias("_cd"), last(F.col(OP) == F.lit(UPSERT)).alias("_cu"))
+        return states.withColumn("_cu", F.when(F.col("_cu") > F.col("_cd"), F.col("_cu")).otherwise(none))
+    per_commit = log.groupBy(*key, COMMIT, OP).agg(_ordering_value(ordering).alias("_mo"))
+    commits = F.array_sort(F.collect_list(F.struct(F.col(COMMIT).alias("c"), F.col(OP).alias("op"), F.col("_mo").alias("mo"))))
+    kind = per_commit.schema["_mo"].dataType.simpleString()
+    start = F.struct(none.alias("cd"), none.alias("cu"), F.lit(None).cast(kind).alias("most"))
+
+    def step(state: Column, x: Column) -> Column:
+        # A U row whose value is NULL doesn't reach an earlier value that isn't.
+        fires = (x["op"] == F.lit(UPSERT)) & F.coalesce(state["most"].isNull() | (x["mo"] >= state["most"]), F.lit(False))
+        deleted = F.struct(x["c"].alias("cd"), none.alias("cu"), F.lit(None).cast(kind).alias("most"))
+        kept = F.struct(
+            state["cd"].alias("cd"), F.when(fires, x["c"]).otherwise(state["cu"]).alias("cu"), F.greatest(state["most"], x["mo"]).alias("most")
+        )
+        return F.when(x["op"] == F.lit(DELETE), deleted).otherwise(kept)
+
+    folded = per_commit.groupBy(*key).agg(commits.alias("_commits"))
+    return folded.select(*key, F.aggregate("_commits", start, step).alias("_s")).select(*key, F.col("_s.cd").alias("_cd"), F.col("_s.cu").alias("_cu"))
 
 
 def resolve(
@@ -131,17 +124,19 @@ def resolve(
     tiebreak: Sequence[str] | str = (),
     mode: str = "event",
     start: str | Column | None = None,
+    one_per_overwrite: bool = False,
 ) -> DataFrame:
     """The table's rows after applying the change log (rules 1-5).
 
     Output columns are the log's columns (``_commit_time`` and ``_op``
     included), each row as it was written. A row with a NULL key fails the
     job: such rows are refused when they are written, so here one is a fault
-    of the log that must not pass in silence.
+    of the log that must not pass in silence. ``one_per_overwrite`` is for a
+    log with raw batches in its overwrites: of an ``O`` commit, too, only the
+    key's best row counts then, as a create would keep it.
     """
     keys, ords, ties = _as_list(key), _as_list(ordering), _as_list(tiebreak)
-    cols = log.columns
-    return _resolved(_keyed(since_last_overwrite(log, start), keys), keys, ords, ties, mode, cols)
+    return _resolved(_keyed(since_last_overwrite(log, start), keys), keys, ords, ties, mode, one_per_overwrite)
 
 
 def resolve_since(
@@ -152,34 +147,43 @@ def resolve_since(
     mode: str,
     start: str | Column | None,
     begin: str,
-    touched: DataFrame | None = None,
+    recent: DataFrame | None = None,
+    one_per_overwrite: bool = False,
 ) -> DataFrame:
     """The table's rows that commits after ``begin`` wrote.
 
-    Only keys with such a commit can have such rows, so the log is first
-    semi-joined with the keys touched after ``begin`` and only their history
-    is resolved. ``touched`` gives these keys where a cheaper scan knows them.
+    Only keys with such a commit can have such rows, so the commits of the
+    other keys are left out of the fold, and only rows after ``begin`` are
+    joined with the states: what lies before is read for its narrow columns
+    alone. ``recent`` gives the rows after ``begin`` where a cheaper scan has
+    them (partitions, row groups); they are filtered all the same.
     """
     keys, ords, ties = _as_list(key), _as_list(ordering), _as_list(tiebreak)
-    cols = log.columns
     live = _keyed(since_last_overwrite(log, start), keys)
-    if touched is None:
-        touched = live.where(F.col(COMMIT) > F.lit(begin)).select(*keys).distinct()
-    rows = _resolved(live.join(touched, keys, "left_semi"), keys, ords, ties, mode, cols)
-    return rows.where(F.col(COMMIT) > F.lit(begin))
-
-
-def _resolved(live: DataFrame, keys: list[str], ords: list[str], ties: list[str], mode: str, cols: list[str]) -> DataFrame:
-    summary = commit_summary(live, keys, ords, mode)
-    take_u = summary.where(F.col("_take_u")).select(*keys, COMMIT)
-    upserts = (
-        best_upserts(live, keys, ords, ties)
-        .join(take_u, on=[*keys, COMMIT], how="left_semi")
-        .select(*cols)
-    )
-    keep = summary.where(F.col("_keep_io")).select(*keys, COMMIT)
-    inserts = live.where(F.col(OP).isin(INSERT, OVERWRITE)).join(keep, on=[*keys, COMMIT], how="left_semi")
-    return upserts.unionByName(inserts.select(*cols))
+    late = live if recent is None else _keyed(since_last_overwrite(recent.select(live.columns), start), keys)
+    late = late.where(F.col(COMMIT) > F.lit(begin))
+    states = key_states(live.join(late.select(*keys).distinct(), keys, "left_semi"), keys, ords, mode)
+    return _of_states(late, states, keys, ords, ties, one_per_overwrite)
+
+
+def _resolved(live: DataFrame, keys: list[str], ords: list[str], ties: list[str], mode: str, one_per_overwrite: bool) -> DataFrame:
+    return _of_states(live, key_states(live, keys, ords, mode), keys, ords, ties, one_per_overwrite)
+
+
+def _of_states(rows: DataFrame, states: DataFrame, keys: list[str], ords: list[str], ties: list[str], one_per_overwrite: bool) -> DataFrame:
+    """The rows that the states of their keys leave; of ``U`` rows the key's best one (rule 3)."""
+    op, commit = F.col(OP), F.col(COMMIT)
+    cols = rows.columns
+    # A state is joined once for U rows and once for the others: so both sides are exchanged for the
+    # join, and AQE can split the log's partition of a hot key, which it can't beside an aggregate.
+    is_u = op == F.lit(UPSERT)
+    twice = states.withColumn("_u", F.explode(F.array(F.lit(True), F.lit(False))))
+    joined = rows.where(op != F.lit(DELETE)).withColumn("_u", is_u).join(twice, [*keys, "_u"])
+    left = joined.where(F.when(is_u, commit == F.col("_cu")).otherwise((commit > F.col("_cd")) & (commit > F.col("_cu"))))
+    # Rows of which all count get a number each, so that one ranking serves both kinds, in the join's partitions.
+    single = op.isin(UPSERT, OVERWRITE) if one_per_overwrite else is_u
+    own = F.when(~single, F.monotonically_increasing_id())
+    return latest_per_key(left.withColumn("_own", own), [*keys, "_u", COMMIT, "_own"], ords, ties).select(*cols)
 
 
 def _keyed(log: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -73,26 +73,35 @@ def lookup(rows: DataFrame, **key) -> DataFrame:
 
 def read(
     log: DataFrame, how: str, key, ordering, tiebreak=(), mode: str = "event",
-    at: str | None = None, commits: DataFrame | None = None, touched: DataFrame | None = None,
+    at: str | None = None, commits: DataFrame | None = None, recent: DataFrame | None = None,
+    until: str | None = None, start: str | None = None, one_per_overwrite: bool = False,
 ) -> DataFrame:
     """T5-T8 over a change log, by name: ``snapshot``, ``as_of`` (needs ``at``) or
-    ``incremental`` (the current rows written after ``at``), or the reference's short names.
+    ``incremental`` (the rows written after ``at``, as the table is now or, with
+    ``until``, as it was then), or the reference's short names.
 
     ``commits`` is the commit list, if there is one apart from the rows (an
-    overwrite without rows is only known from it); ``touched`` the keys with
-    commits after ``at``, if they are known."""
+    overwrite without rows is only known from it); ``recent`` the rows of
+    commits after ``at`` (and up to ``until``), if a cheaper scan has them;
+    ``start`` is the newest overwrite commit up to the end of the read, if it is
+    known ('': none is in the log); ``one_per_overwrite`` as in ``merge.resolve``."""
     how = READS.get(how, how)
     if how not in READS.values():
         raise ValueError(f"unknown read {how!r}; known: {sorted(READS.values())}")
     if how != "snapshot" and at is None:
         raise ValueError(f"the read {how!r} needs a commit time")
-    if how == "as_of":
-        log = log.where(F.col(merge.COMMIT) <= F.lit(at))
-        commits = commits.where(F.col(merge.COMMIT) <= F.lit(at)) if commits is not None else None
-    start = merge.newest_overwrite(commits) if commits is not None else None
+    if until is not None and how != "incremental":
+        raise ValueError(f"the read {how!r} has no second commit time")
+    end = at if how == "as_of" else until
+    if end is not None:
+        log = log.where(F.col(merge.COMMIT) <= F.lit(end))
+        commits = commits.where(F.col(merge.COMMIT) <= F.lit(end)) if commits is not None else None
+        recent = recent.where(F.col(merge.COMMIT) <= F.lit(end)) if recent is not None else None
+    if commits is not None:
+        start = merge.newest_overwrite(commits)
     if how == "incremental":
-        return merge.resolve_since(log, key, ordering, tiebreak, mode, start, at, touched)
-    return merge.resolve(log, key, ordering, tiebreak, mode, start)
+        return merge.resolve_since(log, key, ordering, tiebreak, mode, start, at, recent, one_per_overwrite)
+    return merge.resolve(log, key, ordering, tiebreak, mode, start, one_per_overwrite)
 
 
 def external_table(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> None:

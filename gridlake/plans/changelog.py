@@ -7,16 +7,17 @@ none, so one is derived from ``events`` (key ``user_id``, ordering ``ts`` or
 * each day of events is a set of commits, one per operation kind, with
   commit time ``yyyyMMdd`` + a two-digit slot + ``0000000`` (17 digits);
 * days of the month in ``OVERWRITE_DAYS`` are table (re)creations: that day's
-  events, de-duplicated by key as a create does, in an ``O`` commit (slot 01).
-  Only the first day is one, so every later day can affect an answer;
+  events in an ``O`` commit (slot 01), raw: a read keeps the best row of a key,
+  as a create does (``one_per_overwrite``). Only the first day is one, so every
+  later day can affect an answer;
 * on other days ``signup``/``purchase`` events are bulk inserts (``I``,
   slot 02), ``click``/``view`` events are upserts (``U``, slot 03) and
   ``error`` events delete their key (``D``, slot 04).
 
-Everything is a projection of ``events`` plus one aggregation for the
-overwrite batches, so the log grows with the table. A commit's day is its
+The log is a projection of ``events``, so it grows with the table. A commit's day is its
 events' day, so bounds on commits are put on ``ts`` too, where the scan can use
-them.
+them; so is the day of the newest overwrite, which is found first, by a scan of
+``ts`` alone.
 """
 
 from __future__ import annotations
@@ -75,31 +76,26 @@ def events_commits(spark: SparkSession, sf_dir: str, upto: str | None = None) ->
     return commits.where(F.col(COMMIT) <= F.lit(upto)) if upto else commits
 
 
-def events_log(spark: SparkSession, sf_dir: str, ordering: str = "ts", upto: str | None = None) -> DataFrame:
-    """The log's rows of commits up to ``upto``, from the newest overwrite on.
+def newest_overwrite_day(spark: SparkSession, sf_dir: str, upto: str | None = None) -> str | None:
+    """The day of the newest overwrite, one value for the driver."""
+    day = _events(spark, sf_dir, upto).where(_is_overwrite_day()).agg(F.max(F.to_date("ts"))).first()[0]
+    return day.isoformat() if day else None
 
-    What an overwrite replaced isn't read: its day is a scalar subquery, which
-    becomes a filter of the scan when the query runs.
-    """
+
+def events_log(spark: SparkSession, sf_dir: str, upto: str | None = None) -> DataFrame:
+    """The log's rows of commits up to ``upto``, from the newest overwrite on: what it replaced isn't read."""
     ev = _events(spark, sf_dir, upto)
-    kind = dict(ev.dtypes)["ts"]
-    newest = F.coalesce(F.max(F.to_date("ts")).cast(kind), F.lit("0001-01-01").cast(kind))
-    ev = ev.where(F.col("ts") >= _events(spark, sf_dir, upto).where(_is_overwrite_day()).select(newest).scalar())
-    is_o = _is_overwrite_day()
-    # Overwrite batches: one row per (day, key), as a create de-duplicates.
-    o_rows = latest_per_key(
-        ev.where(is_o).withColumn("_day", F.to_date("ts")), ["_day", KEY], ordering, TIEBREAK
-    ).drop("_day").withColumn(OP, F.lit(OVERWRITE))
-    rest = ev.where(~is_o).withColumn(OP, _op_of_event())
-    log = o_rows.unionByName(rest).withColumn(COMMIT, commit_time("ts", F.col(OP))).withColumn("year", F.year("ts"))
+    newest = newest_overwrite_day(spark, sf_dir, upto)
+    if newest:
+        ev = ev.where(F.col("ts") >= F.expr(f"timestamp '{newest}'"))
+    log = ev.withColumn(OP, _op_of_event()).withColumn(COMMIT, commit_time("ts", F.col(OP))).withColumn("year", F.year("ts"))
     return log.where(F.col(COMMIT) <= F.lit(upto)) if upto else log
 
 
-def touched_since(spark: SparkSession, sf_dir: str, begin: str) -> DataFrame:
-    """The keys with a commit after ``begin``; its day bounds the scan."""
+def recent_log(log: DataFrame, begin: str) -> DataFrame:
+    """The log's rows of commits after ``begin``; its day bounds the scan."""
     day = f"{begin[:4]}-{begin[4:6]}-{begin[6:8]}"
-    ev = read_tpch(spark, sf_dir, "events").select("ts", "event_type", KEY).where(F.col("ts") >= F.expr(f"timestamp '{day}'"))
-    return ev.where(commit_time("ts", _op_of_event()) > F.lit(begin)).select(KEY).distinct()
+    return log.where((F.col("ts") >= F.expr(f"timestamp '{day}'")) & (F.col(COMMIT) > F.lit(begin)))
 
 
 def create_batch(spark: SparkSession, sf_dir: str, ordering: str = "ts") -> DataFrame:

@@ -252,6 +252,7 @@ KEYED = {
     "keyedSnapshotCommit": keyed_snapshot_sql("value", "commit"),
     "keyedAsOf": keyed_snapshot_sql("value", "event", as_of="20240112999999999"),
     "keyedIncremental": keyed_snapshot_sql("value", "event", begin="20240125000000000"),
+    "keyedIncrementalBetween": keyed_snapshot_sql("value", "event", as_of="20240117999999999", begin="20240108000000000"),
     # The resolved rows stored and read through an external table: same answers.
     "keyedTableSnapshot": keyed_snapshot_sql("value", "event"),
     "keyedTableCompacted": keyed_snapshot_sql("value", "event"),

@@ -14,12 +14,14 @@ the reference has commented out in its views.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.predicates import race_year_is
+from gridlake.operators.ranking import global_rank
 from gridlake.plans.facts import race_driver_pairs
 from gridlake.plans.racing import RacingTables
 
@@ -47,6 +49,21 @@ class Report:
             return rows.groupBy(self.key).agg(*cols[1:]).orderBy(*order)
         return rows.withColumns({a: F.expr(e) for e, a in self.columns if e != a}).orderBy(*order).select(*[a for _, a in self.columns])
 
+    def ranked(self, facts: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+        """The report's rows with their ``rank`` (from 1) in its order, ranked without a single-partition window.
+
+        Rows that the order leaves tied are alike, so which of them gets which rank can't be seen.
+        """
+        rows = facts.where(self.where)
+        over = [(F.expr(e), down) for e, down in self.order]
+        if self.key:
+            rows = rows.groupBy(self.key).agg(*[F.expr(e).alias(a) for e, a in self.columns[1:]])
+        else:
+            rows = rows.withColumns({a: F.expr(e) for e, a in self.columns if e != a})
+        rows = rows.select(*[a for _, a in self.columns], *[c.alias(f"_o{i}") for i, (c, _) in enumerate(over)])
+        order = [F.desc_nulls_last(f"_o{i}") if down else F.asc_nulls_last(f"_o{i}") for i, (_, down) in enumerate(over)]
+        return global_rank(rows, order, write).select(*[a for _, a in self.columns], "rank")
+
     def sql(self, db: str) -> str:
         cols = ", ".join(e if e == a else f"{e} AS {a}" for e, a in self.columns)
         group = f" GROUP BY {self.key}" if self.key else ""
@@ -97,6 +114,27 @@ REPORTS = {
 RESULT_VIEWS = {name: r.frame for name, r in REPORTS.items() if r.source == "resultFacts"}
 QUALI_VIEWS = {name: r.frame for name, r in REPORTS.items() if r.source == "qualiFacts"}
 
+
+
+def leaderboards(facts: DataFrame, source: str) -> DataFrame:
+    """report, name, value: every grouped report over one fact table from one scan of it.
+
+    A fact row becomes a row for each report whose filter it meets, with that
+    report's group; one aggregate, combined in the tasks, gives all measures.
+    """
+    mine = {n: r for n, r in REPORTS.items() if r.key and r.source == source}
+    measures = {m: f"_m{i}" for i, m in enumerate(dict.fromkeys(r.columns[1][0] for r in mine.values()))}
+    each = [F.when(F.expr(r.where), F.struct(F.lit(n).alias("report"), F.col(r.key).alias("name"))) for n, r in mine.items()]
+    used = [c for c in ("points", "starting_grid") if c in facts.columns]
+    rows = facts.select(*used, F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("_r")).select(*used, "_r.report", "_r.name")
+    grouped = rows.groupBy("report", "name").agg(*[F.expr(m).alias(a) for m, a in measures.items()])
+    value = None
+    for n, r in mine.items():
+        here, mark = F.col("report") == F.lit(n), F.col(measures[r.columns[1][0]]).cast("double")
+        value = F.when(here, mark) if value is None else value.when(here, mark)
+    return grouped.select("report", "name", value.alias("value"))
+
+
 constructor_points = REPORTS["constructorPoints"].frame
 driver_points = REPORTS["driverPoints"].frame
 fastest_laps_per_race = REPORTS["fastestLapsPerRace"].frame

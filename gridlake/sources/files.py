@@ -459,6 +459,9 @@ def write_partitioned(
     max_file_bytes: int = MAX_FILE_BYTES,
     record_size: int = RECORD_SIZE_ESTIMATE,
     cluster_by: list[str] | tuple[str, ...] = (),
+    bloom: list[str] | tuple[str, ...] = (),
+    bloom_keys: int = 1 << 20,
+    dynamic: bool = False,
 ) -> str:
     """Columnar write partitioned by derived date parts.
 
@@ -467,7 +470,11 @@ def write_partitioned(
     writing a small file for each. Files are capped at about
     ``max_file_bytes`` via a row cap computed from the per-record size
     estimate; row groups are ``BLOCK_BYTES``. ``cluster_by`` sorts the rows
-    of a file, so lookups by these columns skip row groups.
+    of a file, so lookups by these columns skip row groups. ``bloom`` columns
+    get a Bloom filter for each row group (sized for ``bloom_keys`` keys at
+    most, and for fewer where there are fewer), so a lookup skips row groups
+    whatever the order of the rows. ``dynamic`` overwrites only the partitions
+    that ``df`` has rows for.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
@@ -479,6 +486,8 @@ def write_partitioned(
         .option("compression", codec)
         .option("maxRecordsPerFile", max(1, max_file_bytes // max(1, record_size)))
         .option("parquet.block.size", str(BLOCK_BYTES))
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .options(**{f"parquet.bloom.filter.{k}#{c}": v for c in bloom for k, v in (("enabled", "true"), ("adaptive.enabled", "true"), ("expected.ndv", str(bloom_keys)))})
         .parquet(path)
     )
     return path

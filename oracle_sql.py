@@ -387,6 +387,35 @@ firing AS (
 SELECT * FROM (
     SELECT * FROM firing UNION ALL SELECT * FROM stored WHERE user_id NOT IN (SELECT user_id FROM firing)
 ) WHERE user_id NOT IN (SELECT user_id FROM ev WHERE day = 30 AND event_type = 'error')""",
+    "pointLookupBloom": "SELECT * FROM orders WHERE o_orderkey IN (11, -5)",
+    "keyedStoredUpsert": """
+WITH ev AS (SELECT *, CAST(day(ts) AS INTEGER) AS day FROM events),
+old AS (SELECT * FROM ev WHERE day <= 20 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1),
+new AS (
+    SELECT * FROM ev WHERE day > 20 AND event_type = 'purchase'
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
+)
+SELECT * FROM (SELECT * FROM new UNION ALL SELECT * FROM old WHERE user_id NOT IN (SELECT user_id FROM new))
+WHERE user_id NOT IN (SELECT user_id FROM ev WHERE day = 30 AND event_type = 'error')""",
+    # The order that a report's ORDER BY gives, as a column.
+    "ranked_driverPoints": "SELECT *, row_number() OVER (ORDER BY driver_points DESC NULLS LAST, driver_name ASC NULLS LAST) AS rank FROM (" + RACING["driverPoints"] + ")",
+    "ranked_mostPolesPerDriver": "SELECT *, row_number() OVER (ORDER BY polesPerDriver DESC NULLS LAST, driver_name ASC NULLS LAST) AS rank FROM (" + RACING["mostPolesPerDriver"] + ")",
+    "ranked_driversWinFromFarBack": "SELECT *, row_number() OVER (ORDER BY positionsGained DESC NULLS LAST, driver_name, raceName, startedFrom) AS rank FROM (" + RACING["driversWinFromFarBack"] + ")",
+    "ranked_fastestLapsPerRace": RACING["fastestLapsPerRace"].replace(
+        "race_name, driver_name, fastestLapTime FROM",
+        "race_name, driver_name, fastestLapTime, row_number() OVER (ORDER BY raceId NULLS LAST, driver_name NULLS LAST, fastestLapTime NULLS LAST) AS rank FROM"
+    ),
+    "allLeaderboards": " UNION ALL ".join(
+        f"SELECT '{name}' AS report, {key} AS name, CAST({value} AS DOUBLE) AS value FROM (" + RACING[name] + ")"
+        for name, key, value in (
+            ("constructorPoints", "constructor_name", "constructor_points"), ("driverPoints", "driver_name", "driver_points"),
+            ("fastestLapsPerDriver", "driver_name", "num_fastest_laps"), ("fastestLapsPerConst", "constructor_name", "num_fastest_laps"),
+            ("mostWinsFromPole", "driver_name", "TimesWonFromPole"), ("mostWinsFromFarBack", "driver_name", "winAttempts"),
+            ("mostPositionsGainedByDriver", "driver_name", "positionsGained"), ("mostWinsFromDifferentPositions", "driver_name", "gridPositions"),
+            ("mostWinsPerDriverWithoutSprint", "driver_name", "winsPerDriver"), ("mostWinsPerConstWithoutSprint", "constructor_name", "winsPerDriver"),
+            ("mostPolesPerDriver", "driver_name", "polesPerDriver"), ("mostPolesPerConst", "constructor_name", "polesPerDriver"),
+        )
+    ),
     # The stored views answer as the reports do.
     **{f"view_{name}": RACING[name] for name in RACING if name.startswith(("constructor", "driver", "fastest", "most")) and not name.endswith(("1997", "2000"))},
 }

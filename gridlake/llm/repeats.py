@@ -1,11 +1,15 @@
 """Substring dedup by line hashing (operator 10).
 
-A unit is a line, or a sentence of it: a stretch of a text up to a line break,
-or up to a full stop, question or exclamation mark before white space. Units
-are normalised to their words (lower-case ASCII, letters and digits), and those
-of at least ``min_words`` words are grouped by a 128-bit digest over the whole
-corpus. The earliest occurrence, by doc_id, text and offset, stays; every other
-one is removed, and keeps the offsets it has in the original text.
+Every line with a word in it is hashed, whole or by its sentences. A sentence
+ends with its line, or with a full stop, question or exclamation mark before
+white space. Sentences of at least ``min_words`` words are units of their own; a
+line that has no such sentence (a short line, or one in a script without
+spaces) is one unit. So of a line only short sentences beside a longer one are
+not looked up. Units are normalised to their words (lower-case ASCII, letters
+and digits, single spaces between) and grouped by a 128-bit digest of these
+bytes over the whole corpus. The earliest occurrence, by doc_id, text and
+offset, stays; every other one is removed, and keeps the offsets it has in the
+original text.
 
 The grouped minimum is combined before the shuffle and the digests are joined
 back, so a line that a third of all documents share is no bottleneck. Only
@@ -31,20 +35,7 @@ MIN_WORDS = 6
 UNITS = "doc_id long, text_key long, start long, end long, n_words long, d1 long, d2 long"
 _STOP = np.isin(np.arange(256), list(b".!?"))
 _SPACE = ~T.NOT_SPACE
-_SALTS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-
-
-def _digests(h: np.ndarray, first: np.ndarray, last: np.ndarray, salt: np.uint64) -> np.ndarray:
-    """A hash of each sequence h[first:last] of word hashes, order included."""
-    power = np.full(len(h) + 1, salt | np.uint64(1), np.uint64)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    back = np.full(len(h) + 1, np.uint64(pow(int(salt | np.uint64(1)), -1, 1 << 64)), np.uint64)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
-    total = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(T.mix(h ^ salt) * power[:-1], out=total[1:])
-    return T.mix((total[last] - total[first]) * back[first] + (last - first).astype(np.uint64))
+_SEEDS = (11, 12)
 
 
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -60,29 +51,44 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 low = T.LOWER[buf]
                 stop = _STOP[buf]
                 stop[:-1] &= _SPACE[buf[1:]]
-                ends = np.zeros(n + 1, bool)  # a unit ends before this byte
-                ends[1:] = (buf == 10) | stop
-                ends[offs] = True
+                line = np.zeros(n + 1, bool)  # a line ends before this byte
+                line[1:] = buf == 10
+                line[offs] = True
+                ends = line.copy()  # a sentence does
+                ends[1:] |= stop
                 edge = np.flatnonzero(ends)
                 s, e, _ = T.spans(low, offs, T.ALNUM)
-                h = T.hashes(low, s, e)
-                first, last = np.searchsorted(s, edge[:-1]), np.searchsorted(s, edge[1:])
-                many = np.flatnonzero(last - first >= min_words)
-                if not len(many):
+                words = np.diff(np.searchsorted(s, edge))
+                own = words >= min_words  # sentences that are units
+                of_line = np.cumsum(line[edge[:-1]]) - 1
+                whole = np.bincount(of_line, own) == 0  # lines that are
+                lines = np.flatnonzero(line)
+                a = np.concatenate([edge[:-1][own], lines[:-1][whole]])
+                b = np.concatenate([edge[1:][own], lines[1:][whole]])
+                first, last = np.searchsorted(s, a), np.searchsorted(s, b)
+                some_words = np.flatnonzero(last > first)
+                if not len(some_words):
                     continue
-                first, last, a, b = first[many], last[many], edge[:-1][many], edge[1:][many]
+                first, last, b = first[some_words], last[some_words], b[some_words]
                 a = s[first]  # without the white space before the first word
+                # The bytes of words, and one space for each gap.
+                word = T.ALNUM[low]
+                keep = word.copy()
+                keep[1:] |= word[:-1]
+                at = np.concatenate([[0], np.cumsum(keep)])
+                plain = np.where(word, low, 0x20).astype(np.uint8)[keep]
+                digests = [T.word_keys(plain, at[a], at[e[last - 1]], seed) for seed in _SEEDS]
                 row = np.searchsorted(offs, a, side="right") - 1
                 chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-                at = chars[offs[row]]
+                begin = chars[offs[row]]
                 yield pa.record_batch(
                     [
                         some.column("doc_id").take(pa.array(row)),
                         some.column("text_key").take(pa.array(row)),
-                        pa.array(chars[a] - at, pa.int64()),
-                        pa.array(chars[b] - at, pa.int64()),
+                        pa.array(chars[a] - begin, pa.int64()),
+                        pa.array(chars[b] - begin, pa.int64()),
                         pa.array(last - first, pa.int64()),
-                        *[pa.array(_digests(h, first, last, x).view(np.int64), pa.int64()) for x in _SALTS],
+                        *[pa.array(d.view(np.int64), pa.int64()) for d in digests],
                     ],
                     ["doc_id", "text_key", "start", "end", "n_words", "d1", "d2"],
                 )

@@ -120,19 +120,29 @@ WHERE p.copy = 0
 """
 
 OP10 = rf"""
-WITH cut AS (
-  SELECT doc_id, unnest(u) AS unit, unnest(range(len(u))) AS i FROM (
-    SELECT doc_id, string_split(replace(regexp_replace(text, '([.!?])([\t-\r ])', '\1' || chr(1) || '\2', 'g'), chr(10), chr(10) || chr(1)), chr(1)) AS u
-    FROM documents WHERE text <> ''
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS line_no FROM (
+    SELECT doc_id, string_split(replace(text, chr(10), chr(10) || chr(1)), chr(1)) AS l FROM documents WHERE text <> ''
   )
-), units AS (
-  SELECT doc_id, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS z, unit,
-    regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_CLASS}') AS w
+), cut AS (
+  SELECT doc_id, line_no, unnest(u) AS unit, unnest(range(len(u))) AS i FROM (
+    SELECT doc_id, line_no, string_split(regexp_replace(line, '([.!?])([\t-\r ])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS u FROM lines
+  )
+), pieces AS (
+  SELECT doc_id, line_no, unit, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY line_no, i ROWS UNBOUNDED PRECEDING) AS z,
+    len(regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_CLASS}')) AS n
   FROM cut
+), chosen AS (
+  SELECT doc_id, unit, z FROM pieces WHERE n >= 6
+  UNION ALL
+  SELECT l.doc_id, l.line, p.z FROM lines l
+  JOIN (SELECT doc_id, line_no, max(z) AS z FROM pieces GROUP BY doc_id, line_no HAVING max(n) < 6) p ON p.doc_id = l.doc_id AND p.line_no = l.line_no
+), units AS (
+  SELECT *, regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_CLASS}') AS w FROM chosen
 ), counted AS (
   SELECT doc_id, CAST(z - length(unit) + length(regexp_extract(unit, '^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*')) AS BIGINT) AS a,
     CAST(z AS BIGINT) AS z, len(w) AS n, array_to_string(w, ' ') AS g
-  FROM units WHERE len(w) >= 6
+  FROM units WHERE len(w) >= 1
 ), ranked AS (
   SELECT *, first_value(doc_id) OVER o AS first_doc, first_value(a) OVER o AS first_a, row_number() OVER o AS k
   FROM counted WINDOW o AS (PARTITION BY g ORDER BY doc_id, a)

@@ -20,11 +20,7 @@ except (OSError, AttributeError):
 
 SLICE_BYTES = 1 << 20
 
-_RNG = np.random.default_rng(0x5EED)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_FACTOR, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
 def table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -103,24 +99,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for i, b in enumerate((_BASE, _INVERSE)):
-            p = np.full(n, b, np.uint64)
-            p[0] = 1
-            _POWERS[i] = np.multiply.accumulate(p)
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
-def hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span: equal bytes, equal hash."""
-    n = len(buf)
-    up, down = _powers(n + 1)
-    p = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * up[:n], out=p[1:])
-    return mix((p[e] - p[s]) * down[s] ^ mix((e - s).astype(np.uint64)))
-
-
 def word_keys(buf: np.ndarray, s: np.ndarray, e: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit key of each span, eight bytes mixed at a time, so not linear in the bytes; another seed, other keys."""
     wide = np.concatenate([buf, np.zeros(8, np.uint8)])
@@ -130,12 +108,17 @@ def word_keys(buf: np.ndarray, s: np.ndarray, e: np.ndarray, seed: int) -> np.nd
     while len(todo):
         rest = np.minimum(left, 8).astype(np.uint64)
         v = at[p] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * rest))
-        h[todo] = mix((h[todo] ^ v) * _BASE + _INVERSE)
+        h[todo] = mix((h[todo] ^ v) * _FACTOR + _STEP)
         more = left > 8
         todo, left, p = todo[more], left[more] - 8, p[more] + 8
     return h
 
 
+def hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span: equal bytes, equal hash."""
+    return word_keys(buf, s, e, 0)
+
+
 def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first position of each distinct hash, number of the hash of each position)."""
     order = np.argsort(h, kind="stable")

@@ -300,12 +300,19 @@ def test_values_of_names_of_any_length_and_signs(spark):
 
 def units(text):
     out, at = [], 0
-    for u in re.split(r"(?<=[.!?])(?=[\t-\r ])|(?<=\n)", text or ""):
-        w = words_of(u)
-        lead = len(u) - len(u.lstrip("".join(map(chr, [*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]))))
-        if len(w) >= repeats.MIN_WORDS:
-            out.append((at + lead, at + len(u), b" ".join(w)))
-        at += len(u)
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text or ""):
+        pieces = re.split(r"(?<=[.!?])(?=[\t-\r ])", line)
+        if max(len(words_of(p)) for p in pieces) < repeats.MIN_WORDS:
+            pieces = [line]  # a unit as a whole, if it has a word
+            least = 1
+        else:
+            least = repeats.MIN_WORDS
+        for u in pieces:
+            w = words_of(u)
+            lead = len(u) - len(u.lstrip("".join(map(chr, [*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]))))
+            if len(w) >= least:
+                out.append((at + lead, at + len(u), b" ".join(w)))
+            at += len(u)
     return out
 
 
@@ -333,6 +340,28 @@ def test_repeated_units_equal_a_plain_search(spark):
         assert r.text == original
 
 
+def test_short_lines_and_lines_without_spaces_are_deduplicated(spark):
+    note, prose = "All rights reserved", "これは日本語の段落です。空白はありません。"
+    rows = [(i, f"{note}\nown text of document {i} which is not repeated anywhere.\n{prose}\nYes. No.") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in repeats.dedup(docs).collect()}
+    assert kept[0] == rows[0][1]
+    for i in range(1, 4):
+        assert kept[i] == f"own text of document {i} which is not repeated anywhere.\n"
+
+
+def test_lines_with_equal_sums_are_told_apart(spark):
+    """Thue-Morse words and sequences of words, which collide under every polynomial modulo 2**64."""
+    a = "a"
+    for _ in range(11):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    spaced = [" ".join("one" if c == "a" else "two" for c in x) for x in (a, b)]
+    rows = [(1, f"five words are before it {a}"), (2, f"five words are before it {b}"), (3, spaced[0]), (4, spaced[1]), (5, spaced[1])]
+    got = repeats.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.first_doc_id) for r in got] == [(5, 4)]
+
+
 def test_repeats_of_odd_rows(odd_docs, no_docs):
     got = repeats.repeated(odd_docs).collect()
     assert [(r.doc_id, r.first_start) for r in sorted(got, key=lambda r: r.start)] == [(1, 0), (1, 0)]  # within one text

@@ -110,3 +110,15 @@ def test_packed_pieces_are_whole_and_gapless(spark, odd_docs, no_docs, tokenizer
         mine = mine[:: 2 if r.doc_id == 1 else 1]
         assert b"".join(p.ids for p in mine) == np.array([*ids_of(tokenizer, r.text), 0], "<u4").tobytes()
     assert packing.pack(no_docs, default_path()).count() == 0
+
+
+@pytest.mark.parametrize("doublings", [10, 11, 12])
+def test_words_with_equal_sums_keep_their_own_ids(tokenizer, doublings):
+    """Thue-Morse words, which every polynomial modulo 2**64 takes for each other."""
+    a = "a"
+    for _ in range(doublings):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    ids, offs = WordEncoder(default_path()).encode(pa.array([a, b, a]))
+    for i, t in enumerate((a, b, a)):
+        assert ids[offs[i] : offs[i + 1]].tolist() == ids_of(tokenizer, t)

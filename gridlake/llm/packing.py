@@ -11,8 +11,10 @@ configuration being a multiset of lengths that fits one sequence.
   that configuration is used as far as its scarcest length allows, and the
   weights of the lengths it covers shrink.
 * Rounding: every configuration is taken a whole number of times, never more
-  often than pieces are left. What remains is solved again, and in the end
-  filled in decreasing order, always with the longest piece that still fits.
+  often than pieces are left. What remains is solved again, and what can't be
+  rounded any more goes, longest first, to the sequence it fits best. Of the
+  roundings (after none, one, two ... solutions) the one with the fewest
+  sequences counts, so a plan is never worse than best-fit decreasing alone.
 
 Each piece then finds its place from its rank among the pieces of its length.
 Ranks are sums of counts by task and length, so no length is gathered in one
@@ -131,6 +133,37 @@ def configuration_lp(count: np.ndarray, rounds: int, rate: float = 0.5) -> list[
     return sorted(out, key=lambda x: -x[2])
 
 
+def best_fit(count: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(lengths, copies, times) of best-fit decreasing: each piece, longest first, goes where the least room is left.
+
+    Sequences filled alike are one entry with a number of times, so the work
+    depends on the lengths, not on the number of pieces.
+    """
+    capacity = len(count) - 1
+    alike: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]  # by room: contents and times
+    rooms = np.zeros(capacity + 1, bool)
+    for length in np.flatnonzero(count)[::-1].tolist():
+        c = int(count[length])
+        while c:
+            room = length + int(rooms[length:].argmax())
+            if not rooms[room]:  # none has room: new ones, each with as many of these as fit
+                each = min(capacity // length, c)
+                room = capacity - each * length
+                alike[room].append(((length,) * each, c // each))
+                c -= c // each * each
+            else:
+                inside, times = alike[room].pop()
+                now = min(c, times)
+                if now < times:
+                    alike[room].append((inside, times - now))
+                rooms[room] = bool(alike[room])
+                room -= length
+                alike[room].append(((*inside, length), now))
+                c -= now
+            rooms[room] = True
+    return [(*np.unique(inside, return_counts=True), times) for some in alike for inside, times in some]
+
+
 def pack_histogram(count: np.ndarray, rounds: int = 400) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """(lengths, copies, times): configurations that use count[l] pieces of each length l exactly."""
     left = count.astype(np.int64).copy()
@@ -143,22 +176,18 @@ def pack_histogram(count: np.ndarray, rounds: int = 400) -> list[tuple[np.ndarra
             left[lengths] -= times * copies
 
     use(np.array([capacity]), np.array([1]), int(left[capacity]))
+    whole = lambda some: sum(times for _, _, times in some)
+    best = out + best_fit(left)
     while left.any():
         before = left.sum()
         for lengths, copies, times in configuration_lp(left, rounds):
             use(lengths, copies, int(min(times + 1e-9, (left[lengths] // copies).min())))
+        now = out + best_fit(left)
+        if whole(now) < whole(best):
+            best = now
         if left.sum() > 0.7 * before:
             break
-    while left.any():
-        room, config = capacity, []
-        trial = left.copy()
-        while room > 0 and (fits := np.flatnonzero(trial[: room + 1])).size:
-            config.append(int(fits[-1]))
-            trial[fits[-1]] -= 1
-            room -= int(fits[-1])
-        lengths, copies = np.unique(config, return_counts=True)
-        use(lengths, copies, int((left[lengths] // copies).min()))
-    return out
+    return best
 
 
 def places(packed: list[tuple[np.ndarray, np.ndarray, int]]) -> dict[str, np.ndarray]:

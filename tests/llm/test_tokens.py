@@ -122,3 +122,43 @@ def test_words_with_equal_sums_keep_their_own_ids(tokenizer, doublings):
     ids, offs = WordEncoder(default_path()).encode(pa.array([a, b, a]))
     for i, t in enumerate((a, b, a)):
         assert ids[offs[i] : offs[i + 1]].tolist() == ids_of(tokenizer, t)
+
+
+def plain_best_fit(count):
+    """Best-fit decreasing, piece by piece."""
+    rooms = []
+    for length in range(len(count) - 1, 0, -1):
+        for _ in range(int(count[length])):
+            fits = [i for i, r in enumerate(rooms) if r >= length]
+            if fits:
+                rooms[min(fits, key=lambda i: rooms[i])] -= length
+            else:
+                rooms.append(len(count) - 1 - length)
+    return len(rooms)
+
+
+LENGTHS = {
+    "uniform": lambda rng, n: rng.integers(1, 2049, n),
+    "lognormal": lambda rng, n: rng.lognormal(6.8, 0.5, n),
+    "long tail": lambda rng, n: rng.lognormal(5, 1.3, n),
+    "thirds": lambda rng, n: rng.integers(300, 1001, n),
+    "halves": lambda rng, n: rng.integers(600, 1101, n),
+}
+
+
+@pytest.mark.parametrize("kind", LENGTHS)
+def test_packing_is_never_worse_than_best_fit(kind):
+    rng = np.random.default_rng(5)
+    for n in (300, 20_000):
+        lengths = np.clip(LENGTHS[kind](rng, n).astype(int), 1, 2048)
+        count = np.bincount(lengths, minlength=2049)
+        packed = packing.pack_histogram(count, rounds=60)
+        used = np.zeros(2049, np.int64)
+        for some, copies, times in packed:
+            assert (some * copies).sum() <= 2048 and times > 0
+            used[some] += copies * times
+        assert (used == count).all()
+        total, best = sum(t for _, _, t in packed), sum(t for _, _, t in packing.best_fit(count))
+        assert -(-int(lengths.sum()) // 2048) <= total <= best
+        if n == 300:
+            assert best <= plain_best_fit(count) + 1

@@ -261,6 +261,7 @@ QUERIES = {
     "exportImportCsv": export_import("csv"),
     "exportImportJson": export_import("json"),
     "exportImportOrc": export_import("orc"),
+    "exportImportArrow": export_import("arrow"),
     "partitionedEvents": partitioned_events,
     "listedObjects": listed_objects,
     "prefixesWithObjects": prefixes_with_objects,

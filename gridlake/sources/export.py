@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from gridlake.sources.files import READERS, write
+from gridlake.sources.files import READERS, arrow_options, write
 
 # The reference's parquet export settings.
 PARQUET_EXPORT_OPTIONS = {"compression": "zstd", "parquet.block.row.count.limit": "100000"}
@@ -39,6 +39,7 @@ EXPORT_OPTIONS: dict[str, dict[str, str]] = {
     "json": JSON_OPTIONS | {"ignoreNullFields": "false"},
     "orc": {},
     "avro": {},
+    "arrow": {},
 }
 # Fields of an export may hold line breaks; quoted, they stay inside a record.
 IMPORT_OPTIONS: dict[str, dict[str, str]] = {"csv": CSV_OPTIONS | {"multiLine": "true", "enforceSchema": "false"}, "json": JSON_OPTIONS}
@@ -89,8 +90,6 @@ def export_database(
     Tables are independent writes, so up to ``parallelism`` run as
     concurrent Spark jobs; the manifest is written last, after every table.
     """
-    if fmt == "arrow":
-        raise NotImplementedError("arrow-file export is not built")
     if fmt not in EXPORT_OPTIONS:
         raise ValueError(f"unsupported export format {fmt!r}")
     if databases is None:
@@ -127,7 +126,8 @@ def import_database(spark: SparkSession, in_dir: str, parallelism: int = 4) -> l
         full = f"{e.database}.{e.name}"
         schema = StructType.fromJson(json.loads(e.schema))
         # The path is relative to the export, which may have been moved.
-        df = spark.read.format(READERS[e.format][0]).options(**IMPORT_OPTIONS.get(e.format, {})).schema(schema).load(f"{base}/{e.path}")
+        options = arrow_options(spark) if e.format == "arrow" else IMPORT_OPTIONS.get(e.format, {})
+        df = spark.read.format(READERS[e.format][0]).options(**options).schema(schema).load(f"{base}/{e.path}")
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         w = df.write.mode("overwrite")
         (w.partitionBy(*e.partitions) if e.partitions else w).saveAsTable(full)

@@ -24,7 +24,7 @@ from pyspark.sql.types import NumericType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from gridlake.functions import paths as P
-from gridlake.sources import fs, store
+from gridlake.sources import arrow_files, fs, store
 from gridlake.sources.listing import list_objects
 
 # File type -> (Spark source, default reader options). The CSV defaults are
@@ -37,6 +37,7 @@ READERS: dict[str, tuple[str, dict[str, str]]] = {
     "parquet": ("parquet", {"mergeSchema": "true"}),
     "orc": ("orc", {"mergeSchema": "true"}),
     "avro": ("avro", {}),
+    "arrow": ("arrow_files", {}),
 }
 WRITERS: dict[str, tuple[str, dict[str, str]]] = {
     "csv": ("csv", {"header": "true"}),
@@ -45,6 +46,7 @@ WRITERS: dict[str, tuple[str, dict[str, str]]] = {
     "parquet": ("parquet", {}),
     "orc": ("orc", {}),
     "avro": ("avro", {}),
+    "arrow": ("arrow_files", {}),
 }
 
 # The two-character null marker some CSV exports use (backslash, N).
@@ -99,6 +101,8 @@ def scan(
     if null_marker is not None and t == "csv":
         opts["nullValue"] = null_marker
     opts.update(options)
+    if t == "arrow":
+        opts |= arrow_options(spark)
     try:
         if t == "csv" and str(opts.get("header")).lower() == "true" and not _is_one_file(spark, path):
             groups = _by_header(spark, path, {k: v for k, v in opts.items() if k in FILE_OPTIONS})
@@ -110,6 +114,12 @@ def scan(
         raise _wrap_missing(t, e) from e
 
 
+def arrow_options(spark: SparkSession) -> dict[str, str]:
+    """Make the Arrow source known to the session; what its tasks need of the session's settings."""
+    arrow_files.register(spark)
+    return store.settings(spark)
+
+
 # Options that say which files are read.
 FILE_OPTIONS = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
 
@@ -193,8 +203,8 @@ def query_file(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
     """``SELECT * FROM '<path>'`` (S4): SQL over a file with no table."""
     t = _format_for(path, fmt)
     source = READERS[t][0]
-    if source in ("csv", "text"):
-        # Direct SQL on CSV has no header handling; use the reader instead.
+    if source in ("csv", "text", "arrow_files"):
+        # Direct SQL on CSV has no header handling, and none on Python sources; use the reader instead.
         return scan(spark, path, t)
     return spark.sql(f"SELECT * FROM {source}.`{path}`")
 
@@ -301,6 +311,8 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
         raise ValueError(f"unsupported output format {fmt!r}")
     source, defaults = WRITERS[fmt]
     opts = {**defaults, **options}
+    if fmt == "arrow":
+        opts |= arrow_options(df.sparkSession)
     try:
         df.write.mode(mode).format(source).options(**opts).save(path)
     except AnalysisException as e:

@@ -212,6 +212,9 @@ class ObjectListing(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the source known. Sources are looked up in the thread's active session, which another
+    thread than the one that made the session hasn't got before it makes a frame."""
+    spark.createDataFrame([], "x int")
     spark.dataSource.register(ObjectListing)
 
 

@@ -349,7 +349,7 @@ ROUND_TRIPS = {
     "convertThenLoad": RACING["raceDriverSample"],
     "scanFormats": " UNION ALL ".join(f"SELECT *, '{f}' AS read_from FROM supplier" for f in _FORMATS),
     "fileToTableAndBack": "SELECT * FROM part",
-    **{f"exportImport{f}": _CODED for f in ("Parquet", "Csv", "Json", "Orc")},
+    **{f"exportImport{f}": _CODED for f in ("Parquet", "Csv", "Json", "Orc", "Arrow")},
     "partitionedEvents": "SELECT *, year(ts) AS year, month(ts) AS month, day(ts) AS day FROM events",
     "listedObjects": """
 WITH parts AS (

@@ -170,8 +170,8 @@ def test_export_import_roundtrip(spark, tmp):
     export.export_database(spark, out2, ["exp_src"], "csv")
     back = spark.read.csv(f"{out2}/exp_src/pipes", sep="||", header=True)
     assert sorted(r.v for r in back.collect()) == ["a|b", "c"]
-    with pytest.raises(NotImplementedError):
-        export.export_database(spark, f"{tmp}/x", ["exp_src"], "arrow")
+    with pytest.raises(ValueError):
+        export.export_database(spark, f"{tmp}/x", ["exp_src"], "xml")
     with pytest.raises(files.MissingConnector):
         export.export_database(spark, f"{tmp}/y", ["exp_src"], "avro")
 

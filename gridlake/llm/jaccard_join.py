@@ -11,17 +11,20 @@ holds for a point and a box of points, which is what the R-tree prunes by.
    documents that meet in a cell can be linked. There are as many groups more
    as a document is likely to have with one shingle or none (or, at lower
    similarities, with none); those groups, which unlike documents share, are left
-   out. The few documents that have more of them keep all of theirs. A few groups
-   more make a linked pair meet in that many cells more.
+   out. The few documents that have more of them keep all of theirs.
 2. Stars. Each cell links its members to its smallest id. That is a grouped
    minimum and a join, so a group of copies of any size is no bottleneck. The
    pairs that pass the bound are verified on the shingles themselves, and the
    components of the links are found.
-3. The rest. In cells whose members are still in different components, R-trees
-   join the members of different components; what passes the bound, in as many
-   cells as a linked pair must meet in, is verified, and the components of all
-   links are the result. Large cells are dealt out
-   in tiles, so that no cell is gathered in one task.
+3. The rest. Cells whose members are still in different components are gathered
+   by their smallest id: documents that share one of many cells with the same
+   smallest id meet once, not once in each. In such a family an R-tree over DIMS
+   groups joins the members of different components; what passes is held against
+   the whole points, which have a group for one or two shingles, so that hardly
+   any pair below the similarity is left; a pair of several families is given
+   in the first of them only. What is left is verified, and the components of all
+   links are the result. Large families are dealt out in tiles, so that none is
+   gathered in one task.
 
 Two rounds of stars (smallest, then largest id) leave few pairs to step 3, and
 step 3 leaves none out, so the components are those of all links.
@@ -46,11 +49,11 @@ from . import text as T
 from .common import Stage, texts
 from .components import components
 
-DIMS = 128  # groups of a point at least; a power of two
-EXTRA = 7  # groups at most in which a linked pair agrees beyond the one it must
+DIMS = 128  # groups of a point at least, and those of the R-tree; a power of two
 GROWTH = 1.25
 LEAF = 16
-TILE = 2048  # members of a cell in one task of the last step
+TILE = 2048  # members of a family in one tile of the last step
+TILE_BYTES = 8 << 20  # and bytes of their points
 PASSES = 3  # parts in which the cells are dealt, one after the other, so that less is on disk at once
 PART = 256  # links of a centre verified in one task
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -81,13 +84,13 @@ def shingles(texts: pa.Array, words: int, keep: np.ndarray = T.NOT_SPACE) -> tup
     return out[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=rows))])
 
 
-def _spare(differ: int, extra: int, size: int) -> tuple[int, int]:
+def _spare(differ: int, size: int) -> tuple[int, int]:
     """(spare groups, shingles of a group that is left out): the least number of groups that covers
     those with one shingle or none which a set of this size has (by Poisson's law, with two
     deviations); if no number does, those with none."""
     for most in (1, 0):
         for spare in range(1, size if differ else 0):
-            groups = differ + 1 + extra + spare
+            groups = differ + 1 + spare
             mean = size / groups
             weak = groups * math.exp(-mean) * (1 + most * mean)
             if spare >= weak + 2 * math.sqrt(weak):
@@ -113,15 +116,9 @@ class Classes:
         self.low = np.array(low, np.int64)
         top = self.low[1:] - 1
         differ = 2 * top * (self.den - self.num) // (self.den + self.num)
-        self.extra = np.minimum(EXTRA, differ // 8)
-        each = zip(differ.tolist(), self.extra.tolist(), self.low.tolist(), strict=False)
+        each = zip(differ.tolist(), self.low.tolist(), strict=False)
         self.spare, self.weak = np.array([_spare(*x) for x in each], np.int64).T
-        self.groups = differ + 1 + self.spare + self.extra
-
-    def need(self, n: np.ndarray) -> np.ndarray:
-        """In how many cells a linked pair meets whose larger set has n shingles."""
-        self.grow(int(n.max(initial=1)))
-        return 1 + self.extra[np.searchsorted(self.low, np.maximum(n, 1), side="right") - 1]
+        self.groups = differ + 1 + self.spare
 
     def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, class) for every class in which a set of n shingles may meet a partner."""
@@ -160,12 +157,12 @@ def _cells(h: np.ndarray, offs: np.ndarray, classes: Classes) -> tuple[np.ndarra
 
 
 def points(h: np.ndarray, offs: np.ndarray) -> list[bytes]:
-    """The counts by group of each set: a group for every eight shingles, rounded up to a power of
+    """The counts by group of each set: a group for every shingle, rounded down to a power of
     two. Groups are the low bits of a hash, so a point folds to fewer groups (see ``folded``)."""
     group = T.mix(h ^ _A)
     out = []
     for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-        dims = max(DIMS, 1 << max(0, (b - a) // 8 - 1).bit_length())
+        dims = max(DIMS, (1 << (b - a).bit_length()) >> 1)
         out.append(np.bincount((group[a:b] & np.uint64(dims - 1)).astype(np.int64), minlength=dims).astype("<u4").tobytes())
     return out
 
@@ -179,9 +176,9 @@ def folded(point: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(p, "<u4").reshape(-1, dims).sum(0, dtype=np.int64) for p in point]) if point else np.zeros((0, dims), np.int64)
 
 
-def brief(point: bytes) -> tuple[bytes, int]:
-    """A point of DIMS groups in a byte each, and the unit of these bytes: no coordinate is less than the point's."""
-    counts = folded([point, bytes(4 * DIMS)])[0]
+def brief(point: bytes, dims: int = DIMS) -> tuple[bytes, int]:
+    """A point of so many groups in a byte each, and the unit of these bytes: no coordinate is less than the point's."""
+    counts = folded([point, bytes(4 * dims)])[0]
     unit = max(1, -(-int(counts.max(initial=0)) // 255))
     return (-(-counts // unit)).astype(np.uint8).tobytes(), unit
 
@@ -194,7 +191,7 @@ def _describe(words: int, num: int, den: int):
             for some in T.slices(batch):
                 h, offs = shingles(some.column("text"), words)
                 point = points(h, offs)
-                short = [brief(p) for p in point]
+                short = [brief(p, len(p) // 4) for p in point]
                 row, key = _cells(h, offs, classes)
                 order = np.argsort(row, kind="stable")
                 per = np.bincount(row, minlength=some.num_rows)
@@ -203,10 +200,10 @@ def _describe(words: int, num: int, den: int):
                 )
                 yield pa.record_batch(
                     [
-                        some.column("doc_id"), pa.array(np.diff(offs), pa.int64()), pa.array(classes.need(np.diff(offs)), pa.int64()),
-                        pa.array(point, pa.binary()), pa.array([b for b, _ in short], pa.binary()), pa.array([u for _, u in short], pa.int64()), lists,
+                        some.column("doc_id"), pa.array(np.diff(offs), pa.int64()),
+                        pa.array([b for b, _ in short], pa.binary()), pa.array([u for _, u in short], pa.int64()), lists,
                     ],
-                    ["doc_id", "n", "need", "point", "brief", "unit", "cells"],
+                    ["doc_id", "n", "point", "unit", "cells"],
                 )
 
     return describe
@@ -263,22 +260,67 @@ class RTree:
         return next(i for i, x in enumerate(self.levels) if x[0] is high) - 1
 
 
+class Points:
+    """Points in bytes with their units (see ``brief``), by the number of their groups."""
+
+    def __init__(self, point: list[bytes], unit: np.ndarray):
+        self.unit = unit.astype(np.int32)
+        self.width = np.array([len(p) for p in point], np.int64)
+        self.place = np.zeros(len(point), np.int64)
+        self.of = {}
+        for w in np.unique(self.width).tolist():
+            mine = np.flatnonzero(self.width == w)
+            self.place[mine] = np.arange(len(mine))
+            self.of[w] = np.frombuffer(b"".join([point[i] for i in mine.tolist()]), np.uint8).reshape(-1, w)
+
+    def folded(self, at: np.ndarray, dims: int) -> np.ndarray:
+        """Some points of one width as rows of ``dims`` groups."""
+        rows = self.of[int(self.width[at[0]])][self.place[at]]
+        return rows.reshape(len(at), -1, dims).sum(1, dtype=np.int32) * self.unit[at][:, None]
+
+    def all(self, dims: int) -> np.ndarray:
+        out = np.zeros((len(self.width), dims), np.int32)
+        for w in self.of:
+            for at in self._parts(np.flatnonzero(self.width == w), w):
+                out[at] = self.folded(at, dims)
+        return out
+
+    def overlap(self, i: int, others: np.ndarray) -> np.ndarray:
+        """The most that point i and others can have in common, by the groups that both have."""
+        out = np.zeros(len(others), np.int64)
+        for w in np.unique(self.width[others]).tolist():
+            dims = min(w, int(self.width[i]))
+            mine = self.folded(np.array([i]), dims)
+            for at in self._parts(np.flatnonzero(self.width[others] == w), w):
+                out[at] = np.minimum(self.folded(others[at], dims), mine).sum(1)
+        return out
+
+    @staticmethod
+    def _parts(at: np.ndarray, width: int) -> list[np.ndarray]:
+        return np.array_split(at, max(1, len(at) * width >> 20))
+
+
 def _rest(num: int, den: int):
-    """Pairs across components in the cells of a task, with the number of cells in which a linked
-    pair of their sizes meets; rows come sorted by cell and tile."""
-
-    def search(cell: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(cell)
-        doc, comp, side = (rows[c].to_numpy() for c in ("doc_id", "comp", "side"))
-        size, enough = rows["n"].to_numpy(), rows["need"].to_numpy()
-        point = np.frombuffer(b"".join(rows["brief"].to_pylist()), np.uint8).reshape(-1, DIMS) * rows["unit"].to_numpy()[:, None]
+    """Pairs across components in the families of a task; rows come sorted by family and tile."""
+
+    def search(family: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(family)
+        low = rows["low"][0].as_py()
+        doc, comp, side, size = (rows[c].to_numpy() for c in ("doc_id", "comp", "side", "n"))
+        lists = rows["lows"].combine_chunks()
+        cut, lows = lists.offsets.to_numpy(), lists.values.to_numpy()
+        fine = Points(rows["point"].to_pylist(), rows["unit"].to_numpy())
+        point = fine.all(DIMS)
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
-        need: list[np.ndarray] = []
         # One end of a pair at least lies outside the component that most members are in.
         values, count = np.unique(comp, return_counts=True)
         few = comp != values[count.argmax()]
 
+        def here(i: int, k: int) -> bool:
+            """Whether this is the first family of both."""
+            return np.intersect1d(lows[cut[i] : cut[i + 1]], lows[cut[k] : cut[k + 1]]).min() == low
+
         def meet(queries: np.ndarray, others: np.ndarray) -> None:
             queries = queries[few[queries]]
             if not len(queries) or not len(others):
@@ -287,16 +329,17 @@ def _rest(num: int, den: int):
             for i in queries.tolist():
                 got = others[tree.search(point[i], int(size[i]), num, den)]
                 got = got[comp[got] != comp[i]]
+                got = got[fine.overlap(i, got) >= _needed(size[got], size[i], num, den)]
+                got = np.array([k for k in got.tolist() if here(i, k)], np.int64)
                 a.append(np.minimum(doc[i], doc[got]))
                 b.append(np.maximum(doc[i], doc[got]))
-                need.append(np.where(size[got] > size[i], enough[got], enough[i]))
 
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
         meet(left, right)
         if side.any():  # two tiles
             meet(right, left)
-        pairs = np.unique(np.stack([np.concatenate(x) for x in (a, b, need)], 1), axis=0) if a else np.zeros((0, 3), np.int64)
-        yield pa.record_batch([pa.array(pairs[:, k], pa.int64()) for k in range(3)], ["a", "b", "need"])
+        pairs = np.unique(np.stack([np.concatenate(x) for x in (a, b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
+        yield pa.record_batch([pa.array(pairs[:, k], pa.int64()) for k in range(2)], ["a", "b"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -304,7 +347,7 @@ def _rest(num: int, den: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = np.stack([batch.column(c).to_numpy() for c in ("cell", "t", "s")], 1)
+            key = np.stack([batch.column(c).to_numpy() for c in ("low", "t", "s")], 1)
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                 if last is not None and tuple(key[x]) != last:
@@ -360,28 +403,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
 
 def _admitted(pairs: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose points admit the similarity."""
-    p = described.select("doc_id", "point")
-    both = pairs.join(p.select(F.col("doc_id").alias("a"), F.col("point").alias("pa")), "a").join(
-        p.select(F.col("doc_id").alias("b"), F.col("point").alias("pb")), "b"
-    )
+    p = described.select("doc_id", "point", "unit", "n")
+    both = pairs.join(p.toDF("a", "pa", "ua", "na"), "a").join(p.toDF("b", "pb", "ub", "nb"), "b")
 
     def admit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for two in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), strict=True):
-                both = folded(list(two))
-                size = both.sum(1)
-                ok.append(bool(both.min(0).sum() >= _needed(size[0], size[1], num, den)))
+            pa_, pb_ = batch.column("pa").to_pylist(), batch.column("pb").to_pylist()
+            units = np.stack([batch.column(c).to_numpy() for c in ("ua", "ub")], 1)
+            need = _needed(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), num, den).tolist()
+            for i, two in enumerate(zip(pa_, pb_, strict=True)):
+                ok.append(bool(Points(list(two), units[i]).overlap(0, np.array([1]))[0] >= need[i]))
             yield pa.record_batch([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    return both.select("a", "b", "pa", "pb").mapInArrow(admit, "a long, b long")
+    return both.select("a", "b", "pa", "pb", "ua", "ub", "na", "nb").mapInArrow(admit, "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; linked where den * inter >= num * union."""
     stage = Stage(docs.sparkSession, "jaccard")
     docs = texts(docs)
-    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, need long, point binary, brief binary, unit long, cells array<long>"), "described")
+    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, point binary, unit long, cells array<long>"), "described")
     members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
     # Cells with at least two documents, with the smallest and the largest of them.
     def of_pass(df: DataFrame, p: int) -> DataFrame:
@@ -394,7 +436,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         some = stage.write(some.join(stage.write(shared, f"shared-{p}"), "cell"), f"met-{p}")
         stage.drop(f"shared-{p}")
         met = some if met is None else met.unionByName(some)
-    described = stage.write(described.select("doc_id", "n", "need", "point", "brief", "unit"), "points")
+    described = stage.write(described.select("doc_id", "n", "point", "unit"), "points")
     stage.drop("described")
     # The texts that verification may need: written once, the others stay where they are.
     known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
@@ -416,28 +458,21 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     placed = met.select("cell", "doc_id").join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "cell", "doc_id", F.coalesce("component", "doc_id").alias("comp")
     )
-    several = placed.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("cell")
-    inside = stage.write(placed.join(several, "cell", "left_semi"), "open")
+    several = placed.groupBy("cell").agg(F.min("doc_id").alias("low"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+    # For each document the smallest ids of its open cells; a document has no more of them than cells.
+    inside = placed.join(several.select("cell", "low"), "cell").groupBy("doc_id", "comp").agg(F.collect_set("low").alias("lows"))
+    inside = stage.write(inside.join(described, "doc_id"), "open")
     stage.drop(*[f"met-{p}" for p in range(PASSES)])
-    open_cells = inside.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
-    found = None
-    for p in range(PASSES):
-        dealt = of_pass(inside, p).join(of_pass(open_cells, p), "cell").join(described.drop("point"), "doc_id").select(
-            "cell", "doc_id", "comp", "n", "need", "brief", "unit", tile.alias("tile"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-        ).select(
-            "cell", "doc_id", "comp", "n", "need", "brief", "unit", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
-            F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
-        )
-        some = dealt.repartition("cell", "t", "s").sortWithinPartitions("cell", "t", "s").mapInArrow(_rest(num, den), "a long, b long, need long")
-        some = stage.write(some.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")), f"some-{p}")
-        found = some if found is None else found.unionByName(some)
-    pairs = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
-    found, pairs = stage.write(pairs, "pairs-found"), None
-    for p in range(PASSES):
-        some = found.where(F.pmod(F.xxhash64("a", "b"), F.lit(PASSES)) == p)
-        some = stage.write(_admitted(some, described, num, den), f"pairs-{p}")
-        pairs = some if pairs is None else pairs.unionByName(some)
+    family = inside.select("*", F.explode("lows").alias("low"))
+    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum(F.length("point")) / TILE_BYTES)).cast("int")
+    tiles = stage.write(family.groupBy("low").agg(tiles.alias("tiles")), "tiles")
+    dealt = family.join(tiles, "low").withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "low", "doc_id", "comp", "n", "point", "unit", "lows", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
+        F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
+    )
+    pairs = dealt.repartition("low", "t", "s").sortWithinPartitions("low", "t", "s").mapInArrow(_rest(num, den), "a long, b long")
+    pairs = stage.write(pairs, "pairs-rest")  # read twice
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
     stage.drop(*[x for x in stage.paths if x not in ("points", "edges-all")])
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")

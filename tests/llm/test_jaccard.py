@@ -89,7 +89,7 @@ def test_pigeonhole_classes():
             k = kb[0]
             assert k in ka
             inter = -(-90 * (a + b) // 190)
-            assert c.groups[k] - (a + b - 2 * inter) >= 1 + c.spare[k] + c.extra[k]
+            assert c.groups[k] - (a + b - 2 * inter) >= 1 + c.spare[k]
 
 
 def test_components_of_a_star_and_a_path(spark):
@@ -109,3 +109,19 @@ def test_brief_points_are_never_less():
         counts = J.folded([point, bytes(4 * J.DIMS)])[0]
         upper = np.frombuffer(short, np.uint8).astype(int) * unit
         assert counts.sum() == n and (upper >= counts).all() and (upper < counts + unit).all()
+
+
+def test_points_bound_the_overlap():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 90, 300, 300, 700, 5000)]
+    sets += [np.unique(np.concatenate([s[: len(s) // 2 + 1], sets[3][:40]])) for s in sets]
+    cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    point = J.points(np.concatenate(sets), cuts)
+    short = [J.brief(p, len(p) // 4) for p in point]
+    held = J.Points([b for b, _ in short], np.array([u for _, u in short]))
+    for i, mine in enumerate(sets):
+        got = held.overlap(i, np.arange(len(sets)))
+        want = [len(np.intersect1d(mine, other)) for other in sets]
+        assert (got >= want).all() and got[i] == len(mine)
+    assert (held.all(J.DIMS).sum(1) == [len(s) for s in sets]).all()
+    assert not len(held.overlap(0, np.zeros(0, np.int64)))

@@ -7,13 +7,16 @@ divided by the landmark's kernel with itself and cut off at 1, so a word that
 holds a landmark whole, as an inflected one does, has 1 whatever follows. A
 Nystroem map over the landmarks turns it into a vector; a sentence has, for each
 landmark, the kernel with its most similar token; a support vector machine
-scores sentences, and a text has the score of its worst sentence, calibrated to
-a probability.
+scores sentences. A text is judged by its worst sentence and, for each landmark,
+by how often similar tokens come back (the squares of their kernels summed, as
+a logarithm), given its length: a stem that an innocent text holds once counts
+when it is repeated.
+A second machine weighs these, calibrated to a probability.
 
 Training: a bounded sample of labelled documents (``SAMPLE`` of each label, by
 a hash of the id). Landmarks are the tokens and beginnings of tokens that tell
 most about the label, chosen one after the other until they cover the toxic
-texts several times. All sentences of a clean document are clean; of a toxic one
+texts several times; beginnings may be as long as a landmark. All sentences of a clean document are clean; of a toxic one
 those are toxic that score above 0 and the one that scores highest, which is
 found anew in each round. The highest of the clean documents, by which these are
 judged, count together as much again as all clean sentences.
@@ -32,6 +35,7 @@ label has no examples, every score is the share of toxic examples (0 if none).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,6 +52,8 @@ LONGEST = 10  # bytes of a landmark
 GAP = 3  # bytes by which a stretch of a token may be longer than the landmark it is compared with
 SPAN = 32
 LANDMARKS = 40
+TIMES = (1, 3)  # how often a text may have to hold a word for it to tell something
+LEAST_GAIN = 3.0  # what a landmark tells at least, as a logarithm
 SAMPLE = 1500
 CACHE_WORDS = 1_000_000
 CACHE_VALUES = 400_000  # of the remembered words, those with a similar landmark
@@ -179,10 +185,18 @@ class Featuriser:
 
     def sentences(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(row, values) of the sentences that have a similar token."""
+        return self.parts(texts)[:2]
+
+    def parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, values) of the sentences that have a similar token, and for each text how often each landmark comes back and how many
+        tokens it has, as logarithms."""
         buf, s, e, row, sentence = tokens(texts)
         m = len(self.marks.words)
+        often = np.zeros((len(texts), m + 1))
+        often[:, m] = np.log1p(np.bincount(row, minlength=len(texts)))
+        none = np.zeros(0, np.int64), np.zeros((0, m), np.float32), often
         if not len(s) or not m:
-            return np.zeros(0, np.int64), np.zeros((0, m), np.float32)
+            return none
         h = T.hashes(buf, s, e)
         first, number = T.distinct(h)
         keys = h[first]
@@ -210,8 +224,11 @@ class Featuriser:
         near = near[np.argsort(sentence[near], kind="stable")]
         head = np.flatnonzero(np.diff(sentence[near], prepend=-1))
         if not len(head):
-            return np.zeros(0, np.int64), np.zeros((0, m), np.float32)
-        return row[near[head]], np.maximum.reduceat(self.values[slot[near]], head)
+            return none
+        values = self.values[slot[near]]
+        first = np.flatnonzero(np.diff(row[near], prepend=-1))
+        often[row[near[first]], :m] = np.log1p(np.add.reduceat(values.astype(np.float64) ** 2, first))
+        return row[near[head]], np.maximum.reduceat(values, head), often
 
 
 @dataclass
@@ -220,10 +237,18 @@ class Model:
     whiten: np.ndarray  # landmarks x landmarks: the Nystroem map
     weight: np.ndarray
     bias: float
+    text_weight: np.ndarray  # of the worst sentence's margin, the landmarks' repetitions and the length
+    text_bias: float
     slope: float
     shift: float
     constant: float | None = None
 
+    def margins(self, row: np.ndarray, values: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """The margins of texts from their sentences and repetitions."""
+        worst = np.full(len(often), self.bias)
+        np.maximum.at(worst, row, values @ self.whiten @ self.weight + self.bias)
+        return np.concatenate([worst[:, None], often], 1) @ self.text_weight + self.text_bias
+
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
@@ -259,29 +284,32 @@ def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def landmark_words(texts: list[str], y: np.ndarray, most: int = LANDMARKS, cover: int = 4) -> list[bytes]:
     """Tokens and beginnings of tokens, each the one that tells most (by the log likelihood ratio)
-    about the label of the toxic texts that don't hold ``cover`` chosen ones yet."""
-    holders: dict[bytes, list[int]] = {}
-    clean: dict[bytes, int] = {}
+    about the label of the toxic texts that don't hold ``cover`` chosen ones yet. A word may tell
+    by being there, or only by being there as often as one of ``TIMES``."""
+    holders: dict[tuple[bytes, int], list[int]] = {}
+    clean: Counter[tuple[bytes, int]] = Counter()
     for i in np.argsort(y <= 0, kind="stable").tolist():  # toxic texts first
         buf, s, e, _, _ = tokens(pa.array([texts[i]]))
         data = buf.tobytes()
-        words = {data[a : min(b, a + LONGEST)] for a, b in zip(s.tolist(), e.tolist(), strict=True) if b - a >= ORDER}
-        words |= {w[:k] for w in words for k in range(ORDER, min(len(w), ORDER + 3))}
-        if y[i] > 0:
-            for w in words:
-                holders.setdefault(w, []).append(i)
-        else:
-            for w in words:
-                if w in holders:
-                    clean[w] = clean.get(w, 0) + 1
+        held: Counter[bytes] = Counter()
+        for word, n in Counter(data[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True) if b - a >= ORDER).items():
+            for k in range(ORDER, min(len(word), LONGEST) + 1):
+                held[word[:k]] += n
+        for word, n in held.items():
+            for times in TIMES:
+                if n >= times and y[i] > 0:
+                    holders.setdefault((word, times), []).append(i)
+                elif n >= times and (word, times) in holders:
+                    clean[word, times] += 1
     one, none = int((y > 0).sum()), int((y <= 0).sum())
-    words = [w for w, h in holders.items() if len(h) >= max(2 if one >= 20 else 1, 0.01 * one) and len(h) * none > 10 * clean.get(w, 0) * one]
+    least = max(2 if one >= 20 else 1, 0.01 * one)
+    words = [w for w, h in holders.items() if len(h) >= least and len(h) * none > clean[w] * one]
     if not words:
         return []
     owner = np.repeat(np.arange(len(words)), [len(holders[w]) for w in words])
     text = np.concatenate([holders[w] for w in words])
-    neg = np.array([clean.get(w, 0) for w in words], float)
-    length = np.array([len(w) for w in words])
+    neg = np.array([clean[w] for w in words], float)
+    length = np.array([len(w) for w, _ in words])
     left = np.full(len(texts), cover)
     out: list[bytes] = []
     while len(out) < most:
@@ -289,14 +317,15 @@ def landmark_words(texts: list[str], y: np.ndarray, most: int = LANDMARKS, cover
         total = max(1, int(((left > 0) & (y > 0)).sum()))
         share = (pos + neg) / (total + none)
         gain = pos * np.log(np.maximum(pos, 1e-9) / (total * share + 1e-9)) + neg * np.log(np.maximum(neg, 1e-9) / (none * share + 1e-9))
-        gain[pos < max(2 if one >= 20 else 1, 0.01 * one)] = 0
+        gain[(pos < least) | (pos * none <= neg * total)] = 0
         best = max(range(len(words)), key=lambda i: (round(gain[i], 6), length[i], words[i]))
-        if gain[best] <= 0:
+        if gain[best] <= LEAST_GAIN:
             break
-        out.append(words[best])
+        word = words[best][0]
+        out.append(word)
         left[text[owner == best]] -= 1
         # Nor those that begin with it, or with which it begins.
-        akin = np.array([w.startswith(words[best]) or words[best].startswith(w) for w in words])
+        akin = np.array([w.startswith(word) or word.startswith(w) for w, _ in words])
         kept = ~akin[owner]
         owner, text = owner[kept], text[kept]
     return out
@@ -307,15 +336,16 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 4) -> Model:
     y = np.where(np.array(toxic) == 1, 1.0, -1.0)
     empty = Landmarks([])
     if not len(y) or (y > 0).all() or (y <= 0).all():
-        return Model(empty, np.zeros((0, 0)), np.zeros(0), 0, 0, 0, float((y > 0).mean()) if len(y) else 0.0)
+        return Model(empty, np.zeros((0, 0)), np.zeros(0), 0, np.zeros(2), 0, 0, 0, float((y > 0).mean()) if len(y) else 0.0)
     marks = Landmarks(landmark_words(texts, y))
-    row, values = [], []
+    row, values, often = [], [], []
     feat = Featuriser(marks)
     for a in range(0, len(texts), 256):
-        r, v = feat.sentences(pa.array(texts[a : a + 256]))
+        r, v, o = feat.parts(pa.array(texts[a : a + 256]))
         row.append(r + a)
         values.append(v)
-    row, values = np.concatenate(row), np.concatenate(values)
+        often.append(o)
+    row, values, often = np.concatenate(row), np.concatenate(values), np.concatenate(often)
     # A sentence without any similar token, for each text.
     row = np.concatenate([row, np.arange(len(texts))])
     values = np.concatenate([values, np.zeros((len(texts), len(marks.words)))])
@@ -339,10 +369,12 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 4) -> Model:
         share = np.where(label > 0, 1 / (label > 0).sum(), 1 / (label < 0).sum() + worst[use] / worst.sum()) * 100
         weight, bias = _svm(x[use], label, share)
         best = x @ weight + bias
-    margin = np.full(len(texts), -np.inf)
-    np.maximum.at(margin, row, best)
-    slope, shift = _calibrated(margin, y)
-    return Model(marks, whiten, weight, bias, slope, shift)
+    worst = np.full((len(texts), 1), -np.inf)
+    np.maximum.at(worst[:, 0], row, best)
+    x = np.concatenate([worst, often], 1)
+    text_weight, text_bias = _svm(x, y, np.where(y > 0, 1 / (y > 0).sum(), 1 / (y < 0).sum()) * 100)
+    slope, shift = _calibrated(x @ text_weight + text_bias, y)
+    return Model(marks, whiten, weight, bias, text_weight, text_bias, slope, shift)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -375,10 +407,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 if model.constant is not None:
                     p = np.full(some.num_rows, model.constant)
                 else:
-                    margin = np.full(some.num_rows, model.bias)
-                    row, values = _FEATURISER[1].sentences(some.column("text"))
-                    np.maximum.at(margin, row, values @ model.whiten @ model.weight + model.bias)
-                    p = model.probability(margin)
+                    p = model.probability(model.margins(*_FEATURISER[1].parts(some.column("text"))))
                 yield pa.record_batch([some.column("doc_id"), pa.array(p, pa.float64())], ["doc_id", "score"])
 
     return texts(docs).mapInArrow(judge, "doc_id long, score double")

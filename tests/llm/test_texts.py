@@ -191,6 +191,31 @@ def test_words_that_lack_letters_of_a_landmark():
     assert np.allclose(values[:, 1], [0, value(b"stpid", b"stupid"), value(b"stpid", b"stupid")])
 
 
+def test_a_stem_that_is_repeated_tells_more_than_one_that_is_there():
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("aeioubdklmnrst") for _ in range(rng.randrange(3, 9))) for _ in range(300)]
+
+    def text(stem, times):
+        out = [rng.choice(words) for _ in range(rng.randrange(60, 200))]
+        for _ in range(times):
+            out.insert(rng.randrange(len(out)), stem + rng.choice(["", "e", "eit", "lich", "o"]))
+        return " ".join(w + ("." if rng.random() < 0.1 else "") for w in out)
+
+    stems = ["quargolz", "\u00e9touffix", "venjaro"]
+    rows = [(text(stems[i % 3], rng.randrange(4, 9)), 1) for i in range(240)] + [(text(stems[i % 3], i % 2), 0) for i in range(720)]
+    rng.shuffle(rows)
+    model = toxicity.fit([t for t, _ in rows[:600]], [y for _, y in rows[:600]])
+    held = rows[600:]
+    feat = toxicity.Featuriser(model.marks)
+    got = model.probability(model.margins(*feat.parts(pa.array([t for t, _ in held])))) >= 0.5
+    y = np.array([y for _, y in held]) == 1
+    for stem in stems:  # those of every stem
+        mine = np.array([stem in t for t, _ in held])
+        assert got[y & mine].mean() >= 0.9 and y[got & mine].mean() >= 0.9
+
+
 def test_masked_insults_score_above_clean_words(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)

@@ -1,8 +1,9 @@
 """Secret scan with a random forest against false positives (operator 2).
 
-Candidates are long runs of the characters that keys and tokens are made of,
-and, of any length and characters, the value after a name of a secret, up to its
-closing quote or else to white space. A random forest, trained on labelled findings, judges each by
+Candidates are long runs of the characters that keys and tokens are made of;
+signed web tokens and private keys in armour, each as a whole; the password of a
+URL (``://user:password@``); and, of any length and characters, the value after a
+name of a secret, up to its closing quote or else to white space. A random forest, trained on labelled findings, judges each by
 
 * its length and the shares of digits, capitals and other signs,
 * its character transitions: changes of character class, and the mean log
@@ -30,17 +31,27 @@ from .common import Stage, texts, unit_hash
 
 #: What a candidate is made of, and formats that are secrets for certain.
 CANDIDATE = "[A-Za-z0-9+/_-]{16,}={0,2}"
-KEY_FORMATS = r"(?<![A-Za-z0-9+/_-])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{16,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{16,})(?![A-Za-z0-9+/_-])"
+KEY_FORMATS = (
+    r"(?<![A-Za-z0-9+/_-])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{16,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{16,})(?![A-Za-z0-9+/_-])"
+    r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:\\[nr]|\s)+[A-Za-z]"
+)
+#: A signed token (header, payload, signature), and an armoured private key; its body holds no dash but in its headers.
+_JWT = r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
+_ARMOUR = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----\s+(?:(?:Proc-Type|DEK-Info):[^\r\n]*\s+){0,2}[^-]*+-----END [A-Z ]{0,20}PRIVATE KEY-----"
+#: What stands before the password of a URL.
+_USER = r"://[^\s/:@\"']*:"
 _NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth)\\?[\"']?\s*(?:=>|:=|={1,3}|:)\s*"
 SECRET_NAMES = _NAME + r"(?:\\?[\"'])?$"
 #: A name with what stands before its value; a run of the candidates' characters may end in the name.
-_LEAD = rf"[A-Za-z0-9+/_-]*{_NAME}(?:\\?[\"'])?"
+_LEAD = rf"[A-Za-z0-9+/_-]*{_NAME}(?:\\?[\"'])?|{_USER}"
 #: Up to the closing quote of the line; else a candidate before closing signs, or all up to white space.
 _VALUE = "|".join([
+    rf"(?:\\?[\"'])?{_ARMOUR}",
     *[rf"\\?{q}[^{q}\r\n]*[^{q}\r\n\\](?=\\?{q}|$)" for q in "\"'"],
     rf"(?:\\?[\"'])?(?:{CANDIDATE}(?=[,;.)\]}}>]*(?:\\?[\"']|\s|$))|[^\s\"']+)",
 ])
-PATTERN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]*{_NAME}(?:{_VALUE})|{CANDIDATE}"
+#: Each begins where a run of the candidates' characters does, or with the sign after a URL's scheme.
+PATTERN = rf"(?<![A-Za-z0-9+/_-])(?:{_ARMOUR}|{_JWT}|[A-Za-z0-9+/_-]*{_NAME}(?:{_VALUE})|{CANDIDATE})|{_USER}[^\s/@\"']+(?=@)"
 LETTERS = "abcdefghijklmnopqrstuvwxyz0"
 
 MAX_FINDINGS = 20_000
@@ -76,13 +87,16 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def labelled(found: DataFrame) -> DataFrame:
-    """Labels where they are certain: 1 for known key formats and for values of names of secrets, but
-    short numbers, 0 for words, numbers and parts of paths; null, for the forest to judge, otherwise."""
+    """Labels where they are certain: 1 for known key formats, and for passwords of URLs and values of names
+    of secrets that hold a digit, but short numbers; 0 for words, numbers and parts of paths; null, for the
+    forest to judge, otherwise."""
     c = F.col("candidate")
     digit = c.rlike("[0-9]")
+    password = F.col("before").rlike(f"{_USER}$") & F.col("after").startswith("@")
     return found.withColumn(
         "label",
         F.when(c.rlike(KEY_FORMATS), 1.0)
+        .when(password, F.when(digit, 1.0))
         .when(F.col("before").rlike(SECRET_NAMES) & digit, F.when(c.rlike("[^0-9.,;:]") | c.rlike(CANDIDATE), 1.0))
         .when(~digit | c.rlike("^[0-9+/_=-]+$") | F.col("before").rlike(r"(://|www\.)\S*$"), 0.0),
     )

@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,7 @@ GROWTH = 1.25
 LEAF = 16
 TILE = 2048  # members of a family in one tile of the last step
 TILE_BYTES = 8 << 20  # and bytes of their points
+PAIRS = 1 << 13  # of a query and a box that are bounded at once
 PASSES = 3  # parts in which the cells are dealt, one after the other, so that less is on disk at once
 PART = 256  # links of a centre verified in one task
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -243,21 +245,27 @@ class RTree:
         order = at[np.argsort(key, kind="stable")]
         return np.concatenate([RTree._tiles(order[:half], point), RTree._tiles(order[half:], point)])
 
-    def search(self, point: np.ndarray, n: int, num: int, den: int) -> np.ndarray:
-        """The numbers of the points that the bound admits for a set of n shingles."""
-        at = np.arange(len(self.levels[-1][0]))
-        for high, small, large in reversed(self.levels):
+    def search(self, point: np.ndarray, n: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(queries, points) that the bound admits, by their numbers, in parts; query i has n[i] shingles.
+        Every query descends all boxes that the bound admits; pairs of a query and a box are bounded together."""
+        least = -(-n * num // den)
+        todo = [(len(self.levels), np.arange(len(n)), np.zeros(len(n), np.int64))] if len(self.order) else []
+        while todo:
+            level, query, at = todo.pop()
+            if len(query) > PAIRS:
+                todo += [(level, query[x : x + PAIRS], at[x : x + PAIRS]) for x in range(0, len(query), PAIRS)]
+                continue
+            high, small, large = self.levels[level - 1] if level else (self.point, self.size, self.size)
             # No overlap exceeds the minima summed; the least size in the box needs the least overlap.
-            bound = np.minimum(np.minimum(high[at], point).sum(1), large[at])
-            at = at[bound >= _needed(np.maximum(small[at], -(-n * num // den)), n, num, den)]
-            below = self.levels[self._below(high)][0] if high is not self.levels[0][0] else self.point
+            bound = np.minimum(np.minimum(high[at], point[query]).sum(1), large[at])
+            ok = bound >= _needed(np.maximum(small[at], least[query]), n[query], num, den)
+            query, at = query[ok], at[ok]
+            if not level:
+                yield query, self.order[at]
+                continue
+            below = len(self.levels[level - 2][0]) if level > 1 else len(self.point)
             at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-            at = at[at < len(below)]
-        ok = np.minimum(self.point[at], point).sum(1) >= _needed(self.size[at], n, num, den)
-        return self.order[at[ok]]
-
-    def _below(self, high: np.ndarray) -> int:
-        return next(i for i, x in enumerate(self.levels) if x[0] is high) - 1
+            todo.append((level - 1, np.repeat(query, LEAF)[at < below], at[at < below]))
 
 
 class Points:
@@ -285,14 +293,15 @@ class Points:
                 out[at] = self.folded(at, dims)
         return out
 
-    def overlap(self, i: int, others: np.ndarray) -> np.ndarray:
-        """The most that point i and others can have in common, by the groups that both have."""
-        out = np.zeros(len(others), np.int64)
-        for w in np.unique(self.width[others]).tolist():
-            dims = min(w, int(self.width[i]))
-            mine = self.folded(np.array([i]), dims)
-            for at in self._parts(np.flatnonzero(self.width[others] == w), w):
-                out[at] = np.minimum(self.folded(others[at], dims), mine).sum(1)
+    def overlap(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The most that points a[i] and b[i] can have in common, by the groups that both have."""
+        out = np.zeros(len(a), np.int64)
+        wide, narrow = np.maximum(self.width[a], self.width[b]), np.minimum(self.width[a], self.width[b])
+        swap = self.width[a] > self.width[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        for w, dims in np.unique(np.stack([wide, narrow], 1), axis=0).tolist():
+            for at in self._parts(np.flatnonzero((wide == w) & (narrow == dims)), w):
+                out[at] = np.minimum(self.folded(a[at], dims), self.folded(b[at], dims)).sum(1)
         return out
 
     @staticmethod
@@ -326,13 +335,16 @@ def _rest(num: int, den: int):
             if not len(queries) or not len(others):
                 return
             tree = RTree(point[others], size[others])
-            for i in queries.tolist():
-                got = others[tree.search(point[i], int(size[i]), num, den)]
-                got = got[comp[got] != comp[i]]
-                got = got[fine.overlap(i, got) >= _needed(size[got], size[i], num, den)]
-                got = np.array([k for k in got.tolist() if here(i, k)], np.int64)
-                a.append(np.minimum(doc[i], doc[got]))
-                b.append(np.maximum(doc[i], doc[got]))
+            for i, k in tree.search(point[queries], size[queries], num, den):
+                i, k = queries[i], others[k]
+                # Two that are both queries meet once.
+                new = (comp[i] != comp[k]) & (~few[k] | (side[i] < side[k]) | (side[i] == side[k]) & (i < k))
+                i, k = i[new], k[new]
+                new = fine.overlap(i, k) >= _needed(size[k], size[i], num, den)
+                i, k = i[new], k[new]
+                new = np.array([here(*x) for x in zip(i.tolist(), k.tolist(), strict=True)], bool)
+                a.append(np.minimum(doc[i], doc[k])[new])
+                b.append(np.maximum(doc[i], doc[k])[new])
 
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
         meet(left, right)
@@ -408,13 +420,17 @@ def _admitted(pairs: DataFrame, described: DataFrame, num: int, den: int) -> Dat
 
     def admit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            pa_, pb_ = batch.column("pa").to_pylist(), batch.column("pb").to_pylist()
-            units = np.stack([batch.column(c).to_numpy() for c in ("ua", "ub")], 1)
-            need = _needed(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), num, den).tolist()
-            for i, two in enumerate(zip(pa_, pb_, strict=True)):
-                ok.append(bool(Points(list(two), units[i]).overlap(0, np.array([1]))[0] >= need[i]))
-            yield pa.record_batch([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
+            # As many pairs at once as their points allow; wider ones come alone.
+            width = sum(pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) for c in ("pa", "pb"))
+            part = np.cumsum(width) // TILE_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                some = batch.slice(x, y - x)
+                n = np.arange(some.num_rows)
+                points = Points(some.column("pa").to_pylist() + some.column("pb").to_pylist(), np.concatenate([some.column(c).to_numpy() for c in ("ua", "ub")]))
+                need = _needed(some.column("na").to_numpy(), some.column("nb").to_numpy(), num, den)
+                ok = pa.array(points.overlap(n, n + len(n)) >= need)
+                yield pa.record_batch([some.column(c).filter(ok) for c in ("a", "b")], ["a", "b"])
 
     return both.select("a", "b", "pa", "pb", "ua", "ub", "na", "nb").mapInArrow(admit, "a long, b long")
 

@@ -257,7 +257,7 @@ class RTree:
                 continue
             high, small, large = self.levels[level - 1] if level else (self.point, self.size, self.size)
             # No overlap exceeds the minima summed; the least size in the box needs the least overlap.
-            bound = np.minimum(np.minimum(high[at], point[query]).sum(1), large[at])
+            bound = np.minimum(np.minimum(high[at], point[query]).sum(1, dtype=np.int32), large[at])
             ok = bound >= _needed(np.maximum(small[at], least[query]), n[query], num, den)
             query, at = query[ok], at[ok]
             if not level:
@@ -301,7 +301,11 @@ class Points:
         a, b = np.where(swap, b, a), np.where(swap, a, b)
         for w, dims in np.unique(np.stack([wide, narrow], 1), axis=0).tolist():
             for at in self._parts(np.flatnonzero((wide == w) & (narrow == dims)), w):
-                out[at] = np.minimum(self.folded(a[at], dims), self.folded(b[at], dims)).sum(1)
+                if w == dims and (self.unit[a[at]] == 1).all() and (self.unit[b[at]] == 1).all():  # the bytes are the counts
+                    mine, other = (self.of[w][self.place[x[at]]] for x in (a, b))
+                else:
+                    mine, other = (self.folded(x[at], dims) for x in (a, b))
+                out[at] = np.minimum(mine, other).sum(1, dtype=np.int32)
         return out
 
     @staticmethod

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gridlake.functions.predicates import NORMAL_RACE, SPRINT_RACE
 from gridlake.functions.strings import concat_sql, null_of, spaced
 from gridlake.operators.joins import Dim, star_join
+from gridlake.operators.partitions import distinct_by_size
 from gridlake.plans.racing import RacingTables
 
 RESULT_FACT_COLUMNS = (
@@ -93,20 +94,23 @@ def _tagged_results(entries: DataFrame, race_type: str, sprint: bool) -> DataFra
 def result_facts(t: RacingTables) -> DataFrame:
     """Q1: normal and sprint results, star-joined, ``UNION`` (distinct).
 
-    Inner joins distribute over a union, so the two results tables are
-    unioned first (each tagged with its literal ``race_type``) and joined
-    with each dimension once, instead of two star joins that each shuffle or
-    broadcast every dimension. A ``race_type`` filter above this plan still
-    reaches the union below the joins and prunes the other table (Catalyst
-    folds the literal). The distinct over the 18 output columns is one hash
-    aggregate at the end, as the SQL ``UNION`` asks.
+    Rows of the two results tables differ in their literal ``race_type``, so
+    the distinct over the 18 output columns is taken of each by itself, and
+    its tasks, which hold whole rows, are as many as the size of its input
+    asks for. The dimensions' shuffles and broadcasts are the same in both
+    star joins, so Spark makes them once. A ``race_type`` filter above this
+    plan still prunes the other table (Catalyst folds the literal).
     """
-    entries = _tagged_results(t.results, NORMAL_RACE, sprint=False).unionByName(
-        _tagged_results(t.sprint_results, SPRINT_RACE, sprint=True)
-    )
-    # races first: it joins on the key the results are already partitioned by.
+    normal = _tagged_results(t.results, NORMAL_RACE, sprint=False)
+    sprint = _tagged_results(t.sprint_results, SPRINT_RACE, sprint=True)
+    return _result_rows(normal, t).unionByName(_result_rows(sprint, t))
+
+
+def _result_rows(entries: DataFrame, t: RacingTables) -> DataFrame:
+    """The distinct fact rows of one results table."""
+    # races first: it joins on the key the results are already partitioned and sorted by.
     joined = star_join(entries, [race_dim(t), status_dim(t), driver_dim(t), constructor_dim(t)])
-    return joined.select(
+    rows = joined.select(
         F.col("resultId"),
         F.col("raceId"),
         F.col("race_type"),
@@ -125,7 +129,9 @@ def result_facts(t: RacingTables) -> DataFrame:
         F.col("fastestLapTime"),
         F.col("fastestLapSpeed").alias("fastestLapSpeed_kmph"),
         F.col("status"),
-    ).distinct()
+    )
+    # Not by the columns that are literals of a table: Spark folds them, and would deal the rows once more.
+    return distinct_by_size(rows, [c for c in RESULT_FACT_COLUMNS if c not in ("race_type", "rank", "fastestLapSpeed_kmph")])
 
 
 def quali_facts(t: RacingTables) -> DataFrame:

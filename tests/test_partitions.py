@@ -1,10 +1,12 @@
 import datetime as dt
+import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridlake.operators import partitions
-from gridlake.plans import facts, racing
+from gridlake.plans import facts, racing, roundtrips
 
 
 @pytest.fixture
@@ -46,3 +48,21 @@ def test_inputs_of_unknown_size_keep_the_sessions_partitions(spark):
     rows = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a"), (1, "a"), (2, "a")]), "x int, s string")
     assert partitions.input_bytes(rows) is None
     assert sorted(partitions.distinct_by_size(rows, ["x", "s"]).collect()) == [(1, "a"), (2, "a")]
+
+
+def test_a_folder_of_many_objects_is_written_by_several_tasks(spark, tmp, monkeypatch):
+    monkeypatch.setattr(roundtrips, "PER_FILE", 5)
+    monkeypatch.setattr(roundtrips, "PER_BLOCK", 10)
+    n = F.col("id")
+    # Two folders: one for a null status (its keys end with 1), one with nine tenths of the rows' twins.
+    spark.range(0, 1030, 10, 4).select(
+        F.when(n < 100, n + 1).otherwise(n).alias("o_orderkey"), n.alias("o_custkey"), F.when(n >= 100, "O").alias("o_orderstatus")
+    ).write.parquet(f"{tmp}/orders.parquet")
+    root = roundtrips._many_objects(spark, str(tmp), "several")
+    root = root.removeprefix("file:")
+    found = {f: sorted(glob.glob(f"{root}/{f}/*.parquet")) for f in ("status=O/digit=0", "status=__HIVE_DEFAULT_PARTITION__/digit=1")}
+    for rows, files in zip((93, 10), found.values(), strict=True):
+        sizes = sorted(spark.read.parquet(f).count() for f in files)
+        assert len(files) == -(-rows // 5) and sum(sizes) == rows and sizes[1:] == [5] * (len(files) - 1)
+    tasks = {os.path.basename(f).split("-")[1] for f in found["status=O/digit=0"]}
+    assert len(tasks) > 1

@@ -89,6 +89,8 @@ class FolderWriter(DataSourceArrowWriter):
 
         self.options, self.overwrite, self.job = options, overwrite, uuid.uuid4().hex
         self.schema = to_arrow_schema(schema)
+        system, folder = _place(options)
+        system.create_dir(self._temporary(folder), recursive=True)
 
     def _temporary(self, folder: str) -> str:
         return f"{folder}/_temporary/{self.job}"
@@ -98,8 +100,7 @@ class FolderWriter(DataSourceArrowWriter):
         name, out = f"part-{uuid.uuid4().hex}{ENDING}", None
         try:
             for batch in iterator:
-                if out is None:
-                    system.create_dir(self._temporary(folder), recursive=True)
+                if out is None:  # no folder is made: a task that outlives the abort must not bring it back
                     sink = system.open_output_stream(f"{self._temporary(folder)}/{name}")
                     schema = self.schema if batch.schema.equals(self.schema) else batch.schema
                     out = pa.ipc.new_file(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
@@ -117,7 +118,6 @@ class FolderWriter(DataSourceArrowWriter):
         names = [m.name for m in messages if m is not None and m.name]
         if not names and (self.overwrite or not _files(self.options)):  # the schema stays known
             names = [f"part-{uuid.uuid4().hex}{ENDING}"]
-            system.create_dir(self._temporary(folder), recursive=True)
             with system.open_output_stream(f"{self._temporary(folder)}/{names[0]}") as sink, pa.ipc.new_file(sink, self.schema):
                 pass
         for name in names:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -64,21 +65,30 @@ class Stage:
         self.spark = spark
         self.base = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
         self.paths: dict[str, str] = {}
+        self.tables: dict[str, str] = {}
         self.n = 0
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+        """The table written and reread. With a ``key`` its rows lie in buckets: joins on the key don't shuffle them."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{name}"
-        df.write.parquet(path)
         self.paths[name] = path
+        if key is None:
+            df.write.parquet(path)
+        else:
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self.tables[name] = f"{re.sub('[^a-z0-9]', '_', name.lower())}_{uuid.uuid4().hex}"
+            df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(self.tables[name])
         # Shuffle files go when the driver's garbage collector meets their plans, which may be long after.
         gc.collect()
         self.spark._jvm.System.gc()
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.table(self.tables[name]) if key else self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         jvm, sc = self.spark._jvm, self.spark.sparkContext
         for name in names:
+            if name in self.tables:
+                self.spark.sql(f"DROP TABLE {self.tables.pop(name)}")  # its files stay
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -16,16 +16,20 @@ holds for a point and a box of points, which is what the R-tree prunes by.
    minimum and a join, so a group of copies of any size is no bottleneck. The
    pairs that pass the bound are verified on the shingles themselves, and the
    components of the links are found.
-3. The rest. Cells whose members are still in different components are gathered
-   by their smallest id: documents that share one of many cells with the same
-   smallest id meet once, not once in each. In such a family an R-tree over DIMS
+3. The rest. A family is a smallest id with the members of all its cells, so
+   documents that share many cells with the same smallest id meet once, not once
+   in each. It is told from the pairs of a member and a smallest id that the stars
+   need anyway, not from the cells, of which there are many more. Families
+   whose members are still in different components are gathered: an R-tree over DIMS
    groups joins the members of different components; what passes is held against
    the whole points, which have a group for one or two shingles, so that hardly
-   any pair below the similarity is left; a pair of several families is given
-   in the first of them only. What is left is verified, and the components of all
-   links are the result. Large families are dealt out in tiles, so that none is
+   any pair below the similarity is left. What is left is verified, and the components
+   of all links are the result. Large families are dealt out in tiles, so that none is
    gathered in one task.
 
+Texts are dealt by id once, into the files of a bucketed table, so the
+verifications bring the few pairs to the texts and don't deal all texts anew.
+
 Two rounds of stars (smallest, then largest id) leave few pairs to step 3, and
 step 3 leaves none out, so the components are those of all links.
 
@@ -314,14 +318,12 @@ class Points:
 
 
 def _rest(num: int, den: int):
-    """Pairs across components in the families of a task; rows come sorted by family and tile."""
+    """Pairs across components in the families of a task; rows come sorted by family and tile.
+    A pair of several families is given in each."""
 
     def search(family: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(family)
-        low = rows["low"][0].as_py()
         doc, comp, side, size = (rows[c].to_numpy() for c in ("doc_id", "comp", "side", "n"))
-        lists = rows["lows"].combine_chunks()
-        cut, lows = lists.offsets.to_numpy(), lists.values.to_numpy()
         fine = Points(rows["point"].to_pylist(), rows["unit"].to_numpy())
         point = fine.all(DIMS)
         a: list[np.ndarray] = []
@@ -330,10 +332,6 @@ def _rest(num: int, den: int):
         values, count = np.unique(comp, return_counts=True)
         few = comp != values[count.argmax()]
 
-        def here(i: int, k: int) -> bool:
-            """Whether this is the first family of both."""
-            return np.intersect1d(lows[cut[i] : cut[i + 1]], lows[cut[k] : cut[k + 1]]).min() == low
-
         def meet(queries: np.ndarray, others: np.ndarray) -> None:
             queries = queries[few[queries]]
             if not len(queries) or not len(others):
@@ -345,8 +343,6 @@ def _rest(num: int, den: int):
                 new = (comp[i] != comp[k]) & (~few[k] | (side[i] < side[k]) | (side[i] == side[k]) & (i < k))
                 i, k = i[new], k[new]
                 new = fine.overlap(i, k) >= _needed(size[k], size[i], num, den)
-                i, k = i[new], k[new]
-                new = np.array([here(*x) for x in zip(i.tolist(), k.tolist(), strict=True)], bool)
                 a.append(np.minimum(doc[i], doc[k])[new])
                 b.append(np.maximum(doc[i], doc[k])[new])
 
@@ -458,13 +454,14 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         met = some if met is None else met.unionByName(some)
     described = stage.write(described.select("doc_id", "n", "point", "unit"), "points")
     stage.drop("described")
+    # Every document with the smallest id of each of its cells.
+    family = stage.write(met.select("low", "doc_id").distinct(), "families")
     # The texts that verification may need: written once, the others stay where they are.
-    known = stage.write(docs.where("text is not null").join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
+    known = stage.write(docs.where("text is not null").join(family.select("doc_id").distinct(), "doc_id", "left_semi"), "known", key="doc_id")
     edges = None
     for center in ("low", "high"):
-        star = met.where(F.col("doc_id") != F.col(center)).select(
-            F.least(center, "doc_id").alias("a"), F.greatest(center, "doc_id").alias("b")
-        ).distinct()
+        star = family if center == "low" else met.select(center, "doc_id").distinct()
+        star = star.where(F.col("doc_id") != F.col(center)).select(F.least(center, "doc_id").alias("a"), F.greatest(center, "doc_id").alias("b"))
         if edges is not None:  # not again what is in one component
             star = star.join(edges, ["a", "b"], "left_anti")
             star = star.join(groups.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
@@ -474,25 +471,24 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         linked = _verified(pairs, known, words, num, den)
         edges = stage.write(linked if edges is None else linked.unionByName(edges), f"edges-{center}")
         groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # Cells that still hold several components.
-    placed = met.select("cell", "doc_id").join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "cell", "doc_id", F.coalesce("component", "doc_id").alias("comp")
-    )
-    several = placed.groupBy("cell").agg(F.min("doc_id").alias("low"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-    # For each document the smallest ids of its open cells; a document has no more of them than cells.
-    inside = placed.join(several.select("cell", "low"), "cell").groupBy("doc_id", "comp").agg(F.collect_set("low").alias("lows"))
-    inside = stage.write(inside.join(described, "doc_id"), "open")
     stage.drop(*[f"met-{p}" for p in range(PASSES)])
-    family = inside.select("*", F.explode("lows").alias("low"))
-    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum(F.length("point")) / TILE_BYTES)).cast("int")
-    tiles = stage.write(family.groupBy("low").agg(tiles.alias("tiles")), "tiles")
-    dealt = family.join(tiles, "low").withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+    # Families that still hold several components.
+    placed = family.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "low", "doc_id", F.coalesce("component", "doc_id").alias("comp")
+    )
+    several = placed.groupBy("low").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("low")
+    inside = stage.write(placed.join(several, "low"), "open")
+    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("bytes") / TILE_BYTES)).cast("int")
+    sized = inside.join(described.select("doc_id", F.length("point").alias("bytes")), "doc_id")
+    tiles = stage.write(sized.groupBy("low").agg(tiles.alias("tiles")), "tiles")
+    dealt = inside.join(tiles, "low").withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "low", "doc_id", "comp", "n", "point", "unit", "lows", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
+        "low", "doc_id", "comp", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("s"),
         F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), -1).otherwise(1).alias("side"),
     )
+    dealt = dealt.join(described, "doc_id")
     pairs = dealt.repartition("low", "t", "s").sortWithinPartitions("low", "t", "s").mapInArrow(_rest(num, den), "a long, b long")
-    pairs = stage.write(pairs, "pairs-rest")  # read twice
+    pairs = stage.write(pairs.distinct(), "pairs-rest")  # read twice
     rest = stage.write(_verified(pairs, known, words, num, den).unionByName(edges), "edges-all")
     stage.drop(*[x for x in stage.paths if x not in ("points", "edges-all")])
     groups = components(rest.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "doc_id")

@@ -55,6 +55,45 @@ def test_components_equal_all_pairs(spark, seed, k, num, den, monkeypatch):
     assert got == brute(rows, k, num, den)
 
 
+def test_neither_texts_nor_cells_are_dealt_again(spark, monkeypatch):
+    """Verifications bring pairs to the texts; families are told from pairs, not from cells."""
+    plans = {"verified": [], "open": []}
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    verified, write = J._verified, J.Stage.write
+
+    def spy_verified(pairs, docs, *a):
+        out = verified(pairs, docs, *a)
+        plans["verified"].append(plan(out))
+        return out
+
+    def spy_write(self, df, name, *a, **k):
+        if name == "open":
+            plans["open"].append(plan(df))
+        return write(self, df, name, *a, **k)
+
+    monkeypatch.setattr(J, "_verified", spy_verified)
+    monkeypatch.setattr(J.Stage, "write", spy_write)
+    settings = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in settings:
+        spark.conf.set(k, "-1")
+    try:
+        rows = documents(4, 60)
+        tables = spark.catalog.listTables()
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_join(df, 3, 90, 100).collect()}
+        assert got == brute(rows, 3, 90, 100)
+        assert spark.catalog.listTables() == tables  # none is left
+    finally:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+    assert len(plans["verified"]) == 3 and len(plans["open"]) == 1
+    assert all(len(re.findall(r"Exchange hashpartitioning\(doc_id", p)) == 1 for p in plans["verified"])
+    assert "cell" not in plans["open"][0]
+
+
 def test_a_chain_links_its_ends(spark):
     words = [f"v{i}" for i in range(200)]
     rows = [(i, " ".join(words[i * 2 : i * 2 + 100])) for i in range(20)]

@@ -275,6 +275,7 @@ def bucket_to_tables(
     formats: tuple[str, ...] = P.VALID_FORMATS,
     schemas: dict[str, StructType | str] | None = None,
     gz_format: str | None = None,
+    parallelism: int = 4,
     **read_options: str,
 ) -> list[str]:
     """Load every object under ``root`` into a table named by its base name.
@@ -282,8 +283,9 @@ def bucket_to_tables(
     Objects that share a base name (``2023/results.csv``, ``2024/results.csv``,
     ``inputs/results.parquet/``) make one table, their columns united by name.
     A name's characters other than letters, digits and ``_`` become ``_``
-    (``lap-times.csv`` -> table ``lap_times``), as the catalog requires. The
-    driver holds the paths of one table at a time. ``schemas`` maps table names
+    (``lap-times.csv`` -> table ``lap_times``), as the catalog requires. Up to
+    ``parallelism`` tables load at once, so the last tasks of one don't leave cores
+    idle; the driver holds the paths of twice as many. ``schemas`` maps table names
     to known schemas (no inference pass), ``gz_format`` is the format of bare
     ``.gz`` files, ``read_options`` go to every reader. What can't be read is
     reported as a ``SkippedFiles`` warning.
@@ -294,15 +296,20 @@ def bucket_to_tables(
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
-    for name, of_table in groupby(rows.toLocalIterator(), key=lambda r: r.table):
-        frames = []
-        for t, of_format in groupby(of_table, key=lambda r: r.fmt):
-            paths = [r.path for r in of_format]
-            frames.append(spread(scan(spark, paths, t, schema=(schemas or {}).get(name), **read_options), paths))
+
+    def tables() -> Iterator[tuple[str, list[tuple[str, list[str]]]]]:
+        for name, of_table in groupby(rows.toLocalIterator(), key=lambda r: r.table):
+            created.append(f"{database}.{name}" if database else name)
+            yield name, [(t, [r.path for r in of_format]) for t, of_format in groupby(of_table, key=lambda r: r.fmt)]
+
+    def load(item) -> None:
+        name, formats = item
+        frames = [spread(scan(spark, paths, t, schema=(schemas or {}).get(name), **read_options), paths) for t, paths in formats]
         full = f"{database}.{name}" if database else name
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         _united(frames).write.mode("overwrite").saveAsTable(full)
-        created.append(full)
+
+    each(tables(), load, parallelism)
     return created
 
 
@@ -387,7 +394,7 @@ def _refuse_shared_targets(targets: DataFrame) -> None:
         raise ValueError(f"several inputs would be written to {[r.target for r in twice]}; nothing was written")
 
 
-def _each(work: Iterator, run, parallelism: int) -> None:
+def each(work: Iterator, run, parallelism: int) -> None:
     """Run the items of a stream as concurrent Spark jobs, with few of them in hand at a time."""
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         running = set()
@@ -449,7 +456,7 @@ def bulk_convert(
         (target, fmt), paths = item
         write(spread(scan(spark, paths if len(paths) > 1 else paths[0], fmt), paths), target, target_format)
 
-    _each(work, convert, parallelism)
+    each(work, convert, parallelism)
     return targets.select("key", "target", "reason").unionByName(
         objects.where("reason is not null").select("key", F.lit(None).cast("string").alias("target"), "reason")
     )

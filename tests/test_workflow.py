@@ -2,12 +2,18 @@
 raw tables, then the warehouse (facts + views), then an export that is
 imported back into a fresh catalog."""
 
+import itertools
 import os
+import threading
+import uuid
 
-from gridlake.plans import catalog, racing, reports
+import pytest
+
+from gridlake.plans import catalog, racing, reports, roundtrips
 from gridlake.plans.results import fetch
 from gridlake.sources import export, files, listing
 
+SF001 = "/root/testdata/sf0.001"
 N = "\\N"
 FILES = {
     "results.csv": (
@@ -62,3 +68,43 @@ def test_bucket_to_warehouse_to_export(spark, tmp):
     export.import_database(spark, out)
     assert [tuple(r) for r in spark.table("wf_derived.driverPoints").collect()] == pts
     assert spark.table("wf_derived.mostPolesPerDriver").count() == 2
+
+
+def _several_at_once(fn):
+    """``fn``, whose first two calls wait for each other."""
+    both, calls = threading.Barrier(2, timeout=20), itertools.count()
+
+    def run(*a, **k):
+        if next(calls) < 2:
+            both.wait()
+        return fn(*a, **k)
+
+    return run
+
+
+def test_tables_load_side_by_side(spark, tmp, monkeypatch):
+    rows = {name: [(i, f"{name}{i}") for i in range(20)] for name in ("one", "three", "two")}
+    for name, some in rows.items():
+        files.write(spark.createDataFrame(some, "id int, name string"), f"{tmp}/{name}.csv", "csv")
+    monkeypatch.setattr(files, "scan", _several_at_once(files.scan))
+    db = f"side_{uuid.uuid4().hex}"
+    assert files.bucket_to_tables(spark, tmp, database=db) == [f"{db}.{name}" for name in rows]  # in the order of their names
+    assert {name: sorted(map(tuple, spark.table(f"{db}.{name}").collect())) for name in rows} == rows
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_a_table_that_fails_to_load_is_an_error(spark, tmp):
+    files.write(spark.range(3), f"{tmp}/good.parquet")
+    os.makedirs(f"{tmp}/bad.parquet")
+    with open(f"{tmp}/bad.parquet/x.parquet", "w") as f:
+        f.write("no parquet")
+    db = f"fails_{uuid.uuid4().hex}"
+    with pytest.raises(Exception, match="x.parquet"):
+        files.bucket_to_tables(spark, tmp, database=db)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_convert_then_load_writes_side_by_side(spark, monkeypatch):
+    want = [tuple(r) for r in reports.race_driver_sample(racing.from_tpch(spark, SF001)).collect()]
+    monkeypatch.setattr(files, "write", _several_at_once(files.write))
+    assert [tuple(r) for r in roundtrips.convert_then_load(spark, SF001).collect()] == want

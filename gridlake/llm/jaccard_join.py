@@ -8,10 +8,14 @@ holds for a point and a box of points, which is what the R-tree prunes by.
 1. Cells. Documents of a size class are cut into more groups than a linked pair
    can have differences, so some group holds the same shingles in both
    (pigeonhole). A group with a checksum of its shingles is a cell; only
-   documents that meet in a cell can be linked. There are as many groups more
-   as a document is likely to have with one shingle or none (or, at lower
-   similarities, with none); those groups, which unlike documents share, are left
-   out. The few documents that have more of them keep all of theirs.
+   documents that meet in a cell can be linked. Of the groups that agree, each
+   one more than that lets each document leave one out, if all go by one order:
+   the last by that order stays in both. There are as many groups more as a
+   document is likely to have with one shingle or none (or, at lower
+   similarities, with none), and so many with the fewest shingles are left out,
+   which unlike documents share. And there are a few more for lines that many
+   documents have: of the cells with OFTEN documents or more, so many of the most
+   frequent ones are left out.
 2. Stars. Each cell links its members to its smallest id. That is a grouped
    minimum and a join, so a group of copies of any size is no bottleneck. The
    pairs that pass the bound are verified on the shingles themselves, and the
@@ -47,7 +51,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -62,6 +66,8 @@ TILE_BYTES = 8 << 20  # and bytes of their points
 PAIRS = 1 << 13  # of a query and a box that are bounded at once
 PASSES = 3  # parts in which the cells are dealt, one after the other, so that less is on disk at once
 PART = 256  # links of a centre verified in one task
+OFTEN = 16  # documents of a cell that may be left out
+CLASS = 15  # the bits of a cell's key that tell a document's classes apart
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -90,20 +96,19 @@ def shingles(texts: pa.Array, words: int, keep: np.ndarray = T.NOT_SPACE) -> tup
     return out[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=rows))])
 
 
-def _spare(differ: int, size: int) -> tuple[int, int]:
-    """(spare groups, shingles of a group that is left out): the least number of groups that covers
-    those with one shingle or none which a set of this size has (by Poisson's law, with two
-    deviations); if no number does, those with none."""
+def _spare(differ: int, size: int) -> int:
+    """The least number of spare groups that covers those with one shingle or none which a set of
+    this size has (by Poisson's law, with two deviations); if no number does, those with none."""
     for most in (1, 0):
         for spare in range(1, size if differ else 0):
             groups = differ + 1 + spare
             mean = size / groups
             weak = groups * math.exp(-mean) * (1 + most * mean)
             if spare >= weak + 2 * math.sqrt(weak):
-                return spare, most
+                return spare
             if mean < 1:
                 break
-    return 0, 0
+    return 0
 
 
 class Classes:
@@ -122,9 +127,11 @@ class Classes:
         self.low = np.array(low, np.int64)
         top = self.low[1:] - 1
         differ = 2 * top * (self.den - self.num) // (self.den + self.num)
-        each = zip(differ.tolist(), self.low.tolist(), strict=False)
-        self.spare, self.weak = np.array([_spare(*x) for x in each], np.int64).T
-        self.groups = differ + 1 + self.spare
+        self.leave = np.where(self.low[:-1] < 15, 0, 1 + self.low[:-1] // 64)  # frequent cells left out at most
+        # For the smallest sets that meet partners here; if no number covers theirs, for the smallest of the class.
+        each = zip((differ + self.leave).tolist(), (self.low[:-1] * self.num // self.den).tolist(), self.low.tolist(), strict=False)
+        self.spare = np.array([_spare(x, least) or _spare(x, low) for x, least, low in each], np.int64)
+        self.groups = differ + 1 + self.leave + self.spare
 
     def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, class) for every class in which a set of n shingles may meet a partner."""
@@ -136,8 +143,8 @@ class Classes:
         return row, first[row] + np.arange(len(row)) - (np.cumsum(k) - k)[row]
 
 
-def _cells(h: np.ndarray, offs: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """(row, cell key) of all cells of the sets."""
+def _cells(h: np.ndarray, offs: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell key) of the cells of the sets, and for each set how many frequent cells of a class it may leave out."""
     n = np.diff(offs)
     row, kind = classes.of(n)
     groups = classes.groups[kind]
@@ -153,13 +160,18 @@ def _cells(h: np.ndarray, offs: np.ndarray, classes: Classes) -> tuple[np.ndarra
     check = np.zeros(total, np.uint64)
     np.add.at(check, slot, T.mix(mine * _A))
     owner = np.repeat(np.arange(len(row)), groups)
-    weak = count <= classes.weak[kind][owner]
-    spare = classes.spare[kind]
-    few = np.bincount(owner, weak, len(row)) <= spare
-    emit = ~(weak & few[owner])
     number = np.arange(total) - base[owner]
+    # The spare groups that are left out are the first by count and number, an order that sets
+    # agree on where they agree in a group: of more agreeing groups the last one is never left out.
+    order = np.argsort(owner * (int(count.max(initial=0)) + 1) + count, kind="stable")
+    emit = np.ones(total, bool)
+    emit[order] = number >= classes.spare[kind][owner]
     key = T.mix(check * _B + T.mix((kind[owner] << 32 | number).astype(np.uint64)) + count.astype(np.uint64))
-    return row[owner[emit]], key[emit]
+    key = key & ~np.uint64(CLASS) | kind[owner].astype(np.uint64) & np.uint64(CLASS)
+    # Its smallest class has the fewest to leave out.
+    leave = np.zeros(len(n), np.int64)
+    leave[row[::-1]] = classes.leave[kind[::-1]]
+    return row[owner[emit]], key[emit], leave
 
 
 def points(h: np.ndarray, offs: np.ndarray) -> list[bytes]:
@@ -198,7 +210,7 @@ def _describe(words: int, num: int, den: int):
                 h, offs = shingles(some.column("text"), words)
                 point = points(h, offs)
                 short = [brief(p, len(p) // 4) for p in point]
-                row, key = _cells(h, offs, classes)
+                row, key, leave = _cells(h, offs, classes)
                 order = np.argsort(row, kind="stable")
                 per = np.bincount(row, minlength=some.num_rows)
                 lists = pa.ListArray.from_arrays(
@@ -207,9 +219,9 @@ def _describe(words: int, num: int, den: int):
                 yield pa.record_batch(
                     [
                         some.column("doc_id"), pa.array(np.diff(offs), pa.int64()),
-                        pa.array([b for b, _ in short], pa.binary()), pa.array([u for _, u in short], pa.int64()), lists,
+                        pa.array([b for b, _ in short], pa.binary()), pa.array([u for _, u in short], pa.int64()), lists, pa.array(leave),
                     ],
-                    ["doc_id", "n", "point", "unit", "cells"],
+                    ["doc_id", "n", "point", "unit", "cells", "leave"],
                 )
 
     return describe
@@ -435,23 +447,38 @@ def _admitted(pairs: DataFrame, described: DataFrame, num: int, den: int) -> Dat
     return both.select("a", "b", "pa", "pb", "ua", "ub", "na", "nb").mapInArrow(admit, "a long, b long")
 
 
+def _shared(members: DataFrame, *more: Column) -> DataFrame:
+    """Cells with at least two documents, with the smallest and the largest of them."""
+    return members.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), *more).where("low < high")
+
+
+def _left(often: DataFrame) -> DataFrame:
+    """What documents keep of their frequent cells: the most frequent ones of a class are left out, so many as ``leave`` says."""
+    order = Window.partitionBy("doc_id", F.col("cell").bitwiseAND(CLASS)).orderBy(F.desc("of"), "cell")
+    return often.withColumn("place", F.dense_rank().over(order)).where("place > leave").select("cell", "doc_id")
+
+
 def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; linked where den * inter >= num * union."""
     stage = Stage(docs.sparkSession, "jaccard")
     docs = texts(docs)
-    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, point binary, unit long, cells array<long>"), "described")
-    members = described.where("doc_id is not null").select("doc_id", F.explode("cells").alias("cell"))
-    # Cells with at least two documents, with the smallest and the largest of them.
+    described = stage.write(docs.mapInArrow(_describe(words, num, den), "doc_id long, n long, point binary, unit long, cells array<long>, leave long"), "described")
+    members = described.where("doc_id is not null").select("doc_id", "leave", F.explode("cells").alias("cell"))
+
     def of_pass(df: DataFrame, p: int) -> DataFrame:
         return df.where(F.pmod(F.col("cell"), F.lit(PASSES)) == p)
 
     met = None
     for p in range(PASSES):
         some = of_pass(members, p)
-        shared = some.groupBy("cell").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+        shared = _shared(some, F.count("*").alias("of"))
         some = stage.write(some.join(stage.write(shared, f"shared-{p}"), "cell"), f"met-{p}")
         stage.drop(f"shared-{p}")
         met = some if met is None else met.unionByName(some)
+    often = stage.write(_left(met.where(F.col("of") >= OFTEN)), "left")
+    met = met.where(F.col("of") < OFTEN).select("cell", "doc_id", "low", "high").unionByName(
+        stage.write(often.join(_shared(often), "cell"), "often").select("cell", "doc_id", "low", "high")
+    )
     described = stage.write(described.select("doc_id", "n", "point", "unit"), "points")
     stage.drop("described")
     # Every document with the smallest id of each of its cells.
@@ -471,7 +498,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
         linked = _verified(pairs, known, words, num, den)
         edges = stage.write(linked if edges is None else linked.unionByName(edges), f"edges-{center}")
         groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    stage.drop(*[f"met-{p}" for p in range(PASSES)])
+    stage.drop(*[f"met-{p}" for p in range(PASSES)], "left", "often")
     # Families that still hold several components.
     placed = family.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "low", "doc_id", F.coalesce("component", "doc_id").alias("comp")

@@ -134,6 +134,69 @@ def test_pigeonhole_classes():
             assert c.groups[k] - (a + b - 2 * inter) >= 1 + c.spare[k]
 
 
+def cut(sets):
+    return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+
+
+def test_unlike_sets_share_no_cells():
+    """Sets of fewer shingles than their class is made for have more empty groups than are spare."""
+    rng = np.random.default_rng(11)
+    sets = [np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in rng.integers(560, 1200, 1500).tolist()]
+    row, key = J._cells(*cut(sets), J.Classes(80, 100))[:2]
+    shared = len(key) - len(np.unique(key))
+    assert len(set(row.tolist())) == len(sets) and shared < len(sets) // 10, shared
+
+
+@pytest.mark.parametrize("num,part", [(80, 1), (90, 1), (80, 2), (50, 1)])
+def test_linked_sets_keep_a_cell(num, part):
+    """Whatever the order in which frequent cells are left out, also with many more empty groups than are spare."""
+    rng = np.random.default_rng(12)
+    classes = J.Classes(num, 100)
+    for n in (8, 9, 15, 16, 40, 100, 333, 700, 1500):
+        for _ in range(30):
+            # With part 2, shingles of half of the groups only.
+            h = rng.integers(0, 1 << 63, 2 * n * part, dtype=np.uint64)
+            h = h[J.T.mix(h ^ J._B) >> np.uint64(63) == 0] if part == 2 else h
+            inter = n * num // 100 + 1
+            own = (100 * inter // num - inter) // 2  # of each, so that they are just linked
+            h = h[: inter + 2 * own]
+            a, b = np.sort(h[: inter + own]), np.sort(np.concatenate([h[:inter], h[inter + own :]]))
+            assert 100 * inter >= num * (inter + 2 * own) and len(b) == inter + len(h) - inter - own
+            row, key, leave = J._cells(*cut([a, b]), classes)
+            kept = []
+            for i in (0, 1):
+                mine = np.sort(key[row == i] * np.uint64(0x9E3779B97F4A7C15))  # any one order
+                kept.append(set(mine[leave[i] :].tolist()))
+            assert kept[0] & kept[1]
+
+
+def test_a_line_that_many_documents_have_is_no_cell(spark, monkeypatch):
+    rng = random.Random(13)
+    line = " ".join(f"line{i}" for i in range(7))
+    rows = [(i, line + "\n" + " ".join(f"w{rng.randrange(10**9)}" for _ in range(300))) for i in range(80)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(20)]
+    seen, write = {}, J.Stage.write
+
+    def spy(self, df, name, *a, **k):
+        out = write(self, df, name, *a, **k)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(J.Stage, "write", spy)
+    monkeypatch.setattr(J, "OFTEN", 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 5, 80, 100)
+    assert seen["families"] == 40 and seen["open"] == 0  # the linked pairs only
+
+
+def test_ids_with_several_texts_keep_each_text_s_links(spark):
+    rng = random.Random(14)
+    words = [[f"w{rng.randrange(10**9)}" for _ in range(120)] for _ in range(40)]
+    rows = [(i % 20, " ".join(w)) for i, w in enumerate(words)] + [(100 + i, " ".join(w[:-2])) for i, w in enumerate(words)] * 9
+    got = {(r.doc_id, r.component_id) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 3).collect()}
+    assert got == {(i, i % 20 if i < 20 else (i - 100) % 20) for i in [*range(20), *range(100, 140)]}
+
+
 def test_components_of_a_star_and_a_path(spark):
     edges = [(5, i) for i in range(100, 300)] + [(i, i + 1) for i in range(1000, 1040)] + [(7, 7), (None, 3), (3, 9), (9, 3)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
